@@ -23,12 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tandem.session import scratch_path
+
 DEFAULT_MIN_BUCKET_MS = 3_600_000
 
 
-def assign_sessions(tagged: DataFrame, gap_ms: int, *, key: str = "_k", time_us: str = "_t",
-                    bucket_ms: int | None = None) -> DataFrame:
-    """Add ``_sid`` (session number within the key, from 1) to every row."""
+def local_sessions(tagged: DataFrame, gap_ms: int, *, key: str = "_k", time_us: str = "_t",
+                   bucket_ms: int | None = None) -> DataFrame:
+    """Add ``_b`` (time bucket) and ``_ls`` (session number inside the
+    (key, bucket), from 1) - one shuffle on (key, bucket)."""
     gap_us = gap_ms * 1000
     bucket_us = (bucket_ms or max(DEFAULT_MIN_BUCKET_MS, 16 * gap_ms)) * 1000
     t = F.col(time_us)
@@ -36,39 +39,67 @@ def assign_sessions(tagged: DataFrame, gap_ms: int, *, key: str = "_k", time_us:
     local = Window.partitionBy(key, "_b").orderBy(time_us)
     prev = F.lag(t).over(local)
     rows = rows.withColumn("_start", F.when(prev.isNull() | (t - prev > gap_us), 1).otherwise(0))
-    rows = rows.withColumn("_ls", F.sum("_start").over(
-        local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return rows.withColumn("_ls", F.sum("_start").over(
+        local.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_start")
 
+
+def bucket_offsets(rows: DataFrame, gap_ms: int, *, key: str = "_k",
+                   time_us: str = "_t") -> DataFrame:
+    """One row per non-empty (key, bucket): ``_goff``, the global number of
+    the bucket's first local session (it continues the previous bucket's
+    last session when the silence between them is <= gap)."""
+    gap_us = gap_ms * 1000
     summary = rows.groupBy(key, "_b").agg(F.min(time_us).alias("_first"),
                                           F.max(time_us).alias("_last"),
                                           F.max("_ls").alias("_n"))
     by_key = Window.partitionBy(key).orderBy("_b")
     cont = F.when(F.col("_first") - F.lag("_last").over(by_key) <= gap_us, 1).otherwise(0)
-    summary = summary.withColumn("_cont", cont)
     before = F.coalesce(F.sum("_n").over(
         by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    merged = F.sum("_cont").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summary = summary.select(key, "_b", (F.lit(1) + before - merged).alias("_goff"))
+    merged = F.sum(cont).over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return summary.select(key, "_b", (F.lit(1) + before - merged).alias("_goff"))
 
-    out = rows.join(summary, on=[key, "_b"], how="inner")
-    return out.select(*[c for c in tagged.columns],
-                      (F.col("_goff") + F.col("_ls") - 1).cast("bigint").alias("_sid"))
+
+def assign_sessions(tagged: DataFrame, gap_ms: int, *, key: str = "_k", time_us: str = "_t",
+                    bucket_ms: int | None = None) -> DataFrame:
+    """Add ``_sid`` (session number within the key, from 1) to every row."""
+    rows = local_sessions(tagged, gap_ms, key=key, time_us=time_us, bucket_ms=bucket_ms)
+    return _with_sid(rows, bucket_offsets(rows, gap_ms, key=key, time_us=time_us), key)
+
+
+def _with_sid(rows: DataFrame, offsets: DataFrame, key: str = "_k") -> DataFrame:
+    out = rows.join(offsets, on=[key, "_b"], how="inner")
+    keep = [c for c in rows.columns if c not in ("_b", "_ls")]
+    return out.select(*keep, (F.col("_goff") + F.col("_ls") - 1).cast("bigint").alias("_sid"))
 
 
 def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
-                        bucket_ms: int | None = None) -> DataFrame:
+                        bucket_ms: int | None = None, materialize: bool = True) -> DataFrame:
     """Pairs of sensor rows ``s`` and GPS rows ``g`` (both: _k, _et, carried
-    columns) that share a session; adds window_start / window_end."""
+    columns) that share a session; adds window_start / window_end.
+
+    With ``materialize`` the locally numbered rows are written once as a
+    parquet table under ``spark.checkpoint.dir``: the three consumers (each
+    side of the join and the bounds) then read only the columns they need
+    instead of re-running the source scan, the decoding and the sort, and
+    the lineage is cut there.
+    """
     s_cols = [c for c in s.columns if c not in ("_k", "_et")]
     g_cols = [c for c in g.columns if c not in ("_k", "_et")]
+    s_type = s.select(F.struct(*s_cols).alias("x")).schema["x"].dataType
+    g_type = g.select(F.struct(*g_cols).alias("x")).schema["x"].dataType
     # One frame with a payload struct per side, so both sides are sessionized together.
-    s_t = s.select("_k", F.unix_micros("_et").alias("_t"),
-                   F.struct(*s_cols).alias("_s"), F.lit(None).cast(
-                       g.select(F.struct(*g_cols).alias("x")).schema["x"].dataType).alias("_g"))
-    g_t = g.select("_k", F.unix_micros("_et").alias("_t"),
-                   F.lit(None).cast(s.select(F.struct(*s_cols).alias("x")).schema["x"].dataType)
-                   .alias("_s"), F.struct(*g_cols).alias("_g"))
-    tagged = assign_sessions(s_t.unionByName(g_t), gap_ms)
+    s_t = s.select("_k", F.unix_micros("_et").alias("_t"), F.struct(*s_cols).alias("_s"),
+                   F.lit(None).cast(g_type).alias("_g"))
+    g_t = g.select("_k", F.unix_micros("_et").alias("_t"), F.lit(None).cast(s_type).alias("_s"),
+                   F.struct(*g_cols).alias("_g"))
+    rows = local_sessions(s_t.unionByName(g_t), gap_ms, bucket_ms=bucket_ms)
+    if materialize:
+        spark = rows.sparkSession
+        path = scratch_path(spark, "session-rows")
+        rows.write.parquet(path)
+        rows = spark.read.parquet(path)
+    tagged = _with_sid(rows, bucket_offsets(rows, gap_ms))
 
     bounds = tagged.groupBy("_k", "_sid").agg(
         F.timestamp_micros(F.min("_t")).alias("window_start"),

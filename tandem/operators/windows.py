@@ -180,7 +180,7 @@ def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
 
 def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | None = None,
                  sensor_time: str | None = None, delay: str = "0 seconds",
-                 bucket=None) -> DataFrame:
+                 bucket=None, materialize: bool = True) -> DataFrame:
     """Session windows over both sides' readings of a key; a new session
     starts after a silence longer than ``gap``.  Window bounds are
     [first reading, last reading + gap)."""
@@ -196,7 +196,8 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     if s.isStreaming or g.isStreaming:
         j = stream_session_pairs(s, g, gap_ms)
     else:
-        j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None)
+        j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,
+                                materialize=materialize)
     return project_pair(j, kind)
 
 

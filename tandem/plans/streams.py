@@ -1,3 +1,116 @@
-"""Streaming variants of the registered queries (filled in below)."""
+"""Streaming forms of the joins, replayed over the events-derived feed.
 
-STREAM_QUERIES: dict = {}
+The feed is staged as parquet files, read with ``readStream`` and run to
+completion with an ``availableNow`` trigger; the sink table is returned as
+a batch DataFrame so it can be checked against the same SQL as the batch
+joins.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tandem.operators.parse import gps_readings, parse_feed, scalar_readings, weather_readings
+from tandem.operators.windows import session_join, sliding_join, tumbling_join
+from tandem.plans.catalog import DAY, QUARTER_DAY, out_scalar_pairs, out_weather_pairs
+from tandem.sources.events import events_feed
+from tandem.sources.sinks import write_csv
+from tandem.session import scratch_path
+from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
+
+# A reading far after all data, on both sides, closes the last open session
+# windows (a session is emitted once the watermark passes its end).
+FLUSH_USER = "__flush__"
+FLUSH_MS = 4_102_444_800_000  # 2100-01-01
+
+
+def flush_lines(spark: SparkSession) -> DataFrame:
+    acct = f'"userAccount":{{"userId":"{FLUSH_USER}","userEmail":"-"}},"deviceId":"-"'
+    gps = (f'{{{acct},"sensorType":"TYPE_GPS","sensorValue":{{"attr_lat":0,"attr_lng":0}},'
+           f'"observationTimestamp":{FLUSH_MS}}}')
+    wea = (f'{{{acct},"sensorType":"TYPE_WEATHER","sensorValue":{{"temp":0,"humd":0,"CO2":0,'
+           f'"CO":0,"hour":0}},"observationTimestamp":{FLUSH_MS}}}')
+    return spark.createDataFrame([(gps,), (wea,)], "value string").select(
+        "value", F.timestamp_millis(F.lit(FLUSH_MS)).alias("timestamp"))
+
+
+def _stream_parsed(spark: SparkSession, sf_dir: str, flush: bool = False) -> DataFrame:
+    feed = events_feed(spark, sf_dir)
+    if flush:
+        feed = feed.unionByName(flush_lines(spark))
+    return parse_feed(stream_feed(spark, stage_feed(feed)))
+
+
+def _sink(df: DataFrame) -> DataFrame:
+    return df.sparkSession.read.parquet(run_available_now(df))
+
+
+def q_stream_tumbling_join(spark, sf_dir):
+    p = _stream_parsed(spark, sf_dir)
+    j = tumbling_join(weather_readings(p, ingest="timestamp"), gps_readings(p), DAY)
+    return _sink(out_weather_pairs(j))
+
+
+def q_stream_tumbling_join_scalar(spark, sf_dir):
+    p = _stream_parsed(spark, sf_dir)
+    j = tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), DAY)
+    return _sink(out_scalar_pairs(j))
+
+
+def q_stream_sliding_join(spark, sf_dir):
+    p = _stream_parsed(spark, sf_dir)
+    j = sliding_join(weather_readings(p, ingest="timestamp"), gps_readings(p), QUARTER_DAY)
+    return _sink(out_weather_pairs(j))
+
+
+def q_stream_session_join(spark, sf_dir):
+    p = _stream_parsed(spark, sf_dir, flush=True)
+    j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), QUARTER_DAY)
+    return _sink(out_weather_pairs(j)).where(F.col("userId") != FLUSH_USER)
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Two replays into one query: first the later half of the feed, then the
+    earlier half.  The earlier rows are behind the watermark and dropped, so
+    only pairs of the later half come out (late data is not joined)."""
+    feed = events_feed(spark, sf_dir)
+    cut = feed.agg(F.percentile_approx(F.unix_millis("timestamp"), 0.5).alias("m")).first()["m"]
+    path = scratch_path(spark, "late-feed")
+    stage_feed(feed.where(F.unix_millis("timestamp") >= cut), path + "/part=1")
+    src = spark.readStream.schema("value string, timestamp timestamp").parquet(path + "/*")
+    p = parse_feed(src)
+    j = out_weather_pairs(tumbling_join(weather_readings(p, ingest="timestamp"), gps_readings(p), DAY))
+    out, ckpt = scratch_path(spark, "late-sink"), scratch_path(spark, "late-ckpt")
+    run_available_now(j, out, ckpt)
+    stage_feed(feed.where(F.unix_millis("timestamp") < cut), path + "/part=2")
+    run_available_now(j, out, ckpt)
+    return spark.read.parquet(out)
+
+
+def q_write_csv(spark, sf_dir):
+    """Scalar x GPS pairs written as '|'-separated text and read back."""
+    p = parse_feed(events_feed(spark, sf_dir))
+    pairs = out_scalar_pairs(tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), DAY))
+    path = scratch_path(spark, "csv")
+    write_csv(pairs, path)
+    return spark.read.schema(pairs.schema).option("sep", "|").csv(path)
+
+
+STREAM_QUERIES = {
+    "stream_tumbling_join": q_stream_tumbling_join,
+    "stream_tumbling_join_scalar": q_stream_tumbling_join_scalar,
+    "stream_sliding_join": q_stream_sliding_join,
+    "stream_session_join": q_stream_session_join,
+    "stream_late_rows": q_stream_late_rows,
+    "write_csv": q_write_csv,
+}
+
+# Streams check against the same SQL as the batch joins they replay.
+STREAM_ORACLE_OF = {
+    "stream_tumbling_join": "tumbling_join_weather",
+    "stream_tumbling_join_scalar": "tumbling_join_scalar",
+    "stream_sliding_join": "sliding_join_weather",
+    "stream_session_join": "session_join_weather",
+    "write_csv": "tumbling_join_scalar",
+}
