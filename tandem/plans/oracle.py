@@ -220,3 +220,14 @@ ORACLE_SQL["window_join_dispatch"] = f"""WITH {_BASE}{session_ctes(QUARTER_DAY_M
 SELECT 'Tumble' AS kind, * FROM ({tumbling_weather(QUARTER_DAY_MS)})
 UNION ALL SELECT 'Sliding' AS kind, * FROM ({sliding_weather(QUARTER_DAY_MS, HALF_QUARTER_MS)})
 UNION ALL SELECT 'Session' AS kind, * FROM ({SESSION_SELECT})"""
+
+ORACLE_SQL["pipeline_messages"] = _with(f"""
+SELECT p.sensorType, p.userId, p.userEmail, p.deviceId, p.lat AS attr_lat, p.lng AS attr_lng,
+       p.region AS regoin, p.obs_ms
+FROM ({tumbling_weather(DAY_MS, 'gps_region', ', g.region')}) p
+UNION ALL
+SELECT 'TYPE_Join_' || substr(m.sensorType, 6) || '_' || substr(g.sensorType, 6) AS sensorType,
+       g.userId, g.userEmail, g.deviceId, g.lat AS attr_lat, g.lng AS attr_lng,
+       g.region AS regoin, g.obs_ms
+FROM multi m JOIN gps_region g
+  ON m.userId = g.userId AND m.obs_ms // {DAY_MS} = g.obs_ms // {DAY_MS}""")

@@ -114,3 +114,50 @@ STREAM_ORACLE_OF = {
     "stream_session_join": "session_join_weather",
     "write_csv": "tumbling_join_scalar",
 }
+
+
+# --- whole job -------------------------------------------------------------
+
+from tandem.plans.pipeline import JobConfig, build_pipeline, run_pipeline  # noqa: E402
+from tandem.sources.events import regions_from_nation  # noqa: E402
+
+PIPELINE_CFG = JobConfig(window_size=DAY, window_type="Tumble", job_name="AdaptiveJoin",
+                         single_sensors=("TYPE_WEATHER",), multi_sensors=("TYPE_ACCELEROMETER",),
+                         multi_window=f"{DAY} seconds")
+
+MESSAGE_FIELDS = ("userAccount struct<userId: string, userEmail: string>, deviceId string, "
+                  "sensorType string, sensorValue struct<attr_lat: float, attr_lng: float, "
+                  "regoin: string>, observationTimestamp bigint, "
+                  "Time struct<ObservationTimestamp: bigint>")
+
+
+def parse_messages(msgs: DataFrame) -> DataFrame:
+    m = msgs.select(F.from_json("value", MESSAGE_FIELDS).alias("m"))
+    return m.select("m.sensorType", "m.userAccount.userId", "m.userAccount.userEmail",
+                    "m.deviceId", "m.sensorValue.attr_lat", "m.sensorValue.attr_lng",
+                    "m.sensorValue.regoin",
+                    F.coalesce("m.Time.ObservationTimestamp", "m.observationTimestamp")
+                    .alias("obs_ms"))
+
+
+def q_pipeline_messages(spark, sf_dir):
+    msgs = build_pipeline(events_feed(spark, sf_dir), PIPELINE_CFG,
+                          regions=regions_from_nation(spark, sf_dir), ingest="timestamp")
+    return parse_messages(msgs)
+
+
+def q_stream_pipeline(spark, sf_dir):
+    src = stream_feed(spark, stage_feed(events_feed(spark, sf_dir)))
+    root = scratch_path(spark, "pipeline-out")
+
+    def sink(msgs, name, ckpt):
+        return run_available_now(msgs, f"{root}/{name}", ckpt)
+
+    run_pipeline(spark, PIPELINE_CFG, source=src, regions=regions_from_nation(spark, sf_dir),
+                 sink=sink)
+    return parse_messages(spark.read.parquet(f"{root}/*"))
+
+
+STREAM_QUERIES["pipeline_messages"] = q_pipeline_messages
+STREAM_QUERIES["stream_pipeline"] = q_stream_pipeline
+STREAM_ORACLE_OF["stream_pipeline"] = "pipeline_messages"

@@ -1,0 +1,92 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tandem.operators.parse import gps_readings, parse_feed, scalar_readings, weather_readings
+from tandem.operators.windows import (
+    session_join, sliding_join, to_ms, tumbling_join, window_join,
+)
+from tests.helpers import EDGE_MS, feed, gps, msg, weather
+
+
+def _sides(spark, s_ms, g_ms, s_user="u1", g_user="u1"):
+    p = parse_feed(feed(spark, [weather(s_ms, user=s_user), gps(g_ms, user=g_user)]))
+    return weather_readings(p, ingest="timestamp"), gps_readings(p)
+
+
+def _starts(df):
+    return sorted(int(r.s) - EDGE_MS for r in df.select(F.unix_millis("window_start").alias("s")).collect())
+
+
+@pytest.mark.parametrize("s_s,g_s,tumble,slide_starts,session", [
+    (2.0, 1.0, 1, [-2000, 0], 1),
+    (2.0, 6.0, 0, [2000], 1),
+    (5.9, 6.0, 1, [2000, 4000], 1),
+    (3.0, 8.0, 0, [], 1),
+    (3.0, 8.001, 0, [], 0),
+])
+def test_window_edges(spark, s_s, g_s, tumble, slide_starts, session):
+    w, g = _sides(spark, EDGE_MS + round(s_s * 1000), EDGE_MS + round(g_s * 1000))
+    assert tumbling_join(w, g, 5).count() == tumble
+    assert _starts(sliding_join(w, g, 5)) == slide_starts
+    assert session_join(w, g, 5).count() == session
+
+
+def test_trim_is_one_sided(spark):
+    for s_user, g_user, n in [("u1 ", "u1", 1), ("u1\t", "u1", 1), ("u1", "u1 ", 0)]:
+        w, g = _sides(spark, EDGE_MS + 1000, EDGE_MS + 2000, s_user, g_user)
+        assert tumbling_join(w, g, 5).count() == n, (s_user, g_user)
+
+
+def test_pair_shape_weather(spark):
+    w, g = _sides(spark, EDGE_MS + 1000, EDGE_MS + 2000, "u1 ")
+    r = tumbling_join(w, g, 5).collect()[0]
+    assert r.userId == "u1" and r.deviceId == "d1" and r.sensorType == "TYPE_Join_WEATHER_GPS"
+    assert (r.temp, r.humd, r.CO2, r.CO, r.hour) == (31, 40, 300, 5, 14)
+    assert int(r.obsTs.timestamp() * 1000) == EDGE_MS + 1000
+    assert int(r.window_end.timestamp() * 1000) - int(r.window_start.timestamp() * 1000) == 5000
+
+
+def test_scalar_pair_keeps_gps_type_and_device_key(spark):
+    lines = [msg("TYPE_PROXIMITY", 5, EDGE_MS + 1000, device="d1 "), gps(EDGE_MS + 2000, device="d1"),
+             gps(EDGE_MS + 3000, device="d2")]
+    p = parse_feed(feed(spark, lines))
+    rows = tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), "10000 milliseconds").collect()
+    assert [(r.deviceId, r.sensorType, r.value) for r in rows] == [("d1", "TYPE_GPS", 5)]
+    assert int(rows[0].obsTs.timestamp() * 1000) == EDGE_MS + 2000
+
+
+def test_sliding_pairs_once_per_shared_window(spark):
+    w, g = _sides(spark, EDGE_MS + 2000, EDGE_MS + 2500)
+    assert sliding_join(w, g, 5).count() == 3  # starts -2, 0, 2
+
+
+def test_pre_1970_times(spark):
+    w, g = _sides(spark, -3000, -1000)
+    assert tumbling_join(w, g, 5).count() == 1
+    assert _starts(tumbling_join(w, g, 5)) == [-5000 - EDGE_MS]
+
+
+def test_dispatcher_and_sizes(spark):
+    w, g = _sides(spark, EDGE_MS + 1000, EDGE_MS + 2000)
+    assert window_join("Tumble", w, g, 5).count() == 1
+    assert window_join("Session", w, g, 5).count() == 1
+    with pytest.raises(ValueError):
+        window_join("Hopping", w, g, 5)
+    with pytest.raises(ValueError):
+        sliding_join(w, g, 1)  # slide = 1 // 2 = 0
+    with pytest.raises(ValueError):
+        tumbling_join(w, g, 0)
+    assert to_ms("10000 milliseconds") == 10_000 and to_ms(2) == 2000 and to_ms("1 day") == 86_400_000
+
+
+def test_session_chain_and_cross_product(spark):
+    # one session (steps <= gap) holding 2 sensor and 2 GPS rows -> 4 pairs;
+    # a later, separate session holds 1 x 1.
+    base = EDGE_MS
+    lines = [weather(base), gps(base + 4000), weather(base + 9000), gps(base + 14000),
+             weather(base + 30000), gps(base + 31000)]
+    p = parse_feed(feed(spark, lines))
+    j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), 5)
+    rows = j.select(F.unix_millis("window_start").alias("s"), F.unix_millis("window_end").alias("e")).collect()
+    spans = sorted((r.s - base, r.e - base) for r in rows)
+    assert spans == [(0, 19000)] * 4 + [(30000, 36000)]
