@@ -9,7 +9,7 @@ whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _INT_MIN, _INT_MAX = -2147483648, 2147483647
@@ -71,3 +71,16 @@ def variant_number(v) -> Column:
     v = _col(v)
     is_num = F.schema_of_variant(v).rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
     return F.when(is_num, v.cast("double"))
+
+
+def with_once(df: DataFrame, **named: Column) -> DataFrame:
+    """``df`` plus columns that are computed exactly once per row.
+
+    The optimizer pushes a filter below the projection that defines a column
+    by copying the column's expression into the filter; for a JSON parse
+    that means one parse per predicate.  Computing the columns inside a
+    one-row ``inline`` generator stops that: predicates on generator output
+    stay above it.
+    """
+    fields = [F.col(f"`{c}`") for c in df.columns] + [e.alias(n) for n, e in named.items()]
+    return df.select(F.inline(F.array(F.struct(*fields))))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.functions.coerce import (
-    as_long, json_float, json_int, member_names, variant_number,
+    as_long, json_float, json_int, member_names, variant_number, with_once,
 )
 
 GPS = "TYPE_GPS"
@@ -40,8 +40,9 @@ def parse_feed(feed: DataFrame, value_col: str = "value") -> DataFrame:
     objects are dropped here and listed by ``bad_records``.
     """
     extra = [c for c in feed.columns if c != value_col]
-    j = F.from_json(F.col(value_col), ENVELOPE)
-    d = feed.select(j.alias("_j"), F.col(value_col).alias("raw"), *extra)
+    d = with_once(feed.select(F.col(value_col).alias("raw"), *extra),
+                  _j=F.from_json(F.col("raw"), ENVELOPE))
+    d = d.select("_j", "raw", *extra)
     decoded = (F.col("_j.userAccount").isNotNull() | F.col("_j.deviceId").isNotNull()
                | F.col("_j.sensorType").isNotNull() | F.col("_j.sensorValue").isNotNull()
                | F.col("_j.observationTimestamp").isNotNull())
@@ -85,9 +86,8 @@ def gps_readings(parsed: DataFrame, by_device: bool = False) -> DataFrame:
     """
     keys = F.json_object_keys(F.col("sensorValue"))
     sv = F.from_json(F.col("sensorValue"), "attr_lat double, attr_lng double")
-    g = (parsed.where((F.col("sensorType") == GPS) & _ids_present())
-         .select("*", keys.alias("_keys"), sv.alias("_sv"))
-         .where(_has(F.col("_keys"), "attr_lat", "attr_lng")))
+    g = with_once(parsed.where((F.col("sensorType") == GPS) & _ids_present()),
+                  _keys=keys, _sv=sv).where(_has(F.col("_keys"), "attr_lat", "attr_lng"))
     head = [] if by_device else ["userId", "userEmail"]
     return g.select(*head, "deviceId", "sensorType",
                     json_float(F.col("_sv.attr_lat")).alias("lat"),
@@ -106,9 +106,8 @@ def weather_readings(parsed: DataFrame, sensor_type: str = WEATHER,
     """
     keys = F.json_object_keys(F.col("sensorValue"))
     sv = F.from_json(F.col("sensorValue"), ", ".join(f"{f} double" for f in WEATHER_FIELDS))
-    w = (parsed.where((F.col("sensorType") == sensor_type) & _ids_present())
-         .select("*", keys.alias("_keys"), sv.alias("_sv"))
-         .where(_has(F.col("_keys"), *WEATHER_FIELDS)))
+    w = with_once(parsed.where((F.col("sensorType") == sensor_type) & _ids_present()),
+                  _keys=keys, _sv=sv).where(_has(F.col("_keys"), *WEATHER_FIELDS))
     ingest_col = F.col(ingest) if ingest else F.current_timestamp()
     return w.select("userId", "userEmail", "deviceId", "sensorType",
                     *[json_int(F.col(f"_sv.{f}")).alias(f) for f in WEATHER_FIELDS],
@@ -125,10 +124,10 @@ def multi_readings(parsed: DataFrame, sensor_type: str = ACCELEROMETER) -> DataF
     """
     names = member_names(F.col("sensorValue"))
     vmap = F.from_json(F.col("sensorValue"), "map<string, variant>")
-    m = (parsed.where((F.col("sensorType") == sensor_type) & _ids_present())
-         .select("*", names.alias("_names"))
-         .where(F.size(F.col("_names")) >= 3)
-         .select("*", F.map_entries(vmap).alias("_entries")))
+    m = (with_once(parsed.where((F.col("sensorType") == sensor_type) & _ids_present()),
+                   _names=names)
+         .where(F.size(F.col("_names")) >= 3))
+    m = with_once(m, _entries=F.map_entries(vmap))
 
     def value_of(i: int) -> Column:
         name = F.col("_names")[i]

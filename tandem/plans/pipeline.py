@@ -81,22 +81,25 @@ def build_pipeline(feed: DataFrame, cfg: JobConfig, regions: DataFrame | None =
 
 def run_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | None = None,
                  regions: DataFrame | None = None, ingest: str | None = "timestamp",
-                 sink: Callable[[DataFrame, str, str], object] | None = None) -> list:
+                 sink: Callable[[DataFrame, str, str], object] | None = None,
+                 checkpoint_dir: str | None = None) -> list:
     """Start one streaming query per sensor; return the queries.
 
     ``source`` defaults to the Kafka topic (``value``, ``timestamp``);
     ``sink(messages, name, checkpoint)`` defaults to the Kafka output topic.
     ``ingest`` names the source column used as ingest time (the broker
-    timestamp by default; None = time of processing).
+    timestamp by default; None = time of processing).  Checkpoints go to
+    ``checkpoint_dir/<sensor>`` (default: ``<spark.checkpoint.dir>/<job>``),
+    a fixed place so that a restarted job resumes each query.
     """
     if source is None:
         source = read_kafka(spark, cfg.topic, cfg.bootstrap_servers, group_id=cfg.group_id,
                             starting_offsets=cfg.starting_offsets, extra=cfg.kafka_extra)
-    root = checkpoint_root(spark).rstrip("/")
+    root = (checkpoint_dir or f"{checkpoint_root(spark).rstrip('/')}/{cfg.job_name}").rstrip("/")
     queries = []
     for t, msgs in sensor_streams(parse_feed(source), cfg, regions, ingest):
         name = f"{cfg.job_name}-{t}"
-        ckpt = f"{root}/{cfg.job_name}/{t}"
+        ckpt = f"{root}/{t}"
         if sink is None:
             queries.append(write_kafka(msgs, cfg.des_topic, cfg.bootstrap_servers,
                                        checkpoint=ckpt, query_name=name))

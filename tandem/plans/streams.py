@@ -154,7 +154,7 @@ def q_stream_pipeline(spark, sf_dir):
         return run_available_now(msgs, f"{root}/{name}", ckpt)
 
     run_pipeline(spark, PIPELINE_CFG, source=src, regions=regions_from_nation(spark, sf_dir),
-                 sink=sink)
+                 sink=sink, checkpoint_dir=scratch_path(spark, "pipeline-ckpt"))
     return parse_messages(spark.read.parquet(f"{root}/*"))
 
 
