@@ -8,8 +8,8 @@ The boxes are indexed by an integer grid: each box is listed under every
 cell it touches and one row per cell holds that cell's boxes.  Points are
 left-equi-joined to their cell (no range or cross join), then the box test
 runs on the cell's short list.  The cell table is broadcast only after its
-row count is checked against ``broadcast_max_cells``; above that it is a
-shuffle join on the cell.
+size (box entries) is checked against ``broadcast_max_entries``; above
+that it is a shuffle join on the cell.
 """
 
 from __future__ import annotations
@@ -39,11 +39,16 @@ def region_cells(regions: DataFrame, cell_deg: float = 1.0) -> DataFrame:
 
 def region_lookup(df: DataFrame, regions: DataFrame, *, lat: str = "lat", lng: str = "lng",
                   out: str = "region", cell_deg: float = 1.0,
-                  broadcast_max_cells: int = 2_000_000) -> DataFrame:
-    """``df`` plus column ``out`` (string, never null)."""
+                  broadcast_max_entries: int = 1_000_000) -> DataFrame:
+    """``df`` plus column ``out`` (string, never null).
+
+    The index is broadcast only when its number of box entries (boxes x
+    cells they touch, about 60 bytes each) is at most
+    ``broadcast_max_entries``; it is measured on the region table (the
+    catalogue, not the data) before the plan is built."""
     cells = region_cells(regions, cell_deg)
-    n_cells = cells.count()  # the region catalogue, not the data: a small, fixed table
-    side = F.broadcast(cells) if n_cells <= broadcast_max_cells else cells
+    entries = cells.agg(F.sum(F.size("_boxes")).alias("n")).first()["n"] or 0
+    side = F.broadcast(cells) if entries <= broadcast_max_entries else cells
     y, x = F.col(lat).cast("double"), F.col(lng).cast("double")
     pts = df.select("*", F.floor(y / cell_deg).alias("_cy"), F.floor(x / cell_deg).alias("_cx"))
     j = pts.join(side, on=["_cy", "_cx"], how="left")

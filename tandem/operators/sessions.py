@@ -74,7 +74,8 @@ def _with_sid(rows: DataFrame, offsets: DataFrame, key: str = "_k") -> DataFrame
 
 
 def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
-                        bucket_ms: int | None = None, materialize: bool = True) -> DataFrame:
+                        bucket_ms: int | None = None, materialize: bool = True,
+                        salt: int = 1) -> DataFrame:
     """Pairs of sensor rows ``s`` and GPS rows ``g`` (both: _k, _et, carried
     columns) that share a session; adds window_start / window_end.
 
@@ -106,5 +107,6 @@ def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
         F.timestamp_micros(F.max("_t") + F.lit(gap_ms * 1000)).alias("window_end"))
     left = tagged.where(F.col("_s").isNotNull()).select("_k", "_sid", "_s.*")
     right = tagged.where(F.col("_g").isNotNull()).select("_k", "_sid", "_g.*")
-    pairs = left.join(right, on=["_k", "_sid"], how="inner")
+    from tandem.operators.windows import salted_equi_join
+    pairs = salted_equi_join(left, right, ["_k", "_sid"], salt)
     return pairs.join(bounds, on=["_k", "_sid"], how="inner")

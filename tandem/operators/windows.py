@@ -137,7 +137,21 @@ def project_pair(joined: DataFrame, kind: PairKind) -> DataFrame:
     return joined.select(*cols, *win)
 
 
-def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay):
+def salted_equi_join(left: DataFrame, right: DataFrame, keys: list, salt: int = 1) -> DataFrame:
+    """Inner equi-join on ``keys``; with ``salt`` > 1 each left row goes to
+    one of ``salt`` sub-groups (a hash of the row) and every right row is
+    copied to all of them, so one hot key group is spread over ``salt``
+    tasks / state partitions.  The output is the same pairs, once each."""
+    if salt <= 1:
+        return left.join(right, on=keys, how="inner")
+    lt = left.select("*", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]),
+                                 F.lit(salt)).alias("_salt"))
+    rt = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>"))
+                      .alias("_salt"))
+    return lt.join(rt, on=list(keys) + ["_salt"], how="inner").drop("_salt")
+
+
+def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt=1):
     kind = kind or pair_kind_of(sensor)
     sensor_time = sensor_time or _default_time(kind)
     s, g = _sides(sensor, gps, kind, sensor_time, delay)
@@ -145,23 +159,29 @@ def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay)
     slide = f"{slide_ms} milliseconds"
     s = s.select("*", F.window("_et", size, slide).alias("_w")).drop("_et")
     g = g.select("*", F.window("_et", size, slide).alias("_w")).drop("_et")
-    j = s.join(g, on=["_k", "_w"], how="inner")
+    j = salted_equi_join(s, g, ["_k", "_w"], salt)
     j = j.select("*", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"))
     return project_pair(j, kind)
 
 
 def tumbling_join(sensor: DataFrame, gps: DataFrame, size, *, kind: PairKind | None = None,
-                  sensor_time: str | None = None, delay: str = "0 seconds") -> DataFrame:
-    """Epoch-aligned tumbling windows of ``size`` (seconds, or duration text)."""
+                  sensor_time: str | None = None, delay: str = "0 seconds",
+                  salt: int = 1) -> DataFrame:
+    """Epoch-aligned tumbling windows of ``size`` (seconds, or duration text).
+
+    ``delay`` is the watermark delay of a stream (0: readings arrive in time
+    order per side); ``salt`` > 1 spreads each (key, window) group over that
+    many sub-groups (see ``salted_equi_join``) - useful in a stream, where
+    AQE cannot split a skewed join partition."""
     size_ms = to_ms(size)
     if size_ms < 1:
         raise ValueError("window size must be positive")
-    return _fixed_window_join(sensor, gps, size_ms, size_ms, kind, sensor_time, delay)
+    return _fixed_window_join(sensor, gps, size_ms, size_ms, kind, sensor_time, delay, salt)
 
 
 def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
                  kind: PairKind | None = None, sensor_time: str | None = None,
-                 delay: str = "0 seconds") -> DataFrame:
+                 delay: str = "0 seconds", salt: int = 1) -> DataFrame:
     """Sliding windows; ``slide`` defaults to size/2 in whole seconds
     (integer division of the size in seconds, so 5 s slides by 2 s)."""
     size_ms = to_ms(size)
@@ -175,12 +195,12 @@ def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
         raise ValueError("sliding windows need size >= 2 s (slide = size/2 >= 1 s)")
     if slide_ms > size_ms:
         raise ValueError("slide must not exceed size")
-    return _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay)
+    return _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt)
 
 
 def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | None = None,
                  sensor_time: str | None = None, delay: str = "0 seconds",
-                 bucket=None, materialize: bool = True) -> DataFrame:
+                 bucket=None, materialize: bool = True, salt: int = 1) -> DataFrame:
     """Session windows over both sides' readings of a key; a new session
     starts after a silence longer than ``gap``.  Window bounds are
     [first reading, last reading + gap)."""
@@ -197,7 +217,7 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
         j = stream_session_pairs(s, g, gap_ms)
     else:
         j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,
-                                materialize=materialize)
+                                materialize=materialize, salt=salt)
     return project_pair(j, kind)
 
 

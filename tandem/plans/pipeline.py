@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.operators.messages import multi_message, weather_message
+from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.operators.parse import gps_readings, multi_readings, parse_feed, weather_readings
 from tandem.operators.region import region_lookup
 from tandem.operators.windows import WINDOW_KINDS, to_ms, tumbling_join, window_join
@@ -38,6 +38,8 @@ class JobConfig:
     multi_window: str = "10000 milliseconds"  # fixed for multi-value sensors
     starting_offsets: str | None = "latest"
     kafka_extra: dict = field(default_factory=dict)
+    # when set, GPS readings with their region are also published there
+    gps_region_topic: str | None = None
 
     def validate(self) -> None:
         if self.window_type not in WINDOW_KINDS:
@@ -49,7 +51,8 @@ class JobConfig:
 
 def sensor_streams(parsed: DataFrame, cfg: JobConfig, regions: DataFrame | None = None,
                    ingest: str | None = None) -> list[tuple[str, DataFrame]]:
-    """(sensor type, message frame) for every configured sensor."""
+    """(name, message frame) for every configured sensor, plus
+    ('TYPE_GPS_withRegion', ...) when ``cfg.gps_region_topic`` is set."""
     cfg.validate()
     gps = gps_readings(parsed)
     if regions is not None:
@@ -64,13 +67,16 @@ def sensor_streams(parsed: DataFrame, cfg: JobConfig, regions: DataFrame | None
     for t in cfg.multi_sensors:
         pairs = tumbling_join(multi_readings(parsed, t), gps, cfg.multi_window)
         out.append((t, multi_message(pairs)))
+    if cfg.gps_region_topic:
+        out.append(("TYPE_GPS_withRegion", gps_region_message(gps)))
     return out
 
 
 def build_pipeline(feed: DataFrame, cfg: JobConfig, regions: DataFrame | None = None,
                    ingest: str | None = None) -> DataFrame:
     """All messages of a batch feed as one ``value`` frame."""
-    streams = [df for _, df in sensor_streams(parse_feed(feed), cfg, regions, ingest)]
+    streams = [df for name, df in sensor_streams(parse_feed(feed), cfg, regions, ingest)
+               if name != "TYPE_GPS_withRegion"]
     if not streams:
         raise ValueError("no sensors configured")
     out = streams[0]
@@ -101,7 +107,8 @@ def run_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | Non
         name = f"{cfg.job_name}-{t}"
         ckpt = f"{root}/{t}"
         if sink is None:
-            queries.append(write_kafka(msgs, cfg.des_topic, cfg.bootstrap_servers,
+            topic = cfg.gps_region_topic if t == "TYPE_GPS_withRegion" else cfg.des_topic
+            queries.append(write_kafka(msgs, topic, cfg.bootstrap_servers,
                                        checkpoint=ckpt, query_name=name))
         else:
             queries.append(sink(msgs, name, ckpt))

@@ -27,5 +27,5 @@ def test_boxes_half_open_smallest_then_name(spark):
 
 def test_one_row_out_per_row_in(spark):
     pts = [(i, 53.25, -9.05) for i in range(50)]
-    got = _lookup(spark, pts, broadcast_max_cells=0)  # force the shuffle-join path
+    got = _lookup(spark, pts, broadcast_max_entries=0)  # force the shuffle-join path
     assert len(got) == 50 and set(got.values()) == {"AlsoSmall"}

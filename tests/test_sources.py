@@ -34,3 +34,30 @@ def test_csv_round_trip_and_lines(spark, tmp_path):
     p = tmp_path / "feed.txt"
     p.write_text('{"a":1}\n{"b":2}\n')
     assert read_lines(spark, str(p)).count() == 2
+
+
+def test_pipeline_streams_per_sensor_and_gps_region(spark):
+    from pyspark.sql import functions as F
+
+    from tandem.plans.pipeline import sensor_streams
+    from tandem.operators.parse import parse_feed
+    from tests.helpers import EDGE_MS, feed, gps, msg, weather
+    lines = [weather(EDGE_MS + 1000), gps(EDGE_MS + 2000),
+             msg("TYPE_GRAVITY", {"gx": 1, "gy": 2, "gz": 3}, EDGE_MS + 3000)]
+    cfg = JobConfig(window_size=5, window_type="Sliding", single_sensors=("TYPE_WEATHER",),
+                    multi_sensors=("TYPE_GRAVITY",), gps_region_topic="android-sensor")
+    regions = spark.createDataFrame([("R", 53.0, 54.0, -10.0, -9.0)],
+                                    "region string, min_lat double, max_lat double, "
+                                    "min_lng double, max_lng double")
+    out = dict(sensor_streams(parse_feed(feed(spark, lines)), cfg, regions, "timestamp"))
+    assert list(out) == ["TYPE_WEATHER", "TYPE_GRAVITY", "TYPE_GPS_withRegion"]
+    assert out["TYPE_WEATHER"].count() == 2  # sliding 5/2: two shared windows
+    assert out["TYPE_GRAVITY"].count() == 1
+    reg = out["TYPE_GPS_withRegion"].select(F.get_json_object("value", "$.sensorValue.regoin")).first()[0]
+    assert reg == "R"
+
+
+def test_console_sink_batch(spark, capsys):
+    from tandem.sources.sinks import write_console
+    write_console(spark.createDataFrame([(1,)], "a int"))
+    assert "a" in capsys.readouterr().out

@@ -61,3 +61,8 @@ def test_late_row_dropped(spark):
     starts = [r.s for r in spark.read.parquet(out).select(
         F.unix_millis("window_start").alias("s")).collect()]
     assert starts == [EDGE_MS + 100_000]
+
+
+def test_stream_salted_equals_batch(spark):
+    b, s = _both(spark, lambda w, g, n: tumbling_join(w, g, n, salt=3), 10)
+    assert b == s and len(b) > 0

@@ -90,3 +90,15 @@ def test_session_chain_and_cross_product(spark):
     rows = j.select(F.unix_millis("window_start").alias("s"), F.unix_millis("window_end").alias("e")).collect()
     spans = sorted((r.s - base, r.e - base) for r in rows)
     assert spans == [(0, 19000)] * 4 + [(30000, 36000)]
+
+
+def test_salted_join_gives_same_pairs(spark):
+    base = EDGE_MS
+    lines = [weather(base + i * 700, user="hot") for i in range(12)] + \
+            [gps(base + i * 900, user="hot") for i in range(9)] + [weather(base, user="u2"), gps(base, user="u2")]
+    p = parse_feed(feed(spark, lines))
+    w, g = weather_readings(p, ingest="timestamp"), gps_readings(p)
+    for join, size in ((tumbling_join, 5), (sliding_join, 6), (session_join, 1)):
+        plain = sorted(tuple(r) for r in join(w, g, size).collect())
+        salted = sorted(tuple(r) for r in join(w, g, size, salt=4).collect())
+        assert plain == salted and len(plain) > 0
