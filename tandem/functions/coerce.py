@@ -80,7 +80,8 @@ def with_once(df: DataFrame, **named: Column) -> DataFrame:
     by copying the column's expression into the filter; for a JSON parse
     that means one parse per predicate.  Computing the columns inside a
     one-row ``inline`` generator stops that: predicates on generator output
-    stay above it.
+    stay above it.  The input columns pass by the generator untouched, so
+    the ones nobody reads later are still pruned.
     """
-    fields = [F.col(f"`{c}`") for c in df.columns] + [e.alias(n) for n, e in named.items()]
-    return df.select(F.inline(F.array(F.struct(*fields))))
+    fields = [e.alias(n) for n, e in named.items()]
+    return df.select("*", F.inline(F.array(F.struct(*fields))))

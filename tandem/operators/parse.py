@@ -42,7 +42,6 @@ def parse_feed(feed: DataFrame, value_col: str = "value") -> DataFrame:
     extra = [c for c in feed.columns if c != value_col]
     d = with_once(feed.select(F.col(value_col).alias("raw"), *extra),
                   _j=F.from_json(F.col("raw"), ENVELOPE))
-    d = d.select("_j", "raw", *extra)
     decoded = (F.col("_j.userAccount").isNotNull() | F.col("_j.deviceId").isNotNull()
                | F.col("_j.sensorType").isNotNull() | F.col("_j.sensorValue").isNotNull()
                | F.col("_j.observationTimestamp").isNotNull())
