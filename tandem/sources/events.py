@@ -41,11 +41,22 @@ def _dbl_text(numerator: Column, denominator: int) -> Column:
     return (numerator.cast("double") / F.lit(float(denominator))).cast("string")
 
 
-def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a source that has fewer splits than the cluster has cores
+    (e.g. one small file), so that decoding runs on every core.  A large
+    input already has many more splits and is left as it is - no shuffle."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def events_feed(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
     """``value string`` (one JSON message) + ``timestamp`` (the reading's time,
     standing in for a broker's ingest time), one row per event."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread_small_input(spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props"), min_partitions)
     stype = F.col("event_type")
     mapping = None
     for ev_name, t in TYPE_BY_EVENT.items():

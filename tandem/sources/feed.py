@@ -13,33 +13,38 @@ from pyspark.sql import functions as F
 
 def kafka_source_options(topic: str, bootstrap_servers: str, group_id: str | None = None,
                          starting_offsets: str | None = "latest",
-                         extra: dict | None = None) -> dict:
+                         extra: dict | None = None, min_partitions: int | None = None) -> dict:
     """Option map for the Kafka source.
 
     ``starting_offsets="latest"`` starts at the end of the topic.  With
     ``None`` no start is set; Spark then resumes from the offsets kept in the
     query checkpoint (its equivalent of a consumer group's committed offset).
     Any other consumer property can be passed in ``extra`` (``kafka.`` prefix
-    is added when missing).
+    is added when missing).  ``min_partitions`` splits the offset ranges of
+    a topic with few partitions over more tasks (Spark's ``minPartitions``).
     """
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic}
     if group_id:
         opts["kafka.group.id"] = group_id
     if starting_offsets is not None:
         opts["startingOffsets"] = starting_offsets
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     for k, v in (extra or {}).items():
-        opts[k if k.startswith("kafka.") or k in ("failOnDataLoss", "maxOffsetsPerTrigger")
+        opts[k if k.startswith("kafka.") or k in ("failOnDataLoss", "maxOffsetsPerTrigger",
+                                                  "minPartitions", "includeHeaders")
              else f"kafka.{k}"] = str(v)
     return opts
 
 
 def read_kafka(spark: SparkSession, topic: str, bootstrap_servers: str, *,
                group_id: str | None = None, starting_offsets: str | None = "latest",
-               streaming: bool = True, extra: dict | None = None) -> DataFrame:
+               streaming: bool = True, extra: dict | None = None,
+               min_partitions: int | None = None) -> DataFrame:
     """Kafka topic as ``value string, timestamp timestamp`` (needs the
     spark-sql-kafka package on the classpath)."""
     opts = kafka_source_options(topic, bootstrap_servers, group_id,
-                                starting_offsets if streaming else None, extra)
+                                starting_offsets if streaming else None, extra, min_partitions)
     reader = spark.readStream if streaming else spark.read
     raw = reader.format("kafka").options(**opts).load()
     return raw.select(F.col("value").cast("string").alias("value"), F.col("timestamp"))
