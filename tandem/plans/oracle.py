@@ -87,14 +87,16 @@ def _with(body: str) -> str:
     return f"WITH {_BASE}\n{body}"
 
 
-def tumbling_weather(size_ms: int, gps_table: str = "gps", extra: str = "") -> str:
+def tumbling_weather(size_ms: int, gps_table: str = "gps", extra: str = "",
+                     where: str = "") -> str:
     return f"""
 SELECT {WEATHER_PAIR_COLS}{extra},
        CAST(w.ingest_ms // {size_ms} * {size_ms} AS BIGINT) AS window_start_ms,
        CAST(w.ingest_ms // {size_ms} * {size_ms} + {size_ms} AS BIGINT) AS window_end_ms
 FROM weather w JOIN {gps_table} g
   ON {TRIM.format(c='w.userId')} = g.userId
- AND w.ingest_ms // {size_ms} = g.obs_ms // {size_ms}"""
+ AND w.ingest_ms // {size_ms} = g.obs_ms // {size_ms}
+{where}"""
 
 
 def sliding_weather(size_ms: int, slide_ms: int) -> str:
@@ -231,3 +233,10 @@ SELECT 'TYPE_Join_' || substr(m.sensorType, 6) || '_' || substr(g.sensorType, 6)
        g.region AS regoin, g.obs_ms
 FROM multi m JOIN gps_region g
   ON m.userId = g.userId AND m.obs_ms // {DAY_MS} = g.obs_ms // {DAY_MS}""")
+
+# Late rows: the later half (from the midpoint of the time range) is
+# replayed first; the earlier half then arrives behind the watermark and is
+# dropped, so only pairs whose readings are both in the later half remain.
+ORACLE_SQL["stream_late_rows"] = _with(tumbling_weather(
+    DAY_MS, where="WHERE w.ingest_ms >= (SELECT (min(obs_ms) + max(obs_ms)) // 2 FROM ev)\n"
+                  "  AND g.obs_ms >= (SELECT (min(obs_ms) + max(obs_ms)) // 2 FROM ev)"))

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE = {"stream_late_rows"}
+NO_ORACLE = set()
 
 
 def test_entry_runs(spark):
