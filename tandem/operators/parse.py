@@ -51,11 +51,18 @@ def parse_feed(feed: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("_j.deviceId").alias("deviceId"),
         F.col("_j.sensorType").alias("sensorType"),
         F.col("_j.sensorValue").alias("sensorValue"),
-        as_long(F.col("_j.observationTimestamp")).alias("obsMs"),
+        _obs_ms(F.col("_j.observationTimestamp"), F.col("raw")).alias("obsMs"),
         "raw", *extra,
     )
 
 
+def _obs_ms(text, raw):
+    """Epoch ms: a present JSON null reads as 0, only a missing member gives
+    null (the key scan runs only for the rare null rows)."""
+    present = F.array_contains(F.json_object_keys(raw), "observationTimestamp")
+    return F.when(text.isNotNull(), as_long(text)).when(present, F.lit(0).cast("bigint"))
+
+
 def bad_records(feed: DataFrame, value_col: str = "value") -> DataFrame:
     """Messages that are not a JSON object (broken text, arrays, scalars)."""
     return feed.where(F.json_object_keys(F.col(value_col)).isNull())

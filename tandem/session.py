@@ -52,8 +52,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="tandem-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # no SparkContext in a Connect client; the conf is enough
+        pass
     return path
 
 

@@ -45,11 +45,12 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     """Round-robin a source that has fewer splits than the cluster has cores
     (e.g. one small file), so that decoding runs on every core.  A large
     input already has many more splits and is left as it is - no shuffle."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session has no RDD view
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def events_feed(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
