@@ -28,10 +28,6 @@ DAY = 86_400
 QUARTER_DAY = 21_600
 
 
-def _ms(c: str):
-    return F.unix_millis(F.col(c)).alias(f"{c[:-2] if c.endswith('Ts') else c}_ms")
-
-
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_feed(events_feed(spark, sf_dir))
 

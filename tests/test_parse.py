@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tandem.operators.parse import (
     bad_records, gps_readings, multi_readings, parse_feed, scalar_readings, weather_readings,
 )
-from tests.helpers import EDGE_MS, feed, gps, msg, weather
+from tests.helpers import EDGE_MS, feed, msg, weather
 
 GOLDEN = [
     '{"userAccount":{"userId":"u1","userEmail":"u1@example.org"},"deviceId":"d1","sensorType":"TYPE_GPS","sensorValue":{"attr_lat":53.290075,"attr_lng":-9.0743801},"observationTimestamp":1700000001000}',

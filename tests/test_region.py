@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tandem.operators.region import region_lookup
 
 REGIONS = [
