@@ -56,6 +56,27 @@ def parse_feed(feed: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def stage_parsed(parsed: DataFrame, path: str | None = None) -> DataFrame:
+    """Write decoded messages once as parquet partitioned by ``sensorType``
+    (under ``spark.checkpoint.dir`` unless ``path`` is given) and read them
+    back.  Batch only.  Every reader of the result then scans only its own
+    sensor type's partition and only the columns it needs, instead of
+    re-reading and re-decoding the whole feed once per sensor and once for
+    GPS; the lineage is cut there too.
+    """
+    from tandem.session import scratch_path
+
+    spark = parsed.sparkSession
+    path = path or scratch_path(spark, "parsed-feed")
+    # the raw message is needed only to read a scalar value's JSON kind; an
+    # object value (decoded text always starts with '{') never needs it
+    slim = parsed.withColumn("raw", F.when(F.col("sensorValue").startswith("{"), F.lit(None))
+                             .otherwise(F.col("raw")))
+    slim.write.partitionBy("sensorType").parquet(path)
+    back = spark.read.parquet(path)
+    return back.select(*parsed.columns)
+
+
 def _obs_ms(text, raw):
     """Epoch ms: a present JSON null reads as 0, only a missing member gives
     null (the key scan runs only for the rare null rows)."""
@@ -154,6 +175,7 @@ def scalar_readings(parsed: DataFrame, sensor_type: str = PROXIMITY) -> DataFram
     """
     num = F.from_json(F.col("raw"), "sensorValue double")["sensorValue"]
     # a JSON null value is present (reads as 0); only a missing member drops
-    present = F.array_contains(F.json_object_keys(F.col("raw")), "sensorValue")
+    present = (F.col("sensorValue").isNotNull()
+               | F.array_contains(F.json_object_keys(F.col("raw")), "sensorValue"))
     s = parsed.where((F.col("sensorType") == sensor_type) & _ids_present() & present)
     return s.select("deviceId", "sensorType", json_int(num).alias("value"), _obs_ts())

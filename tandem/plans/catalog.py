@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tandem.functions.alerts import fire_alert
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.operators.parse import (
-    bad_records, gps_readings, multi_readings, parse_feed, scalar_readings, weather_readings,
+    bad_records, gps_readings, multi_readings, parse_feed, scalar_readings, stage_parsed,
+    weather_readings,
 )
 from tandem.operators.region import region_lookup
 from tandem.operators.windows import session_join, sliding_join, tumbling_join, window_join
@@ -32,8 +33,14 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_feed(events_feed(spark, sf_dir))
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded feed written once (partitioned by sensor type) for queries
+    that read more than one kind of reading from it."""
+    return stage_parsed(_parsed(spark, sf_dir))
+
+
 def _readings(spark, sf_dir):
-    p = _parsed(spark, sf_dir)
+    p = _staged(spark, sf_dir)
     return (p, gps_readings(p), weather_readings(p, ingest="timestamp"),
             multi_readings(p), scalar_readings(p))
 
@@ -113,7 +120,7 @@ def q_tumbling_join_multi(spark, sf_dir):
 
 
 def q_tumbling_join_scalar(spark, sf_dir):
-    p = _parsed(spark, sf_dir)
+    p = _staged(spark, sf_dir)
     return out_scalar_pairs(tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), DAY))
 
 

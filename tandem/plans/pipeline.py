@@ -15,7 +15,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
-from tandem.operators.parse import gps_readings, multi_readings, parse_feed, weather_readings
+from tandem.operators.parse import (
+    gps_readings, multi_readings, parse_feed, stage_parsed, weather_readings,
+)
 from tandem.operators.region import region_lookup
 from tandem.operators.windows import WINDOW_KINDS, to_ms, tumbling_join, window_join
 from tandem.session import checkpoint_root
@@ -73,9 +75,16 @@ def sensor_streams(parsed: DataFrame, cfg: JobConfig, regions: DataFrame | None
 
 
 def build_pipeline(feed: DataFrame, cfg: JobConfig, regions: DataFrame | None = None,
-                   ingest: str | None = None) -> DataFrame:
-    """All messages of a batch feed as one ``value`` frame."""
-    streams = [df for name, df in sensor_streams(parse_feed(feed), cfg, regions, ingest)
+                   ingest: str | None = None, stage: bool = True) -> DataFrame:
+    """All messages of a batch feed as one ``value`` frame.
+
+    With ``stage`` the feed is decoded once and written partitioned by
+    sensor type (``stage_parsed``); GPS and every sensor then read their own
+    partition instead of decoding the whole feed again."""
+    parsed = parse_feed(feed)
+    if stage and not parsed.isStreaming:
+        parsed = stage_parsed(parsed)
+    streams = [df for name, df in sensor_streams(parsed, cfg, regions, ingest)
                if name != "TYPE_GPS_withRegion"]
     if not streams:
         raise ValueError("no sensors configured")

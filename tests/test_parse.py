@@ -123,3 +123,18 @@ def test_weather_ingest_default_is_now(spark):
     p = _p(spark, [weather(EDGE_MS)])
     r = weather_readings(p).collect()[0]
     assert r.ingestTs.year >= 2024 and r.ingestTs != r.obsTs
+
+
+def test_staged_parse_gives_same_readings(spark):
+    from tandem.operators.parse import stage_parsed
+    lines = GOLDEN + [msg("TYPE_PROXIMITY", "5", EDGE_MS, user="text"),
+                      msg("TYPE_PROXIMITY", None, EDGE_MS, user="null", raw_value="null"),
+                      msg("TYPE_PROXIMITY", None, EDGE_MS, user="obj", raw_value='{"a":1}')]
+    p = _p(spark, lines)
+    s = stage_parsed(p)
+    for reader in (gps_readings, scalar_readings, multi_readings):
+        assert sorted(map(tuple, reader(p).collect())) == sorted(map(tuple, reader(s).collect()))
+    a = weather_readings(p, ingest="timestamp").collect()
+    b = weather_readings(s, ingest="timestamp").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    assert sorted(r.value for r in scalar_readings(s).collect()) == [0, 0, 0, 5]
