@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tandem.operators.parse import gps_readings, parse_feed, scalar_readings, weather_readings
 from tandem.operators.windows import session_join, sliding_join, tumbling_join
 from tandem.plans.catalog import DAY, QUARTER_DAY, out_scalar_pairs, out_weather_pairs
-from tandem.sources.events import events_feed
+from tandem.plans.pipeline import JobConfig, build_pipeline, run_pipeline
+from tandem.sources.events import events_feed, regions_from_nation
 from tandem.sources.sinks import write_csv
 from tandem.session import scratch_path
 from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
@@ -99,30 +100,8 @@ def q_write_csv(spark, sf_dir):
     return spark.read.schema(pairs.schema).option("sep", "|").csv(path)
 
 
-STREAM_QUERIES = {
-    "stream_tumbling_join": q_stream_tumbling_join,
-    "stream_tumbling_join_scalar": q_stream_tumbling_join_scalar,
-    "stream_sliding_join": q_stream_sliding_join,
-    "stream_session_join": q_stream_session_join,
-    "stream_late_rows": q_stream_late_rows,
-    "write_csv": q_write_csv,
-}
-
-# Streams check against the same SQL as the batch joins they replay.
-STREAM_ORACLE_OF = {
-    "stream_tumbling_join": "tumbling_join_weather",
-    "stream_tumbling_join_scalar": "tumbling_join_scalar",
-    "stream_sliding_join": "sliding_join_weather",
-    "stream_session_join": "session_join_weather",
-    "write_csv": "tumbling_join_scalar",
-}
-
-
 # --- whole job -------------------------------------------------------------
 
-from tandem.plans.pipeline import JobConfig, build_pipeline, run_pipeline  # noqa: E402
-from tandem.sources.events import regions_from_nation  # noqa: E402
-
 PIPELINE_CFG = JobConfig(window_size=DAY, window_type="Tumble", job_name="AdaptiveJoin",
                          single_sensors=("TYPE_WEATHER",), multi_sensors=("TYPE_ACCELEROMETER",),
                          multi_window=f"{DAY} seconds")
@@ -160,6 +139,23 @@ def q_stream_pipeline(spark, sf_dir):
     return parse_messages(spark.read.parquet(f"{root}/*"))
 
 
-STREAM_QUERIES["pipeline_messages"] = q_pipeline_messages
-STREAM_QUERIES["stream_pipeline"] = q_stream_pipeline
-STREAM_ORACLE_OF["stream_pipeline"] = "pipeline_messages"
+STREAM_QUERIES = {
+    "stream_tumbling_join": q_stream_tumbling_join,
+    "stream_tumbling_join_scalar": q_stream_tumbling_join_scalar,
+    "stream_sliding_join": q_stream_sliding_join,
+    "stream_session_join": q_stream_session_join,
+    "stream_late_rows": q_stream_late_rows,
+    "write_csv": q_write_csv,
+    "pipeline_messages": q_pipeline_messages,
+    "stream_pipeline": q_stream_pipeline,
+}
+
+# Streams check against the same SQL as the batch queries they replay.
+STREAM_ORACLE_OF = {
+    "stream_tumbling_join": "tumbling_join_weather",
+    "stream_tumbling_join_scalar": "tumbling_join_scalar",
+    "stream_sliding_join": "sliding_join_weather",
+    "stream_session_join": "session_join_weather",
+    "write_csv": "tumbling_join_scalar",
+    "stream_pipeline": "pipeline_messages",
+}
