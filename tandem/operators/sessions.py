@@ -5,9 +5,12 @@ no silence longer than the gap.  Partitioning the whole key into one window
 partition would put a hot key (say a third of all rows) into one task, so
 the work is split by time:
 
-1. Each row gets a coarse time bucket.  Sessions are numbered locally inside
-   every (key, bucket) with ``lag`` + running sum: a hot key is spread over
-   all its buckets.
+1. Each row gets a time bucket.  Sessions are numbered locally inside every
+   (key, bucket) with ``lag`` + running sum: a hot key is spread over all
+   its buckets.  The bucket length is chosen from the data: one aggregate
+   per key (rows, first and last time) sizes it so that the hottest key
+   falls into about rows / ``target_rows`` buckets.  Any length is exact -
+   a session may run through many buckets.
 2. A small summary - one row per non-empty (key, bucket): first time, last
    time, number of local sessions - decides whether a bucket's first session
    continues the previous bucket's last one, and gives each bucket the
@@ -25,15 +28,31 @@ from pyspark.sql import functions as F
 
 from tandem.session import scratch_path
 
-DEFAULT_MIN_BUCKET_MS = 3_600_000
+DEFAULT_TARGET_ROWS = 2_000_000
+
+
+def choose_bucket_us(tagged: DataFrame, *, key: str = "_k", time_us: str = "_t",
+                     target_rows: int = DEFAULT_TARGET_ROWS) -> int:
+    """Bucket length (micros) that cuts the key with the most rows into
+    pieces of about ``target_rows`` rows (assuming its rows spread over its
+    time span).  One partial aggregate over two columns."""
+    per_key = tagged.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
+                                      (F.max(time_us) - F.min(time_us) + 1).alias("span"))
+    top = per_key.orderBy(F.col("n").desc()).select("n", "span").first()
+    if top is None:
+        return 1
+    n, span = int(top["n"]), int(top["span"])
+    return max(1, span * target_rows // max(n, 1)) if n > target_rows else max(1, span)
 
 
 def local_sessions(tagged: DataFrame, gap_ms: int, *, key: str = "_k", time_us: str = "_t",
-                   bucket_ms: int | None = None) -> DataFrame:
+                   bucket_ms: int | None = None,
+                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add ``_b`` (time bucket) and ``_ls`` (session number inside the
     (key, bucket), from 1) - one shuffle on (key, bucket)."""
     gap_us = gap_ms * 1000
-    bucket_us = (bucket_ms or max(DEFAULT_MIN_BUCKET_MS, 16 * gap_ms)) * 1000
+    bucket_us = (bucket_ms * 1000 if bucket_ms else
+                 choose_bucket_us(tagged, key=key, time_us=time_us, target_rows=target_rows))
     t = F.col(time_us)
     rows = tagged.withColumn("_b", F.floor(t / F.lit(bucket_us)))
     local = Window.partitionBy(key, "_b").orderBy(time_us)
@@ -61,9 +80,11 @@ def bucket_offsets(rows: DataFrame, gap_ms: int, *, key: str = "_k",
 
 
 def assign_sessions(tagged: DataFrame, gap_ms: int, *, key: str = "_k", time_us: str = "_t",
-                    bucket_ms: int | None = None) -> DataFrame:
+                    bucket_ms: int | None = None,
+                    target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add ``_sid`` (session number within the key, from 1) to every row."""
-    rows = local_sessions(tagged, gap_ms, key=key, time_us=time_us, bucket_ms=bucket_ms)
+    rows = local_sessions(tagged, gap_ms, key=key, time_us=time_us, bucket_ms=bucket_ms,
+                          target_rows=target_rows)
     return _with_sid(rows, bucket_offsets(rows, gap_ms, key=key, time_us=time_us), key)
 
 
@@ -75,7 +96,7 @@ def _with_sid(rows: DataFrame, offsets: DataFrame, key: str = "_k") -> DataFrame
 
 def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
                         bucket_ms: int | None = None, materialize: bool = True,
-                        salt: int = 1) -> DataFrame:
+                        salt: int = 1, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Pairs of sensor rows ``s`` and GPS rows ``g`` (both: _k, _et, carried
     columns) that share a session; adds window_start / window_end.
 
@@ -94,7 +115,8 @@ def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
                    F.lit(None).cast(g_type).alias("_g"))
     g_t = g.select("_k", F.unix_micros("_et").alias("_t"), F.lit(None).cast(s_type).alias("_s"),
                    F.struct(*g_cols).alias("_g"))
-    rows = local_sessions(s_t.unionByName(g_t), gap_ms, bucket_ms=bucket_ms)
+    rows = local_sessions(s_t.unionByName(g_t), gap_ms, bucket_ms=bucket_ms,
+                          target_rows=target_rows)
     if materialize:
         spark = rows.sparkSession
         path = scratch_path(spark, "session-rows")

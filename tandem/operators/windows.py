@@ -200,10 +200,18 @@ def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
 
 def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | None = None,
                  sensor_time: str | None = None, delay: str = "0 seconds",
-                 bucket=None, materialize: bool = True, salt: int = 1) -> DataFrame:
+                 bucket=None, materialize: bool = True, salt: int = 1,
+                 target_rows: int | None = None) -> DataFrame:
     """Session windows over both sides' readings of a key; a new session
     starts after a silence longer than ``gap``.  Window bounds are
-    [first reading, last reading + gap)."""
+    [first reading, last reading + gap).
+
+    Batch (see ``tandem.operators.sessions``): ``bucket`` fixes the time
+    bucket of the local numbering (default: sized from the data so the
+    hottest key splits into pieces of about ``target_rows``);
+    ``materialize`` writes the numbered rows once under the checkpoint
+    folder; ``salt`` spreads a hot session in the final pair join.
+    Stream: ``session_window`` state per key and session."""
     from tandem.operators.sessions import batch_session_pairs
     from tandem.streaming.sessions import stream_session_pairs
 
@@ -216,8 +224,9 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     if s.isStreaming or g.isStreaming:
         j = stream_session_pairs(s, g, gap_ms)
     else:
+        extra = {"target_rows": target_rows} if target_rows else {}
         j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,
-                                materialize=materialize, salt=salt)
+                                materialize=materialize, salt=salt, **extra)
     return project_pair(j, kind)
 
 

@@ -43,3 +43,33 @@ def test_sessions_numbered_densely(spark):
     got = sorted((r._t // 1_000_000, r._sid) for r in assign_sessions(df, 2000, bucket_ms=3000).collect())
     assert got == [(0, 1), (1, 1), (2, 1), (10, 2), (11, 2), (30, 3)]
     assert assign_sessions(df, 2000).select(F.max("_sid")).first()[0] == 3
+
+
+def test_adaptive_bucket_splits_hot_key(spark):
+    from tandem.operators.sessions import choose_bucket_us
+    rnd = random.Random(3)
+    rows = [("hot", rnd.randrange(0, 1_000_000) * 1000) for _ in range(900)]
+    rows += [("cold", rnd.randrange(0, 1_000_000) * 1000) for _ in range(30)]
+    df = spark.createDataFrame(rows, "_k string, _t long")
+    hot = [t for k, t in rows if k == "hot"]
+    span = max(hot) - min(hot) + 1
+    b = choose_bucket_us(df, target_rows=100)
+    assert b == span * 100 // 900  # the hot key falls into about 9 buckets
+    assert choose_bucket_us(df, target_rows=10_000) == span
+    for gap_ms in (500, 5_000, 50_000):
+        got = {(r._k, r._t): r._sid for r in assign_sessions(df, gap_ms, target_rows=100).collect()}
+        assert got == brute(rows, gap_ms), gap_ms
+
+
+def test_session_join_with_small_target_matches_default(spark):
+    from tandem.operators.parse import gps_readings, parse_feed, weather_readings
+    from tandem.operators.windows import session_join
+    from tests.helpers import EDGE_MS, feed, gps, weather
+    rnd = random.Random(9)
+    lines = [weather(EDGE_MS + rnd.randrange(0, 600) * 1000, user="hot") for _ in range(60)]
+    lines += [gps(EDGE_MS + rnd.randrange(0, 600) * 1000, user="hot") for _ in range(40)]
+    p = parse_feed(feed(spark, lines))
+    w, g = weather_readings(p, ingest="timestamp"), gps_readings(p)
+    a = sorted(map(tuple, session_join(w, g, 7).collect()))
+    b = sorted(map(tuple, session_join(w, g, 7, target_rows=4).collect()))
+    assert a == b and len(a) > 0
