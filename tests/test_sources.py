@@ -61,3 +61,21 @@ def test_console_sink_batch(spark, capsys):
     from tandem.sources.sinks import write_console
     write_console(spark.createDataFrame([(1,)], "a int"))
     assert "a" in capsys.readouterr().out
+
+
+def test_streaming_text_source_and_csv_sink(spark):
+    from pyspark.sql import functions as F
+
+    from tandem.operators.parse import gps_readings, parse_feed
+    from tests.helpers import EDGE_MS, gps
+    folder = scratch_path(spark, "lines")
+    spark.createDataFrame([(gps(EDGE_MS + i, user=f"u{i}"),) for i in range(5)], "value string") \
+        .write.text(folder)
+    src = read_lines(spark, folder, streaming=True, max_files_per_trigger=1)
+    assert src.isStreaming
+    g = gps_readings(parse_feed(src)).select("userId", F.unix_millis("obsTs").alias("ms"))
+    out, ckpt = scratch_path(spark, "csv-out"), scratch_path(spark, "csv-ckpt")
+    q = write_csv(g, out, checkpoint=ckpt, trigger={"availableNow": True})
+    q.awaitTermination(300)
+    back = spark.read.schema("userId string, ms long").option("sep", "|").csv(out)
+    assert sorted((r.userId, r.ms) for r in back.collect()) == [(f"u{i}", EDGE_MS + i) for i in range(5)]
