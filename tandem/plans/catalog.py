@@ -173,7 +173,7 @@ WEATHER_MSG_SCHEMA = (
 def q_weather_message(spark, sf_dir):
     _, g, w, _, _ = _readings(spark, sf_dir)
     g = region_lookup(g, regions_from_nation(spark, sf_dir))
-    msgs = weather_message(tumbling_join(w, g, DAY), job_name="AdaptiveJoin",
+    msgs = weather_message(tumbling_join(w, g, DAY), job_name="SensorJoin",
                            window_type="Tumble", window_size=DAY)
     m = msgs.select(F.from_json("value", WEATHER_MSG_SCHEMA).alias("m"))
     return m.select("m.WindowConfig.*", "m.userAccount.*", "m.deviceId", "m.sensorType",

@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for the registered queries.
+"""Oracle SQL (DuckDB dialect) for the registered queries.
 
 The readings are derived straight from ``events`` with the same integer
 rules as ``tandem.sources.events`` - no JSON detour - so these statements
@@ -199,7 +199,7 @@ FROM scalar s JOIN gps g
     "fire_alert_strict": _alerts(True),
     "region_lookup": _with("SELECT userId, deviceId, obs_ms, lat, lng, region FROM gps_region"),
     "weather_message": _with(f"""
-SELECT 'AdaptiveJoin' AS JobName, 'Tumble' AS WindowType, '{DAY_MS // 1000}' AS WindowSize,
+SELECT 'SensorJoin' AS JobName, 'Tumble' AS WindowType, '{DAY_MS // 1000}' AS WindowSize,
        p.userId, p.userEmail, p.deviceId, p.sensorType, p.lat AS attr_lat, p.lng AS attr_lng,
        p.hour AS Hour, p.temp AS Temperature, p.humd AS Humidity, p.CO2, p.CO,
        p.region AS regoin, {_fire_alert_case(False)} AS FireAlert,
@@ -223,7 +223,7 @@ SELECT 'Tumble' AS kind, * FROM ({tumbling_weather(QUARTER_DAY_MS)})
 UNION ALL SELECT 'Sliding' AS kind, * FROM ({sliding_weather(QUARTER_DAY_MS, HALF_QUARTER_MS)})
 UNION ALL SELECT 'Session' AS kind, * FROM ({SESSION_SELECT})"""
 
-ORACLE_SQL["pipeline_messages"] = _with(f"""
+ORACLE_SQL["job_messages"] = _with(f"""
 SELECT p.sensorType, p.userId, p.userEmail, p.deviceId, p.lat AS attr_lat, p.lng AS attr_lng,
        p.region AS regoin, p.obs_ms
 FROM ({tumbling_weather(DAY_MS, 'gps_region', ', g.region')}) p

@@ -34,7 +34,7 @@ class JobConfig:
     des_topic: str = "joinedstreams"
     window_size: int = 2                      # seconds
     window_type: str = "Tumble"               # Tumble | Sliding | Session
-    job_name: str = "AdaptiveJoin"
+    job_name: str = "SensorJoin"
     single_sensors: tuple = ("TYPE_WEATHER",)
     multi_sensors: tuple = ()                 # e.g. ("TYPE_ACCELEROMETER", "TYPE_GRAVITY")
     multi_window: str = "10000 milliseconds"  # fixed for multi-value sensors

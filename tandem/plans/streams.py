@@ -102,7 +102,7 @@ def q_write_csv(spark, sf_dir):
 
 # --- whole job -------------------------------------------------------------
 
-PIPELINE_CFG = JobConfig(window_size=DAY, window_type="Tumble", job_name="AdaptiveJoin",
+JOB_CFG = JobConfig(window_size=DAY, window_type="Tumble", job_name="SensorJoin",
                          single_sensors=("TYPE_WEATHER",), multi_sensors=("TYPE_ACCELEROMETER",),
                          multi_window=f"{DAY} seconds")
 
@@ -121,21 +121,21 @@ def parse_messages(msgs: DataFrame) -> DataFrame:
                     .alias("obs_ms"))
 
 
-def q_pipeline_messages(spark, sf_dir):
-    msgs = build_pipeline(events_feed(spark, sf_dir), PIPELINE_CFG,
+def q_job_messages(spark, sf_dir):
+    msgs = build_pipeline(events_feed(spark, sf_dir), JOB_CFG,
                           regions=regions_from_nation(spark, sf_dir), ingest="timestamp")
     return parse_messages(msgs)
 
 
-def q_stream_pipeline(spark, sf_dir):
+def q_stream_job_messages(spark, sf_dir):
     src = stream_feed(spark, stage_feed(events_feed(spark, sf_dir)))
-    root = scratch_path(spark, "pipeline-out")
+    root = scratch_path(spark, "job-out")
 
     def sink(msgs, name, ckpt):
         return run_available_now(msgs, f"{root}/{name}", ckpt)
 
-    run_pipeline(spark, PIPELINE_CFG, source=src, regions=regions_from_nation(spark, sf_dir),
-                 sink=sink, checkpoint_dir=scratch_path(spark, "pipeline-ckpt"))
+    run_pipeline(spark, JOB_CFG, source=src, regions=regions_from_nation(spark, sf_dir),
+                 sink=sink, checkpoint_dir=scratch_path(spark, "job-ckpt"))
     return parse_messages(spark.read.parquet(f"{root}/*"))
 
 
@@ -146,8 +146,8 @@ STREAM_QUERIES = {
     "stream_session_join": q_stream_session_join,
     "stream_late_rows": q_stream_late_rows,
     "write_csv": q_write_csv,
-    "pipeline_messages": q_pipeline_messages,
-    "stream_pipeline": q_stream_pipeline,
+    "job_messages": q_job_messages,
+    "stream_job_messages": q_stream_job_messages,
 }
 
 # Streams check against the same SQL as the batch queries they replay.
@@ -157,5 +157,5 @@ STREAM_ORACLE_OF = {
     "stream_sliding_join": "sliding_join_weather",
     "stream_session_join": "session_join_weather",
     "write_csv": "tumbling_join_scalar",
-    "stream_pipeline": "pipeline_messages",
+    "stream_job_messages": "job_messages",
 }

@@ -33,7 +33,7 @@ def _h(df):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 @pytest.mark.parametrize("name", ["weather_readings", "multi_readings", "tumbling_join_weather",
                                   "session_join_weather", "region_lookup", "weather_message",
-                                  "pipeline_messages"])
+                                  "job_messages"])
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("events", "nation"):
