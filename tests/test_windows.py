@@ -102,3 +102,44 @@ def test_salted_join_gives_same_pairs(spark):
         plain = sorted(tuple(r) for r in join(w, g, size).collect())
         salted = sorted(tuple(r) for r in join(w, g, size, salt=4).collect())
         assert plain == salted and len(plain) > 0
+
+
+def test_reading_on_edge_goes_to_later_window(spark):
+    w, g = _sides(spark, EDGE_MS + 5000, EDGE_MS + 4999)
+    assert tumbling_join(w, g, 5).count() == 0
+    w, g = _sides(spark, EDGE_MS + 5000, EDGE_MS + 5000)
+    assert _starts(tumbling_join(w, g, 5)) == [5000]
+
+
+def test_odd_sliding_size(spark):
+    # size 7 s slides by 7 div 2 = 3 s: shared windows start at multiples of 3 s
+    for ds, dg in ((6000, 6500), (1000, 5500), (0, 6999), (0, 7000)):
+        ts, tg = EDGE_MS + ds, EDGE_MS + dg
+        want = [s - EDGE_MS for s in range((max(ts, tg) - 7000) // 3000 * 3000, ts + 1, 3000)
+                if s <= min(ts, tg) and s + 7000 > max(ts, tg)]
+        w, g = _sides(spark, ts, tg)
+        assert _starts(sliding_join(w, g, 7)) == want, (ds, dg)
+
+
+def test_multi_key_is_not_trimmed(spark):
+    from tandem.operators.parse import multi_readings
+    lines = [msg("TYPE_ACCELEROMETER", {"x": 1, "y": 2, "z": 3}, EDGE_MS + 1000, user="u1 "),
+             msg("TYPE_ACCELEROMETER", {"x": 1, "y": 2, "z": 3}, EDGE_MS + 1000, user="u1"),
+             gps(EDGE_MS + 2000)]
+    p = parse_feed(feed(spark, lines))
+    assert tumbling_join(multi_readings(p), gps_readings(p), "10 seconds").count() == 1
+
+
+def test_weather_joins_on_ingest_time_by_default(spark):
+    # the reading was observed in window [0, 5) but ingested 20 s later
+    lines = [weather(EDGE_MS + 1000), gps(EDGE_MS + 2000), gps(EDGE_MS + 21_000)]
+    f = feed(spark, lines).withColumn(
+        "timestamp", F.when(F.col("value").contains("WEATHER"),
+                            F.timestamp_millis(F.lit(EDGE_MS + 21_500))).otherwise(F.col("timestamp")))
+    p = parse_feed(f)
+    w, g = weather_readings(p, ingest="timestamp"), gps_readings(p)
+    by_ingest = tumbling_join(w, g, 5).select(F.unix_millis("window_start").alias("s")).collect()
+    by_obs = tumbling_join(w, g, 5, sensor_time="obsTs").select(
+        F.unix_millis("window_start").alias("s")).collect()
+    assert [r.s - EDGE_MS for r in by_ingest] == [20_000]
+    assert [r.s - EDGE_MS for r in by_obs] == [0]
