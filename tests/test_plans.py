@@ -1,0 +1,51 @@
+"""Plan shapes that the design relies on at scale."""
+
+import re
+
+from tandem.operators.parse import gps_readings, parse_feed, stage_parsed, weather_readings
+from tandem.operators.region import region_lookup
+from tandem.operators.windows import session_join, sliding_join, tumbling_join
+from tests.helpers import EDGE_MS, feed, gps, weather
+
+BAD_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def _feed(spark):
+    return feed(spark, [weather(EDGE_MS + i * 1000, user=f"u{i % 3}") for i in range(6)]
+                + [gps(EDGE_MS + i * 1500, user=f"u{i % 3}") for i in range(6)])
+
+
+def test_envelope_parsed_once_per_message(spark):
+    plan = _plan(gps_readings(parse_feed(_feed(spark))))
+    # one parse of the message, one of the GPS sub-document
+    assert len(re.findall(r"from_json\(", plan)) == 2, plan
+
+
+def test_staged_feed_prunes_partitions_and_columns(spark):
+    staged = stage_parsed(parse_feed(_feed(spark)))
+    plan = _plan(gps_readings(staged))
+    assert "PartitionFilters: [isnotnull(sensorType" in plan and "TYPE_GPS" in plan
+    schema = re.search(r"ReadSchema: (struct<[^\n]*>)", plan).group(1)
+    assert "raw" not in schema and "userId" in schema
+
+
+def test_joins_are_equi_joins_on_key_and_window(spark):
+    p = parse_feed(_feed(spark))
+    w, g = weather_readings(p, ingest="timestamp"), gps_readings(p)
+    for df in (tumbling_join(w, g, 5), sliding_join(w, g, 4), session_join(w, g, 3)):
+        plan = _plan(df)
+        assert not any(b in plan for b in BAD_JOINS), plan
+        assert "HashJoin" in plan or "SortMergeJoin" in plan
+
+
+def test_region_lookup_is_a_broadcast_equi_join(spark):
+    regions = spark.createDataFrame([("R", 53.0, 54.0, -10.0, -9.0)],
+                                    "region string, min_lat double, max_lat double, "
+                                    "min_lng double, max_lng double")
+    plan = _plan(region_lookup(gps_readings(parse_feed(_feed(spark))), regions))
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert not any(b in plan for b in BAD_JOINS)
