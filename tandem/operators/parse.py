@@ -73,7 +73,7 @@ def stage_parsed(parsed: DataFrame, path: str | None = None) -> DataFrame:
     slim = parsed.withColumn("raw", F.when(F.col("sensorValue").startswith("{"), F.lit(None))
                              .otherwise(F.col("raw")))
     slim.write.partitionBy("sensorType").parquet(path)
-    back = spark.read.parquet(path)
+    back = spark.read.schema(slim.schema).parquet(path)  # known schema: also when empty
     return back.select(*parsed.columns)
 
 

@@ -121,7 +121,7 @@ def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
         spark = rows.sparkSession
         path = scratch_path(spark, "session-rows")
         rows.write.parquet(path)
-        rows = spark.read.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
     tagged = _with_sid(rows, bucket_offsets(rows, gap_ms))
 
     bounds = tagged.groupBy("_k", "_sid").agg(

@@ -138,3 +138,13 @@ def test_staged_parse_gives_same_readings(spark):
     b = weather_readings(s, ingest="timestamp").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert sorted(r.value for r in scalar_readings(s).collect()) == [0, 0, 0, 5]
+
+
+def test_empty_feed_flows_through(spark):
+    from tandem.operators.parse import stage_parsed
+    from tandem.operators.windows import session_join, tumbling_join
+    f = feed(spark, ['{"a":'])  # nothing decodes
+    p = stage_parsed(parse_feed(f))
+    w, g = weather_readings(p, ingest="timestamp"), gps_readings(p)
+    assert p.count() == 0 and tumbling_join(w, g, 5).count() == 0
+    assert session_join(w, g, 5).count() == 0
