@@ -10,7 +10,8 @@ of the same key.  One code path serves batch and streaming DataFrames:
   whose state is evicted by the per-side watermarks.  A pair appears once
   per window the two readings share.
 * session: sessions are formed over both sides' readings of a key together
-  (gap <= size merges).  Batch: see ``tandem.operators.sessions``; stream:
+  (a step of at most the gap stays in the session).  Batch: see
+  ``tandem.operators.sessions``; stream:
   ``session_window`` aggregation with the pairs expanded on emit.
 
 Pair shapes (which side gives which field) follow the three sensor kinds:
@@ -57,7 +58,7 @@ class PairKind:
     trim_sensor_key: bool      # strip blanks/controls from the sensor key
     gps_key: str               # GPS column holding the key (used raw)
     sensor_cols: tuple         # sensor columns carried into the pair
-    sensor_time_cols: tuple    # sensor timestamp columns carried as ms
+    sensor_time_cols: tuple    # sensor timestamp columns, carried as epoch micros
 
 
 WEATHER_PAIR = PairKind("weather", "userId", True, "userId",
