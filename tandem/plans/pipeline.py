@@ -43,6 +43,31 @@ class JobConfig:
     # when set, GPS readings with their region are also published there
     gps_region_topic: str | None = None
 
+    # Parameter names of the original job; every other entry is passed on to
+    # the Kafka consumer as a property (e.g. zookeeper.connect).
+    PARAM_NAMES = {"topic": "topic", "bootstrap.servers": "bootstrap_servers",
+                   "group.id": "group_id", "desTopic": "des_topic", "WindowSize": "window_size",
+                   "WindowType": "window_type", "JobName": "job_name"}
+
+    @classmethod
+    def from_params(cls, params: dict, **overrides) -> "JobConfig":
+        """Build from the original job's parameter names (values as text).
+        desTopic, WindowSize, WindowType and JobName are required."""
+        missing = [k for k in ("desTopic", "WindowSize", "WindowType", "JobName") if k not in params]
+        if missing:
+            raise ValueError(f"missing required parameters: {missing}")
+        kw, extra = {}, {}
+        for k, v in params.items():
+            if k in cls.PARAM_NAMES:
+                kw[cls.PARAM_NAMES[k]] = int(v) if k == "WindowSize" else str(v)
+            else:
+                extra[k] = str(v)
+        kw["kafka_extra"] = extra
+        kw.update(overrides)
+        cfg = cls(**kw)
+        cfg.validate()
+        return cfg
+
     def validate(self) -> None:
         if self.window_type not in WINDOW_KINDS:
             raise ValueError(f"WindowType must be one of {WINDOW_KINDS}, got {self.window_type!r}")

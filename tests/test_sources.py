@@ -79,3 +79,38 @@ def test_streaming_text_source_and_csv_sink(spark):
     q.awaitTermination(300)
     back = spark.read.schema("userId string, ms long").option("sep", "|").csv(out)
     assert sorted((r.userId, r.ms) for r in back.collect()) == [(f"u{i}", EDGE_MS + i) for i in range(5)]
+
+
+def test_job_config_from_original_parameters():
+    cfg = JobConfig.from_params({
+        "topic": "android-sensor", "bootstrap.servers": "localhost:9092",
+        "zookeeper.connect": "localhost:2181", "group.id": "test-consumer-group2",
+        "desTopic": "joinedstreams", "WindowSize": "2", "WindowType": "Tumble",
+        "JobName": "J"})
+    assert (cfg.topic, cfg.des_topic, cfg.window_size, cfg.window_type, cfg.group_id) == (
+        "android-sensor", "joinedstreams", 2, "Tumble", "test-consumer-group2")
+    assert cfg.kafka_extra == {"zookeeper.connect": "localhost:2181"}
+    with pytest.raises(ValueError):
+        JobConfig.from_params({"topic": "t", "bootstrap.servers": "b"})  # older argument line
+
+
+def test_run_pipeline_session_stream(spark):
+    from pyspark.sql import functions as F
+
+    from tandem.plans.pipeline import run_pipeline
+    from tandem.plans.streams import flush_lines
+    from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
+    from tests.helpers import EDGE_MS, feed, gps, weather
+    lines = [weather(EDGE_MS + 1000), gps(EDGE_MS + 3000), weather(EDGE_MS + 6000),
+             gps(EDGE_MS + 60_000)]
+    src = stream_feed(spark, stage_feed(feed(spark, lines).unionByName(flush_lines(spark))))
+    out = scratch_path(spark, "job-session")
+    cfg = JobConfig(window_size=5, window_type="Session", job_name="S")
+    run_pipeline(spark, cfg, source=src, checkpoint_dir=scratch_path(spark, "job-ckpt"),
+                 sink=lambda msgs, name, ckpt: run_available_now(msgs, f"{out}/{name}", ckpt))
+    msgs = spark.read.parquet(f"{out}/*").select(
+        F.get_json_object("value", "$.userAccount.userId").alias("u"),
+        F.get_json_object("value", "$.WindowConfig.WindowType").alias("t"),
+        F.get_json_object("value", "$.Time.ObservationTimestamp").cast("long").alias("ms"))
+    rows = sorted((r.u, r.t, r.ms - EDGE_MS) for r in msgs.where(F.col("u") == "u1").collect())
+    assert rows == [("u1", "Session", 1000), ("u1", "Session", 6000)]
