@@ -41,22 +41,30 @@ def get_session(master: str = "local[8]", app: str = "tandem",
     return spark
 
 
+_OWN_KEY = "tandem.checkpoint.dir"  # a plain session key: settable at run time
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise
-    (tests, local runs) creates a fresh folder under /tmp and records it in
-    the session so later calls agree.
+    In order: ``spark.checkpoint.dir`` as the cluster names it; the folder
+    the application gave ``SparkContext.setCheckpointDir``; a folder made
+    by an earlier call.  Only when none is set (tests, local runs) a fresh
+    folder under /tmp is made and remembered in the session.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_KEY, None)
+    if not path:
+        try:
+            path = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext in a Connect client
+            path = None
     if not path:
         path = tempfile.mkdtemp(prefix="tandem-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
+        spark.conf.set(_OWN_KEY, path)
+        try:
             spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # no SparkContext in a Connect client; the conf is enough
-        pass
+        except Exception:
+            pass
     return path
 
 
