@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.operators.parse import (
-    gps_readings, multi_readings, parse_feed, stage_parsed, weather_readings,
+    gps_readings, multi_readings, parse_feed, scalar_readings, stage_parsed, weather_readings,
 )
 from tandem.operators.region import region_lookup
 from tandem.operators.windows import WINDOW_KINDS, to_ms, tumbling_join, window_join
 from tandem.session import checkpoint_root
 from tandem.sources.feed import read_kafka
-from tandem.sources.sinks import write_kafka
+from tandem.sources.sinks import write_console, write_kafka
 
 
 @dataclass(frozen=True)
@@ -147,3 +147,27 @@ def run_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | Non
         else:
             queries.append(sink(msgs, name, ckpt))
     return queries
+
+
+def proximity_pairs(parsed: DataFrame, window="10000 milliseconds",
+                    sensor_type: str = "TYPE_PROXIMITY") -> DataFrame:
+    """Scalar readings x GPS positions of the same (trimmed) device in fixed
+    tumbling windows (10 s in the original job)."""
+    return tumbling_join(scalar_readings(parsed, sensor_type), gps_readings(parsed, by_device=True),
+                         window)
+
+
+def run_proximity_job(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | None = None,
+                      window="10000 milliseconds", sink: Callable | None = None,
+                      checkpoint_dir: str | None = None):
+    """The proximity job: one streaming query printing the pairs (or handing
+    them to ``sink(pairs, name, checkpoint)``, e.g. ``write_csv``)."""
+    if source is None:
+        source = read_kafka(spark, cfg.topic, cfg.bootstrap_servers, group_id=cfg.group_id,
+                            starting_offsets=None, extra=cfg.kafka_extra)
+    pairs = proximity_pairs(parse_feed(source), window)
+    root = (checkpoint_dir or f"{checkpoint_root(spark).rstrip('/')}/{cfg.job_name}").rstrip("/")
+    ckpt = f"{root}/TYPE_PROXIMITY"
+    if sink is None:
+        return write_console(pairs, checkpoint=ckpt)
+    return sink(pairs, f"{cfg.job_name}-TYPE_PROXIMITY", ckpt)

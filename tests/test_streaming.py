@@ -66,3 +66,32 @@ def test_late_row_dropped(spark):
 def test_stream_salted_equals_batch(spark):
     b, s = _both(spark, lambda w, g, n: tumbling_join(w, g, n, salt=3), 10)
     assert b == s and len(b) > 0
+
+
+def test_late_rows_are_counted(spark):
+    from tandem.streaming.replay import dropped_by_watermark
+    path = scratch_path(spark, "late2")
+    stage_feed(feed(spark, [weather(EDGE_MS + 100_000), gps(EDGE_MS + 101_000)]), path + "/p=1")
+    src = spark.readStream.schema("value string, timestamp timestamp").parquet(path + "/*")
+    p = parse_feed(src)
+    j = tumbling_join(weather_readings(p, ingest="timestamp"), gps_readings(p), 10)
+    out, ckpt = scratch_path(spark, "late2-out"), scratch_path(spark, "late2-ckpt")
+    q = j.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+    q.trigger(availableNow=True).start().awaitTermination()
+    stage_feed(feed(spark, [weather(EDGE_MS + 1000), gps(EDGE_MS + 2000)]), path + "/p=2")
+    q2 = q.trigger(availableNow=True).start()
+    q2.awaitTermination()
+    assert dropped_by_watermark(q2) == 2
+
+
+def test_proximity_job_stream(spark):
+    from tandem.plans.pipeline import JobConfig, run_proximity_job
+    from tests.helpers import msg
+    lines = [msg("TYPE_PROXIMITY", 4, EDGE_MS + 1000, device="d1 "), gps(EDGE_MS + 3000, device="d1"),
+             msg("TYPE_PROXIMITY", 6, EDGE_MS + 12_000, device="d1"), gps(EDGE_MS + 25_000, device="d1")]
+    src = stream_feed(spark, stage_feed(feed(spark, lines)))
+    out = scratch_path(spark, "prox")
+    run_proximity_job(spark, JobConfig(), source=src, checkpoint_dir=scratch_path(spark, "prox-ckpt"),
+                      sink=lambda pairs, name, ckpt: run_available_now(pairs, out, ckpt))
+    rows = spark.read.parquet(out).collect()
+    assert [(r.deviceId, r.sensorType, r.value) for r in rows] == [("d1", "TYPE_GPS", 4)]
