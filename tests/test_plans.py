@@ -49,3 +49,12 @@ def test_region_lookup_is_a_broadcast_equi_join(spark):
     plan = _plan(region_lookup(gps_readings(parse_feed(_feed(spark))), regions))
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     assert not any(b in plan for b in BAD_JOINS)
+
+
+def test_spread_small_input_only_when_needed(spark):
+    from tandem.sources.events import spread_small_input
+    one = spark.range(100).coalesce(1)
+    assert spread_small_input(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(8)
+    same = spread_small_input(many, 4)
+    assert same is many  # already split: no extra shuffle
