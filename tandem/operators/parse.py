@@ -56,6 +56,14 @@ def parse_feed(feed: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def slim_parsed(parsed: DataFrame) -> DataFrame:
+    """Decoded messages for storage: the raw message is needed only to read
+    a scalar value's JSON kind; an object value (decoded text always starts
+    with '{') never needs it, so it is dropped there."""
+    return parsed.withColumn("raw", F.when(F.col("sensorValue").startswith("{"), F.lit(None))
+                             .otherwise(F.col("raw")))
+
+
 def stage_parsed(parsed: DataFrame, path: str | None = None) -> DataFrame:
     """Write decoded messages once as parquet partitioned by ``sensorType``
     (under ``spark.checkpoint.dir`` unless ``path`` is given) and read them
@@ -68,10 +76,7 @@ def stage_parsed(parsed: DataFrame, path: str | None = None) -> DataFrame:
 
     spark = parsed.sparkSession
     path = path or scratch_path(spark, "parsed-feed")
-    # the raw message is needed only to read a scalar value's JSON kind; an
-    # object value (decoded text always starts with '{') never needs it
-    slim = parsed.withColumn("raw", F.when(F.col("sensorValue").startswith("{"), F.lit(None))
-                             .otherwise(F.col("raw")))
+    slim = slim_parsed(parsed)
     slim.write.partitionBy("sensorType").parquet(path)
     back = spark.read.schema(slim.schema).parquet(path)  # known schema: also when empty
     return back.select(*parsed.columns)

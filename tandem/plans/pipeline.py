@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.operators.parse import (
-    gps_readings, multi_readings, parse_feed, scalar_readings, stage_parsed, weather_readings,
+    gps_readings, multi_readings, parse_feed, scalar_readings, slim_parsed, stage_parsed,
+    weather_readings,
 )
 from tandem.operators.region import region_lookup
 from tandem.operators.windows import WINDOW_KINDS, to_ms, tumbling_join, window_join
@@ -119,10 +120,29 @@ def build_pipeline(feed: DataFrame, cfg: JobConfig, regions: DataFrame | None =
     return out
 
 
+def start_decoder(source: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Streaming counterpart of ``stage_parsed``: one query decodes the feed
+    and appends it as parquet partitioned by ``sensorType``.  Returns the
+    query; ``decoded_stream`` reads the table back as a stream."""
+    w = (slim_parsed(parse_feed(source)).writeStream.format("parquet").partitionBy("sensorType")
+         .option("path", path).option("checkpointLocation", checkpoint).outputMode("append"))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def decoded_stream(spark: SparkSession, path: str, source: DataFrame) -> DataFrame:
+    """The decoded table written by ``start_decoder`` as a stream, with the
+    decoded schema of ``source`` (partition pruning on ``sensorType``)."""
+    schema = parse_feed(source).schema
+    return spark.readStream.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def run_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | None = None,
                  regions: DataFrame | None = None, ingest: str | None = "timestamp",
                  sink: Callable[[DataFrame, str, str], object] | None = None,
-                 checkpoint_dir: str | None = None) -> list:
+                 checkpoint_dir: str | None = None, staged: bool = False,
+                 decoded: DataFrame | None = None) -> list:
     """Start one streaming query per sensor; return the queries.
 
     ``source`` defaults to the Kafka topic (``value``, ``timestamp``);
@@ -131,13 +151,25 @@ def run_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | Non
     timestamp by default; None = time of processing).  Checkpoints go to
     ``checkpoint_dir/<sensor>`` (default: ``<spark.checkpoint.dir>/<job>``),
     a fixed place so that a restarted job resumes each query.
+
+    Each sensor query decodes the feed itself (lowest latency).  With
+    ``staged`` one more query decodes it once into a parquet table under
+    the checkpoint folder and the sensor queries stream from that table
+    (each message decoded once instead of once per sensor, one more hop of
+    latency).  ``decoded`` passes such a decoded stream in directly.
     """
-    if source is None:
-        source = read_kafka(spark, cfg.topic, cfg.bootstrap_servers, group_id=cfg.group_id,
-                            starting_offsets=cfg.starting_offsets, extra=cfg.kafka_extra)
     root = (checkpoint_dir or f"{checkpoint_root(spark).rstrip('/')}/{cfg.job_name}").rstrip("/")
     queries = []
-    for t, msgs in sensor_streams(parse_feed(source), cfg, regions, ingest):
+    if decoded is None:
+        if source is None:
+            source = read_kafka(spark, cfg.topic, cfg.bootstrap_servers, group_id=cfg.group_id,
+                                starting_offsets=cfg.starting_offsets, extra=cfg.kafka_extra)
+        if staged:
+            queries.append(start_decoder(source, f"{root}/decoded", f"{root}/decoder"))
+            decoded = decoded_stream(spark, f"{root}/decoded", source)
+        else:
+            decoded = parse_feed(source)
+    for t, msgs in sensor_streams(decoded, cfg, regions, ingest):
         name = f"{cfg.job_name}-{t}"
         ckpt = f"{root}/{t}"
         if sink is None:

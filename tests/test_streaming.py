@@ -95,3 +95,30 @@ def test_proximity_job_stream(spark):
                       sink=lambda pairs, name, ckpt: run_available_now(pairs, out, ckpt))
     rows = spark.read.parquet(out).collect()
     assert [(r.deviceId, r.sensorType, r.value) for r in rows] == [("d1", "TYPE_GPS", 4)]
+
+
+def test_staged_decoder_gives_same_messages(spark):
+    from tandem.plans.pipeline import JobConfig, decoded_stream, run_pipeline, start_decoder
+    from tests.helpers import msg
+    lines = [weather(EDGE_MS + 1000, user="u1 "), gps(EDGE_MS + 2000),
+             msg("TYPE_ACCELEROMETER", {"x": 1, "y": 2, "z": 3}, EDGE_MS + 3000), gps(EDGE_MS + 4000)]
+    cfg = JobConfig(window_size=10, window_type="Tumble", multi_sensors=("TYPE_ACCELEROMETER",),
+                    multi_window="10 seconds")
+    results = []
+    for staged in (False, True):
+        src = stream_feed(spark, stage_feed(feed(spark, lines)))
+        out = scratch_path(spark, "staged-out")
+        decoded = None
+        if staged:
+            table = scratch_path(spark, "decoded")
+            start_decoder(src, table, scratch_path(spark, "dec-ckpt"),
+                          trigger={"availableNow": True}).awaitTermination()
+            decoded = decoded_stream(spark, table, src)
+        run_pipeline(spark, cfg, source=src, decoded=decoded,
+                     checkpoint_dir=scratch_path(spark, "staged-ckpt"),
+                     sink=lambda m, name, ckpt: run_available_now(m, f"{out}/{name}", ckpt))
+        vals = spark.read.parquet(f"{out}/*").select(
+            F.get_json_object("value", "$.sensorType").alias("t"),
+            F.get_json_object("value", "$.sensorValue.attr_lng").alias("g")).collect()
+        results.append(sorted(map(tuple, vals)))
+    assert results[0] == results[1] and len(results[0]) == 4
