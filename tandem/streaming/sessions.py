@@ -1,26 +1,258 @@
-"""Streaming session join: ``session_window`` state holds both sides'
-readings of an open session; when the watermark closes it, the pairs are
-expanded.  This is the windowed-join buffer of a stream processor, bounded
-by the session length; it is used only for unbounded input (the batch path
-in ``tandem.operators.sessions`` never collects a group)."""
+"""Streaming session join over both sides' readings of a key.
+
+A session of a key is [first reading, last reading + gap) over the sensor
+and GPS readings together; a reading at exactly ``gap`` after the last one
+still belongs to it.  When the watermark passes a session's end, every
+sensor reading of the session is paired with every GPS reading of it.
+
+Built on ``transformWithStateInPandas`` with row-level state, the stream
+processor's window buffer:
+
+* ``sensor`` / ``gps`` list state: the open readings, one state row each.
+  New readings are appended (no rewrite of what is already held).
+* ``sessions`` list state: bounds and per-side counts of the open sessions
+  (a handful per key).
+* One timer per key, at its earliest open session's end.  When it fires,
+  every session behind the watermark closes: the side with fewer readings
+  in them is held in memory, the other side is streamed from state, and
+  output is made in chunks of about ``chunk_pairs`` pairs.  Readings of
+  sessions still open are written back.
+
+A reading whose own window [t, t + gap) already lies behind the watermark
+is late and dropped (its session has been emitted).  The batch path in
+``tandem.operators.sessions`` is fully distributed and is the one to use
+for backfills; in a stream, a key's open sessions live in one task, as in
+any keyed stream processor.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType,
+                               StructField, StructType)
+
+SESSION_STATE = "start long, end long, n_s long, n_g long"
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> None:
+    """List state needs the RocksDB state store.  Queries restarted from a
+    checkpoint keep the provider recorded there, so setting it here only
+    affects queries started from now on."""
+    if spark.conf.get(PROVIDER_KEY, None) != ROCKSDB:
+        spark.conf.set(PROVIDER_KEY, ROCKSDB)
+
+
+def merge_sessions(bounds: list[tuple[int, int, int, int]]) -> list[list[int]]:
+    """Merge (start, end, n_s, n_g) intervals that overlap or touch."""
+    out: list[list[int]] = []
+    for start, end, n_s, n_g in sorted(bounds):
+        if out and start <= out[-1][1]:
+            last = out[-1]
+            last[1] = max(last[1], end)
+            last[2] += n_s
+            last[3] += n_g
+        else:
+            out.append([start, end, n_s, n_g])
+    return out
+
+
+def point_sessions(t: np.ndarray, side: np.ndarray, gap: int) -> list[tuple[int, int, int, int]]:
+    """Sessions of one batch's readings alone: (start, end, n_s, n_g)."""
+    order = np.argsort(t, kind="stable")
+    t, side = t[order], side[order]
+    new = np.concatenate(([True], np.diff(t) > gap))
+    sid = np.cumsum(new) - 1
+    starts = t[new]
+    ends = np.maximum.reduceat(t, np.flatnonzero(new)) + gap
+    n_g = np.bincount(sid, weights=side, minlength=len(starts)).astype(np.int64)
+    n_all = np.bincount(sid, minlength=len(starts)).astype(np.int64)
+    return [(int(a), int(b), int(c - d), int(d))
+            for a, b, c, d in zip(starts, ends, n_all, n_g)]
+
+
+class SessionPairs(StatefulProcessor):
+    """Pairs of sensor x GPS readings per key and session (times in micros).
+
+    One event-time timer per key, at the end of its earliest open session;
+    when it fires, every session of the key that the watermark has passed
+    is closed in one pass over each side's readings."""
+
+    def __init__(self, s_schema: StructType, g_schema: StructType, gap_us: int,
+                 chunk_pairs: int = 200_000):
+        self.s_schema, self.g_schema = s_schema, g_schema
+        self.s_names = [f.name for f in s_schema.fields]
+        self.g_names = [f.name for f in g_schema.fields]
+        self.gap = gap_us
+        self.chunk_pairs = chunk_pairs
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        t = [StructField("t_us", LongType())]
+        self.handle = handle
+        self.s_state = StructType(t + self.s_schema.fields)
+        self.g_state = StructType(t + self.g_schema.fields)
+        self.sensor = handle.getListState("sensor", self.s_state)
+        self.gps = handle.getListState("gps", self.g_state)
+        self.sessions = handle.getListState("sessions", SESSION_STATE)
+
+    # -- input ------------------------------------------------------------
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        ts, sides = [], []
+        for pdf in rows:
+            if wm > 0:  # late: the reading's own window is already closed
+                pdf = pdf[pdf["t_us"].to_numpy() + self.gap > wm]
+            if pdf.empty:
+                continue
+            is_g = pdf["side"].to_numpy() == 1
+            if (~is_g).any():
+                self.sensor.appendList(_tuples(pdf[~is_g], self.s_state))
+            if is_g.any():
+                self.gps.appendList(_tuples(pdf[is_g], self.g_state))
+            ts.append(pdf["t_us"].to_numpy(dtype=np.int64))
+            sides.append(is_g.astype(np.int64))
+        if ts:
+            old = [tuple(r) for r in self.sessions.get()]
+            merged = merge_sessions(old + point_sessions(np.concatenate(ts),
+                                                         np.concatenate(sides), self.gap))
+            self.sessions.put([tuple(m) for m in merged])
+            first_old = min((o[1] for o in old), default=None)
+            first_new = min(m[1] for m in merged)
+            if first_old != first_new:
+                if first_old is not None:
+                    self.handle.deleteTimer(_timer_ms(first_old))
+                self.handle.registerTimer(_timer_ms(first_new))
+        return iter([])
+
+    # -- session close ------------------------------------------------------
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        open_, closing = [], []
+        for sess in self.sessions.get():
+            (closing if sess[1] <= wm else open_).append(tuple(sess))
+        if open_:
+            self.sessions.put(open_)
+            self.handle.registerTimer(_timer_ms(min(o[1] for o in open_)))
+        else:
+            self.sessions.clear()
+        if not closing:
+            return
+        closing.sort()
+        starts = np.array([c[0] for c in closing], dtype=np.int64)
+        ends = np.array([c[1] for c in closing], dtype=np.int64)
+        small_is_gps = sum(c[3] for c in closing) <= sum(c[2] for c in closing)
+        small_state, big_state = (self.gps, self.sensor) if small_is_gps else (self.sensor, self.gps)
+        small_names = ["t_us"] + (self.g_names if small_is_gps else self.s_names)
+        big_names = ["t_us"] + (self.s_names if small_is_gps else self.g_names)
+
+        # the smaller side of the closing sessions is held, tagged by session
+        small_rows, keep = [], []
+        for row in small_state.get():
+            i = _session_of(row[0], starts, ends)
+            if i < 0:
+                keep.append(tuple(row))
+            else:
+                small_rows.append((i, *row))
+        _write_back(small_state, keep)
+        small = pd.DataFrame(small_rows, columns=["sess", *small_names]).drop(columns="t_us")
+        per_sess = np.bincount(small["sess"].to_numpy(dtype=np.int64), minlength=len(closing))
+
+        # the larger side is streamed from state; pairs of all closing
+        # sessions are made by one merge on the session index per chunk
+        buf, pending, keep = [], 0, []
+        for row in big_state.get():
+            i = _session_of(row[0], starts, ends)
+            if i < 0:
+                keep.append(tuple(row))
+            elif per_sess[i]:
+                buf.append((i, *row))
+                pending += int(per_sess[i])
+                if pending >= self.chunk_pairs:
+                    yield self._pairs(buf, big_names, small, starts, ends, small_is_gps)
+                    buf, pending = [], 0
+        if buf:
+            yield self._pairs(buf, big_names, small, starts, ends, small_is_gps)
+        _write_back(big_state, keep)
+
+    def _pairs(self, buf, big_names, small, starts, ends, small_is_gps) -> pd.DataFrame:
+        big = pd.DataFrame(buf, columns=["sess", *big_names]).drop(columns="t_us")
+        out = big.merge(small, on="sess") if small_is_gps else small.merge(big, on="sess")
+        sess = out["sess"].to_numpy(dtype=np.int64)
+        out.insert(0, "window_end", ends[sess])
+        out.insert(0, "window_start", starts[sess])
+        return out[["window_start", "window_end", *self.s_names, *self.g_names]]
+
+    def close(self) -> None:
+        pass
+
+
+def _session_of(t: int, starts: np.ndarray, ends: np.ndarray) -> int:
+    """Index of the closing session holding time ``t``, else -1."""
+    i = int(np.searchsorted(starts, t, side="right")) - 1
+    return i if i >= 0 and t < ends[i] else -1
+
+
+def _write_back(state, keep: list) -> None:
+    if keep:
+        state.put(keep)
+    else:
+        state.clear()
+
+
+_INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
+_FRACTIONAL = (FloatType, DoubleType)
+
+
+def _tuples(pdf: pd.DataFrame, schema: StructType) -> list[tuple]:
+    """State rows with the Python types of ``schema``: in the tagged union a
+    column is null on the other side's rows, so pandas may hold ints as
+    floats."""
+    cols = []
+    for f in schema.fields:
+        v = pdf[f.name].tolist()
+        if isinstance(f.dataType, _INTEGRAL):
+            cols.append([None if x is None or x != x else int(x) for x in v])
+        elif isinstance(f.dataType, _FRACTIONAL):
+            cols.append([None if x is None or x != x else float(x) for x in v])
+        else:
+            cols.append([None if x is None or (isinstance(x, float) and x != x) else x for x in v])
+    return list(zip(*cols))
+
+
+def _timer_ms(end_us: int) -> int:
+    """The timer fires once the watermark is at or past the session end."""
+    return -(-end_us // 1000)
 
 
-def stream_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int) -> DataFrame:
+def stream_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
+                         chunk_pairs: int = 200_000) -> DataFrame:
+    """``s`` and ``g`` carry ``_k``, ``_et`` (watermarked) and their own
+    columns; the result has ``window_start``, ``window_end`` and both sides'
+    columns, one row per pair."""
+    use_rocksdb_state(s.sparkSession)
     s_cols = [c for c in s.columns if c not in ("_k", "_et")]
     g_cols = [c for c in g.columns if c not in ("_k", "_et")]
-    s_type = s.select(F.struct(*s_cols).alias("x")).schema["x"].dataType
-    g_type = g.select(F.struct(*g_cols).alias("x")).schema["x"].dataType
-    s_t = s.select("_k", "_et", F.struct(*s_cols).alias("_s"), F.lit(None).cast(g_type).alias("_g"))
-    g_t = g.select("_k", "_et", F.lit(None).cast(s_type).alias("_s"), F.struct(*g_cols).alias("_g"))
-    sess = (s_t.unionByName(g_t)
-            .groupBy("_k", F.session_window("_et", f"{gap_ms} milliseconds").alias("_w"))
-            .agg(F.collect_list("_s").alias("_ss"), F.collect_list("_g").alias("_gs")))
-    one = sess.select("_k", "_w", F.explode("_ss").alias("_s1"), "_gs")
-    two = one.select("_k", "_w", "_s1", F.explode("_gs").alias("_g1"))
-    return two.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                      "_s1.*", "_g1.*")
+    s_schema = StructType([s.schema[c] for c in s_cols])
+    g_schema = StructType([g.schema[c] for c in g_cols])
+    # plain names: the Arrow-to-pandas step renames columns starting with "_"
+    s_t = s.select(F.col("_k").alias("key"), F.unix_micros("_et").alias("t_us"),
+                   F.lit(0).alias("side"), *s_cols,
+                   *[F.lit(None).cast(f.dataType).alias(f.name) for f in g_schema.fields])
+    g_t = g.select(F.col("_k").alias("key"), F.unix_micros("_et").alias("t_us"),
+                   F.lit(1).alias("side"),
+                   *[F.lit(None).cast(f.dataType).alias(f.name) for f in s_schema.fields], *g_cols)
+    out_schema = StructType([StructField("window_start", LongType()),
+                             StructField("window_end", LongType()),
+                             *[f for f in s_schema.fields], *[f for f in g_schema.fields]])
+    pairs = (s_t.unionByName(g_t).groupBy("key")
+             .transformWithStateInPandas(SessionPairs(s_schema, g_schema, gap_ms * 1000, chunk_pairs),
+                                         out_schema, "Append", "EventTime"))
+    return pairs.select(F.timestamp_micros("window_start").alias("window_start"),
+                        F.timestamp_micros("window_end").alias("window_end"), *s_cols, *g_cols)

@@ -122,3 +122,52 @@ def test_staged_decoder_gives_same_messages(spark):
             F.get_json_object("value", "$.sensorValue.attr_lng").alias("g")).collect()
         results.append(sorted(map(tuple, vals)))
     assert results[0] == results[1] and len(results[0]) == 4
+
+
+def test_stream_session_across_micro_batches(spark):
+    """Sessions that grow and merge over many micro-batches give the batch
+    result (a long watermark delay keeps every reading in time)."""
+    from tandem.sources.events import events_feed
+    f = events_feed(spark, "/root/testdata/sf0.001")
+    p = parse_feed(f)
+    batch = _rows(session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), 3600))
+    path = scratch_path(spark, "multi-batch")
+    stage_feed(f.repartition(6), path + "/p=1")
+    stage_feed(flush_lines(spark), path + "/p=2")  # newest file: read last
+    src = (spark.readStream.schema("value string, timestamp timestamp")
+           .option("maxFilesPerTrigger", "1").parquet(path + "/*"))
+    sp = parse_feed(src)
+    sj = session_join(weather_readings(sp, ingest="timestamp"), gps_readings(sp), 3600,
+                      delay="3650 days")
+    out = spark.read.parquet(run_available_now(out_weather_pairs(sj)))
+    stream = sorted(tuple(r) for r in out.where(F.col("userId") != FLUSH_USER).collect())
+    assert stream == batch and len(batch) > 0
+
+
+def test_session_bounds_merge_like_brute_force():
+    import random
+
+    import numpy as np
+
+    from tandem.streaming.sessions import merge_sessions, point_sessions
+    rnd = random.Random(7)
+    for _ in range(200):
+        gap = rnd.randint(1, 5)
+        t = [rnd.randint(0, 40) for _ in range(rnd.randint(1, 12))]
+        side = [rnd.randint(0, 1) for _ in t]
+        # brute force: sort, cut where the step exceeds the gap
+        order = sorted(range(len(t)), key=lambda i: t[i])
+        want, cur = [], None
+        for i in order:
+            if cur and t[i] - cur[4] <= gap:
+                cur[1], cur[4] = t[i] + gap, t[i]
+            else:
+                cur = [t[i], t[i] + gap, 0, 0, t[i]]
+                want.append(cur)
+            cur[3 if side[i] else 2] += 1
+        want = [w[:4] for w in want]
+        # the same readings fed in two arbitrary halves, merged
+        k = rnd.randint(0, len(t))
+        a = point_sessions(np.array(t[:k] or [0]), np.array(side[:k] or [0]), gap) if k else []
+        b = point_sessions(np.array(t[k:]), np.array(side[k:]), gap) if k < len(t) else []
+        assert merge_sessions(a + b) == want
