@@ -171,3 +171,22 @@ def test_session_bounds_merge_like_brute_force():
         a = point_sessions(np.array(t[:k] or [0]), np.array(side[:k] or [0]), gap) if k else []
         b = point_sessions(np.array(t[k:]), np.array(side[k:]), gap) if k < len(t) else []
         assert merge_sessions(a + b) == want
+
+
+def test_stream_session_drops_late_rows(spark):
+    path = scratch_path(spark, "late-sess")
+    stage_feed(feed(spark, [weather(EDGE_MS + 100_000), gps(EDGE_MS + 101_000)]), path + "/p=1")
+    src = spark.readStream.schema("value string, timestamp timestamp").parquet(path + "/*")
+    p = parse_feed(src)
+    j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), 5)
+    out, ckpt = scratch_path(spark, "late-sess-out"), scratch_path(spark, "late-sess-ckpt")
+    run_available_now(j, out, ckpt)
+    # readings whose session would have ended long before the watermark,
+    # then the far-future pair that closes the open session
+    late = feed(spark, [weather(EDGE_MS + 1000), gps(EDGE_MS + 2000)])
+    stage_feed(late.unionByName(flush_lines(spark)), path + "/p=2")
+    run_available_now(j, out, ckpt)
+    rows = (spark.read.parquet(out).where(F.col("userId") != FLUSH_USER)
+            .select(F.unix_millis("window_start").alias("s"), F.unix_millis("window_end").alias("e"))
+            .collect())
+    assert [(r.s, r.e) for r in rows] == [(EDGE_MS + 100_000, EDGE_MS + 106_000)]
