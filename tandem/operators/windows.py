@@ -202,7 +202,7 @@ def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
 def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | None = None,
                  sensor_time: str | None = None, delay: str = "0 seconds",
                  bucket=None, materialize: bool = True, salt: int = 1,
-                 target_rows: int | None = None) -> DataFrame:
+                 target_rows: int | None = None, chunk_pairs: int = 200_000) -> DataFrame:
     """Session windows over both sides' readings of a key; a new session
     starts after a silence longer than ``gap``.  Window bounds are
     [first reading, last reading + gap).
@@ -212,7 +212,8 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     hottest key splits into pieces of about ``target_rows``);
     ``materialize`` writes the numbered rows once under the checkpoint
     folder; ``salt`` spreads a hot session in the final pair join.
-    Stream: ``session_window`` state per key and session."""
+    Stream (see ``tandem.streaming.sessions``): list state per key, pairs
+    emitted in chunks of about ``chunk_pairs`` when a session closes."""
     from tandem.operators.sessions import batch_session_pairs
     from tandem.streaming.sessions import stream_session_pairs
 
@@ -223,7 +224,7 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     sensor_time = sensor_time or _default_time(kind)
     s, g = _sides(sensor, gps, kind, sensor_time, delay)
     if s.isStreaming or g.isStreaming:
-        j = stream_session_pairs(s, g, gap_ms)
+        j = stream_session_pairs(s, g, gap_ms, chunk_pairs=chunk_pairs)
     else:
         extra = {"target_rows": target_rows} if target_rows else {}
         j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,

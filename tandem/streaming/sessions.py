@@ -8,8 +8,10 @@ sensor reading of the session is paired with every GPS reading of it.
 Built on ``transformWithStateInPandas`` with row-level state, the stream
 processor's window buffer:
 
-* ``sensor`` / ``gps`` list state: the open readings, one state row each.
-  New readings are appended (no rewrite of what is already held).
+* ``sensor`` / ``gps`` list state: the open readings, as Arrow chunks (one
+  entry per side and input batch of a key, with its first and last time).
+  New readings are appended (no rewrite of what is already held), and
+  chunks are encoded and decoded whole, not row by row.
 * ``sessions`` list state: bounds and per-side counts of the open sessions
   (a handful per key).
 * One timer per key, at its earliest open session's end.  When it fires,
@@ -31,13 +33,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType,
-                               StructField, StructType)
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
 SESSION_STATE = "start long, end long, n_s long, n_g long"
+CHUNK_STATE = "t_min long, t_max long, n long, data binary"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -81,9 +85,12 @@ def point_sessions(t: np.ndarray, side: np.ndarray, gap: int) -> list[tuple[int,
 class SessionPairs(StatefulProcessor):
     """Pairs of sensor x GPS readings per key and session (times in micros).
 
+    Readings are kept in list state as Arrow chunks: one state entry per
+    side and input batch of a key (at most ``maxRecordsPerBatch`` rows),
+    with its first and last time, so appends and the close are vectorized.
     One event-time timer per key, at the end of its earliest open session;
     when it fires, every session of the key that the watermark has passed
-    is closed in one pass over each side's readings."""
+    is closed in one pass over each side's chunks."""
 
     def __init__(self, s_schema: StructType, g_schema: StructType, gap_us: int,
                  chunk_pairs: int = 200_000):
@@ -96,16 +103,16 @@ class SessionPairs(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         t = [StructField("t_us", LongType())]
         self.handle = handle
-        self.s_state = StructType(t + self.s_schema.fields)
-        self.g_state = StructType(t + self.g_schema.fields)
-        self.sensor = handle.getListState("sensor", self.s_state)
-        self.gps = handle.getListState("gps", self.g_state)
+        self.s_arrow = to_arrow_schema(StructType(t + self.s_schema.fields))
+        self.g_arrow = to_arrow_schema(StructType(t + self.g_schema.fields))
+        self.sensor = handle.getListState("sensor", CHUNK_STATE)
+        self.gps = handle.getListState("gps", CHUNK_STATE)
         self.sessions = handle.getListState("sessions", SESSION_STATE)
 
     # -- input ------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs() * 1000
-        ts, sides = [], []
+        ts, sides, s_chunks, g_chunks = [], [], [], []
         for pdf in rows:
             if wm > 0:  # late: the reading's own window is already closed
                 pdf = pdf[pdf["t_us"].to_numpy() + self.gap > wm]
@@ -113,22 +120,27 @@ class SessionPairs(StatefulProcessor):
                 continue
             is_g = pdf["side"].to_numpy() == 1
             if (~is_g).any():
-                self.sensor.appendList(_tuples(pdf[~is_g], self.s_state))
+                s_chunks.append(_chunk(pdf[~is_g], self.s_arrow))
             if is_g.any():
-                self.gps.appendList(_tuples(pdf[is_g], self.g_state))
+                g_chunks.append(_chunk(pdf[is_g], self.g_arrow))
             ts.append(pdf["t_us"].to_numpy(dtype=np.int64))
             sides.append(is_g.astype(np.int64))
-        if ts:
-            old = [tuple(r) for r in self.sessions.get()]
-            merged = merge_sessions(old + point_sessions(np.concatenate(ts),
-                                                         np.concatenate(sides), self.gap))
-            self.sessions.put([tuple(m) for m in merged])
-            first_old = min((o[1] for o in old), default=None)
-            first_new = min(m[1] for m in merged)
-            if first_old != first_new:
-                if first_old is not None:
-                    self.handle.deleteTimer(_timer_ms(first_old))
-                self.handle.registerTimer(_timer_ms(first_new))
+        if not ts:
+            return iter([])
+        if s_chunks:
+            self.sensor.appendList(s_chunks)
+        if g_chunks:
+            self.gps.appendList(g_chunks)
+        old = [tuple(r) for r in self.sessions.get()]
+        merged = merge_sessions(old + point_sessions(np.concatenate(ts),
+                                                     np.concatenate(sides), self.gap))
+        self.sessions.put([tuple(m) for m in merged])
+        first_old = min((o[1] for o in old), default=None)
+        first_new = min(m[1] for m in merged)
+        if first_old != first_new:
+            if first_old is not None:
+                self.handle.deleteTimer(_timer_ms(first_old))
+            self.handle.registerTimer(_timer_ms(first_new))
         return iter([])
 
     # -- session close ------------------------------------------------------
@@ -149,40 +161,33 @@ class SessionPairs(StatefulProcessor):
         ends = np.array([c[1] for c in closing], dtype=np.int64)
         small_is_gps = sum(c[3] for c in closing) <= sum(c[2] for c in closing)
         small_state, big_state = (self.gps, self.sensor) if small_is_gps else (self.sensor, self.gps)
-        small_names = ["t_us"] + (self.g_names if small_is_gps else self.s_names)
-        big_names = ["t_us"] + (self.s_names if small_is_gps else self.g_names)
+        small_arrow, big_arrow = ((self.g_arrow, self.s_arrow) if small_is_gps
+                                  else (self.s_arrow, self.g_arrow))
 
         # the smaller side of the closing sessions is held, tagged by session
-        small_rows, keep = [], []
-        for row in small_state.get():
-            i = _session_of(row[0], starts, ends)
-            if i < 0:
-                keep.append(tuple(row))
-            else:
-                small_rows.append((i, *row))
+        keep: list = []
+        parts = [inside for inside in _split_chunks(small_state, small_arrow, starts, ends, keep)]
         _write_back(small_state, keep)
-        small = pd.DataFrame(small_rows, columns=["sess", *small_names]).drop(columns="t_us")
-        per_sess = np.bincount(small["sess"].to_numpy(dtype=np.int64), minlength=len(closing))
-
-        # the larger side is streamed from state; pairs of all closing
-        # sessions are made by one merge on the session index per chunk
-        buf, pending, keep = [], 0, []
-        for row in big_state.get():
-            i = _session_of(row[0], starts, ends)
-            if i < 0:
-                keep.append(tuple(row))
-            elif per_sess[i]:
-                buf.append((i, *row))
-                pending += int(per_sess[i])
-                if pending >= self.chunk_pairs:
-                    yield self._pairs(buf, big_names, small, starts, ends, small_is_gps)
-                    buf, pending = [], 0
-        if buf:
-            yield self._pairs(buf, big_names, small, starts, ends, small_is_gps)
+        small = pd.concat(parts, ignore_index=True).drop(columns="t_us") if parts else None
+        per_sess = (np.bincount(small["sess"].to_numpy(dtype=np.int64), minlength=len(closing))
+                    if small is not None else np.zeros(len(closing), dtype=np.int64))
+
+        # the larger side is streamed from state chunk by chunk; pairs of all
+        # closing sessions are made by one merge on the session index
+        keep = []
+        for inside in _split_chunks(big_state, big_arrow, starts, ends, keep):
+            weight = per_sess[inside["sess"].to_numpy(dtype=np.int64)]
+            inside = inside[weight > 0].drop(columns="t_us")
+            if inside.empty:
+                continue
+            total = np.cumsum(weight[weight > 0])
+            cut = np.searchsorted(total, np.arange(self.chunk_pairs, total[-1], self.chunk_pairs))
+            for lo, hi in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(inside)]))):
+                if hi > lo:
+                    yield self._pairs(inside.iloc[lo:hi], small, starts, ends, small_is_gps)
         _write_back(big_state, keep)
 
-    def _pairs(self, buf, big_names, small, starts, ends, small_is_gps) -> pd.DataFrame:
-        big = pd.DataFrame(buf, columns=["sess", *big_names]).drop(columns="t_us")
+    def _pairs(self, big, small, starts, ends, small_is_gps) -> pd.DataFrame:
         out = big.merge(small, on="sess") if small_is_gps else small.merge(big, on="sess")
         sess = out["sess"].to_numpy(dtype=np.int64)
         out.insert(0, "window_end", ends[sess])
@@ -193,10 +198,47 @@ class SessionPairs(StatefulProcessor):
         pass
 
 
-def _session_of(t: int, starts: np.ndarray, ends: np.ndarray) -> int:
-    """Index of the closing session holding time ``t``, else -1."""
-    i = int(np.searchsorted(starts, t, side="right")) - 1
-    return i if i >= 0 and t < ends[i] else -1
+def _chunk(pdf: pd.DataFrame, schema: pa.Schema) -> tuple:
+    """One state entry: (first time, last time, rows, Arrow record batch
+    message).  The schema is not stored; the processor knows it."""
+    batch = pa.RecordBatch.from_pandas(pdf[schema.names], schema=schema, preserve_index=False)
+    t = pdf["t_us"].to_numpy(dtype=np.int64)
+    return int(t.min()), int(t.max()), len(pdf), batch.serialize().to_pybytes()
+
+
+_NULLABLE_INTS = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(),
+                  pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
+
+
+def _unchunk(entry, schema: pa.Schema) -> pd.DataFrame:
+    batch = pa.ipc.read_record_batch(pa.py_buffer(entry[3]), schema)
+    return batch.to_pandas(types_mapper=_NULLABLE_INTS.get)
+
+
+def _session_index(t: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Index of the closing session holding each time, else -1."""
+    i = np.searchsorted(starts, t, side="right") - 1
+    ok = (i >= 0) & (t < ends[np.maximum(i, 0)])
+    return np.where(ok, i, -1)
+
+
+def _split_chunks(state, schema: pa.Schema, starts, ends, keep: list) -> Iterator[pd.DataFrame]:
+    """Yield the rows of each chunk that lie in a closing session, with
+    their session index in ``sess``; rows outside them are appended to
+    ``keep`` as chunks.  A chunk wholly outside is kept without decoding."""
+    for entry in state.get():
+        entry = tuple(entry)
+        if entry[1] < starts[0] or entry[0] >= ends[-1]:
+            keep.append(entry)
+            continue
+        df = _unchunk(entry, schema)
+        idx = _session_index(df["t_us"].to_numpy(dtype=np.int64), starts, ends)
+        if (idx < 0).any():
+            keep.append(_chunk(df[idx < 0], schema))
+        if (idx >= 0).any():
+            inside = df[idx >= 0]
+            inside.insert(0, "sess", idx[idx >= 0])
+            yield inside
 
 
 def _write_back(state, keep: list) -> None:
@@ -206,26 +248,6 @@ def _write_back(state, keep: list) -> None:
         state.clear()
 
 
-_INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
-_FRACTIONAL = (FloatType, DoubleType)
-
-
-def _tuples(pdf: pd.DataFrame, schema: StructType) -> list[tuple]:
-    """State rows with the Python types of ``schema``: in the tagged union a
-    column is null on the other side's rows, so pandas may hold ints as
-    floats."""
-    cols = []
-    for f in schema.fields:
-        v = pdf[f.name].tolist()
-        if isinstance(f.dataType, _INTEGRAL):
-            cols.append([None if x is None or x != x else int(x) for x in v])
-        elif isinstance(f.dataType, _FRACTIONAL):
-            cols.append([None if x is None or x != x else float(x) for x in v])
-        else:
-            cols.append([None if x is None or (isinstance(x, float) and x != x) else x for x in v])
-    return list(zip(*cols))
-
-
 def _timer_ms(end_us: int) -> int:
     """The timer fires once the watermark is at or past the session end."""
     return -(-end_us // 1000)

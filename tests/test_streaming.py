@@ -47,6 +47,11 @@ def test_stream_equals_batch_session(spark):
     assert b == s and len(b) > 0
 
 
+def test_stream_session_tiny_output_chunks(spark):
+    b, s = _both(spark, lambda w, g, n: session_join(w, g, n, chunk_pairs=1), 5, flush=True)
+    assert b == s and len(b) > 1
+
+
 def test_late_row_dropped(spark):
     path = scratch_path(spark, "late")
     stage_feed(feed(spark, [weather(EDGE_MS + 100_000), gps(EDGE_MS + 101_000)]), path + "/p=1")
