@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # Streaming joins keep state per key/window; RocksDB spills it to disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A commit writes the batch's changes, not a full state snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
