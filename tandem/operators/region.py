@@ -4,12 +4,19 @@ Regions: ``region string, min_lat, max_lat, min_lng, max_lng`` (half-open
 boxes [min, max)).  Every input row gets exactly one name: the smallest box
 containing the point, ties broken by name; '' when no box holds it.
 
-The boxes are indexed by an integer grid: each box is listed under every
-cell it touches and one row per cell holds that cell's boxes.  Points are
-left-equi-joined to their cell (no range or cross join), then the box test
-runs on the cell's short list.  The cell table is broadcast only after its
+The boxes are indexed by a multi-level grid.  Level ``l`` has square cells
+of ``top_cell_deg / 2**l`` degrees; each box is listed at the finest level
+whose cell is at least as large as the box, so it touches at most 2 x 2
+cells there (a box larger than the top cell touches a few more).  One row
+per (level, cell) holds that cell's boxes, so a cell only lists boxes of
+about its own size: a city's many small districts and a country's box sit
+at different levels, and a point in a dense city checks a short list.
+
+A point probes one cell per level present in the table: one left
+equi-join per level on the integer cell (no range or cross join), then the
+box test runs on the candidates.  The index is broadcast only after its
 size (box entries) is checked against ``broadcast_max_entries``; above
-that it is a shuffle join on the cell.
+that every level is a shuffle join on the cell.
 """
 
 from __future__ import annotations
@@ -18,41 +25,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REGION_COLS = ("region", "min_lat", "max_lat", "min_lng", "max_lng")
+BOX_FIELDS = ("area", "region", "min_lat", "max_lat", "min_lng", "max_lng")
+
+
+def _cell_size(top_cell_deg: float, level) -> F.Column:
+    return F.lit(float(top_cell_deg)) / F.pow(F.lit(2.0), level)
 
 
-def region_cells(regions: DataFrame, cell_deg: float = 1.0) -> DataFrame:
-    """``_cy, _cx, _boxes`` - the grid index over the region boxes."""
-    c = float(cell_deg)
+def region_cells(regions: DataFrame, top_cell_deg: float = 16.0, max_level: int = 20) -> DataFrame:
+    """``_lvl, _cy, _cx, _boxes`` - the multi-level grid index."""
     r = regions.select(
         F.col("region"),
         *[F.col(x).cast("double").alias(x) for x in REGION_COLS[1:]],
     ).where(F.col("min_lat") < F.col("max_lat")).where(F.col("min_lng") < F.col("max_lng"))
-    r = r.select(
-        "*",
-        ((F.col("max_lat") - F.col("min_lat")) * (F.col("max_lng") - F.col("min_lng"))).alias("area"),
-        F.explode(F.sequence(F.floor(F.col("min_lat") / c), F.floor(F.col("max_lat") / c))).alias("_cy"),
-    ).select("*", F.explode(F.sequence(F.floor(F.col("min_lng") / c),
-                                       F.floor(F.col("max_lng") / c))).alias("_cx"))
-    return r.groupBy("_cy", "_cx").agg(F.collect_list(F.struct(
-        "area", "region", "min_lat", "max_lat", "min_lng", "max_lng")).alias("_boxes"))
+    extent = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lng") - F.col("min_lng"))
+    # finest level whose cell is at least the box's extent
+    level = F.least(F.lit(max_level), F.greatest(
+        F.lit(0), F.floor(F.log2(F.lit(float(top_cell_deg)) / extent)))).cast("int")
+    r = r.select("*", ((F.col("max_lat") - F.col("min_lat"))
+                       * (F.col("max_lng") - F.col("min_lng"))).alias("area"),
+                 level.alias("_lvl"))
+    c = _cell_size(top_cell_deg, F.col("_lvl"))
+    r = r.select("*", F.explode(F.sequence(F.floor(F.col("min_lat") / c),
+                                           F.floor(F.col("max_lat") / c))).alias("_cy"))
+    r = r.select("*", F.explode(F.sequence(F.floor(F.col("min_lng") / c),
+                                           F.floor(F.col("max_lng") / c))).alias("_cx"))
+    return r.groupBy("_lvl", "_cy", "_cx").agg(
+        F.collect_list(F.struct(*BOX_FIELDS)).alias("_boxes"))
 
 
 def region_lookup(df: DataFrame, regions: DataFrame, *, lat: str = "lat", lng: str = "lng",
-                  out: str = "region", cell_deg: float = 1.0,
+                  out: str = "region", top_cell_deg: float = 16.0, max_level: int = 20,
                   broadcast_max_entries: int = 1_000_000) -> DataFrame:
     """``df`` plus column ``out`` (string, never null).
 
-    The index is broadcast only when its number of box entries (boxes x
-    cells they touch, about 60 bytes each) is at most
-    ``broadcast_max_entries``; it is measured on the region table (the
-    catalogue, not the data) before the plan is built."""
-    cells = region_cells(regions, cell_deg)
-    entries = cells.agg(F.sum(F.size("_boxes")).alias("n")).first()["n"] or 0
-    side = F.broadcast(cells) if entries <= broadcast_max_entries else cells
+    The levels in use and the index size (box entries, about 60 bytes
+    each) are read from the region table - the catalogue, not the data:
+    at most ``max_level + 1`` rows reach the driver.  The index is broadcast
+    only when it has at most ``broadcast_max_entries`` entries."""
+    cells = region_cells(regions, top_cell_deg, max_level)
+    per_level = (cells.groupBy("_lvl").agg(F.sum(F.size("_boxes")).alias("n"))
+                 .orderBy("_lvl").collect())
+    entries = sum(int(r["n"]) for r in per_level)
     y, x = F.col(lat).cast("double"), F.col(lng).cast("double")
-    pts = df.select("*", F.floor(y / cell_deg).alias("_cy"), F.floor(x / cell_deg).alias("_cx"))
-    j = pts.join(side, on=["_cy", "_cx"], how="left")
-    inside = F.filter(F.col("_boxes"), lambda b: (y >= b["min_lat"]) & (y < b["max_lat"])
+    j = df
+    candidates = []
+    for i, row in enumerate(per_level):
+        lvl = int(row["_lvl"])
+        c = float(top_cell_deg) / 2.0 ** lvl
+        side = cells.where(F.col("_lvl") == lvl).select(
+            F.col("_cy").alias(f"_cy{i}"), F.col("_cx").alias(f"_cx{i}"),
+            F.col("_boxes").alias(f"_b{i}"))
+        side = F.broadcast(side) if entries <= broadcast_max_entries else side
+        j = j.select("*", F.floor(y / c).alias(f"_cy{i}"), F.floor(x / c).alias(f"_cx{i}"))
+        j = j.join(side, on=[f"_cy{i}", f"_cx{i}"], how="left")
+        candidates.append(F.coalesce(F.col(f"_b{i}"), F.array().cast(side.schema[f"_b{i}"].dataType)))
+    if not candidates:
+        return df.select("*", F.lit("").alias(out))
+    boxes = F.concat(*candidates) if len(candidates) > 1 else candidates[0]
+    inside = F.filter(boxes, lambda b: (y >= b["min_lat"]) & (y < b["max_lat"])
                       & (x >= b["min_lng"]) & (x < b["max_lng"]))
     best = F.array_min(F.transform(inside, lambda b: F.struct(b["area"].alias("area"),
                                                                b["region"].alias("region"))))
