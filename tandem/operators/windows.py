@@ -213,7 +213,9 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     ``materialize`` writes the numbered rows once under the checkpoint
     folder; ``salt`` spreads a hot session in the final pair join.
     Stream (see ``tandem.streaming.sessions``): list state per key, pairs
-    emitted in chunks of about ``chunk_pairs`` when a session closes."""
+    emitted in chunks of about ``chunk_pairs`` when a session closes;
+    ``salt`` spreads a key over that many groups (GPS readings and sensor
+    times are copied to each)."""
     from tandem.operators.sessions import batch_session_pairs
     from tandem.streaming.sessions import stream_session_pairs
 
@@ -224,7 +226,7 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     sensor_time = sensor_time or _default_time(kind)
     s, g = _sides(sensor, gps, kind, sensor_time, delay)
     if s.isStreaming or g.isStreaming:
-        j = stream_session_pairs(s, g, gap_ms, chunk_pairs=chunk_pairs)
+        j = stream_session_pairs(s, g, gap_ms, chunk_pairs=chunk_pairs, salt=salt)
     else:
         extra = {"target_rows": target_rows} if target_rows else {}
         j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,

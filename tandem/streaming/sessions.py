@@ -42,6 +42,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 SESSION_STATE = "start long, end long, n_s long, n_g long"
 CHUNK_STATE = "t_min long, t_max long, n long, data binary"
+# input tags: a sensor reading, a GPS reading, a sensor reading's time alone
+# (sent to the other salt groups of its key)
+SENSOR, GPS, MARK = 0, 1, 2
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -69,17 +72,18 @@ def merge_sessions(bounds: list[tuple[int, int, int, int]]) -> list[list[int]]:
 
 
 def point_sessions(t: np.ndarray, side: np.ndarray, gap: int) -> list[tuple[int, int, int, int]]:
-    """Sessions of one batch's readings alone: (start, end, n_s, n_g)."""
+    """Sessions of one batch's readings alone: (start, end, n_s, n_g).
+    ``side`` is SENSOR, GPS or MARK; marks shape the bounds but are not
+    counted."""
     order = np.argsort(t, kind="stable")
     t, side = t[order], side[order]
     new = np.concatenate(([True], np.diff(t) > gap))
     sid = np.cumsum(new) - 1
     starts = t[new]
     ends = np.maximum.reduceat(t, np.flatnonzero(new)) + gap
-    n_g = np.bincount(sid, weights=side, minlength=len(starts)).astype(np.int64)
-    n_all = np.bincount(sid, minlength=len(starts)).astype(np.int64)
-    return [(int(a), int(b), int(c - d), int(d))
-            for a, b, c, d in zip(starts, ends, n_all, n_g)]
+    n_s = np.bincount(sid, weights=side == SENSOR, minlength=len(starts)).astype(np.int64)
+    n_g = np.bincount(sid, weights=side == GPS, minlength=len(starts)).astype(np.int64)
+    return [(int(a), int(b), int(c), int(d)) for a, b, c, d in zip(starts, ends, n_s, n_g)]
 
 
 class SessionPairs(StatefulProcessor):
@@ -118,13 +122,14 @@ class SessionPairs(StatefulProcessor):
                 pdf = pdf[pdf["t_us"].to_numpy() + self.gap > wm]
             if pdf.empty:
                 continue
-            is_g = pdf["side"].to_numpy() == 1
-            if (~is_g).any():
-                s_chunks.append(_chunk(pdf[~is_g], self.s_arrow))
+            side = pdf["side"].to_numpy(dtype=np.int64)
+            is_s, is_g = side == SENSOR, side == GPS
+            if is_s.any():
+                s_chunks.append(_chunk(pdf[is_s], self.s_arrow))
             if is_g.any():
                 g_chunks.append(_chunk(pdf[is_g], self.g_arrow))
             ts.append(pdf["t_us"].to_numpy(dtype=np.int64))
-            sides.append(is_g.astype(np.int64))
+            sides.append(side)
         if not ts:
             return iter([])
         if s_chunks:
@@ -254,26 +259,40 @@ def _timer_ms(end_us: int) -> int:
 
 
 def stream_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
-                         chunk_pairs: int = 200_000) -> DataFrame:
+                         chunk_pairs: int = 200_000, salt: int = 1) -> DataFrame:
     """``s`` and ``g`` carry ``_k``, ``_et`` (watermarked) and their own
     columns; the result has ``window_start``, ``window_end`` and both sides'
-    columns, one row per pair."""
+    columns, one row per pair.
+
+    ``salt=N`` spreads each key over N groups (tasks): sensor readings are
+    hashed into one group, GPS readings are copied to all N, and every
+    sensor reading also sends a time-only marker to all N, so every group
+    sees the key's full timeline and forms the same sessions.  Each group
+    pairs only its own sensor readings: the union is the unsalted result."""
     use_rocksdb_state(s.sparkSession)
     s_cols = [c for c in s.columns if c not in ("_k", "_et")]
     g_cols = [c for c in g.columns if c not in ("_k", "_et")]
     s_schema = StructType([s.schema[c] for c in s_cols])
     g_schema = StructType([g.schema[c] for c in g_cols])
+    s_null = [F.lit(None).cast(f.dataType).alias(f.name) for f in s_schema.fields]
+    g_null = [F.lit(None).cast(f.dataType).alias(f.name) for f in g_schema.fields]
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))) if salt > 1 else F.lit(0)
     # plain names: the Arrow-to-pandas step renames columns starting with "_"
-    s_t = s.select(F.col("_k").alias("key"), F.unix_micros("_et").alias("t_us"),
-                   F.lit(0).alias("side"), *s_cols,
-                   *[F.lit(None).cast(f.dataType).alias(f.name) for f in g_schema.fields])
-    g_t = g.select(F.col("_k").alias("key"), F.unix_micros("_et").alias("t_us"),
-                   F.lit(1).alias("side"),
-                   *[F.lit(None).cast(f.dataType).alias(f.name) for f in s_schema.fields], *g_cols)
+    head = [F.col("_k").alias("key"), F.unix_micros("_et").alias("t_us")]
+    own = F.pmod(F.xxhash64(*s_cols, "_et"), F.lit(salt)) if salt > 1 else F.lit(0)
+    s_t = s.select(*head, F.lit(SENSOR).alias("side"), own.cast("int").alias("salt"),
+                   *s_cols, *g_null)
+    g_t = g.select(*head, F.lit(GPS).alias("side"), everywhere.alias("salt"),
+                   *s_null, *g_cols)
+    tagged = s_t.unionByName(g_t)
+    if salt > 1:
+        marks = s.select(*head, F.lit(MARK).alias("side"), everywhere.alias("salt"),
+                         *s_null, *g_null)
+        tagged = tagged.unionByName(marks)
     out_schema = StructType([StructField("window_start", LongType()),
                              StructField("window_end", LongType()),
                              *[f for f in s_schema.fields], *[f for f in g_schema.fields]])
-    pairs = (s_t.unionByName(g_t).groupBy("key")
+    pairs = (tagged.groupBy("key", "salt")
              .transformWithStateInPandas(SessionPairs(s_schema, g_schema, gap_ms * 1000, chunk_pairs),
                                          out_schema, "Append", "EventTime"))
     return pairs.select(F.timestamp_micros("window_start").alias("window_start"),

@@ -1,5 +1,6 @@
 """Streams give the same pairs as batch; late rows are dropped."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tandem.operators.parse import gps_readings, parse_feed, weather_readings
@@ -47,6 +48,11 @@ def test_stream_equals_batch_session(spark):
     assert b == s and len(b) > 0
 
 
+def test_stream_session_salted_equals_batch(spark):
+    b, s = _both(spark, lambda w, g, n: session_join(w, g, n, salt=3), 5, flush=True)
+    assert b == s and len(b) > 0
+
+
 def test_stream_session_tiny_output_chunks(spark):
     b, s = _both(spark, lambda w, g, n: session_join(w, g, n, chunk_pairs=1), 5, flush=True)
     assert b == s and len(b) > 1
@@ -129,9 +135,11 @@ def test_staged_decoder_gives_same_messages(spark):
     assert results[0] == results[1] and len(results[0]) == 4
 
 
-def test_stream_session_across_micro_batches(spark):
+@pytest.mark.parametrize("salt", [1, 4])
+def test_stream_session_across_micro_batches(spark, salt):
     """Sessions that grow and merge over many micro-batches give the batch
-    result (a long watermark delay keeps every reading in time)."""
+    result (a long watermark delay keeps every reading in time), also with
+    each key spread over several salt groups."""
     from tandem.sources.events import events_feed
     f = events_feed(spark, "/root/testdata/sf0.001")
     p = parse_feed(f)
@@ -143,7 +151,7 @@ def test_stream_session_across_micro_batches(spark):
            .option("maxFilesPerTrigger", "1").parquet(path + "/*"))
     sp = parse_feed(src)
     sj = session_join(weather_readings(sp, ingest="timestamp"), gps_readings(sp), 3600,
-                      delay="3650 days")
+                      delay="3650 days", salt=salt)
     out = spark.read.parquet(run_available_now(out_weather_pairs(sj)))
     stream = sorted(tuple(r) for r in out.where(F.col("userId") != FLUSH_USER).collect())
     assert stream == batch and len(batch) > 0
