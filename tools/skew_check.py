@@ -1,8 +1,9 @@
 """Hot-key check: a third of all events moved to one user.
 
 Derives a skewed feed from ``events`` (user_id -> 0 when event_id % 3 = 0),
-runs the tumbling and session joins (plain and salted), and compares row
-counts and a checksum with DuckDB on the same derivation.
+runs the tumbling and session joins (plain and salted, the session join
+also as a stream), and compares row counts and a checksum with DuckDB on
+the same derivation.
 
 python tools/skew_check.py [sf_dir]
 """
@@ -52,6 +53,16 @@ def main():
         "session_60s": (lambda salt: session_join(w, g, 60, salt=salt),
                         f"WITH {oracle._BASE}{oracle.session_ctes(60_000)}{oracle.SESSION_SELECT}"),
     }
+    def stream_session(salt):
+        from tandem.plans.streams import FLUSH_USER, flush_lines
+        from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
+        feed = ev_mod.events_feed(spark, skewed_dir).unionByName(flush_lines(spark))
+        sp = parse_feed(stream_feed(spark, stage_feed(feed)))
+        j = session_join(weather_readings(sp, ingest="timestamp"), gps_readings(sp), 60, salt=salt)
+        out = spark.read.parquet(run_available_now(j.select("userId", "obsTs", "temp")))
+        return out.where(F.col("userId") != FLUSH_USER)
+
+    checks["stream_session_60s"] = (stream_session, checks["session_60s"][1])
     for name, (make, sql) in checks.items():
         want = con.execute(f"SELECT count(*), sum(obs_ms % 1000003 + temp) FROM ({sql})").fetchone()
         for salt in (1, 8):
@@ -63,7 +74,7 @@ def main():
             plan = df._jdf.queryExecution().executedPlan().toString()
             skew = "skew-split" if "isSkewJoin=true" in plan else "no-split"
             ok = (got[0], got[1]) == (want[0], want[1])
-            print(f"{name:12s} salt={salt} rows={got[0]:9d} oracle={want[0]:9d} "
+            print(f"{name:18s} salt={salt} rows={got[0]:9d} oracle={want[0]:9d} "
                   f"{'ok' if ok else 'DIFF'} {dt:.1f}s {skew}")
 
 
