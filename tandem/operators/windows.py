@@ -202,7 +202,8 @@ def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
 def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | None = None,
                  sensor_time: str | None = None, delay: str = "0 seconds",
                  bucket=None, materialize: bool = True, salt: int = 1,
-                 target_rows: int | None = None, chunk_pairs: int = 200_000) -> DataFrame:
+                 target_rows: int | None = None, chunk_pairs: int = 200_000,
+                 salt_keys=None) -> DataFrame:
     """Session windows over both sides' readings of a key; a new session
     starts after a silence longer than ``gap``.  Window bounds are
     [first reading, last reading + gap).
@@ -215,7 +216,8 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     Stream (see ``tandem.streaming.sessions``): list state per key, pairs
     emitted in chunks of about ``chunk_pairs`` when a session closes;
     ``salt`` spreads a key over that many groups (GPS readings and sensor
-    times are copied to each)."""
+    times are copied to each); ``salt_keys`` limits that to the named hot
+    join keys (stream only)."""
     from tandem.operators.sessions import batch_session_pairs
     from tandem.streaming.sessions import stream_session_pairs
 
@@ -226,7 +228,8 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     sensor_time = sensor_time or _default_time(kind)
     s, g = _sides(sensor, gps, kind, sensor_time, delay)
     if s.isStreaming or g.isStreaming:
-        j = stream_session_pairs(s, g, gap_ms, chunk_pairs=chunk_pairs, salt=salt)
+        j = stream_session_pairs(s, g, gap_ms, chunk_pairs=chunk_pairs, salt=salt,
+                                 salt_keys=salt_keys)
     else:
         extra = {"target_rows": target_rows} if target_rows else {}
         j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,

@@ -259,7 +259,8 @@ def _timer_ms(end_us: int) -> int:
 
 
 def stream_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
-                         chunk_pairs: int = 200_000, salt: int = 1) -> DataFrame:
+                         chunk_pairs: int = 200_000, salt: int = 1,
+                         salt_keys=None) -> DataFrame:
     """``s`` and ``g`` carry ``_k``, ``_et`` (watermarked) and their own
     columns; the result has ``window_start``, ``window_end`` and both sides'
     columns, one row per pair.
@@ -268,7 +269,9 @@ def stream_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
     hashed into one group, GPS readings are copied to all N, and every
     sensor reading also sends a time-only marker to all N, so every group
     sees the key's full timeline and forms the same sessions.  Each group
-    pairs only its own sensor readings: the union is the unsalted result."""
+    pairs only its own sensor readings: the union is the unsalted result.
+    ``salt_keys`` limits this to the named (hot) join keys; the others keep
+    one group and are not copied."""
     use_rocksdb_state(s.sparkSession)
     s_cols = [c for c in s.columns if c not in ("_k", "_et")]
     g_cols = [c for c in g.columns if c not in ("_k", "_et")]
@@ -276,17 +279,21 @@ def stream_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
     g_schema = StructType([g.schema[c] for c in g_cols])
     s_null = [F.lit(None).cast(f.dataType).alias(f.name) for f in s_schema.fields]
     g_null = [F.lit(None).cast(f.dataType).alias(f.name) for f in g_schema.fields]
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))) if salt > 1 else F.lit(0)
+    hot = F.col("_k").isin(list(salt_keys)) if salt_keys else F.lit(True)
+    groups = F.sequence(F.lit(0), F.lit(salt - 1))
+    everywhere = (F.explode(F.when(hot, groups).otherwise(F.array(F.lit(0)))) if salt > 1
+                  else F.lit(0))
     # plain names: the Arrow-to-pandas step renames columns starting with "_"
     head = [F.col("_k").alias("key"), F.unix_micros("_et").alias("t_us")]
-    own = F.pmod(F.xxhash64(*s_cols, "_et"), F.lit(salt)) if salt > 1 else F.lit(0)
+    own = (F.when(hot, F.pmod(F.xxhash64(*s_cols, "_et"), F.lit(salt))).otherwise(F.lit(0))
+           if salt > 1 else F.lit(0))
     s_t = s.select(*head, F.lit(SENSOR).alias("side"), own.cast("int").alias("salt"),
                    *s_cols, *g_null)
     g_t = g.select(*head, F.lit(GPS).alias("side"), everywhere.alias("salt"),
                    *s_null, *g_cols)
     tagged = s_t.unionByName(g_t)
     if salt > 1:
-        marks = s.select(*head, F.lit(MARK).alias("side"), everywhere.alias("salt"),
+        marks = s.where(hot).select(*head, F.lit(MARK).alias("side"), everywhere.alias("salt"),
                          *s_null, *g_null)
         tagged = tagged.unionByName(marks)
     out_schema = StructType([StructField("window_start", LongType()),

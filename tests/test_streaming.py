@@ -53,6 +53,12 @@ def test_stream_session_salted_equals_batch(spark):
     assert b == s and len(b) > 0
 
 
+def test_stream_session_salting_only_hot_keys(spark):
+    b, s = _both(spark, lambda w, g, n: session_join(w, g, n, salt=3, salt_keys=["u1"]), 5,
+                 flush=True)
+    assert b == s and len(b) > 0
+
+
 def test_stream_session_tiny_output_chunks(spark):
     b, s = _both(spark, lambda w, g, n: session_join(w, g, n, chunk_pairs=1), 5, flush=True)
     assert b == s and len(b) > 1

@@ -5,7 +5,7 @@ runs the tumbling and session joins (plain and salted, the session join
 also as a stream), and compares row counts and a checksum with DuckDB on
 the same derivation.
 
-python tools/skew_check.py [sf_dir]
+python tools/skew_check.py [sf_dir] [check ...]
 """
 
 from __future__ import annotations
@@ -53,17 +53,24 @@ def main():
         "session_60s": (lambda salt: session_join(w, g, 60, salt=salt),
                         f"WITH {oracle._BASE}{oracle.session_ctes(60_000)}{oracle.SESSION_SELECT}"),
     }
-    def stream_session(salt):
+    def stream_session(salt, salt_keys=None):
         from tandem.plans.streams import FLUSH_USER, flush_lines
         from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
         feed = ev_mod.events_feed(spark, skewed_dir).unionByName(flush_lines(spark))
         sp = parse_feed(stream_feed(spark, stage_feed(feed)))
-        j = session_join(weather_readings(sp, ingest="timestamp"), gps_readings(sp), 60, salt=salt)
+        j = session_join(weather_readings(sp, ingest="timestamp"), gps_readings(sp), 60,
+                         salt=salt, salt_keys=salt_keys)
         out = spark.read.parquet(run_available_now(j.select("userId", "obsTs", "temp")))
         return out.where(F.col("userId") != FLUSH_USER)
 
     checks["stream_session_60s"] = (stream_session, checks["session_60s"][1])
+    # salt only the hot user's join key
+    checks["stream_session_hot"] = (lambda salt: stream_session(salt, ["u0"]),
+                                    checks["session_60s"][1])
+    wanted = sys.argv[2:]
     for name, (make, sql) in checks.items():
+        if wanted and name not in wanted:
+            continue
         want = con.execute(f"SELECT count(*), sum(obs_ms % 1000003 + temp) FROM ({sql})").fetchone()
         for salt in (1, 8):
             t0 = time.time()
