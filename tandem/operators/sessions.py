@@ -96,7 +96,8 @@ def _with_sid(rows: DataFrame, offsets: DataFrame, key: str = "_k") -> DataFrame
 
 def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
                         bucket_ms: int | None = None, materialize: bool = True,
-                        salt: int = 1, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                        salt: int = 1, target_rows: int = DEFAULT_TARGET_ROWS,
+                        salt_keys=None) -> DataFrame:
     """Pairs of sensor rows ``s`` and GPS rows ``g`` (both: _k, _et, carried
     columns) that share a session; adds window_start / window_end.
 
@@ -130,5 +131,5 @@ def batch_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
     left = tagged.where(F.col("_s").isNotNull()).select("_k", "_sid", "_s.*")
     right = tagged.where(F.col("_g").isNotNull()).select("_k", "_sid", "_g.*")
     from tandem.operators.windows import salted_equi_join
-    pairs = salted_equi_join(left, right, ["_k", "_sid"], salt)
+    pairs = salted_equi_join(left, right, ["_k", "_sid"], salt, salt_keys)
     return pairs.join(bounds, on=["_k", "_sid"], how="inner")

@@ -138,21 +138,28 @@ def project_pair(joined: DataFrame, kind: PairKind) -> DataFrame:
     return joined.select(*cols, *win)
 
 
-def salted_equi_join(left: DataFrame, right: DataFrame, keys: list, salt: int = 1) -> DataFrame:
+def salted_equi_join(left: DataFrame, right: DataFrame, keys: list, salt: int = 1,
+                     salt_keys=None, hot_col: str = "_k") -> DataFrame:
     """Inner equi-join on ``keys``; with ``salt`` > 1 each left row goes to
     one of ``salt`` sub-groups (a hash of the row) and every right row is
     copied to all of them, so one hot key group is spread over ``salt``
-    tasks / state partitions.  The output is the same pairs, once each."""
+    tasks / state partitions.  The output is the same pairs, once each.
+    ``salt_keys`` limits this to rows whose ``hot_col`` is one of them; the
+    other rows keep sub-group 0 and are not copied."""
     if salt <= 1:
         return left.join(right, on=keys, how="inner")
-    lt = left.select("*", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]),
-                                 F.lit(salt)).alias("_salt"))
-    rt = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>"))
-                      .alias("_salt"))
+    hot_l = F.col(hot_col).isin(list(salt_keys)) if salt_keys else F.lit(True)
+    hot_r = F.col(hot_col).isin(list(salt_keys)) if salt_keys else F.lit(True)
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salt))
+    lt = left.select("*", F.when(hot_l, own).otherwise(F.lit(0).cast("bigint")).alias("_salt"))
+    groups = F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")
+    rt = right.select("*", F.explode(F.when(hot_r, groups).otherwise(
+        F.array(F.lit(0).cast("bigint")))).alias("_salt"))
     return lt.join(rt, on=list(keys) + ["_salt"], how="inner").drop("_salt")
 
 
-def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt=1):
+def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt=1,
+                       salt_keys=None):
     kind = kind or pair_kind_of(sensor)
     sensor_time = sensor_time or _default_time(kind)
     s, g = _sides(sensor, gps, kind, sensor_time, delay)
@@ -160,29 +167,31 @@ def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay,
     slide = f"{slide_ms} milliseconds"
     s = s.select("*", F.window("_et", size, slide).alias("_w")).drop("_et")
     g = g.select("*", F.window("_et", size, slide).alias("_w")).drop("_et")
-    j = salted_equi_join(s, g, ["_k", "_w"], salt)
+    j = salted_equi_join(s, g, ["_k", "_w"], salt, salt_keys)
     j = j.select("*", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"))
     return project_pair(j, kind)
 
 
 def tumbling_join(sensor: DataFrame, gps: DataFrame, size, *, kind: PairKind | None = None,
                   sensor_time: str | None = None, delay: str = "0 seconds",
-                  salt: int = 1) -> DataFrame:
+                  salt: int = 1, salt_keys=None) -> DataFrame:
     """Epoch-aligned tumbling windows of ``size`` (seconds, or duration text).
 
     ``delay`` is the watermark delay of a stream (0: readings arrive in time
     order per side); ``salt`` > 1 spreads each (key, window) group over that
     many sub-groups (see ``salted_equi_join``) - useful in a stream, where
-    AQE cannot split a skewed join partition."""
+    AQE cannot split a skewed join partition; ``salt_keys`` salts only the
+    named hot join keys."""
     size_ms = to_ms(size)
     if size_ms < 1:
         raise ValueError("window size must be positive")
-    return _fixed_window_join(sensor, gps, size_ms, size_ms, kind, sensor_time, delay, salt)
+    return _fixed_window_join(sensor, gps, size_ms, size_ms, kind, sensor_time, delay, salt,
+                              salt_keys)
 
 
 def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
                  kind: PairKind | None = None, sensor_time: str | None = None,
-                 delay: str = "0 seconds", salt: int = 1) -> DataFrame:
+                 delay: str = "0 seconds", salt: int = 1, salt_keys=None) -> DataFrame:
     """Sliding windows; ``slide`` defaults to size/2 in whole seconds
     (integer division of the size in seconds, so 5 s slides by 2 s)."""
     size_ms = to_ms(size)
@@ -196,7 +205,8 @@ def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
         raise ValueError("sliding windows need size >= 2 s (slide = size/2 >= 1 s)")
     if slide_ms > size_ms:
         raise ValueError("slide must not exceed size")
-    return _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt)
+    return _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt,
+                              salt_keys)
 
 
 def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | None = None,
@@ -216,8 +226,8 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     Stream (see ``tandem.streaming.sessions``): list state per key, pairs
     emitted in chunks of about ``chunk_pairs`` when a session closes;
     ``salt`` spreads a key over that many groups (GPS readings and sensor
-    times are copied to each); ``salt_keys`` limits that to the named hot
-    join keys (stream only)."""
+    times are copied to each); ``salt_keys`` limits salting to the named
+    hot join keys (batch and stream)."""
     from tandem.operators.sessions import batch_session_pairs
     from tandem.streaming.sessions import stream_session_pairs
 
@@ -233,7 +243,7 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     else:
         extra = {"target_rows": target_rows} if target_rows else {}
         j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,
-                                materialize=materialize, salt=salt, **extra)
+                                materialize=materialize, salt=salt, salt_keys=salt_keys, **extra)
     return project_pair(j, kind)
 
 

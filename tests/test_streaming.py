@@ -85,6 +85,11 @@ def test_stream_salted_equals_batch(spark):
     assert b == s and len(b) > 0
 
 
+def test_stream_salting_only_hot_keys_fixed_windows(spark):
+    b, s = _both(spark, lambda w, g, n: sliding_join(w, g, n, salt=3, salt_keys=["u1"]), 10)
+    assert b == s and len(b) > 0
+
+
 def test_late_rows_are_counted(spark):
     from tandem.streaming.replay import dropped_by_watermark
     path = scratch_path(spark, "late2")

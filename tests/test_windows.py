@@ -101,7 +101,8 @@ def test_salted_join_gives_same_pairs(spark):
     for join, size in ((tumbling_join, 5), (sliding_join, 6), (session_join, 1)):
         plain = sorted(tuple(r) for r in join(w, g, size).collect())
         salted = sorted(tuple(r) for r in join(w, g, size, salt=4).collect())
-        assert plain == salted and len(plain) > 0
+        hot_only = sorted(tuple(r) for r in join(w, g, size, salt=4, salt_keys=["hot"]).collect())
+        assert plain == salted == hot_only and len(plain) > 0
 
 
 def test_reading_on_edge_goes_to_later_window(spark):
