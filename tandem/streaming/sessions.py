@@ -171,7 +171,7 @@ class SessionPairs(StatefulProcessor):
 
         # the smaller side of the closing sessions is held, tagged by session
         keep: list = []
-        parts = [inside for inside in _split_chunks(small_state, small_arrow, starts, ends, keep)]
+        parts = list(_split_chunks(small_state, small_arrow, starts, ends, keep))
         _write_back(small_state, keep)
         small = pd.concat(parts, ignore_index=True).drop(columns="t_us") if parts else None
         per_sess = (np.bincount(small["sess"].to_numpy(dtype=np.int64), minlength=len(closing))
@@ -241,7 +241,7 @@ def _split_chunks(state, schema: pa.Schema, starts, ends, keep: list) -> Iterato
         if (idx < 0).any():
             keep.append(_chunk(df[idx < 0], schema))
         if (idx >= 0).any():
-            inside = df[idx >= 0]
+            inside = df[idx >= 0].copy()
             inside.insert(0, "sess", idx[idx >= 0])
             yield inside
 
