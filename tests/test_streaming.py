@@ -236,3 +236,29 @@ def test_stream_session_closes_while_others_stay_open(spark):
     out = spark.read.parquet(run_available_now(out_weather_pairs(sj)))
     stream = sorted(tuple(r) for r in out.where(F.col("userId") != FLUSH_USER).collect())
     assert stream == batch and len(batch) > 0
+
+
+def test_stream_session_resumes_from_checkpoint(spark):
+    """Stop after part of the feed, start again on the same checkpoint:
+    open sessions, their readings and timers come back from state."""
+    from tandem.sources.events import events_feed
+    f = events_feed(spark, "/root/testdata/sf0.001")
+    p = parse_feed(f)
+    batch = _rows(session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), 3600))
+    path = scratch_path(spark, "resume")
+    day = F.dayofmonth("timestamp")
+    src = (spark.readStream.schema("value string, timestamp timestamp")
+           .option("maxFilesPerTrigger", "1").parquet(path + "/*"))
+    sp = parse_feed(src)
+    sj = out_weather_pairs(session_join(weather_readings(sp, ingest="timestamp"), gps_readings(sp),
+                                        3600, delay="1 day"))
+    out, ckpt = scratch_path(spark, "resume-out"), scratch_path(spark, "resume-ckpt")
+    for i, (lo, hi) in enumerate([(1, 11), (11, 21)]):
+        stage_feed(f.where((day >= lo) & (day < hi)).coalesce(1), f"{path}/p={i}")
+    run_available_now(sj, out, ckpt)
+    stage_feed(f.where(day >= 21).coalesce(1), f"{path}/p=2")
+    stage_feed(flush_lines(spark), f"{path}/p=9")
+    run_available_now(sj, out, ckpt)
+    stream = sorted(tuple(r) for r in spark.read.parquet(out)
+                    .where(F.col("userId") != FLUSH_USER).collect())
+    assert stream == batch and len(batch) > 0
