@@ -66,9 +66,21 @@ def q_stream_sliding_join(spark, sf_dir):
 
 
 def q_stream_session_join(spark, sf_dir):
-    p = _stream_parsed(spark, sf_dir, flush=True)
-    j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), QUARTER_DAY)
-    return _sink(out_weather_pairs(j)).where(F.col("userId") != FLUSH_USER)
+    """The session join switches the session to the RocksDB state store for
+    the queries it starts; this replay puts the caller's settings back
+    afterwards, so later queries in the same session are unaffected."""
+    from tandem.streaming.sessions import CHANGELOG_KEY, PROVIDER_KEY
+    before = {k: spark.conf.get(k, None) for k in (PROVIDER_KEY, CHANGELOG_KEY)}
+    try:
+        p = _stream_parsed(spark, sf_dir, flush=True)
+        j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), QUARTER_DAY)
+        return _sink(out_weather_pairs(j)).where(F.col("userId") != FLUSH_USER)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def q_stream_late_rows(spark, sf_dir):

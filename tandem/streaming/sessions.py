@@ -47,14 +47,19 @@ CHUNK_STATE = "t_min long, t_max long, n long, data binary"
 SENSOR, GPS, MARK = 0, 1, 2
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 def use_rocksdb_state(spark) -> None:
     """List state needs the RocksDB state store.  Queries restarted from a
     checkpoint keep the provider recorded there, so setting it here only
-    affects queries started from now on."""
+    affects queries started from now on.  When the store is switched here,
+    changelog checkpointing is turned on too (unless the session chose), so
+    a commit writes the batch's changes rather than a full snapshot."""
     if spark.conf.get(PROVIDER_KEY, None) != ROCKSDB:
         spark.conf.set(PROVIDER_KEY, ROCKSDB)
+        if spark.conf.get(CHANGELOG_KEY, None) is None:
+            spark.conf.set(CHANGELOG_KEY, "true")
 
 
 def merge_sessions(bounds: list[tuple[int, int, int, int]]) -> list[list[int]]:
