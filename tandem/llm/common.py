@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.session import scratch_path
+from tandem.session import scratch_path, ship_code
 
 SPACES = b" \t\n\x0b\x0c\r"
 # Java regex for the same six characters.
@@ -38,6 +41,7 @@ def lower_ascii(text: bytes) -> bytes:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -51,11 +55,20 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``, to bound working memory."""
+def pieces(batches: Iterator[pa.RecordBatch], text: int, rows: int = 1000,
+           size: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows and about ``size``
+    bytes of column ``text`` (a longer text comes alone), so that working
+    memory follows neither the batch size nor the mix of long texts."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text).cast(pa.binary())), 0).to_numpy()
+        ends = np.cumsum(lengths)
+        at = 0
+        while at < batch.num_rows:
+            fits = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right"))
+            to = max(at + 1, min(at + rows, fits))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -64,3 +77,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+class WordDigests(dict):
+    """word -> 8-byte digest, filled on demand and emptied when large, so a
+    worker's memory stays bounded whatever the vocabulary."""
+
+    limit = 300_000
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        out = xxhash.xxh3_64_digest(word)
+        if len(word) <= 64:
+            self[word] = out
+        return out
+
+    def array(self, words: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype=np.uint64)
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """The splitmix64 finaliser: a bijection of 64-bit integers."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

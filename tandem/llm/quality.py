@@ -155,7 +155,7 @@ def quality_scores(docs: DataFrame, crf: LineCrf, min_share: float = 0.5,
     """One row per document: id, counts, base rule, verdict and content share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, 1):
             got = [judge(t, crf, min_share) for t in utf8(batch.column(1))]
             cols = list(zip(*got))
             yield pa.RecordBatch.from_arrays(
@@ -171,7 +171,7 @@ def keep_quality(docs: DataFrame, crf: LineCrf, min_share: float = 0.5, text_col
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, at):
             keep = [judge(t, crf, min_share)[6] for t in utf8(batch.column(at))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
@@ -239,7 +239,7 @@ def train_line_crf(docs: DataFrame, labels: DataFrame, per_class: int = 300, max
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * per_class rows at most
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 200):
+        for batch in pieces(batches, 1):
             rows = [line_features(t.split(b"\n")[:max_lines])[0].ravel().tolist() for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))],
                                              names=["quality", "x"])

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from tandem.llm.decontaminate import OP4_SQL, op4_benchmark_decontamination
+from tandem.llm.neardup import op10_minhash_near_dedup
 from tandem.llm.quality import op9_quality_rules
 
 QUERIES = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_benchmark_decontamination": OP4_SQL,
+}
