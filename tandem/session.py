@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -77,3 +78,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in root:
         os.makedirs(root, exist_ok=True)
     return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors.
+
+    Functions that run in workers are pickled by reference to their module, so
+    a driver that finds the package only through its own ``sys.path`` has to
+    send it along.  The zip is made once per application and handed out by the
+    driver's own file service (``addPyFile``).
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tandem-code-"), "tandem_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
