@@ -10,10 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tandem.llm.common import load, stored
+from tandem.llm.decontaminate import stage_decontaminate
+from tandem.llm.mixing import stage_mix
+from tandem.llm.neardup import stage_near_dedup
 from tandem.llm.quality import stage_quality
+from tandem.llm.token_ids import stage_token_ids
 
 STAGES = [
     ("quality_rules", stage_quality),
+    ("minhash_near_dedup", stage_near_dedup),
+    ("benchmark_decontamination", stage_decontaminate),
+    ("source_mixing", stage_mix),
+    ("token_ids_orc", stage_token_ids),
 ]
 
 # The stages use a trained model, hashing and random rounding: no SQL form.

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from tandem.llm.decontaminate import OP4_SQL, op4_benchmark_decontamination
+from tandem.llm.mixing import op1_source_mixing
 from tandem.llm.neardup import op10_minhash_near_dedup
 from tandem.llm.quality import op9_quality_rules
+from tandem.llm.token_ids import op8_token_ids_orc
 
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
-    "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op8_token_ids_orc": op8_token_ids_orc,
     "op9_quality_rules": op9_quality_rules,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
