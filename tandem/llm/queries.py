@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from tandem.llm.decontaminate import OP4_SQL, op4_benchmark_decontamination
+from tandem.llm.language import op3_language_id
 from tandem.llm.mixing import op1_source_mixing
 from tandem.llm.neardup import op10_minhash_near_dedup
 from tandem.llm.quality import op9_quality_rules
 from tandem.llm.token_ids import op8_token_ids_orc
+from tandem.llm.toxicity import op2_toxicity
+from tandem.llm.url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
+    "op7_url_filter": op7_url_filter,
     "op1_source_mixing": op1_source_mixing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_token_ids_orc": op8_token_ids_orc,
@@ -17,5 +23,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_url_filter": OP7_SQL,
     "op4_benchmark_decontamination": OP4_SQL,
 }
