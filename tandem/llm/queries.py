@@ -6,12 +6,14 @@ from tandem.llm.decontaminate import OP4_SQL, op4_benchmark_decontamination
 from tandem.llm.language import op3_language_id
 from tandem.llm.mixing import op1_source_mixing
 from tandem.llm.neardup import op10_minhash_near_dedup
+from tandem.llm.ppm import op6_ppm_scores
 from tandem.llm.quality import op9_quality_rules
 from tandem.llm.token_ids import op8_token_ids_orc
 from tandem.llm.toxicity import op2_toxicity
 from tandem.llm.url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op6_ppm_scores": op6_ppm_scores,
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
     "op7_url_filter": op7_url_filter,
