@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tandem.llm.decontaminate import OP4_SQL, op4_benchmark_decontamination
 from tandem.llm.language import op3_language_id
+from tandem.llm.line_dedup import op5_fuzzy_line_dedup
 from tandem.llm.mixing import op1_source_mixing
 from tandem.llm.neardup import op10_minhash_near_dedup
 from tandem.llm.ppm import op6_ppm_scores
@@ -13,6 +14,7 @@ from tandem.llm.toxicity import op2_toxicity
 from tandem.llm.url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op5_fuzzy_line_dedup": op5_fuzzy_line_dedup,
     "op6_ppm_scores": op6_ppm_scores,
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
