@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +60,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
 
 
 def link_buckets(items: DataFrame, bodies: Callable[[DataFrame], DataFrame],
-                 verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+                 verify: Callable[[DataFrame], DataFrame],
+                 across: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> DataFrame:
     """Components of the links between items that share a bucket and verify.
 
     ``items``: (bucket long, key long), distinct.  ``bodies`` gets the keys
@@ -66,47 +69,93 @@ def link_buckets(items: DataFrame, bodies: Callable[[DataFrame], DataFrame],
     (key, body).  ``verify`` takes pairs (a, b, body_a, body_b) and returns
     the true ones as edges (u, v).  Returns (node, component).
 
-    No link is lost and no bucket is expanded into all its pairs: first every
-    member of a bucket is compared with the bucket's smallest key; then only
-    members of *different* components that share a bucket are compared, where
-    one side always lies outside the bucket's largest component.  A bucket of m
-    alike items costs m comparisons; one of m unlike items still costs its
-    pairs, as no fewer can prove them unlike.
+    No link is lost and no bucket is expanded into all its pairs.  First every
+    member of a bucket is compared with the bucket's head, its member in the
+    most and largest buckets (for copies of one text, likely that text).  Then
+    only members of *different* components that share a bucket are left, and
+    one of the two always lies outside the bucket's largest component;
+    ``across`` compares them: it gets (bucket, key, comp, major, n_minor, n_all)
+    and the bodies, and returns edges.
     """
-    heads = stored(items.groupBy("bucket").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n"))
-                   .where("n > 1"), f"{name}-heads")
-    tied = stored(items.join(heads, "bucket"), f"{name}-tied")
-    star = stored(tied.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct(),
-                  f"{name}-star")
-    nodes = star.select(F.col("a").alias("key")).unionByName(star.select(F.col("b").alias("key"))).distinct()
-    body = stored(bodies(nodes), f"{name}-bodies")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        return verify(pairs.join(body.select(F.col("key").alias("a"), F.col("body").alias("body_a")), "a")
-                      .join(body.select(F.col("key").alias("b"), F.col("body").alias("body_b")), "b"))
-
-    edges = stored(links(star), f"{name}-links")
+    full = stored(items.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{name}-full")
+    tied = stored(items.join(full, "bucket"), f"{name}-tied")
+    weight = tied.groupBy("key").agg(F.sum("n").alias("weight"))
+    heads = tied.join(weight, "key").groupBy("bucket").agg(
+        F.max(F.struct("weight", "key")).getField("key").alias("head"))
+    star = (tied.join(heads, "bucket").where("key <> head")
+            .select(F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b"),
+                    F.col("head").alias("h")).groupBy("a", "b").agg(F.min("h").alias("h")))
+    # the head comes second, so that its body is prepared once for a run of pairs
+    star = stored(star.select(F.when(F.col("a") == F.col("h"), F.col("b")).otherwise(F.col("a")).alias("a"),
+                              F.col("h").alias("b")), f"{name}-star")
+    body = stored(bodies(tied.select("key").distinct()), f"{name}-bodies")
+    edges = stored(verify(star.join(body.select(F.col("key").alias("a"), F.col("body").alias("body_a")), "a")
+                          .join(body.select(F.col("key").alias("b"), F.col("body").alias("body_b")), "b")),
+                   f"{name}-links")
     comp = connected_components(edges, f"{name}-cc")
-    wide = tied.where("n > 2").select("bucket", "key")
-    placed = (wide.join(comp.withColumnRenamed("node", "key"), "key", "left")
+    placed = (tied.where("n > 2").select("bucket", "key")
+              .join(comp.withColumnRenamed("node", "key"), "key", "left")
               .select("bucket", "key", F.coalesce("component", "key").alias("comp")))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = (sizes.groupBy("bucket")
-             .agg(F.max(F.struct("n", "comp")).getField("comp").alias("major"), F.count(F.lit(1)).alias("n_comp"))
-             .where("n_comp > 1").select("bucket", "major"))
+             .agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("n_comp"),
+                  F.sum("n").alias("n_all"))
+             .where("n_comp > 1")
+             .select("bucket", F.col("top.comp").alias("major"), (F.col("n_all") - F.col("top.n")).alias("n_minor"),
+                     "n_all"))
     open_ = stored(placed.join(mixed, "bucket"), f"{name}-open")
-    minor = open_.where("comp <> major").select("bucket", F.col("key").alias("a"), F.col("comp").alias("ca"))
-    other = open_.select("bucket", F.col("key").alias("b"), F.col("comp").alias("cb"), "major")
-    cross = (minor.join(other, "bucket")
-             .where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))))
-             .select("a", "b").distinct())
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    cross = (cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-             .join(done, ["a", "b"], "left_anti"))
-    cross = stored(cross, f"{name}-cross")
-    if cross.isEmpty():
+    if open_.isEmpty():
         return comp
-    more = stored(links(cross), f"{name}-links2")
+    more = stored(across(open_, body), f"{name}-links2")
     if more.isEmpty():
         return comp
     return connected_components(edges.unionByName(more), f"{name}-cc2")
+
+
+def across_in_blocks(open_: DataFrame, body: DataFrame, compare: Callable, block: int = 256) -> DataFrame:
+    """Pairs of different components in shared buckets, compared block by block.
+
+    The members outside a bucket's largest component are cut into blocks of
+    about ``block`` rows, all its members likewise, and each block of the one
+    meets each block of the other in a task of its own: rows made grow with
+    members / ``block``, and no task holds more than two blocks.  A pair that
+    shares several buckets is compared in the smallest of them only.
+    ``compare(left bodies, right bodies, wanted)`` returns the index pairs of
+    true links among those that the boolean matrix ``wanted`` asks for.
+    """
+    shared = open_.groupBy("key").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
+    rich = stored(open_.join(shared, "key"), "across-open")
+    n_left = F.ceil(F.col("n_minor") / block).cast("long")
+    n_right = F.ceil(F.col("n_all") / block).cast("long")
+    cols = ["bucket", "key", "comp", "major", "buckets"]
+    left = rich.where("comp <> major").select(
+        *cols, F.pmod(F.xxhash64("key"), n_left).alias("lb"),
+        F.explode(F.sequence(F.lit(0).cast("long"), n_right - 1)).alias("rb"), F.lit(True).alias("is_left"))
+    right = rich.select(
+        *cols, F.explode(F.sequence(F.lit(0).cast("long"), n_left - 1)).alias("lb"),
+        F.pmod(F.xxhash64("key"), n_right).alias("rb"), F.lit(False).alias("is_left"))
+    rows = left.unionByName(right).join(body, "key")
+
+    def run(table: pa.Table) -> pa.Table:
+        key = table.column("key").to_numpy()
+        comp = table.column("comp").to_numpy()
+        is_left = table.column("is_left").to_numpy(zero_copy_only=False)
+        here, major = table.column("bucket")[0].as_py(), table.column("major")[0].as_py()
+        lists = [np.array(x) for x in table.column("buckets").to_pylist()]
+        at_l, at_r = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+        wanted = (comp[at_l][:, None] != comp[at_r][None, :]) & (
+            (comp[at_r] == major)[None, :] | (key[at_l][:, None] < key[at_r][None, :]))
+        # smaller buckets than this one that a left and a right member share
+        names: dict[int, int] = {}
+        low = [[names.setdefault(b, len(names)) for b in x[x < here].tolist()] for x in lists]
+        if names:
+            has = np.zeros((len(lists), len(names)), dtype=np.float32)
+            for i, x in enumerate(low):
+                has[i, x] = 1.0
+            wanted &= (has[at_l] @ has[at_r].T) == 0
+        text = [b"" if x is None else x for x in table.column("body").cast(pa.binary()).to_pylist()]
+        pairs = compare([text[i] for i in at_l], [text[i] for i in at_r], wanted) if wanted.any() else []
+        return pa.table({"u": pa.array([key[at_l[i]] for i, _ in pairs], pa.int64()),
+                         "v": pa.array([key[at_r[j]] for _, j in pairs], pa.int64())})
+
+    return rows.groupBy("bucket", "lb", "rb").applyInArrow(run, "u long, v long")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.llm.common import WordDigests, alnum_words, fresh, load, mix64, pieces, stored, utf8
-from tandem.llm.graph import link_buckets
+from tandem.llm.graph import across_in_blocks, link_buckets
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 24, 5, 0.8
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -94,6 +94,40 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((wa / total).sum())
 
 
+def similar_pairs(left: list[bytes], right: list[bytes], wanted: np.ndarray, shingle: int,
+                  threshold: float) -> list[tuple[int, int]]:
+    """Index pairs, of those wanted, whose probability Jaccard reaches the threshold.
+
+    With no repeated shingle on either side that is the plain Jaccard
+    similarity, counted for a whole row of the block at once.
+    """
+    digests = WordDigests()
+    a = [weighted_shingles(words_of(t), digests, shingle) for t in left]
+    b = [weighted_shingles(words_of(t), digests, shingle) for t in right]
+    sizes = np.array([len(s) for s, _ in b])
+    plain = np.array([bool((c == 1).all()) for _, c in b])
+    pool = np.concatenate([s for s, _ in b])
+    owner = np.repeat(np.arange(len(b)), sizes)
+    order = np.argsort(pool, kind="stable")
+    pool, owner = pool[order], owner[order]
+    out = []
+    for i, (items, counts) in enumerate(a):
+        todo = wanted[i]
+        if not todo.any():
+            continue
+        lo, hi = np.searchsorted(pool, items, "left"), np.searchsorted(pool, items, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(b))
+        if (counts == 1).all():
+            jaccard = common / (len(items) + sizes - common)
+            out.extend((i, int(j)) for j in np.flatnonzero(todo & plain & (jaccard >= threshold)))
+            todo = todo & ~plain
+        out.extend((i, int(j)) for j in np.flatnonzero(todo & (common > 0))
+                   if probability_jaccard((items, counts), b[j]) >= threshold)
+    return out
+
+
 def document_bands(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     """(id, row_key, key, bands): row_key identifies (id, text); key the words."""
     registers = bands * rows
@@ -163,7 +197,10 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, bands: int =
 
         return pairs.select("a", "b", "body_a", "body_b").mapInArrow(run, "u long, v long")
 
-    comp = link_buckets(items, texts, verify, "neardup")
+    def compare(left: list[bytes], right: list[bytes], wanted: np.ndarray) -> list[tuple[int, int]]:
+        return similar_pairs(left, right, wanted, shingle, threshold)
+
+    comp = link_buckets(items, texts, verify, lambda o, b: across_in_blocks(o, b, compare), "neardup")
     of_key = (reps.select("key", "first").join(comp.withColumnRenamed("node", "key"), "key", "left")
               .select("key", "first", F.coalesce("component", "key").alias("comp")))
     lead = of_key.groupBy("comp").agg(F.min("first").alias("lead"))
