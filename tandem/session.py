@@ -44,6 +44,11 @@ def get_session(master: str = "local[8]", app: str = "tandem",
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 _OWN_KEY = "tandem.checkpoint.dir"  # a plain session key: settable at run time
 
 
@@ -52,8 +57,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     In order: ``spark.checkpoint.dir`` as the cluster names it; the folder
     the application gave ``SparkContext.setCheckpointDir``; a folder made
-    by an earlier call.  Only when none is set (tests, local runs) a fresh
-    folder under /tmp is made and remembered in the session.
+    by an earlier call.  Only a local master may go without: a fresh folder
+    under /tmp is made and remembered in the session.  With any other master
+    that would be a folder each machine has for itself, so it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_KEY, None)
     if not path:
@@ -62,6 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # no SparkContext in a Connect client
             path = None
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not is_local(master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share (master: {master!r})")
         path = tempfile.mkdtemp(prefix="tandem-ckpt-")
         spark.conf.set(_OWN_KEY, path)
         try:

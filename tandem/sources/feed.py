@@ -19,20 +19,21 @@ def kafka_source_options(topic: str, bootstrap_servers: str, group_id: str | Non
     ``starting_offsets="latest"`` starts at the end of the topic.  With
     ``None`` no start is set; Spark then resumes from the offsets kept in the
     query checkpoint (its equivalent of a consumer group's committed offset).
+    ``group_id`` becomes the prefix of each query's own consumer group.
     Any other consumer property can be passed in ``extra`` (``kafka.`` prefix
     is added when missing).  ``min_partitions`` splits the offset ranges of
     a topic with few partitions over more tasks (Spark's ``minPartitions``).
     """
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic}
-    if group_id:
-        opts["kafka.group.id"] = group_id
+    if group_id:  # a prefix: queries that share one group id would each get a part of the data
+        opts["groupIdPrefix"] = group_id
     if starting_offsets is not None:
         opts["startingOffsets"] = starting_offsets
     if min_partitions:
         opts["minPartitions"] = str(min_partitions)
     for k, v in (extra or {}).items():
         opts[k if k.startswith("kafka.") or k in ("failOnDataLoss", "maxOffsetsPerTrigger",
-                                                  "minPartitions", "includeHeaders")
+                                                  "minPartitions", "includeHeaders", "groupIdPrefix")
              else f"kafka.{k}"] = str(v)
     return opts
 

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from tandem.plans.pipeline import JobConfig
@@ -10,7 +12,7 @@ def test_kafka_option_maps():
     o = kafka_source_options("android-sensor", "localhost:9092", group_id="g2",
                              extra={"zookeeper.connect": "localhost:2181"})
     assert o == {"kafka.bootstrap.servers": "localhost:9092", "subscribe": "android-sensor",
-                 "kafka.group.id": "g2", "startingOffsets": "latest",
+                 "groupIdPrefix": "g2", "startingOffsets": "latest",
                  "kafka.zookeeper.connect": "localhost:2181"}
     assert "startingOffsets" not in kafka_source_options("t", "b", starting_offsets=None)
     assert kafka_sink_options("joinedstreams", "b") == {"kafka.bootstrap.servers": "b",
@@ -57,10 +59,100 @@ def test_pipeline_streams_per_sensor_and_gps_region(spark):
     assert reg == "R"
 
 
-def test_console_sink_batch(spark, capsys):
+def _to_file(path):
+    """Appends lines to a folder, one file per worker process (pickled by value)."""
+    def emit(line):
+        import os
+        with open(os.path.join(path, str(os.getpid())), "a") as f:
+            f.write(line + "\n")
+    return emit
+
+
+def _lines(path):
+    return sorted(x for p in os.listdir(path) for x in open(os.path.join(path, p)).read().splitlines())
+
+
+def test_console_sink_prints_every_row(spark, tmp_path):
+    """More rows than any table printer shows, in a batch and in one micro-batch."""
+    from tandem.session import scratch_path
     from tandem.sources.sinks import write_console
-    write_console(spark.createDataFrame([(1,)], "a int"))
-    assert "a" in capsys.readouterr().out
+    want = sorted('{"a":%d}' % i for i in range(50))
+    df = spark.range(50).selectExpr("cast(id as int) a")
+    for kind in ("batch", "stream"):
+        out = tmp_path / kind
+        out.mkdir()
+        if kind == "batch":
+            write_console(df, emit=_to_file(str(out)))
+        else:
+            path = scratch_path(spark, "console-in")
+            df.coalesce(1).write.parquet(path)
+            q = write_console(spark.readStream.schema("a int").parquet(path), emit=_to_file(str(out)))
+            q.processAllAvailable()
+            q.stop()
+        assert _lines(out) == want
+
+
+def test_csv_keeps_blanks_and_tells_empty_from_null(spark):
+    from tandem.session import scratch_path
+    from tandem.sources.sinks import read_csv, write_csv
+    rows = [(1, " a "), (2, "b\tc "), (3, ""), (4, None), (5, 'q"|x')]
+    df = spark.createDataFrame(rows, "i int, t string")
+    path = scratch_path(spark, "csv-exact")
+    write_csv(df, path)
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == rows
+
+
+def test_checkpoint_folder_is_required_off_local():
+    from tandem.session import checkpoint_root, is_local
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+    assert is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+
+
+def test_junk_types_make_no_folder(spark):
+    from tandem.operators.parse import gps_readings, parse_feed, stage_parsed
+    from tandem.session import scratch_path
+    from tests.helpers import EDGE_MS, feed, gps
+    lines = [gps(EDGE_MS)] + [gps(EDGE_MS).replace("TYPE_GPS", f"JUNK_{i}") for i in range(50)]
+    path = scratch_path(spark, "junk")
+    staged = stage_parsed(parse_feed(feed(spark, lines)), path, types=("TYPE_GPS",))
+    assert [x for x in os.listdir(path.replace("file:", "")) if "=" in x] == ["sensorType=TYPE_GPS"]
+    assert gps_readings(staged).count() == 1
+
+
+def test_job_options_reach_the_joins(spark):
+    from tandem.operators.parse import parse_feed
+    from tandem.plans.pipeline import JobConfig, pipeline_outputs, sensor_streams
+    from tests.helpers import EDGE_MS, feed, gps, msg, weather
+    lines = [gps(EDGE_MS + 1000), weather(EDGE_MS + 2000),
+             msg("TYPE_ACCELEROMETER", {"x": 1.0, "y": 2.0, "z": 3.0}, EDGE_MS + 3000)]
+    f = feed(spark, lines)
+    base = dict(window_size=10, single_sensors=("TYPE_WEATHER",), multi_sensors=("TYPE_ACCELEROMETER",),
+                des_topic="out", gps_region_topic="regions")
+    plain = JobConfig(**base)
+    salted = JobConfig(**base, salt=3, salt_keys=("u1",), delay="5 seconds", quoted_keys=True)
+    a = {k: sorted(r[0] for r in v.collect()) for k, v in
+         pipeline_outputs(f, plain, ingest="timestamp").items()}
+    b = dict(sensor_streams(parse_feed(f), salted, None, "timestamp"))
+    assert set(a) == {"out", "regions"} and len(a["out"]) == 2 and len(a["regions"]) == 1
+    assert "_salt" in b["TYPE_WEATHER"]._jdf.queryExecution().analyzed().toString()
+    quoted = b["TYPE_ACCELEROMETER"].collect()
+    assert len(quoted) == 1 and quoted[0].value not in a["out"]
+    with pytest.raises(ValueError):
+        JobConfig(**base, salt=0).validate()
 
 
 def test_streaming_text_source_and_csv_sink(spark):
