@@ -11,8 +11,7 @@ of the same key.  One code path serves batch and streaming DataFrames:
   per window the two readings share.
 * session: sessions are formed over both sides' readings of a key together
   (a step of at most the gap stays in the session).  Batch: see
-  ``tandem.operators.sessions``; stream:
-  ``session_window`` aggregation with the pairs expanded on emit.
+  ``tandem.operators.sessions``; stream: ``tandem.streaming.sessions``.
 
 Pair shapes (which side gives which field) follow the three sensor kinds:
 weather (keys: trimmed sensor userId = GPS userId; event time: sensor
@@ -219,8 +218,8 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     [first reading, last reading + gap).
 
     Batch (see ``tandem.operators.sessions``): ``bucket`` fixes the time
-    bucket of the local numbering (default: sized from the data so the
-    hottest key splits into pieces of about ``target_rows``);
+    bucket of the local numbering (default: every key with more than
+    ``target_rows`` readings is cut at quantiles of its times);
     ``materialize`` writes the numbered rows once under the checkpoint
     folder; ``salt`` spreads a hot session in the final pair join.
     Stream (see ``tandem.streaming.sessions``): list state per key, pairs

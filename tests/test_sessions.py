@@ -45,22 +45,78 @@ def test_sessions_numbered_densely(spark):
     assert assign_sessions(df, 2000).select(F.max("_sid")).first()[0] == 3
 
 
-def test_adaptive_bucket_splits_hot_key(spark):
-    from tandem.operators.sessions import choose_bucket_us
+def _pieces(df, target_rows):
+    from tandem.operators.sessions import local_sessions
+    return {(r._k, r._b): r["count"] for r in
+            local_sessions(df, 500, target_rows=target_rows).groupBy("_k", "_b").count().collect()}
+
+
+def test_hot_key_is_cut_and_numbering_stays(spark):
     rnd = random.Random(3)
     rows = [("hot", rnd.randrange(0, 1_000_000) * 1000) for _ in range(900)]
     rows += [("cold", rnd.randrange(0, 1_000_000) * 1000) for _ in range(30)]
     df = spark.createDataFrame(rows, "_k string, _t long")
-    hot = [t for k, t in rows if k == "hot"]
-    span = max(hot) - min(hot) + 1
-    b = choose_bucket_us(df, target_rows=100)
-    assert b == span * 100 // 900  # the hot key falls into about 9 buckets
-    assert choose_bucket_us(df, target_rows=10_000) == span
+    got = _pieces(df, 100)
+    assert max(got.values()) <= 130 and sum(k == "hot" for k, _ in got) >= 8
+    assert sum(k == "cold" for k, _ in got) == 1
+    assert len(_pieces(df, 10_000)) == 2
     for gap_ms in (500, 5_000, 50_000):
         got = {(r._k, r._t): r._sid for r in assign_sessions(df, gap_ms, target_rows=100).collect()}
         assert got == brute(rows, gap_ms), gap_ms
 
 
+def test_burst_of_a_second_key_is_cut_too(spark):
+    """20,000 readings spread over time, and 19,000 of another key in one burst."""
+    from pyspark.sql import functions as F
+    spread = spark.range(20_000).select(F.lit("spread").alias("_k"), (F.col("id") * 1_000_000).alias("_t"))
+    burst = spark.range(19_000).select(F.lit("burst").alias("_k"), (F.col("id") + 5_000_000_000).alias("_t"))
+    got = _pieces(spread.unionByName(burst), 500)
+    assert max(got.values()) <= 2 * 500
+    assert sum(k == "burst" for k, _ in got) >= 19
+
+
+def _hot_session(spark):
+    from pyspark.sql import functions as F
+    t = F.timestamp_millis(F.col("id") * 100)
+    s = spark.range(3000).select(F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100))
+                                 .alias("_k"), t.alias("_et"), F.col("id").alias("s_id"),
+                                 F.sha2(F.col("id").cast("string"), 512).alias("s_pad"))
+    g = spark.range(60).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100))
+                               .alias("_k"), F.timestamp_millis(F.col("id") * 5000).alias("_et"),
+                               F.col("id").alias("g_id"))
+    return s, g
+
+
+def test_session_pair_join_is_last_and_splits_skew(spark):
+    """Without broadcasts, a hot session (of many times ``target_rows`` rows) is
+    split by AQE; with salt no exchange stands above the pair join."""
+    import re
+    from tandem.operators.sessions import batch_session_pairs
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.shuffle.partitions": "12",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        s, g = _hot_session(spark)
+        plain = batch_session_pairs(s, g, 60_000, target_rows=100)
+        plain.collect()
+        assert "skew=true" in plain._jdf.queryExecution().executedPlan().toString()
+        salted = batch_session_pairs(s, g, 60_000, salt=8, target_rows=100)
+        n = salted.collect()
+        assert sorted(map(tuple, n)) == sorted(map(tuple, plain.collect()))
+        plan = salted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        join = plan.index("SortMergeJoin")
+        assert "_salt" in plan[join:join + 400]  # the first operator from above is the pair join
+        assert not re.search(r"Exchange|ShuffleQueryStage", plan[:join])
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_session_join_with_small_target_matches_default(spark):
     from tandem.operators.parse import gps_readings, parse_feed, weather_readings
     from tandem.operators.windows import session_join
