@@ -20,8 +20,9 @@ processor's window buffer:
   output is made in chunks of about ``chunk_pairs`` pairs.  Readings of
   sessions still open are written back.
 
-A reading whose own window [t, t + gap) already lies behind the watermark
-is late and dropped (its session has been emitted).  The batch path in
+A reading whose own window [t, t + gap) lies behind the watermark is kept if
+it falls into (or touches) a session that is still open, as its session has
+not been emitted; otherwise it is late and dropped.  The batch path in
 ``tandem.operators.sessions`` is fully distributed and is the one to use
 for backfills; in a stream, a key's open sessions live in one task, as in
 any keyed stream processor.
@@ -29,17 +30,21 @@ any keyed stream processor.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tandem.session import ship_code
+
 SESSION_STATE = "start long, end long, n_s long, n_g long"
 CHUNK_STATE = "t_min long, t_max long, n long, data binary"
 # input tags: a sensor reading, a GPS reading, a sensor reading's time alone
@@ -91,6 +96,23 @@ def point_sessions(t: np.ndarray, side: np.ndarray, gap: int) -> list[tuple[int,
     return [(int(a), int(b), int(c), int(d)) for a, b, c, d in zip(starts, ends, n_s, n_g)]
 
 
+def join_open(late: pd.DataFrame, open_: list, gap: int) -> pd.DataFrame:
+    """The late readings that belong to an open session: their own window
+    [t, t + gap) overlaps or touches it, directly or through other late
+    readings of the batch.  Late readings lie before the end of every open
+    session, so one pass from the latest to the earliest settles all."""
+    order = np.argsort(-late["t_us"].to_numpy(dtype=np.int64), kind="stable")
+    spans = merge_sessions(open_)
+    keep = []
+    for i in order:
+        t = int(late["t_us"].iloc[i])
+        hit = next((s for s in spans if s[0] <= t + gap and t <= s[1]), None)
+        if hit is not None:
+            hit[0] = min(hit[0], t)
+            keep.append(i)
+    return late.iloc[sorted(keep)]
+
+
 class SessionPairs(StatefulProcessor):
     """Pairs of sensor x GPS readings per key and session (times in micros).
 
@@ -122,9 +144,17 @@ class SessionPairs(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs() * 1000
         ts, sides, s_chunks, g_chunks = [], [], [], []
+        old = [tuple(r) for r in self.sessions.get()]
+        fresh, behind = [], []
         for pdf in rows:
-            if wm > 0:  # late: the reading's own window is already closed
-                pdf = pdf[pdf["t_us"].to_numpy() + self.gap > wm]
+            in_time = pdf["t_us"].to_numpy() + self.gap > wm if wm > 0 else np.ones(len(pdf), dtype=bool)
+            fresh.append(pdf[in_time])
+            behind.append(pdf[~in_time])
+        if any(len(p) for p in behind):
+            open_ = old + [s for p in fresh if len(p) for s in point_sessions(
+                p["t_us"].to_numpy(dtype=np.int64), p["side"].to_numpy(dtype=np.int64), self.gap)]
+            fresh.append(join_open(pd.concat(behind, ignore_index=True), open_, self.gap))
+        for pdf in fresh:
             if pdf.empty:
                 continue
             side = pdf["side"].to_numpy(dtype=np.int64)
@@ -141,7 +171,6 @@ class SessionPairs(StatefulProcessor):
             self.sensor.appendList(s_chunks)
         if g_chunks:
             self.gps.appendList(g_chunks)
-        old = [tuple(r) for r in self.sessions.get()]
         merged = merge_sessions(old + point_sessions(np.concatenate(ts),
                                                      np.concatenate(sides), self.gap))
         self.sessions.put([tuple(m) for m in merged])
@@ -278,6 +307,9 @@ def stream_session_pairs(s: DataFrame, g: DataFrame, gap_ms: int,
     ``salt_keys`` limits this to the named (hot) join keys; the others keep
     one group and are not copied."""
     use_rocksdb_state(s.sparkSession)
+    ship_code(s.sparkSession)
+    # the state schema is read in a driver-side worker that gets no shipped files
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     s_cols = [c for c in s.columns if c not in ("_k", "_et")]
     g_cols = [c for c in g.columns if c not in ("_k", "_et")]
     s_schema = StructType([s.schema[c] for c in s_cols])

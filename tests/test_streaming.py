@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tandem.operators.parse import gps_readings, parse_feed, weather_readings
 from tandem.operators.windows import session_join, sliding_join, tumbling_join
 from tandem.plans.catalog import out_weather_pairs
-from tandem.plans.streams import FLUSH_USER, flush_lines
+from tandem.plans.streams import FLUSH_MS, FLUSH_USER, flush_lines
 from tandem.session import scratch_path
 from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
 from tests.helpers import EDGE_MS, feed, gps, weather
@@ -262,3 +262,56 @@ def test_stream_session_resumes_from_checkpoint(spark):
     stream = sorted(tuple(r) for r in spark.read.parquet(out)
                     .where(F.col("userId") != FLUSH_USER).collect())
     assert stream == batch and len(batch) > 0
+
+
+def _late_session(spark, salt):
+    """Weather 0 s, GPS 8 s (open to 18 s at a 10 s gap); readings of another
+    user move the watermark to 12 s; then weather at 1 s: its own window ended
+    at 11 s, but its session is open."""
+    name = f"late-in-session{salt}"
+    path = scratch_path(spark, name)
+    stage_feed(feed(spark, [weather(EDGE_MS), gps(EDGE_MS + 8000), weather(EDGE_MS + 12_000, user="o"),
+                            gps(EDGE_MS + 12_000, user="o")]), path + "/p=1")
+    src = spark.readStream.schema("value string, timestamp timestamp").parquet(path + "/*")
+    p = parse_feed(src)
+    j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), 10, salt=salt)
+    out, ckpt = scratch_path(spark, name + "-out"), scratch_path(spark, name + "-ckpt")
+    sel = j.select("userId", F.unix_millis("ingestTs").alias("ms"), F.unix_millis("window_start").alias("a"),
+                   F.unix_millis("window_end").alias("b"))
+    run_available_now(sel, out, ckpt)
+    # 1 s falls into the open session; user "z" has no open session at 1 s
+    stage_feed(feed(spark, [weather(EDGE_MS + 1000), weather(EDGE_MS + 1000, user="z"),
+                            gps(EDGE_MS + 1000, user="z")]), path + "/p=2")
+    run_available_now(sel, out, ckpt)
+    stage_feed(feed(spark, [weather(FLUSH_MS, user=FLUSH_USER), gps(FLUSH_MS, user=FLUSH_USER)]), path + "/p=3")
+    run_available_now(sel, out, ckpt)
+    rows = spark.read.parquet(out).where("userId = 'u1' OR userId = 'z'").collect()
+    return sorted((r.ms - EDGE_MS, r.a - EDGE_MS, r.b - EDGE_MS) for r in rows)
+
+
+def test_reading_inside_an_open_session_is_not_late(spark):
+    want = [(0, 0, 18_000), (1000, 0, 18_000)]
+    assert _late_session(spark, 1) == want
+    assert _late_session(spark, 3) == want
+
+
+def test_late_reading_of_no_open_session_is_dropped():
+    import pandas as pd
+    from tandem.streaming.sessions import join_open
+    late = pd.DataFrame({"t_us": [5, 31, 18, 40], "side": [0, 0, 0, 0]})
+    # open [50, 70), gap 10: 40 touches it, 31 follows through 40; 18 and 5 are alone
+    assert join_open(late, [(50, 70, 1, 1)], 10)["t_us"].tolist() == [31, 40]
+    assert join_open(late, [], 10).empty
+
+
+def test_stream_with_processing_time_ingest(spark):
+    """``ingest=None``: the ingest time is the time of processing."""
+    import time
+    now = int(time.time() * 1000)
+    path = scratch_path(spark, "ingest-none")
+    stage_feed(feed(spark, [gps(now + d * 1000) for d in range(0, 600, 5)] + [weather(EDGE_MS)]), path)
+    p = parse_feed(stream_feed(spark, path))
+    j = tumbling_join(weather_readings(p), gps_readings(p), 3600)
+    out = run_available_now(j.select(F.unix_millis("ingestTs").alias("ms"), F.unix_millis("obsTs").alias("obs")))
+    rows = spark.read.parquet(out).collect()
+    assert rows and all(now <= r.ms <= int(time.time() * 1000) and r.obs == EDGE_MS for r in rows)
