@@ -40,12 +40,21 @@ def _finite(d: Column) -> Column:
     return d.isNotNull() & ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
 
 
-def json_int(d) -> Column:
-    """int of a member already parsed as double: truncate toward zero,
-    saturate at the int range; non-numbers (null after parsing) give 0."""
+def json_int(d, text=None) -> Column:
+    """int of a member already parsed as double: truncate toward zero;
+    non-numbers (null after parsing) give 0.
+
+    Beyond the int range a fraction saturates and an integer keeps its low 32
+    bits; ``text``, the member's JSON text, tells them apart and is only
+    evaluated for such values."""
     d = _col(d)
-    clipped = F.least(F.greatest(d, F.lit(float(_INT_MIN))), F.lit(float(_INT_MAX)))
-    return F.when(_finite(d), clipped.cast("int")).otherwise(F.lit(0))
+    clipped = F.least(F.greatest(d, F.lit(float(_INT_MIN))), F.lit(float(_INT_MAX))).cast("int")
+    if text is not None:
+        t = _col(text)
+        big = F.when(t.rlike(r"^-?[0-9]{1,37}$"), t.try_cast("decimal(38,0)"))
+        low = (F.pmod(big + F.lit(2147483648), F.lit(4294967296)) - F.lit(2147483648)).cast("int")
+        clipped = F.when((d > _INT_MAX) | (d < _INT_MIN), F.coalesce(low, clipped)).otherwise(clipped)
+    return F.when(_finite(d), clipped).otherwise(F.lit(0))
 
 
 def json_float(d) -> Column:
@@ -55,6 +64,19 @@ def json_float(d) -> Column:
     return F.when(_finite(d), d.cast("float")).otherwise(F.lit(0.0).cast("float"))
 
 
+def node_kind(raw, path: str) -> Column:
+    """Kind of a node of a JSON text: OBJECT..., ARRAY..., BOOLEAN, STRING, ..."""
+    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(_col(raw)), path, "variant"))
+
+
+def as_text(text, raw, path: str) -> Column:
+    """Text of the node at ``path``, decoded as ``text``: objects and arrays
+    read as ''.  Only texts that look like one are parsed again."""
+    t = _col(text)
+    inner = node_kind(raw, path).rlike("^(OBJECT|ARRAY)")
+    return F.when(F.substring(t, 1, 1).isin("{", "["), F.when(inner, F.lit("")).otherwise(t)).otherwise(t)
+
+
 def member_names(doc) -> Column:
     """Distinct member names of a JSON object text, in document order
     (a repeated name keeps its first place); null when not an object."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.functions.coerce import (
-    as_long, json_float, json_int, member_names, variant_number, with_once,
+    as_long, as_text, json_float, json_int, member_names, node_kind, variant_number, with_once,
 )
 
 GPS = "TYPE_GPS"
@@ -46,10 +46,10 @@ def parse_feed(feed: DataFrame, value_col: str = "value") -> DataFrame:
                | F.col("_j.sensorType").isNotNull() | F.col("_j.sensorValue").isNotNull()
                | F.col("_j.observationTimestamp").isNotNull())
     return d.where(decoded).select(
-        F.col("_j.userAccount.userId").alias("userId"),
-        F.col("_j.userAccount.userEmail").alias("userEmail"),
-        F.col("_j.deviceId").alias("deviceId"),
-        F.col("_j.sensorType").alias("sensorType"),
+        as_text("_j.userAccount.userId", "raw", "$.userAccount.userId").alias("userId"),
+        as_text("_j.userAccount.userEmail", "raw", "$.userAccount.userEmail").alias("userEmail"),
+        as_text("_j.deviceId", "raw", "$.deviceId").alias("deviceId"),
+        as_text("_j.sensorType", "raw", "$.sensorType").alias("sensorType"),
         F.col("_j.sensorValue").alias("sensorValue"),
         _obs_ms(F.col("_j.observationTimestamp"), F.col("raw")).alias("obsMs"),
         "raw", *extra,
@@ -64,18 +64,22 @@ def slim_parsed(parsed: DataFrame) -> DataFrame:
                              .otherwise(F.col("raw")))
 
 
-def stage_parsed(parsed: DataFrame, path: str | None = None) -> DataFrame:
+def stage_parsed(parsed: DataFrame, path: str | None = None, types: tuple | None = None) -> DataFrame:
     """Write decoded messages once as parquet partitioned by ``sensorType``
     (under ``spark.checkpoint.dir`` unless ``path`` is given) and read them
     back.  Batch only.  Every reader of the result then scans only its own
     sensor type's partition and only the columns it needs, instead of
     re-reading and re-decoding the whole feed once per sensor and once for
-    GPS; the lineage is cut there too.
+    GPS; the lineage is cut there too.  ``sensorType`` is text from outside:
+    with ``types`` only messages of those types are written, so a topic with
+    many unknown types does not make a folder for each.
     """
     from tandem.session import scratch_path
 
     spark = parsed.sparkSession
     path = path or scratch_path(spark, "parsed-feed")
+    if types is not None:
+        parsed = parsed.where(F.col("sensorType").isin(list(types)))
     slim = slim_parsed(parsed)
     slim.write.partitionBy("sensorType").parquet(path)
     back = spark.read.schema(slim.schema).parquet(path)  # known schema: also when empty
@@ -86,7 +90,9 @@ def _obs_ms(text, raw):
     """Epoch ms: a present JSON null reads as 0, only a missing member gives
     null (the key scan runs only for the rare null rows)."""
     present = F.array_contains(F.json_object_keys(raw), "observationTimestamp")
-    return F.when(text.isNotNull(), as_long(text)).when(present, F.lit(0).cast("bigint"))
+    truth = (text == "true") & (node_kind(raw, "$.observationTimestamp") == "BOOLEAN")
+    return (F.when(truth, F.lit(1).cast("bigint")).when(text.isNotNull(), as_long(text))
+            .when(present, F.lit(0).cast("bigint")))
 
 
 def bad_records(feed: DataFrame, value_col: str = "value") -> DataFrame:
@@ -142,7 +148,8 @@ def weather_readings(parsed: DataFrame, sensor_type: str = WEATHER,
                   _keys=keys, _sv=sv).where(_has(F.col("_keys"), *WEATHER_FIELDS))
     ingest_col = F.col(ingest) if ingest else F.current_timestamp()
     return w.select("userId", "userEmail", "deviceId", "sensorType",
-                    *[json_int(F.col(f"_sv.{f}")).alias(f) for f in WEATHER_FIELDS],
+                    *[json_int(F.col(f"_sv.{f}"), F.get_json_object("sensorValue", f"$.{f}")).alias(f)
+                      for f in WEATHER_FIELDS],
                     _obs_ts(), ingest_col.cast("timestamp").alias("ingestTs"))
 
 
@@ -183,4 +190,5 @@ def scalar_readings(parsed: DataFrame, sensor_type: str = PROXIMITY) -> DataFram
     present = (F.col("sensorValue").isNotNull()
                | F.array_contains(F.json_object_keys(F.col("raw")), "sensorValue"))
     s = parsed.where((F.col("sensorType") == sensor_type) & _ids_present() & present)
-    return s.select("deviceId", "sensorType", json_int(num).alias("value"), _obs_ts())
+    text = F.get_json_object("raw", "$.sensorValue")
+    return s.select("deviceId", "sensorType", json_int(num, text).alias("value"), _obs_ts())

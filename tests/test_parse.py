@@ -148,3 +148,24 @@ def test_empty_feed_flows_through(spark):
     w, g = weather_readings(p, ingest="timestamp"), gps_readings(p)
     assert p.count() == 0 and tumbling_join(w, g, 5).count() == 0
     assert session_join(w, g, 5).count() == 0
+
+
+def test_coercion_edges(spark):
+    """An object where text is due reads as ''; a long beyond the int range
+    keeps its low 32 bits, a fraction saturates; true reads as 1."""
+    from tandem.operators.parse import parse_feed, scalar_readings, weather_readings
+    from tests.helpers import EDGE_MS, feed, msg
+    w = {"temp": 3000000000, "humd": 3000000000.5, "CO2": -3000000000, "CO": 4294967296, "hour": 12345678901234567890}
+    lines = [msg("TYPE_WEATHER", w, EDGE_MS, user={"a": 1}, device=["d"]),
+             msg("TYPE_WEATHER", {"temp": 1, "humd": 2, "CO2": 3, "CO": 4, "hour": 5}, "true", user="{not json"),
+             msg("TYPE_WEATHER", {"temp": 1, "humd": 2, "CO2": 3, "CO": 4, "hour": 6}, '"true"', user="[x]"),
+             msg("TYPE_PROXIMITY", 3000000000, EDGE_MS), msg("TYPE_PROXIMITY", 3e9 + 0.5, EDGE_MS)]
+    p = parse_feed(feed(spark, lines))
+    rows = {r.hour: r for r in weather_readings(p, ingest="timestamp").collect()}
+    r = rows[12345678901234567890 % 2**32 - (2**32 if 12345678901234567890 % 2**32 >= 2**31 else 0)]
+    assert (r.userId, r.deviceId) == ("", "")
+    assert (r.temp, r.humd, r.CO2, r.CO) == (3000000000 - 2**32, 2147483647, 2**32 - 3000000000, 0)
+    ms = {r.hour: (r.userId, r.obsMs) for r in p.where("sensorType = 'TYPE_WEATHER'").selectExpr(
+        "userId", "obsMs", "try_cast(get_json_object(sensorValue, '$.hour') as int) hour").collect()}
+    assert ms[5] == ("{not json", 1) and ms[6] == ("[x]", 0)
+    assert sorted(r.value for r in scalar_readings(p).collect()) == [3000000000 - 2**32, 2147483647]
