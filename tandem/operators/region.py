@@ -15,15 +15,24 @@ at different levels, and a point in a dense city checks a short list.
 A point probes one cell per level present in the table: one left
 equi-join per level on the integer cell (no range or cross join), then the
 box test runs on the candidates.  The index is broadcast only after its
-size (box entries) is checked against ``broadcast_max_entries``; above
-that every level is a shuffle join on the cell.
+size in bytes is checked against ``broadcast_max_bytes``; above that every
+level is a shuffle join on the cell.
+
+The index is written once to the shared folder (``build_region_index``) and
+read from there by every level, micro-batch and query.  Refresh rule: an index
+is a snapshot of the region table; after the table has changed, build a new
+one and restart the streams that use it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tandem.session import scratch_path
+
 REGION_COLS = ("region", "min_lat", "max_lat", "min_lng", "max_lng")
 BOX_FIELDS = ("area", "region", "min_lat", "max_lat", "min_lng", "max_lng")
 
@@ -54,29 +63,48 @@ def region_cells(regions: DataFrame, top_cell_deg: float = 16.0, max_level: int
         F.collect_list(F.struct(*BOX_FIELDS)).alias("_boxes"))
 
 
-def region_lookup(df: DataFrame, regions: DataFrame, *, lat: str = "lat", lng: str = "lng",
-                  out: str = "region", top_cell_deg: float = 16.0, max_level: int = 20,
-                  broadcast_max_entries: int = 1_000_000) -> DataFrame:
-    """``df`` plus column ``out`` (string, never null).
+@dataclass(frozen=True)
+class RegionIndex:
+    """A written index: its rows, its levels and its size in bytes."""
+    cells: DataFrame
+    levels: tuple
+    n_bytes: int
+    top_cell_deg: float
+
 
-    The levels in use and the index size (box entries, about 60 bytes
-    each) are read from the region table - the catalogue, not the data:
-    at most ``max_level + 1`` rows reach the driver.  The index is broadcast
-    only when it has at most ``broadcast_max_entries`` entries."""
+def build_region_index(regions: DataFrame, top_cell_deg: float = 16.0, max_level: int = 20) -> RegionIndex:
+    """Write the index once.  At most ``max_level + 1`` rows reach the driver."""
+    spark = regions.sparkSession
     cells = region_cells(regions, top_cell_deg, max_level)
-    per_level = (cells.groupBy("_lvl").agg(F.sum(F.size("_boxes")).alias("n"))
+    path = scratch_path(spark, "region-index")
+    cells.write.parquet(path)
+    cells = spark.read.schema(cells.schema).parquet(path)
+    # per box five doubles, its name and row overhead; per cell its key
+    names = F.aggregate("_boxes", F.lit(0).cast("long"), lambda a, b: a + F.coalesce(F.octet_length(b["region"]), F.lit(0)))
+    per_level = (cells.groupBy("_lvl").agg(F.sum(F.size("_boxes") * 80 + names + 64).alias("n"))
                  .orderBy("_lvl").collect())
-    entries = sum(int(r["n"]) for r in per_level)
+    return RegionIndex(cells, tuple(int(r["_lvl"]) for r in per_level), sum(int(r["n"]) for r in per_level),
+                       top_cell_deg)
+
+
+def region_lookup(df: DataFrame, regions: DataFrame | RegionIndex, *, lat: str = "lat", lng: str = "lng",
+                  out: str = "region", top_cell_deg: float = 16.0, max_level: int = 20,
+                  broadcast_max_bytes: int = 64 << 20) -> DataFrame:
+    """``df`` plus column ``out`` (string, never null).
+
+    ``regions`` is a region table, indexed here, or an index made before.
+    The index is broadcast only up to ``broadcast_max_bytes`` bytes."""
+    index = regions if isinstance(regions, RegionIndex) else build_region_index(regions, top_cell_deg, max_level)
+    cells, top_cell_deg = index.cells, index.top_cell_deg
     y, x = F.col(lat).cast("double"), F.col(lng).cast("double")
     j = df
     candidates = []
-    for i, row in enumerate(per_level):
-        lvl = int(row["_lvl"])
+    for i, lvl in enumerate(index.levels):
         c = float(top_cell_deg) / 2.0 ** lvl
         side = cells.where(F.col("_lvl") == lvl).select(
             F.col("_cy").alias(f"_cy{i}"), F.col("_cx").alias(f"_cx{i}"),
             F.col("_boxes").alias(f"_b{i}"))
-        side = F.broadcast(side) if entries <= broadcast_max_entries else side
+        side = F.broadcast(side) if index.n_bytes <= broadcast_max_bytes else side
         j = j.select("*", F.floor(y / c).alias(f"_cy{i}"), F.floor(x / c).alias(f"_cx{i}"))
         j = j.join(side, on=[f"_cy{i}", f"_cx{i}"], how="left")
         candidates.append(F.coalesce(F.col(f"_b{i}"), F.array().cast(side.schema[f"_b{i}"].dataType)))

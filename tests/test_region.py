@@ -25,7 +25,7 @@ def test_boxes_half_open_smallest_then_name(spark):
 
 def test_one_row_out_per_row_in(spark):
     pts = [(i, 53.25, -9.05) for i in range(50)]
-    got = _lookup(spark, pts, broadcast_max_entries=0)  # force the shuffle-join path
+    got = _lookup(spark, pts, broadcast_max_bytes=0)  # force the shuffle-join path
     assert len(got) == 50 and set(got.values()) == {"AlsoSmall"}
 
 
@@ -58,7 +58,7 @@ def test_multi_level_grid_matches_brute_force(spark):
         return min(hits)[1] if hits else ""
 
     want = {i: brute(la, ln) for i, la, ln in pts}
-    for kw in ({}, {"top_cell_deg": 2.0, "max_level": 6}, {"broadcast_max_entries": 0}):
+    for kw in ({}, {"top_cell_deg": 2.0, "max_level": 6}, {"broadcast_max_bytes": 0}):
         got = {r.id: r.region for r in region_lookup(df, regions, **kw).collect()}
         assert got == want, kw
     assert len(set(want.values())) > 10
