@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tandem.functions.alerts import fire_alert
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.operators.parse import (
-    bad_records, gps_readings, multi_readings, parse_feed, scalar_readings, stage_parsed,
+    ACCELEROMETER, GPS, PROXIMITY, WEATHER, bad_records, gps_readings, multi_readings, parse_feed, scalar_readings, stage_parsed,
     weather_readings,
 )
 from tandem.operators.region import region_lookup
@@ -33,16 +33,20 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_feed(events_feed(spark, sf_dir))
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded feed written once (partitioned by sensor type) for queries
-    that read more than one kind of reading from it."""
-    return stage_parsed(_parsed(spark, sf_dir))
+def _staged(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
+    """Decoded messages of the named types, written once (partitioned by
+    sensor type) for queries that read more than one kind of reading."""
+    return stage_parsed(_parsed(spark, sf_dir), types=types)
 
 
-def _readings(spark, sf_dir):
-    p = _staged(spark, sf_dir)
-    return (p, gps_readings(p), weather_readings(p, ingest="timestamp"),
-            multi_readings(p), scalar_readings(p))
+def _gps_weather(spark, sf_dir):
+    p = _staged(spark, sf_dir, GPS, WEATHER)
+    return gps_readings(p), weather_readings(p, ingest="timestamp")
+
+
+def _gps_multi(spark, sf_dir):
+    p = _staged(spark, sf_dir, GPS, ACCELEROMETER)
+    return gps_readings(p), multi_readings(p)
 
 
 def out_weather_pairs(df: DataFrame) -> DataFrame:
@@ -110,32 +114,32 @@ def q_scalar_readings(spark, sf_dir):
 
 
 def q_tumbling_join_weather(spark, sf_dir):
-    _, g, w, _, _ = _readings(spark, sf_dir)
+    g, w = _gps_weather(spark, sf_dir)
     return out_weather_pairs(tumbling_join(w, g, DAY))
 
 
 def q_tumbling_join_multi(spark, sf_dir):
-    _, g, _, m, _ = _readings(spark, sf_dir)
+    g, m = _gps_multi(spark, sf_dir)
     return out_multi_pairs(tumbling_join(m, g, DAY))
 
 
 def q_tumbling_join_scalar(spark, sf_dir):
-    p = _staged(spark, sf_dir)
+    p = _staged(spark, sf_dir, GPS, PROXIMITY)
     return out_scalar_pairs(tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), DAY))
 
 
 def q_sliding_join_weather(spark, sf_dir):
-    _, g, w, _, _ = _readings(spark, sf_dir)
+    g, w = _gps_weather(spark, sf_dir)
     return out_weather_pairs(sliding_join(w, g, QUARTER_DAY))
 
 
 def q_session_join_weather(spark, sf_dir):
-    _, g, w, _, _ = _readings(spark, sf_dir)
+    g, w = _gps_weather(spark, sf_dir)
     return out_weather_pairs(session_join(w, g, QUARTER_DAY))
 
 
 def q_window_join_dispatch(spark, sf_dir):
-    _, g, w, _, _ = _readings(spark, sf_dir)
+    g, w = _gps_weather(spark, sf_dir)
     parts = [out_weather_pairs(window_join(k, w, g, QUARTER_DAY)).select(F.lit(k).alias("kind"), "*")
              for k in ("Tumble", "Sliding", "Session")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -171,7 +175,7 @@ WEATHER_MSG_SCHEMA = (
 
 
 def q_weather_message(spark, sf_dir):
-    _, g, w, _, _ = _readings(spark, sf_dir)
+    g, w = _gps_weather(spark, sf_dir)
     g = region_lookup(g, regions_from_nation(spark, sf_dir))
     msgs = weather_message(tumbling_join(w, g, DAY), job_name="SensorJoin",
                            window_type="Tumble", window_size=DAY)
@@ -181,7 +185,7 @@ def q_weather_message(spark, sf_dir):
 
 
 def q_multi_message(spark, sf_dir):
-    _, g, _, mr, _ = _readings(spark, sf_dir)
+    g, mr = _gps_multi(spark, sf_dir)
     g = region_lookup(g, regions_from_nation(spark, sf_dir))
     msgs = multi_message(tumbling_join(mr, g, DAY))
     schema = ("userAccount struct<userId: string, userEmail: string>, deviceId string, "

@@ -232,7 +232,11 @@ SELECT 'TYPE_Join_' || substr(m.sensorType, 6) || '_' || substr(g.sensorType, 6)
        g.userId, g.userEmail, g.deviceId, g.lat AS attr_lat, g.lng AS attr_lng,
        g.region AS regoin, g.obs_ms
 FROM multi m JOIN gps_region g
-  ON m.userId = g.userId AND m.obs_ms // {DAY_MS} = g.obs_ms // {DAY_MS}""")
+  ON m.userId = g.userId AND m.obs_ms // {DAY_MS} = g.obs_ms // {DAY_MS}
+UNION ALL
+SELECT sensorType || '_withRegion' AS sensorType, userId, userEmail, deviceId, lat AS attr_lat, lng AS attr_lng,
+       region AS regoin, CAST(0 AS BIGINT) AS obs_ms
+FROM gps_region""")
 
 # Late rows: the later half (from the midpoint of the time range) is
 # replayed first; the earlier half then arrives behind the watermark and is

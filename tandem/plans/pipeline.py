@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.operators.parse import (
@@ -26,13 +27,16 @@ from tandem.sources.feed import read_kafka
 from tandem.sources.sinks import write_console, write_kafka
 
 
+GPS_WITH_REGION = "TYPE_GPS_withRegion"
+
+
 @dataclass(frozen=True)
 class JobConfig:
     """Job parameters (what the original took on its command line)."""
-    topic: str = "android-sensor"
+    topic: str = ""                           # required for a Kafka source
     bootstrap_servers: str = "localhost:9092"
-    group_id: str | None = None
-    des_topic: str = "joinedstreams"
+    group_id: str | None = None               # prefix of each query's consumer group
+    des_topic: str = ""                       # required for the Kafka sink
     window_size: int = 2                      # seconds
     window_type: str = "Tumble"               # Tumble | Sliding | Session
     job_name: str = "SensorJoin"
@@ -43,6 +47,10 @@ class JobConfig:
     kafka_extra: dict = field(default_factory=dict)
     # when set, GPS readings with their region are also published there
     gps_region_topic: str | None = None
+    delay: str = "0 seconds"                  # watermark delay of both sides
+    salt: int = 1                             # groups a hot key is spread over
+    salt_keys: tuple = ()                     # only these join keys are salted (empty: all)
+    quoted_keys: bool = False                 # wire form of the member names in multi messages
 
     # Parameter names of the original job; every other entry is passed on to
     # the Kafka consumer as a property (e.g. zookeeper.connect).
@@ -75,56 +83,77 @@ class JobConfig:
         if self.window_size < 1 or (self.window_type == "Sliding" and self.window_size < 2):
             raise ValueError("WindowSize too small for the window type")
         to_ms(self.multi_window)
+        if self.salt < 1:
+            raise ValueError("salt must be at least 1")
+
+    def sensor_types(self) -> tuple:
+        return ("TYPE_GPS", *self.single_sensors, *self.multi_sensors)
 
 
 def sensor_streams(parsed: DataFrame, cfg: JobConfig, regions: DataFrame | None = None,
                    ingest: str | None = None) -> list[tuple[str, DataFrame]]:
     """(name, message frame) for every configured sensor, plus
-    ('TYPE_GPS_withRegion', ...) when ``cfg.gps_region_topic`` is set."""
+    (GPS_WITH_REGION, ...) when ``cfg.gps_region_topic`` is set."""
     cfg.validate()
     gps = gps_readings(parsed)
     if regions is not None:
         gps = region_lookup(gps, regions)
     out = []
+    spread = {"delay": cfg.delay, "salt": cfg.salt, "salt_keys": cfg.salt_keys or None}
     for t in cfg.single_sensors:
         pairs = window_join(cfg.window_type, weather_readings(parsed, t, ingest=ingest), gps,
-                            cfg.window_size)
+                            cfg.window_size, **spread)
         out.append((t, weather_message(pairs, job_name=cfg.job_name,
                                        window_type=cfg.window_type,
                                        window_size=cfg.window_size)))
     for t in cfg.multi_sensors:
-        pairs = tumbling_join(multi_readings(parsed, t), gps, cfg.multi_window)
-        out.append((t, multi_message(pairs)))
+        pairs = tumbling_join(multi_readings(parsed, t), gps, cfg.multi_window, **spread)
+        out.append((t, multi_message(pairs, quoted_keys=cfg.quoted_keys)))
     if cfg.gps_region_topic:
-        out.append(("TYPE_GPS_withRegion", gps_region_message(gps)))
+        out.append((GPS_WITH_REGION, gps_region_message(gps)))
     return out
 
 
-def build_pipeline(feed: DataFrame, cfg: JobConfig, regions: DataFrame | None = None,
-                   ingest: str | None = None, stage: bool = True) -> DataFrame:
-    """All messages of a batch feed as one ``value`` frame.
+def pipeline_outputs(feed: DataFrame, cfg: JobConfig, regions: DataFrame | None = None,
+                     ingest: str | None = None, stage: bool = True) -> dict[str, DataFrame]:
+    """Messages of a batch feed by output topic: the joined sensors on
+    ``cfg.des_topic`` and, when configured, GPS readings with their region on
+    ``cfg.gps_region_topic`` (one frame if both name the same topic).
 
     With ``stage`` the feed is decoded once and written partitioned by
     sensor type (``stage_parsed``); GPS and every sensor then read their own
     partition instead of decoding the whole feed again."""
     parsed = parse_feed(feed)
     if stage and not parsed.isStreaming:
-        parsed = stage_parsed(parsed)
-    streams = [df for name, df in sensor_streams(parsed, cfg, regions, ingest)
-               if name != "TYPE_GPS_withRegion"]
-    if not streams:
+        parsed = stage_parsed(parsed, types=cfg.sensor_types())
+    out: dict[str, DataFrame] = {}
+    for name, df in sensor_streams(parsed, cfg, regions, ingest):
+        topic = cfg.gps_region_topic if name == GPS_WITH_REGION else cfg.des_topic
+        out[topic] = out[topic].unionByName(df) if topic in out else df
+    if not out:
         raise ValueError("no sensors configured")
-    out = streams[0]
-    for df in streams[1:]:
+    return out
+
+
+def build_pipeline(feed: DataFrame, cfg: JobConfig, regions: DataFrame | None = None,
+                   ingest: str | None = None, stage: bool = True) -> DataFrame:
+    """All messages of all outputs of a batch feed as one ``value`` frame."""
+    outputs = list(pipeline_outputs(feed, cfg, regions, ingest, stage).values())
+    out = outputs[0]
+    for df in outputs[1:]:
         out = out.unionByName(df)
     return out
 
 
-def start_decoder(source: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+def start_decoder(source: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                  types: tuple | None = None):
     """Streaming counterpart of ``stage_parsed``: one query decodes the feed
     and appends it as parquet partitioned by ``sensorType``.  Returns the
     query; ``decoded_stream`` reads the table back as a stream."""
-    w = (slim_parsed(parse_feed(source)).writeStream.format("parquet").partitionBy("sensorType")
+    parsed = parse_feed(source)
+    if types is not None:
+        parsed = parsed.where(F.col("sensorType").isin(list(types)))
+    w = (slim_parsed(parsed).writeStream.format("parquet").partitionBy("sensorType")
          .option("path", path).option("checkpointLocation", checkpoint).outputMode("append"))
     if trigger:
         w = w.trigger(**trigger)
@@ -162,10 +191,13 @@ def run_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | Non
     queries = []
     if decoded is None:
         if source is None:
+            if not cfg.topic:
+                raise ValueError("a Kafka source needs a topic")
             source = read_kafka(spark, cfg.topic, cfg.bootstrap_servers, group_id=cfg.group_id,
                                 starting_offsets=cfg.starting_offsets, extra=cfg.kafka_extra)
         if staged:
-            queries.append(start_decoder(source, f"{root}/decoded", f"{root}/decoder"))
+            queries.append(start_decoder(source, f"{root}/decoded", f"{root}/decoder",
+                                         types=cfg.sensor_types()))
             decoded = decoded_stream(spark, f"{root}/decoded", source)
         else:
             decoded = parse_feed(source)
@@ -173,7 +205,7 @@ def run_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | Non
         name = f"{cfg.job_name}-{t}"
         ckpt = f"{root}/{t}"
         if sink is None:
-            topic = cfg.gps_region_topic if t == "TYPE_GPS_withRegion" else cfg.des_topic
+            topic = cfg.gps_region_topic if t == GPS_WITH_REGION else cfg.des_topic
             queries.append(write_kafka(msgs, topic, cfg.bootstrap_servers,
                                        checkpoint=ckpt, query_name=name))
         else:

@@ -16,7 +16,7 @@ from tandem.operators.windows import session_join, sliding_join, tumbling_join
 from tandem.plans.catalog import DAY, QUARTER_DAY, out_scalar_pairs, out_weather_pairs
 from tandem.plans.pipeline import JobConfig, build_pipeline, run_pipeline
 from tandem.sources.events import events_feed, regions_from_nation
-from tandem.sources.sinks import write_csv
+from tandem.sources.sinks import read_csv, write_csv
 from tandem.session import scratch_path
 from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
 
@@ -109,14 +109,15 @@ def q_write_csv(spark, sf_dir):
     pairs = out_scalar_pairs(tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), DAY))
     path = scratch_path(spark, "csv")
     write_csv(pairs, path)
-    return spark.read.schema(pairs.schema).option("sep", "|").csv(path)
+    return read_csv(spark, path, pairs.schema)
 
 
 # --- whole job -------------------------------------------------------------
 
 JOB_CFG = JobConfig(window_size=DAY, window_type="Tumble", job_name="SensorJoin",
                          single_sensors=("TYPE_WEATHER",), multi_sensors=("TYPE_ACCELEROMETER",),
-                         multi_window=f"{DAY} seconds")
+                         multi_window=f"{DAY} seconds", des_topic="joined",
+                         gps_region_topic="gps-regions")
 
 MESSAGE_FIELDS = ("userAccount struct<userId: string, userEmail: string>, deviceId string, "
                   "sensorType string, sensorValue struct<attr_lat: float, attr_lng: float, "
@@ -129,7 +130,9 @@ def parse_messages(msgs: DataFrame) -> DataFrame:
     return m.select("m.sensorType", "m.userAccount.userId", "m.userAccount.userEmail",
                     "m.deviceId", "m.sensorValue.attr_lat", "m.sensorValue.attr_lng",
                     "m.sensorValue.regoin",
-                    F.coalesce("m.Time.ObservationTimestamp", "m.observationTimestamp")
+                    # GPS-with-region messages carry the time of processing
+                    F.when(F.col("m.sensorType").endswith("_withRegion"), F.lit(0).cast("bigint"))
+                    .otherwise(F.coalesce("m.Time.ObservationTimestamp", "m.observationTimestamp"))
                     .alias("obs_ms"))
 
 

@@ -32,9 +32,7 @@ def _h(df):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-@pytest.mark.parametrize("name", ["weather_readings", "multi_readings", "tumbling_join_weather",
-                                  "session_join_weather", "region_lookup", "weather_message",
-                                  "job_messages"])
+@pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith("op") and k != "pipeline"))
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("events", "nation"):
