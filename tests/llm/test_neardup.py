@@ -1,0 +1,114 @@
+"""Signatures against exact similarity; classes against brute force over all pairs."""
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from tandem.llm import neardup as N
+from tandem.llm.common import WordDigests
+from tests.llm.helpers import documents, edge_rows, lower_words
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_similarity(a, b):
+    """Probability Jaccard by its definition."""
+    both = set(a) | set(b)
+    total = 0.0
+    for d in set(a) & set(b):
+        total += 1 / sum(max(a.get(e, 0) / a[d], b.get(e, 0) / b[d]) for e in both)
+    return total
+
+
+def shingles(words):
+    out = {}
+    for i in range(max(1, len(words) - 4)):
+        k = tuple(words[i:i + 5])
+        out[k] = out.get(k, 0) + 1
+    return out
+
+
+def test_probability_jaccard_and_its_estimate():
+    rnd, digests = random.Random(2), WordDigests()
+    for _ in range(8):
+        a = [rnd.choice("abcd") + rnd.choice("xy") for _ in range(200)]
+        b = list(a)
+        for _ in range(rnd.randrange(1, 12)):
+            b[rnd.randrange(len(b))] = "z" + str(rnd.random())
+        want = brute_similarity(shingles(a), shingles(b))
+        sets = [N.weighted_shingles([w.encode() for w in x], digests) for x in (a, b)]
+        assert N.probability_jaccard(*sets) == pytest.approx(want, abs=1e-12)
+        sig = N.signatures(sets, 4000)
+        assert (sig[0] == sig[1]).mean() == pytest.approx(want, abs=0.04)
+
+
+def test_blocks_find_the_same_pairs_as_single_comparisons():
+    rnd, digests = random.Random(4), WordDigests()
+    stem = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(30):
+        t = list(stem)
+        for _ in range(rnd.randrange(4)):
+            t[rnd.randrange(60)] = rnd.choice("qrs")
+        texts.append(" ".join(t + t[:10] * rnd.randrange(2)).encode())
+    wanted = np.array([[rnd.random() < 0.7 for _ in texts] for _ in texts])
+    sets = [N.weighted_shingles(t.split(), digests) for t in texts]
+    want = {(i, j) for i, j in itertools.product(range(30), repeat=2)
+            if wanted[i, j] and N.probability_jaccard(sets[i], sets[j]) >= 0.8}
+    assert set(N.similar_pairs(texts, texts, wanted, 5, 0.8)) == want and want
+
+
+def brute_classes(rows):
+    sets = {i: shingles(lower_words(t)) for i, t in rows}
+    parent = {i: i for i in sets}
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in itertools.combinations(sets, 2):
+        if set(sets[a]) & set(sets[b]) and brute_similarity(sets[a], sets[b]) >= 0.8:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in parent}
+
+
+def near_copies():
+    """A group of near copies in which many are alike to the stem only."""
+    rnd = random.Random(11)
+    stem = [f"s{i}" for i in range(120)]
+    rows = [(0, " ".join(stem))]
+    for i in range(1, 50):
+        t = list(stem)
+        for _ in range(rnd.choice((1, 2, 2, 3, 4))):
+            t[rnd.randrange(120)] = f"n{i}_{rnd.randrange(99)}"
+        rows.append((i, " ".join(t)))
+    return rows + [(100 + i, rows[3][1]) for i in range(5)]
+
+
+def test_classes_match_brute_force(spark):
+    rows = near_copies()
+    got = N.near_duplicate_classes(documents(spark, rows)).collect()
+    assert {r.id: r.class_id for r in got} == brute_classes(rows)
+    assert sorted(r.id for r in got if r.kept) == sorted(set(brute_classes(rows).values()))
+
+
+def test_query_matches_brute_force_on_a_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.where("length(text) < 3000").collect()]
+    got = N.near_duplicate_classes(docs.where("length(text) < 3000")).collect()
+    assert {r.id: r.class_id for r in got} == brute_classes(rows)
+
+
+def test_edges_of_the_input(spark):
+    docs = documents(spark, edge_rows())
+    got = N.near_duplicate_classes(docs).collect()
+    by = {r.id: r for r in got if r.id is not None}
+    assert len(got) == len(edge_rows())
+    assert by[6].class_id == 5 and by[5].class_id == 5 and by[1].class_id == 1 and by[2].class_id == 2
+    left = N.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    ids = [r.doc_id for r in left.collect()]
+    assert sorted(i for i in ids if i) == [1, 2, 3, 4, 5, 7, 8] and ids.count(None) == 2
+    assert N.near_duplicate_classes(docs.where("false")).count() == 0
