@@ -41,11 +41,22 @@ def test_counts_cover_every_row(spark):
     got = {(r.lang, r.bucket): r.n for r in L.ngram_counts(docs.where("lang is not null"), "doc_id", "text", "lang").collect()}
     want = {}
     for lang, word, n in (("x", b"ab", 3), ("y", b"q", 1)):
-        for b in L.word_buckets(word).tolist():
+        for b in L.bucket_runs([word])[0].tolist():
             want[lang, b] = want.get((lang, b), 0) + n
     assert got == want
 
 
+def test_buckets_of_many_words_are_those_of_each():
+    words = ["a", "été", "x" * 40, "ÀB", "中文", "zz"]
+    words = [w.encode() for w in words]
+    all_, starts = L.bucket_runs(words)
+    ends = [*starts[1:].tolist(), len(all_)]
+    for w, a, b in zip(words, starts.tolist(), ends):
+        s = w.decode()
+        assert L.bucket_runs([w])[0].tolist() == all_[a:b].tolist()
+        assert b - a == len(s) + (len(s) + 1) + len(s)  # 1-, 2- and 3-grams, edges marked
+
+
 def test_edges_of_the_input(spark):
     docs = documents(spark, [(i, t, "en" if t else None) for i, t in edge_rows()])
     model = L.train_languages(docs)
