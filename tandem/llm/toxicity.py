@@ -80,7 +80,7 @@ class ToxicityModel:
 
 
 def fit_toxicity(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, screen: float = 7.0,
-                 max_subwords: int = 2048, steps: int = 400, rate: float = 0.05, l2: float = 1e-5,
+                 max_subwords: int = 2048, steps: int = 400, rate: float = 0.05, l2: float = 1e-3,
                  seed: int = 1) -> ToxicityModel | None:
     """Screen subwords, then train embeddings and softmax jointly (Adam, full batch)."""
     n1, n0 = int((labels == 1).sum()), int((labels == 0).sum())

@@ -66,9 +66,12 @@ def test_junk_goes_and_clean_documents_stay(spark):
 
 
 def test_filter_keeps_columns_and_empty_tables(spark):
-    docs = documents(spark, edge_rows())
+    rnd = random.Random(3)
+    plain = "\n".join(" ".join("".join(rnd.choices("aeioustrnl", k=5)) for _ in range(9)) + "." for _ in range(9))
+    docs = documents(spark, [*edge_rows(), (50, plain), (50, plain), (None, plain)])
     out = Q.keep_quality(docs, Q.LineCrf.prior())
-    assert out.columns == docs.columns and [r.doc_id for r in out.collect()] == [4]
+    # the long text of the edge rows is all digits and codes: boilerplate to the prior
+    assert out.columns == docs.columns and sorted(r.doc_id or 0 for r in out.collect()) == [0, 50, 50]
     empty = docs.where("false")
     assert Q.quality_scores(empty, Q.LineCrf.prior()).count() == 0
     no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
