@@ -43,49 +43,63 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level BPE puts for each byte: itself if it is
+    printable, else the next unused one from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(spare)) for b in range(256)}
+
+
+_LETTERS = _byte_letters()
+
+
 class WordEncoder(dict):
     """word -> its ids as little-endian unsigned 32-bit integers.
 
-    ``limit`` bounds the memory; a full table starts anew.  Words that differ
-    only in ASCII case, or by one trailing full stop or comma after ASCII
-    letters, share the tokenizer call: the tokenizer lower-cases, and always
-    cuts between a letter and a punctuation mark.
+    ``limit`` bounds the memory; a full table starts anew.  A word of Latin
+    letters is one piece for the tokenizer, so its lower-case form goes to the
+    tokenizer's BPE model at once; one full stop or comma after it is a piece
+    of its own.  All other words take the tokenizer's whole path.
     """
 
-    limit = 500_000
+    limit = 800_000
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cores: dict[bytes, bytes] = {}
-        self.marks = {m: self.encode(m) for m in (b".", b",")}
+        self.model = self.tokenizer.model
+        self.marks = {m: self.encode(m) for m in (".", ",")}
 
-    def encode(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+    def encode(self, word: str) -> bytes:
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _core(self, core: bytes) -> bytes:
-        got = self.cores.get(core)
+    def _letters(self, word: str) -> bytes:
+        """Ids of a lower-case word of Latin letters."""
+        data = word.encode()
+        got = self.get(data)
         if got is None:
-            if len(self.cores) >= self.limit:
-                self.cores.clear()
-            got = self.cores[core] = self.encode(core)
+            piece = word if word.isascii() else data.decode("latin-1").translate(_LETTERS)
+            got = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece)])
+            if len(data) <= 64:
+                self[data] = got
         return got
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(word) > 64:
-            return self.encode(word)
-        if word.isalpha():
-            got = self._core(word.lower())
-        elif word[:-1].isalpha() and word[-1:] in self.marks:
-            got = self._core(word[:-1].lower()) + self.marks[word[-1:]]
-        else:
-            got = self.encode(word)
         if len(self) >= self.limit:
             self.clear()
-        self[word] = got
+        s = word.decode()
+        core, mark = (s[:-1], s[-1]) if s[-1] in self.marks else (s, "")
+        # below U+0250 letters have one lower-case form (but U+0130) and no combining marks
+        if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "\u0130" not in core)):
+            got = self._letters(core.lower()) + (self.marks[mark] if mark else b"")
+        else:
+            got = self.encode(s)
+        if len(word) <= 64:
+            self[word] = got
         return got
 
     def text(self, text: bytes) -> bytes:
