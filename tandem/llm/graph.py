@@ -12,22 +12,17 @@ from pyspark.sql import functions as F
 from tandem.llm.common import stored
 
 
-def _rank(node: str, round_no: int) -> Column:
-    # Round 0 goes by the id itself, which folds a star around its smallest
-    # node in one round; later rounds use a fresh random order, which shrinks
-    # any graph (long chains too) by a constant factor on average.
-    return F.col(node).cast("long") if round_no == 0 else F.xxhash64(F.col(node), F.lit(round_no))
-
-
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+def connected_components(edges: DataFrame, name: str = "components", rows_per_task: int = 50_000) -> DataFrame:
     """``edges`` (u long, v long) -> (node, component): every node that has an
     edge to another, and the smallest node of its component.
 
-    Random-order contraction: each node takes the lowest-ranked node of its
-    neighbourhood as representative, the edges are rewritten to
-    representatives and made distinct, until none is left.  The rounds are
-    logarithmic in the longest path; each is a partial aggregate and two joins,
-    and nothing but the emptiness of the edge table reaches the driver.
+    Contraction: each node takes the first node of its neighbourhood, in order
+    of degree (most first) and then at random, as representative; the edges are
+    rewritten to representatives and made distinct, until none is left.  A star
+    folds in one round, any graph (long chains too) shrinks by a constant
+    factor on average, so rounds are logarithmic.  A round is partial
+    aggregates and joins; only the number of edges reaches the driver, which
+    sets how many tasks write (``rows_per_task``).
     Null ends and loops are ignored; an empty table gives an empty result.
     """
     def clean(e: DataFrame) -> DataFrame:
@@ -36,19 +31,24 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
 
     e = stored(clean(edges.select(F.col("u").cast("long"), F.col("v").cast("long"))), f"{name}-edges")
     maps: list[DataFrame] = []
-    while not e.isEmpty():
-        r = len(maps)
+    while n := e.count():
+        r, tasks = len(maps), -(-n // rows_per_task)
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = both.groupBy("u").agg(F.min(F.struct(_rank("v", r).alias("k"), F.col("v").alias("id"))).alias("m"))
-        rep = stored(near.select(
-            F.col("u").alias("node"),
-            F.least(F.struct(_rank("u", r).alias("k"), F.col("u").alias("id")), F.col("m")).getField("id").alias("rep"),
-        ), f"{name}-rep{r}")
+        degree = both.groupBy("u").agg(F.count(F.lit(1)).alias("d"))
+
+        def rank(node: str) -> Column:
+            return F.struct((-F.col("d")).alias("d"), F.xxhash64(F.col(node), F.lit(r)).alias("k"),
+                            F.col(node).alias("id"))
+
+        near = (both.join(degree.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min(rank("v")).alias("m")))
+        rep = near.join(degree, "u").select(F.col("u").alias("node"),
+                                            F.least(rank("u"), F.col("m")).getField("id").alias("rep"))
+        rep = stored(rep.coalesce(tasks), f"{name}-rep{r}")
         maps.append(rep)
         a = rep.select(F.col("node").alias("u"), F.col("rep").alias("ru"))
         b = rep.select(F.col("node").alias("v"), F.col("rep").alias("rv"))
         moved = e.join(a, "u").join(b, "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
-        e = stored(clean(moved), f"{name}-edges{r}")
+        e = stored(clean(moved).coalesce(tasks), f"{name}-edges{r}")
     if not maps:
         return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     out = maps[0]
