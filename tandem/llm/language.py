@@ -30,38 +30,42 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import alnum_words, fold, load, pieces, utf8
+from tandem.llm.common import fold, load, mix64, pieces, utf8
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-_NO_DIGITS = bytes(32 if 48 <= c <= 57 else c for c in range(256))
+_NO_DIGITS = bytes(32 if 48 <= c <= 57 else c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32
+                   for c in range(256))
 
 
-def words_with_letters(text: bytes) -> list[bytes]:
-    """Lower-cased words, digits removed, that hold a letter."""
-    words = alnum_words(text.translate(_NO_DIGITS))
-    return [w for w in words if w.isascii() or any(c.isalpha() for c in w.decode())]
+def split_words(text: bytes) -> list[bytes]:
+    """Lower-cased (A-Z) runs of letters and non-ASCII code points."""
+    return text.translate(_NO_DIGITS).split()
 
 
-def word_buckets(word: bytes) -> np.ndarray:
-    s = "\x02" + word.decode().lower() + "\x03"
-    grams = list(s[1:-1])
-    grams += [s[i:i + 2] for i in range(len(s) - 1)] + [s[i:i + 3] for i in range(len(s) - 2)]
-    return np.array([xxhash.xxh32_intdigest(g) % BUCKETS for g in grams], dtype=np.int64)
+def has_letter(word: bytes) -> bool:
+    return word.isascii() or any(c.isalpha() for c in word.decode())
 
 
-class _Buckets(dict):
-    def __missing__(self, word: bytes) -> np.ndarray:
-        if len(self) >= 100_000:
-            self.clear()
-        got = word_buckets(word)
-        if len(word) <= 64:
-            self[word] = got
-        return got
+def bucket_runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram buckets of all words, one after the other, and where each
+    word's run starts.  Every word has at least one."""
+    text = "\x02" + "\x03\x02".join(w.decode().lower() for w in words) + "\x03"
+    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    first, last = c == 2, c == 3
+    pad = np.zeros(2, dtype=np.uint64)
+    c1, c2 = np.concatenate([c[1:], pad[:1]]), np.concatenate([c[2:], pad])
+    grams = np.stack([c, (c << np.uint64(21)) | c1, (((c << np.uint64(21)) | c1) << np.uint64(21)) | c2], axis=1)
+    end_next = np.concatenate([last[1:], [True]])
+    valid = np.stack([~first & ~last, ~last, ~last & ~end_next], axis=1)
+    kinds = np.array([1, 2, 3], dtype=np.uint64) << np.uint64(61)
+    hashed = (mix64(grams ^ kinds) >> np.uint64(48)).astype(np.int64)
+    per_char = valid.sum(axis=1)
+    at = np.cumsum(per_char) - per_char
+    return hashed[valid], at[first]
 
 
 @dataclass(frozen=True)
@@ -73,23 +77,24 @@ class LanguageModel:
 def ngram_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """(lang, bucket, n) over all rows of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = _Buckets()
         total: dict[str, np.ndarray] = {}
         words: dict[str, Counter] = defaultdict(Counter)
 
         def fold_in() -> None:
             for lang, c in words.items():
-                got = [buckets[w] for w in c]
-                if got:
+                known = [w for w in c if has_letter(w)]
+                if known:
+                    buckets, starts = bucket_runs(known)
+                    size = np.diff(np.append(starts, len(buckets)))
+                    n = np.repeat(np.array([c[w] for w in known], dtype=np.float64), size)
                     total.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
-                    n = np.repeat(np.fromiter(c.values(), dtype=np.int64, count=len(c)), [len(g) for g in got])
-                    total[lang] += np.bincount(np.concatenate(got), weights=n, minlength=BUCKETS).astype(np.int64)
+                    total[lang] += np.bincount(buckets, weights=n, minlength=BUCKETS).astype(np.int64)
             words.clear()
 
         for batch in pieces(batches, 1):
             for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                words[lang].update(words_with_letters(text))
-            if sum(map(len, words.values())) > 150_000:  # bounds memory; sums are the same
+                words[lang].update(split_words(text))
+            if sum(map(len, words.values())) > 300_000:  # bounds memory; sums are the same
                 fold_in()
         fold_in()
         for lang, counts in total.items():
@@ -132,7 +137,7 @@ def _mixture(p: np.ndarray, top: np.ndarray, count: np.ndarray, starts: np.ndarr
 
 
 def infer(scores: np.ndarray, count: np.ndarray, starts: np.ndarray, penalty: float = 3.0,
-          rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+          rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Best language and score per document.  ``scores`` (tokens, L) are word
     log-likelihoods, tokens lie document by document from ``starts`` on."""
     n_docs, n_lang = len(starts), scores.shape[1]
@@ -182,29 +187,37 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, log_p = shared.value.languages, shared.value.log_p
-        room = max(1 << 16, (12 << 20) // max(1, len(languages)))  # bytes of text at a time
+        languages, log_p = shared.value.languages, shared.value.log_p.T.copy()
+        n_lang = max(1, len(languages))
+        room = max(1 << 16, (12 << 20) // n_lang)          # bytes of text at a time
+        limit = max(20_000, min(600_000, (64 << 20) // (4 * n_lang)))  # words remembered
         index: dict[bytes, int] = {}
-        table = np.zeros((1024, max(1, len(languages))), dtype=np.float32)
+        table = np.zeros((0, n_lang), dtype=np.float32)
         for batch in pieces(batches, 1, 500, room):
-            if len(index) > 200_000:
+            if len(index) > limit:
                 index.clear()
+                table = table[:0]
+            counters = [Counter(split_words(t)) if languages else {} for t in utf8(batch.column(1))]
+            new = {w for c in counters for w in c if w not in index}
+            known = [w for w in new if has_letter(w)]
+            index.update((w, -1) for w in new)
+            index.update(zip(known, range(len(table), len(table) + len(known))))
+            for i in range(0, len(known), 20_000):
+                buckets, starts = bucket_runs(known[i:i + 20_000])
+                table = np.concatenate([table, np.add.reduceat(log_p[buckets], starts, axis=0)])
             at, count, starts, docs_at = [], [], [], []
-            for i, text in enumerate(utf8(batch.column(1))):
-                words = Counter(words_with_letters(text)) if languages else {}
-                if not words:
-                    continue
-                docs_at.append(i)
-                starts.append(len(at))
-                for w in words:
-                    k = index.get(w)
-                    if k is None:
-                        k = index[w] = len(index)
-                        if k >= len(table):
-                            table = np.concatenate([table, np.zeros_like(table)])
-                        table[k] = log_p[:, word_buckets(w)].sum(axis=1)
-                    at.append(k)
-                count.extend(words.values())
+            for i, words in enumerate(counters):
+                rows = list(map(index.__getitem__, words))
+                if rows and -1 in rows:
+                    pairs = [(r, n) for r, n in zip(rows, words.values()) if r >= 0]
+                    rows, numbers = [r for r, _ in pairs], [n for _, n in pairs]
+                else:
+                    numbers = words.values() if rows else ()
+                if rows:
+                    docs_at.append(i)
+                    starts.append(len(at))
+                    at.extend(rows)
+                    count.extend(numbers)
             langs, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
             if docs_at:
                 best, score = infer(table[at].astype(np.float64), np.array(count, dtype=np.float64), np.array(starts))
