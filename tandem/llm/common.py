@@ -71,11 +71,11 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int, rows: int = 1000,
             at = to
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back: cuts the
     lineage, and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -104,6 +104,14 @@ class WordDigests(dict):
     def array(self, words: list[bytes]) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype=np.uint64)
 
+    @staticmethod
+    def shared() -> "WordDigests":
+        """One per worker process, kept between tasks and groups."""
+        return _SHARED_DIGESTS
+
+
+_SHARED_DIGESTS = WordDigests()
+
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection of 64-bit integers."""

@@ -101,7 +101,7 @@ def similar_pairs(left: list[bytes], right: list[bytes], wanted: np.ndarray, shi
     With no repeated shingle on either side that is the plain Jaccard
     similarity, counted for a whole row of the block at once.
     """
-    digests = WordDigests()
+    digests = WordDigests.shared()
     a = [weighted_shingles(words_of(t), digests, shingle) for t in left]
     b = [weighted_shingles(words_of(t), digests, shingle) for t in right]
     sizes = np.array([len(s) for s, _ in b])
@@ -133,7 +133,7 @@ def document_bands(docs: DataFrame, shingle: int, bands: int, rows: int, id_col:
     registers = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = WordDigests()
+        digests = WordDigests.shared()
         for batch in pieces(batches, 2):
             sets, at, keys = [], [], []
             for i, text in enumerate(utf8(batch.column(2))):
@@ -182,7 +182,7 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, bands: int =
 
     def verify(pairs: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            digests = WordDigests()
+            digests = WordDigests.shared()
             last, kept = None, None
             for batch in pieces(batches, 2):
                 us, vs = [], []

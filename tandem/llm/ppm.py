@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import WordDigests, fold, load, lower_ascii, mix64, pieces, stored, utf8
+from tandem.llm.common import WordDigests, fold, load, lower_ascii, pieces, stored, utf8
 
 ORDER = 6
 MIN_SHARE = 2.0 ** -20
@@ -61,12 +61,11 @@ def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Per byte of the sequences, it and its ``order`` predecessors as one
     integer (start of text: end marks); and where each text starts."""
     pad = END * order
-    flat = np.frombuffer(b"".join(pad + s for s in texts), dtype=np.uint8)
-    g = np.zeros(max(0, len(flat) - order), dtype=np.uint64)
-    for i in range(order + 1):
-        g = (g << np.uint64(8)) | flat[i:i + len(g)]
+    # eight bytes that end at each byte, read as one big-endian integer
+    flat = bytes(7 - order) + b"".join([pad + s for s in texts])
+    g = np.ndarray((len(flat) - 7,), ">u8", flat, 0, (1,)).astype(np.uint64) & _mask(order + 1)
     lengths = np.array([len(s) for s in texts], dtype=np.int64)
-    keep = np.ones(len(flat), dtype=bool)
+    keep = np.ones(len(g) + order, dtype=bool)
     starts = np.concatenate([[0], np.cumsum(lengths + order)[:-1]]).astype(np.int64)
     for i in range(order):
         keep[starts + i] = False
@@ -79,10 +78,11 @@ class GramTable:
     EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def __init__(self, keys: np.ndarray):
-        self.mask = np.uint64((1 << max(4, int(len(keys) * 2).bit_length())) - 1)
-        self.keys = np.full(int(self.mask) + 1, self.EMPTY, dtype=np.uint64)
-        self.rows = np.zeros(int(self.mask) + 1, dtype=np.int32)
-        todo, slot = np.arange(len(keys)), mix64(keys) & self.mask
+        bits = max(4, int(len(keys) * 2).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), np.uint64((1 << bits) - 1)
+        self.keys = np.full(1 << bits, self.EMPTY, dtype=np.uint64)
+        self.rows = np.full(1 << bits, -1, dtype=np.int32)
+        todo, slot = np.arange(len(keys)), self._slot(keys)
         while len(todo):
             free = self.keys[slot] == self.EMPTY
             _, first = np.unique(slot, return_index=True)
@@ -92,12 +92,16 @@ class GramTable:
             self.keys[slot[put]], self.rows[slot[put]] = keys[todo[put]], todo[put]
             todo, slot = todo[~put], (slot[~put] + np.uint64(1)) & self.mask
 
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Row per wanted integer; -1 where it is unknown."""
-        slot = mix64(wanted) & self.mask
+        slot = self._slot(wanted)
         got = self.keys[slot]
-        out = np.where(got == wanted, self.rows[slot], -1)
+        out = self.rows[slot]  # -1 in an empty slot
         todo = np.flatnonzero((got != wanted) & (got != self.EMPTY))
+        out[todo] = -1
         slot = slot[todo]
         while len(todo):
             slot = (slot + np.uint64(1)) & self.mask
@@ -149,15 +153,13 @@ class PpmScorer:
             kept, distinct, pruned, _ = self.stats[-1]
             self.ready = np.log10(self.count[-1] / (kept + distinct + pruned)[at])
         else:
-            self.ready = np.zeros(0)
+            self.ready = np.zeros(1)
 
     def log10(self, g: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's last byte after its others."""
-        out = np.zeros(len(g))
         row = self.gram_table[-1].find(g)
-        found = row >= 0
-        out[found] = self.ready[row[found]]
-        todo = np.flatnonzero(~found)
+        out = self.ready[row]  # row -1 reads some value, replaced below
+        todo = np.flatnonzero(row < 0)
         lost = np.zeros(len(todo))       # log10 of the escapes so far
         seen_n = np.zeros(len(todo))     # excluded bytes: how many,
         seen_w = np.zeros(len(todo))     # and their count in the next context
@@ -235,22 +237,28 @@ def train_ppm(texts: DataFrame, text_col: str = "text", order: int = ORDER,
               min_share: float = MIN_SHARE) -> PpmModel:
     """Count all texts.  At most 1 / min_share nodes an order reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, n = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["gram", "n"])
+        def merged() -> pa.RecordBatch:
+            key = np.concatenate(keys)
+            order_ = np.argsort(key, kind="stable")  # runs that are sorted already
+            key, n = key[order_], np.concatenate(counts)[order_]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key[first].view(np.int64)), pa.array(np.add.reduceat(n, first))], names=["gram", "n"])
 
         for batch in pieces(batches, 0):
             g = grams([sequence(t) for t in utf8(batch.column(0))], order)[0]
             u, c = np.unique(g, return_counts=True)
-            both, at = np.unique(np.concatenate([key, u]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([n, c]), minlength=len(both)).astype(np.int64)
-            key = both
-            if len(key) > 2_000_000:  # bounds memory; the sums are the same
-                yield out()
-                key, n = key[:0], n[:0]
-        if len(key):
-            yield out()
+            keys.append(u)
+            counts.append(c.astype(np.int64))
+            if sum(map(len, keys)) > 4_000_000:  # bounds memory; the sums are the same
+                yield merged()
+                keys.clear()
+                counts.clear()
+        if keys:
+            yield merged()
 
     src = texts.select(F.col(text_col).cast("string"))
     cur = stored(src.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), f"ppm-{order}")
@@ -291,7 +299,7 @@ def word_counts(src: DataFrame, ranges: int) -> DataFrame:
     step = (1 << 64) // ranges + 1
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests, part = WordDigests(), TaskContext.get().partitionId()
+        digests, part = WordDigests.shared(), TaskContext.get().partitionId()
         for at, batch in enumerate(pieces(batches, 1, 1 << 30, CHUNK)):
             d, learned = chunk_words(batch, digests)
             cut = np.searchsorted(d, np.array([i * step for i in range(1, ranges)], dtype=np.uint64))
@@ -358,10 +366,10 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel, id_col: str = "
         if texts.num_rows:
             d = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in words.column("digests").to_pylist()])
             c = np.concatenate([np.frombuffer(x, dtype="<i8") for x in words.column("counts").to_pylist()])
-            order = np.argsort(d)
+            order = np.argsort(d, kind="stable")  # runs that are sorted already
             d, c = d[order], c[order]
             part = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
-            digests, seqs = WordDigests(), []
+            digests, seqs = WordDigests.shared(), []
             for text in utf8(texts.column("text")):
                 words_ = lower_ascii(text).split()
                 seqs.append(b" ".join(words_) + b" " + END if words_ else END)
