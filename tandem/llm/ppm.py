@@ -9,16 +9,25 @@ of an escape is the number of distinct bytes seen, plus the count of what was
 pruned.  Below order 0 the bytes left are equally likely.  All probabilities of
 a context add up to one.
 
-Two modes: pretrained (:func:`train_ppm` + :func:`score_texts`: counts over all
-training documents) and adaptive (:class:`AdaptivePpm`: one document's own
-code length, learned as it goes, starting from an empty trie).
-
-**Counting** covers every byte of every training document: longest contexts
-are counted per task, summed by a shuffle, and shorter ones are sums of longer
-ones.  **Size**: a trie node stays if its share of all counts is at least
-``MIN_SHARE``; counts of one order add up to 1, so at most 1 / MIN_SHARE nodes
-an order remain, whatever the corpus: that bounds the broadcast.  As a shorter
-context never has fewer counts, a kept node's suffix is kept too.
+Two modes: pretrained (:func:`score_texts`: counts over all training documents)
+and adaptive (:class:`AdaptivePpm`: one document's own code length, learned as
+it goes, starting from an empty trie).
+
+**Counting** covers every byte of every training document, and every context
+counts: nothing is pruned.  The probability of a byte depends only on it and its
+``ORDER`` predecessors (a gram).  Each chunk of text (about ``CHUNK`` bytes)
+sends its distinct grams with their training counts, packed by a hash of the
+context; each hash range adds up the counts, writes its part of the trie, and
+sends the probabilities back to the chunks that asked.  A gram the training
+texts do not have (only texts held out have such) goes down the orders by joins
+with the written tables of shorter contexts, which are sums of the longer ones.
+The trie grows with the corpus and never passes through the driver or a
+broadcast; only successors of contexts of up to one byte (257 rows at most) are
+broadcast.
+
+:func:`train_ppm` makes a model for use outside Spark instead, which the driver
+holds: there a trie node stays if its share of all counts is at least
+``min_share``.  The query does not use it.
 
 **Base score** needs the training count of every word.  Words are never
 broadcast: each chunk of text (about ``CHUNK`` bytes) sends its distinct words,
@@ -39,14 +48,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import WordDigests, fold, load, lower_ascii, pieces, stored, utf8
+from tandem.llm.common import WordDigests, fold, load, lower_ascii, mix64, pieces, stored, utf8
 
 ORDER = 6
-MIN_SHARE = 2.0 ** -20
+MIN_SHARE = 2.0 ** -20  # of train_ppm only
 CHUNK = 4 << 20
 END = b"\n"  # no word holds it
 _END_DIGEST = np.uint64(0)  # words are never empty, so no word digest is meant by it
@@ -235,7 +245,7 @@ class AdaptivePpm:
 
 def train_ppm(texts: DataFrame, text_col: str = "text", order: int = ORDER,
               min_share: float = MIN_SHARE) -> PpmModel:
-    """Count all texts.  At most 1 / min_share nodes an order reach the driver."""
+    """A model the driver holds: at most 1 / min_share nodes an order reach it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
@@ -341,18 +351,170 @@ def chunk_words(batch: pa.RecordBatch, digests: WordDigests) -> tuple[np.ndarray
     return d, np.bincount(at, weights=np.concatenate(flags), minlength=len(d)).astype(np.int64)
 
 
-def score_texts(docs: DataFrame, learn: Column, model: PpmModel, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+def chunk_grams(seqs: list[bytes], learn: list, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of a chunk, ascending, and how often its training texts have them."""
+    g, starts = grams(seqs, order)
+    flag = np.repeat(np.array([1 if x else 0 for x in learn], dtype=np.uint64), np.diff(np.append(starts, len(g))))
+    key = np.sort((g << np.uint64(1)) | flag)
+    g = key >> np.uint64(1)
+    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+    return g[first], np.add.reduceat((key & np.uint64(1)).astype(np.int64), first)
+
+
+def _by_range(g: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that deals ascending grams to ranges by their context's hash,
+    and where each range starts and ends in it."""
+    part = (mix64(g >> np.uint64(8)) % np.uint64(ranges)).astype(np.int32)
+    at = np.argsort(part, kind="stable")
+    return at, np.concatenate([[0], np.cumsum(np.bincount(part, minlength=ranges))])
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Non-negative integers, byte planes apart: the high ones are mostly zeros."""
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, "zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
+
+
+_ANSWER, _TRAINED, _MISS, _ASKED = range(4)
+_GRAM_ROWS = "kind int, range int, chunk long, gram long, n long, value double, data binary"
+
+
+def gram_answers(src: DataFrame, ranges: int, order: int) -> DataFrame:
+    """All chunks' grams, counted.  Rows by ``kind``: _ANSWER: the counts of the
+    grams that a chunk sent to a range, then what their contexts weigh, escape
+    included (``data``), and the sum of these grams; _TRAINED: a gram and its
+    count; _MISS: a gram without a count, the log10 of the escape from its
+    longest context and the bytes seen there; _ASKED: a chunk that asked for
+    such a gram."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for at, batch in enumerate(pieces(batches, 1, 1 << 30, CHUNK)):
+            g, learned = chunk_grams([sequence(t) for t in utf8(batch.column(1))], batch.column(2).to_pylist(), order)
+            by, ends = _by_range(g, ranges)
+            g, learned = g[by], learned[by]
+            full = np.flatnonzero(np.diff(ends))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full.astype(np.int32)), pa.array([_chunk_id(part, at)] * len(full), pa.int64()),
+                 pa.array([_pack(np.diff(g[ends[i]:ends[i + 1]], prepend=np.uint64(0))) for i in full], pa.binary()),
+                 pa.array([_pack(learned[ends[i]:ends[i + 1]]) for i in full], pa.binary())],
+                names=["range", "chunk", "grams", "counts"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        here, chunk = table.column("range")[0].as_py(), table.column("chunk").to_pylist()
+        sent = [np.cumsum(_unpack(x), dtype=np.uint64) for x in table.column("grams").to_pylist()]
+        counts = np.concatenate([_unpack(x) for x in table.column("counts").to_pylist()])
+        g, at = np.unique(np.concatenate(sent), return_inverse=True)
+        n = np.bincount(at, weights=counts).astype(np.int64)
+        ctx = g >> np.uint64(8)
+        new = np.concatenate([[True], ctx[1:] != ctx[:-1]])
+        first, of = np.flatnonzero(new), np.cumsum(new) - 1
+        distinct = np.add.reduceat((n > 0).astype(np.int64), first)
+        total = np.add.reduceat(n, first) + distinct
+        known = n > 0
+        miss = np.flatnonzero(~known)
+        lost = np.zeros(len(miss))
+        some = distinct[of[miss]] > 0  # else the context is unknown: nothing is lost there
+        lost[some] = np.log10(distinct[of[miss[some]]] / total[of[miss[some]]])
+        low = (g & np.uint64(255)).astype(np.uint8)
+        ends = np.append(first[1:], len(g))
+        seen = {c: low[first[c]:ends[c]][known[first[c]:ends[c]]].tobytes() for c in np.unique(of[miss]).tolist()}
+        cut = np.cumsum([len(x) for x in sent])[:-1]
+        back = np.split(at, cut)
+        gone = [x[~known[x]] for x in back]
+        asked = np.concatenate([g[x] for x in gone])
+        rows = {
+            _ANSWER: {"chunk": chunk, "gram": [int(x.sum() >> np.uint64(1)) for x in sent],
+                      "data": [_pack(np.concatenate([n[x], total[of[x]]])) for x in back]},
+            _TRAINED: {"gram": g[known].view(np.int64), "n": n[known]},
+            _MISS: {"gram": g[miss].view(np.int64), "value": lost, "data": [seen[c] for c in of[miss].tolist()]},
+            _ASKED: {"chunk": np.repeat(np.array(chunk, dtype=np.int64), [len(x) for x in gone]),
+                     "gram": asked.view(np.int64)}}
+        kinds = {"chunk": pa.int64(), "gram": pa.int64(), "n": pa.int64(), "value": pa.float64(), "data": pa.binary()}
+        parts = []
+        for kind, cols in rows.items():
+            size = len(cols["gram"])
+            parts.append(pa.table({
+                "kind": pa.array(np.full(size, kind, dtype=np.int32)),
+                "range": pa.array(np.full(size, here, dtype=np.int32)),
+                **{c: pa.array(cols[c], t) if c in cols else pa.nulls(size, t) for c, t in kinds.items()}}))
+        return pa.concat_tables(parts)
+
+    asked = src.mapInArrow(ask, "range int, chunk long, grams binary, counts binary")
+    return asked.groupBy("range").applyInArrow(answer, _GRAM_ROWS)
+
+
+def missed_grams(rows: DataFrame, order: int) -> DataFrame:
+    """(gram, value): log10 probability of the grams that training does not have."""
+    cur = rows.where(F.col("kind") == _TRAINED).select("gram", "n")
+    left = (rows.where(F.col("kind") == _MISS)
+            .select("gram", F.col("value").alias("lost"),
+                    F.transform(F.filter(F.split(F.hex("data"), "(?<=\\G..)"), lambda x: x != ""),
+                                lambda x: F.conv(x, 16, 10).cast("int")).alias("gone")))
+    got = []
+    for k in range(order - 1, -1, -1):
+        if left.isEmpty():
+            break
+        cur = stored(cur.select(F.col("gram").bitwiseAND(int(_mask(k + 1))).alias("gram"), "n")
+                     .groupBy("gram").agg(F.sum("n").alias("n")), f"ppm-{k}")
+        left = left.withColumn("ctx", F.shiftright(F.col("gram").bitwiseAND(int(_mask(k + 1))), 8))
+        nodes = cur.select(F.shiftright("gram", 8).alias("ctx"),
+                           F.struct(F.col("gram").bitwiseAND(255).cast("int").alias("b"), "n").alias("node"))
+        nodes = (nodes.join(left.select("ctx").distinct(), "ctx", "left_semi")
+                 .groupBy("ctx").agg(F.collect_list("node").alias("seen")))
+        # contexts of at most one byte: at most 256 rows
+        here = left.join(F.broadcast(nodes) if k < 2 else nodes, "ctx", "left")
+        here = here.withColumn("new", F.filter("seen", lambda x: ~F.array_contains(F.col("gone"), x["b"])))
+        here = here.select(
+            "gram", "lost", "gone", "seen", F.size("new").cast("double").alias("n_new"),
+            F.aggregate("new", F.lit(0).cast("long"), lambda acc, x: acc + x["n"]).alias("weight"),
+            F.expr("get(filter(new, x -> x.b = cast(gram & 255 as int)), 0).n").alias("n"))
+        total = F.col("weight") + F.col("n_new")
+        here = here.select(
+            "gram",
+            (F.col("lost") + F.log10(F.col("n") / total)).alias("value"),
+            # nothing new here: the escape is certain
+            (F.col("lost") + F.when(F.col("n_new") > 0, F.log10(F.col("n_new") / total)).otherwise(0.0)).alias("lost"),
+            F.coalesce(F.transform("seen", lambda x: x["b"]), "gone").alias("gone"))
+        here = stored(here, f"ppm-down{k}")
+        got.append(here.where("value is not null").select("gram", "value"))
+        left = here.where("value is null").select("gram", "lost", "gone")
+    out = left.select("gram", (F.col("lost") - F.log10(F.greatest(F.lit(1.0), 256.0 - F.size("gone")))).alias("value"))
+    for part in got:
+        out = out.unionByName(part)
+    return out
+
+
+def score_texts(docs: DataFrame, learn: Column, model: PpmModel | None = None, id_col: str = "doc_id",
+                text_col: str = "text", order: int = ORDER) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score); ``learn`` says
-    which rows count as training text for the base score."""
+    which rows count as training text.  A ``model`` given replaces the contexts
+    of the training text, not the base score's words."""
     src = _chunked(docs, id_col, text_col, learn)
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    counts = stored(word_counts(src, max(16, -(-size // CHUNK))), "ppm-words")
+    ranges, gram_ranges = max(16, -(-size // CHUNK)), max(16, -(-size // (2 * CHUNK)))
+    counts = stored(word_counts(src, ranges), "ppm-words")
     sums = [np.frombuffer(r.digests, dtype="<i8") for r in
             counts.where("chunk = -1").select("digests").toLocalIterator()]
     n_all, v_all = (sum(int(s[i]) for s in sums) for i in (0, 1))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model) if model else None
     kind = docs.schema[id_col].dataType.simpleString()
+    none, empty = F.lit(None).cast("long"), F.lit(None).cast("binary")
+    answers = counts.where("chunk >= 0").select(
+        "chunk", "digests", "counts", F.lit(-1).alias("range"), none.alias("gram"),
+        F.lit(None).cast("double").alias("value"), empty.alias("data"))
+    if model is None:
+        got = stored(gram_answers(src, gram_ranges, order), "ppm-grams")
+        back = got.where(F.col("kind") == _ANSWER).select("chunk", "range", "gram", "value", "data")
+        missed = (got.where(F.col("kind") == _ASKED).select("chunk", "gram").join(missed_grams(got, order), "gram")
+                  .select("chunk", F.lit(-1).alias("range"), "gram", "value", empty.alias("data")))
+        for part in (back, missed):
+            answers = answers.unionByName(part.withColumns({"digests": empty, "counts": empty}))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -361,13 +523,38 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel, id_col: str = "
                 [*batch.columns, pa.array([_chunk_id(part, at)] * batch.num_rows, pa.int64())],
                 names=["id", "text", "learn", "chunk"])
 
-    def score(texts: pa.Table, words: pa.Table) -> pa.Table:
+    def split_anew() -> RuntimeError:
+        return RuntimeError("the input was split differently in two scans; store it as a table first")
+
+    def gram_scores(seqs: list[bytes], rows: pa.Table) -> np.ndarray:
+        g, starts = grams(seqs, order)
+        g, at = np.unique(g, return_inverse=True)
+        by, ends = _by_range(g, gram_ranges)
+        dealt, value = g[by], np.full(len(g), np.nan)
+        got = rows.filter(pc.is_valid(rows.column("data")))
+        for r, check, data in zip(got.column("range").to_pylist(), got.column("gram").to_pylist(),
+                                  got.column("data").to_pylist()):
+            piece = slice(ends[r], ends[r + 1])
+            n, total = np.split(_unpack(data).astype(np.float64), 2)
+            if len(n) != ends[r + 1] - ends[r] or int(dealt[piece].sum() >> np.uint64(1)) != check:
+                raise split_anew()
+            at_, known = by[piece], n > 0
+            value[at_[known]] = np.log10(n[known] / total[known])
+        late = rows.filter(pc.is_valid(rows.column("value")))
+        if late.num_rows:
+            value[np.searchsorted(g, late.column("gram").to_numpy().view(np.uint64))] = late.column("value").to_numpy()
+        if np.isnan(value).any():
+            raise split_anew()
+        return np.add.reduceat(value[at], starts)
+
+    def score(texts: pa.Table, rows: pa.Table) -> pa.Table:
         out = {"id": texts.column("id"), "n_tokens": [], "n_known": [], "base_score": []}
         if texts.num_rows:
+            words = rows.filter(pc.is_valid(rows.column("digests")))
             d = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in words.column("digests").to_pylist()])
             c = np.concatenate([np.frombuffer(x, dtype="<i8") for x in words.column("counts").to_pylist()])
-            order = np.argsort(d, kind="stable")  # runs that are sorted already
-            d, c = d[order], c[order]
+            by = np.argsort(d, kind="stable")  # runs that are sorted already
+            d, c = d[by], c[by]
             part = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
             digests, seqs = WordDigests.shared(), []
             for text in utf8(texts.column("text")):
@@ -376,11 +563,11 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel, id_col: str = "
                 token = np.append(digests.array(words_), _END_DIGEST)
                 at = np.minimum(np.searchsorted(d, token), len(d) - 1)
                 if not np.array_equal(d[at], token):
-                    raise RuntimeError("the input was split differently in two scans; store it as a table first")
+                    raise split_anew()
                 out["n_tokens"].append(len(token))
                 out["n_known"].append(int(np.count_nonzero(c[at])))
                 out["base_score"].append(float(part[at].sum()))
-            out["score"] = scorer_of(shared).texts(seqs)
+            out["score"] = scorer_of(shared).texts(seqs) if shared else gram_scores(seqs, rows)
         else:
             out["score"] = []
         return pa.table({"id": out["id"], "n_tokens": pa.array(out["n_tokens"], pa.int64()),
@@ -389,7 +576,6 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel, id_col: str = "
                          "score": pa.array(out["score"], pa.float64())})
 
     numbered = src.mapInArrow(number, f"id {kind}, text string, learn boolean, chunk long")
-    answers = counts.where("chunk >= 0")
     got = numbered.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
     return got.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"),
@@ -410,7 +596,6 @@ def scorer_of(shared) -> PpmScorer:
 def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     tenth = fold(F.col("doc_id"), 10)
-    model = train_ppm(docs.where(tenth != 0))
-    return score_texts(docs, tenth != 0, model).select(
+    return score_texts(docs, tenth != 0).select(
         "doc_id", F.coalesce(fold(F.col("doc_id"), 10) == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
         "train_tokens", "base_score", "score")

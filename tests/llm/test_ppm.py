@@ -112,3 +112,33 @@ def test_nothing_to_learn_from(spark):
     got = P.score_texts(docs, F.lit(False), model).collect()
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in got} == {(1, 3, 0, 0), (2, 1, 0, 0)}
     assert P.score_texts(docs.where("false"), F.lit(True), model).count() == 0
+
+
+def test_scores_use_every_counted_context(spark):
+    """No context is pruned, however small its share: scores are those of the whole trie."""
+    few = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(120).collect()
+    rows = [(r.doc_id, r.text) for r in few] + [(9001, "common text " * 200_000), (9000, "zq\x01 ab qqq")]
+    rows += [(i, t) for i, t in edge_rows() if i != 4]
+    docs, learn = documents(spark, rows), fold(F.col("doc_id"), 10) != 0
+    train = [P.sequence((t or "").encode()) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 10]
+    assert sum(map(len, train)) > 2 * 2 ** 20  # a gram seen once or twice falls under a share of 2^-20
+    for order in (3, 6):
+        scorer = P.train_ppm(docs.where(learn), order=order, min_share=0.0).scorer()
+        want = sorted((-1 if i is None else i, x) for (i, _), x in zip(
+            rows, scorer.texts([P.sequence((t or "").encode()) for _, t in rows]).tolist()))
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.score)
+                     for r in P.score_texts(docs, learn, order=order).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-9)
+
+
+def test_the_query_has_no_driver_model(spark, monkeypatch):
+    monkeypatch.delattr(P, "train_ppm")
+    assert P.op6_ppm_scores(spark, SF).where("score < 0").count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_scores_without_training_text(spark):
+    docs = documents(spark, [(1, "a b"), (2, None)])
+    got = {r.doc_id: r.score for r in P.score_texts(docs, F.lit(False)).collect()}
+    assert got == pytest.approx({1: -5 * math.log10(256), 2: -math.log10(256)})
+    assert P.score_texts(docs.where("false"), F.lit(True)).count() == 0
