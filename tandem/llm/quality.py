@@ -9,7 +9,7 @@ words are in content lines and it passes the base rules.
 Training (:func:`train_line_crf`) is maximum a posteriori with the expert
 weights :data:`PRIOR` as the mean of the prior, on at most ``per_class``
 labelled documents of each quality class (a documented bound; lowest id hash
-first).  Lines of quality-1 documents count as content, those of quality-0
+first), with all their lines; equal (id, label, text) rows count once.  Lines of quality-1 documents count as content, those of quality-0
 documents as boilerplate.  Without usable labels the prior itself is used.
 
 Cases: null text has no words (all counts 0, ``base_failed`` true); a line
@@ -184,43 +184,52 @@ def fit_crf(sequences: list[np.ndarray], labels: list[int], steps: int = 120, ra
             prior_weight: float = 0.02) -> LineCrf:
     """Adam on the mean log-likelihood of the line labels (a document's label
     repeated for its lines) plus a Gaussian prior around the expert weights.
-    Forward-backward runs over all sequences at once, step by step."""
+    Forward-backward runs, step by step, over all sequences of like length at
+    once, so that a long one does not pad the short ones."""
     if not sequences or len(set(labels)) < 2:
         return LineCrf.prior()
-    n, length = len(sequences), max(len(s) for s in sequences)
-    x = np.zeros((n, length, len(FEATURES)))
-    mask = np.zeros((n, length), dtype=bool)
+    y_all = np.array(labels)
+    weight = np.where(y_all == 1, 0.5 / (y_all == 1).sum(), 0.5 / (y_all == 0).sum())
+    groups: dict[int, list[int]] = {}
     for i, s in enumerate(sequences):
-        x[i, :len(s)], mask[i, :len(s)] = s, True
-    y = np.array(labels)
-    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) / mask.sum(1)
+        groups.setdefault(max(7, len(s).bit_length()), []).append(i)  # up to 127 lines: one group
+    blocks = []
+    for _, at in sorted(groups.items()):
+        n, length = len(at), max(len(sequences[i]) for i in at)
+        x = np.zeros((n, length, len(FEATURES)))
+        mask = np.zeros((n, length), dtype=bool)
+        for row, i in enumerate(at):
+            x[row, :len(sequences[i])], mask[row, :len(sequences[i])] = sequences[i], True
+        y = y_all[at]
+        blocks.append((x, mask, np.where(y == 1, 1.0, -1.0), weight[at] / mask.sum(1)))
     w, t = PRIOR_WEIGHTS.copy(), PRIOR_TRANSITIONS.copy()
     m, v = np.zeros(len(w) + 4), np.zeros(len(w) + 4)
     gold_t = np.zeros((2, 2))
-    for label in (0, 1):
-        gold_t[label, label] = (share * (mask.sum(1) - 1))[y == label].sum()
-    gold_sign = np.where(y == 1, 1.0, -1.0)
+    for _, mask, gold_sign, share in blocks:
+        for label, sign in ((0, -1.0), (1, 1.0)):
+            gold_t[label, label] += (share * (mask.sum(1) - 1))[gold_sign == sign].sum()
     for step in range(1, steps + 1):
-        s = x @ w
-        e = np.stack([-s, s], axis=2)
-        alpha, beta = np.zeros((n, length, 2)), np.zeros((n, length, 2))
-        alpha[:, 0] = e[:, 0]
-        for i in range(1, length):
-            nxt = np.logaddexp(alpha[:, i - 1, :1] + t[0], alpha[:, i - 1, 1:] + t[1]) + e[:, i]
-            alpha[:, i] = np.where(mask[:, i, None], nxt, alpha[:, i - 1])
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        for i in range(length - 2, -1, -1):
-            ahead = e[:, i + 1] + beta[:, i + 1]
-            nxt = np.stack([np.logaddexp(t[k, 0] + ahead[:, 0], t[k, 1] + ahead[:, 1]) for k in (0, 1)], axis=1)
-            beta[:, i] = np.where(mask[:, i + 1, None], nxt, 0.0)
-        p_content = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z[:, None])
-        expect = np.where(mask, 2 * p_content - 1, 0.0)
-        g_w = np.einsum("nlf,nl,n->f", x, np.where(mask, gold_sign[:, None], 0.0) - expect, share)
-        g_t = gold_t.copy()
-        for a in (0, 1):
-            for b in (0, 1):
-                joint = np.exp(alpha[:, :-1, a] + t[a, b] + e[:, 1:, b] + beta[:, 1:, b] - z[:, None])
-                g_t[a, b] -= float((np.where(mask[:, 1:], joint, 0.0) * share[:, None]).sum())
+        g_w, g_t = np.zeros(len(w)), gold_t.copy()
+        for x, mask, gold_sign, share in blocks:
+            (n, length), s = mask.shape, x @ w
+            e = np.stack([-s, s], axis=2)
+            alpha, beta = np.zeros((n, length, 2)), np.zeros((n, length, 2))
+            alpha[:, 0] = e[:, 0]
+            for i in range(1, length):
+                nxt = np.logaddexp(alpha[:, i - 1, :1] + t[0], alpha[:, i - 1, 1:] + t[1]) + e[:, i]
+                alpha[:, i] = np.where(mask[:, i, None], nxt, alpha[:, i - 1])
+            z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
+            for i in range(length - 2, -1, -1):
+                ahead = e[:, i + 1] + beta[:, i + 1]
+                nxt = np.stack([np.logaddexp(t[k, 0] + ahead[:, 0], t[k, 1] + ahead[:, 1]) for k in (0, 1)], axis=1)
+                beta[:, i] = np.where(mask[:, i + 1, None], nxt, 0.0)
+            p_content = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z[:, None])
+            expect = np.where(mask, 2 * p_content - 1, 0.0)
+            g_w += np.einsum("nlf,nl,n->f", x, np.where(mask, gold_sign[:, None], 0.0) - expect, share)
+            for a in (0, 1):
+                for b in (0, 1):
+                    joint = np.exp(alpha[:, :-1, a] + t[a, b] + e[:, 1:, b] + beta[:, 1:, b] - z[:, None])
+                    g_t[a, b] -= float((np.where(mask[:, 1:], joint, 0.0) * share[:, None]).sum())
         g = np.concatenate([g_w - prior_weight * (w - PRIOR_WEIGHTS),
                             (g_t - prior_weight * (t - PRIOR_TRANSITIONS)).ravel()])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -229,26 +238,26 @@ def fit_crf(sequences: list[np.ndarray], labels: list[int], steps: int = 120, ra
     return LineCrf(w, t)
 
 
-def train_line_crf(docs: DataFrame, labels: DataFrame, per_class: int = 300, max_lines: int = 128,
+def train_line_crf(docs: DataFrame, labels: DataFrame, per_class: int = 300,
                    id_col: str = "doc_id", text_col: str = "text") -> LineCrf:
-    """Fit on at most ``per_class`` labelled documents of each class, at most
-    ``max_lines`` lines of each (bounds of the training sample only)."""
+    """Fit on the whole texts of at most ``per_class`` labelled documents of
+    each class (a bound of the training sample only)."""
     order = [F.xxhash64(F.col(id_col)), F.col(id_col)]
     picked = [labels.where((F.col("quality") == q) & F.col(id_col).isNotNull())
-              .select(id_col, "quality").orderBy(*order).limit(per_class) for q in (0, 1)]
+              .select(id_col, "quality").distinct().orderBy(*order).limit(per_class) for q in (0, 1)]
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * per_class rows at most
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
-            rows = [line_features(t.split(b"\n")[:max_lines])[0].ravel().tolist() for t in utf8(batch.column(1))]
+            rows = [line_features(t.split(b"\n"))[0].ravel().tolist() for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))],
                                              names=["quality", "x"])
 
     got = (docs.select(id_col, F.col(text_col).cast("string").alias("_text")).join(sample, id_col)
-           .select(F.col("quality").cast("int"), "_text").where(F.length("_text") > 0)
+           .where(F.length("_text") > 0).distinct()  # repeats do not reach the driver
+           .select(F.col("quality").cast("int"), "_text")
            .mapInArrow(features, "quality int, x array<double>").collect())
     got = sorted(((r.quality, r.x) for r in got))  # the fit must not depend on task order
-    got = got[:8 * per_class]  # repeated ids can only add copies
     return fit_crf([np.array(x).reshape(-1, len(FEATURES)) for _, x in got], [q for q, _ in got])
 
 

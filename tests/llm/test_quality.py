@@ -76,3 +76,29 @@ def test_filter_keeps_columns_and_empty_tables(spark):
     assert Q.quality_scores(empty, Q.LineCrf.prior()).count() == 0
     no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert np.array_equal(Q.train_line_crf(docs, no_labels).weights, Q.PRIOR_WEIGHTS)
+
+
+def _fit_on(spark, rows, monkeypatch):
+    """The (rows of lines, label) that the fit gets."""
+    seen = []
+    monkeypatch.setattr(Q, "fit_crf", lambda x, y: seen.append((x, y)))
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    Q.train_line_crf(documents(spark, rows), labels, per_class=2)
+    return sorted((y, len(x)) for x, y in zip(*seen[0]))
+
+
+def test_whole_texts_are_learned_from(spark, monkeypatch):
+    rows = [(1, "BUY ## NOW"), (2, "\n".join(f"line {i} of a long text." for i in range(700)))]
+    assert _fit_on(spark, rows, monkeypatch) == [(0, 1), (1, 700)]
+
+
+def test_repeated_rows_leave_both_classes(spark, monkeypatch):
+    rows = [(1, "BUY ## NOW")] * 40 + [(2, "A fine line.")]
+    assert _fit_on(spark, rows, monkeypatch) == [(0, 1), (1, 1)]
+
+
+def test_long_sequences_do_not_change_how_short_ones_count():
+    good, _, _ = Q.line_features([b"This is a fine line of text."] * 300)
+    bad, _, _ = Q.line_features([b"$$$ ### || BUY!! NOW!!"] * 6)
+    crf = Q.fit_crf([good, bad, good[:5]], [1, 0, 1])
+    assert (good @ crf.weights > 0).all() and (bad @ crf.weights < 0).all()
