@@ -8,7 +8,9 @@ Urls that stand for one page are made equivalent: a url and its usual redirect
 target (:func:`canonical_key`: scheme, ``www.``/``m.``, default document
 suffix, trailing slash, tracking parameters and fragment make no difference)
 share a node, and canonical links, ``og:url`` and meta refresh in the page, or
-a table of observed redirects, are edges between nodes.  Distributed connected
+a table of observed redirects, are edges between nodes.  Targets may be
+relative to the page's host, folder (``page2.html``, ``../a``) or path
+(``?id=3``); OP7_SQL knows only those from ``/`` on.  Distributed connected
 components join the nodes; a component that holds a url with a rule passes its
 verdict to members without one, and an explicit allow takes precedence over a
 block.  A url's own rule always wins.  Without any verdict a url is allowed.
@@ -70,17 +72,35 @@ def canonical_key(url: Column) -> Column:
     return F.when(url_host(url) != "", key)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path from the root without its ``.`` and ``..`` segments."""
+    parts = F.split(F.regexp_replace(F.regexp_replace(path, r"^/", ""), r"(^|/)(\.\.?)$", "$1$2/"), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(
+        x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(src, dst) urls: canonical, og:url and refresh targets, made absolute."""
     base = F.regexp_extract(F.col(url_col), r"^.*?://[^/?#]*", 0)
     found = [F.regexp_extract(F.regexp_extract(F.col(html_col), tag, 0), attribute, 1) for tag, attribute in _LINK]
     targets = (pages.where(F.col(url_col).isNotNull() & F.col(html_col).isNotNull())
-               .select(F.col(url_col).alias("src"), base.alias("base"), F.array(*found).alias("found"))
-               .select("src", "base", F.explode(F.filter(F.array_distinct("found"), lambda x: x != "")).alias("dst")))
+               .select(F.col(url_col).alias("src"), base.alias("base"), url_path(F.col(url_col)).alias("path"),
+                       F.array(*found).alias("found"))
+               .select("src", "base", "path",
+                       F.explode(F.filter(F.array_distinct("found"), lambda x: x != "")).alias("dst")))
     slashes = F.col("dst").startswith("//")
-    return targets.select("src", F.when(F.instr("dst", "://") > 0, F.col("dst"))
+    path = F.when(F.col("path") == "", "/").otherwise(F.col("path"))
+    folder = F.regexp_replace(path, r"[^/]*$", "")
+    to, tail = F.regexp_extract("dst", r"^[^?#]*", 0), F.regexp_extract("dst", r"[?#].*$", 0)
+    return targets.select("src", F.when(F.col("dst").rlike(r"^[^/?#]*://"), F.col("dst"))
                           .when(slashes, F.concat(F.lit("http:"), F.col("dst")))
-                          .when(F.col("dst").startswith("/"), F.concat("base", "dst")).alias("dst")).where("dst is not null")
+                          .when(F.col("dst").startswith("/"), F.concat("base", "dst"))
+                          .when(F.col("dst").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)  # mailto: and such
+                          .when(to == "", F.concat("base", path, tail))
+                          .otherwise(F.concat(F.col("base"), _without_dots(F.concat(folder, to)), tail)).alias("dst")
+                          ).where("dst is not null")
 
 
 def rule_table(spark: SparkSession, rules: tuple) -> DataFrame:

@@ -78,3 +78,19 @@ def test_no_rules_and_no_pages(spark):
     none = U.rule_table(spark, RULES).where("false")
     assert {r.verdict for r in U.judge_urls(df, none).collect()} == {"allow"}
     assert U.judge_urls(df.where("false"), U.rule_table(spark, RULES)).count() == 0
+
+
+def test_relative_targets(spark):
+    cases = [("http://h.net/a/b", "page2.html", "http://h.net/a/page2.html"), ("http://h.net/a/b/c", "../x", "http://h.net/a/x"),
+             ("http://h.net/a/b", "../../../x?y=../z", "http://h.net/x?y=../z"), ("http://h.net/a/b?c=1", "?id=3", "http://h.net/a/b?id=3"),
+             ("http://h.net", "x", "http://h.net/x"), ("http://h.net?q", "?id=3", "http://h.net/?id=3"),
+             ("http://h.net/a/b/", "./..", "http://h.net/a/"), ("http://h.net/a/", "go?u=http://x.org/", "http://h.net/a/go?u=http://x.org/"),
+             ("http://h.net/a/b", "/c", "http://h.net/c"), ("http://h.net/a", "mailto:me", None)]
+    for tag in (link, refresh):
+        for url, to, want in cases:
+            got = [r.dst for r in U.page_links(pages(spark, [(1, url, tag(to))])).collect()]
+            assert got == ([want] if want else []), (url, to)
+    rows = [(1, "http://bad.net/s/a", link("../t/b.html")), (2, "http://bad.net/t/b", None),
+            (3, "http://new.net/d/p", refresh("q.html")), (4, "http://new.net/d/q", link("http://bad.net/x"))]
+    got = U.judge_urls(pages(spark, rows), U.rule_table(spark, (("bad.net", "/", "block"),))).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "block", 4: "block"}
