@@ -15,7 +15,9 @@ the benchmark; with more chunks than one, each chunk is one more pass over the
 documents and the span lists are merged.
 
 Cases: a null or empty document has no words and is clean; an item without
-words, or with a null id, has no window; equal item ids count once; repeated
+words has no window; the windows of items with a null id count for hits and
+verdict in the query and the pipeline (``null_ids``; OP4_SQL leaves them out),
+but are in neither ``n_items`` nor the id list; equal item ids count once; repeated
 document rows are judged alike; an empty benchmark leaves everything clean.
 """
 
@@ -117,11 +119,11 @@ def hits(words: list[bytes], found: list[WuManber]) -> tuple[np.ndarray, set]:
 
 
 def pattern_chunks(benchmark: DataFrame, window: int, max_windows: int, id_col: str,
-                   text_col: str) -> Iterator[list[WuManber]]:
+                   text_col: str, null_ids: bool = False) -> Iterator[list[WuManber]]:
     """Matchers of at most ``max_windows`` windows each (one item alone may
     exceed it); at least one, if empty.  Items reach the driver one by one."""
     chunk, size, made = [], 0, 0
-    rows = (benchmark.where(F.col(id_col).isNotNull())
+    rows = (benchmark.where(F.col(id_col).isNotNull() | F.lit(null_ids))
             .select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
             .where("text is not null"))
     for r in rows.toLocalIterator():
@@ -146,7 +148,7 @@ def _passes(df: DataFrame, chunks: Iterator[list[WuManber]], step) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = 200_000,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text") -> DataFrame:
+                  item_text_col: str = "text", null_ids: bool = False) -> DataFrame:
     """One row per document: id, words, hit words, items found and the verdict."""
     kind = docs.schema[id_col].dataType.simpleString()
     state = f"id {kind}, text string, mask binary, n_words long, items array<string>"
@@ -167,14 +169,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                         bits |= np.frombuffer(mask, dtype=np.uint8)
                     masks.append(bits.tobytes())
                     counts.append(len(words))
-                    item_lists.append(sorted(found.union(items)))
+                    item_lists.append(sorted(found.difference([None]).union(items)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(masks, pa.binary()), pa.array(counts, pa.int64()),
                      pa.array(item_lists, pa.list_(pa.string()))], names=["id", "text", "mask", "n_words", "items"])
 
         return df.mapInArrow(run, state)
 
-    found = _passes(cur, pattern_chunks(benchmark, window, max_windows, item_col, item_text_col), step)
+    found = _passes(cur, pattern_chunks(benchmark, window, max_windows, item_col, item_text_col, null_ids), step)
     # the mask as text of hex digits; bits per digit add up to the hit words
     hex_ = F.hex("mask")
     n_hit = sum((F.length(hex_) - F.length(F.translate(hex_, digits, ""))) * bits
@@ -186,7 +188,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = 200_000,
-                      text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                      null_ids: bool = False) -> DataFrame:
     """The rows of ``docs`` without any hit word, with all their columns."""
     at = docs.columns.index(text_col)
 
@@ -198,11 +201,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
         return df.mapInArrow(run, docs.schema)
 
-    return _passes(docs, pattern_chunks(benchmark, window, max_windows, item_col, item_text_col), step)
+    return _passes(docs, pattern_chunks(benchmark, window, max_windows, item_col, item_text_col, null_ids), step)
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), null_ids=True)
 
 
 OP4_SQL = r"""
@@ -236,4 +239,4 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark window go."""
-    return drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, load(spark, sf_dir, "benchmark"), null_ids=True)

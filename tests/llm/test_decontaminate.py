@@ -69,3 +69,18 @@ def test_empty_benchmark(spark):
     got = D.contamination(docs, bench.where("false")).collect()
     assert not any(r.contaminated for r in got)
     assert D.contamination(docs.where("false"), bench).count() == 0
+
+
+def test_items_without_an_id_hit_in_query_and_stage(spark, tmp_path):
+    docs = documents(spark, [(1, "x secret passage y"), (2, "clean"), (3, "named one secret passage")])
+    bench = spark.createDataFrame([(None, "Secret passage"), (None, "named"), (7, "named one"), (None, None)],
+                                  "item_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    none, seven = (hashlib.sha256(x).hexdigest() for x in (b"", b"7"))
+    got = sorted(tuple(r) for r in D.op4_benchmark_decontamination(spark, str(tmp_path)).collect())
+    assert got == [(1, 4, 2, 0, none, True), (2, 1, 0, 0, none, False), (3, 4, 4, 1, seven, True)]
+    assert [r.doc_id for r in D.stage_decontaminate(spark, docs, str(tmp_path)).collect()] == [2]
+    for max_windows in (1, 2):  # over several passes
+        again = D.contamination(docs, bench, max_windows=max_windows, null_ids=True).collect()
+        assert sorted(tuple(r) for r in again) == got
