@@ -32,3 +32,12 @@ def edge_rows():
     long = " ".join(f"w{i % 997}x{i}" for i in range(30_000))
     return [(1, None), (2, ""), (3, " \t\n "), (4, long), (5, "one two"), (5, "one two"), (6, "one two"),
             (None, "three four five"), (None, None), (7, "#### $$$ !!!"), (8, "été Über x y")]
+
+
+VECS = "vec_id long, embedding array<float>, label int, id string, vec string, cid string, n string, cell string, home string, x string"
+
+
+def vectors(spark, rows):
+    """rows of (vec_id, embedding, label) with extra, clashing columns."""
+    return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v], g,
+                                   "i", "v", "c", "n", "c", "h", "x") for i, v, g in rows], VECS)
