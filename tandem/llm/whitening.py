@@ -9,7 +9,9 @@ map-only with a bounded partial result a task:
    m / (m + 1) * d d', d = row - mean: the secular equation
    1 + rho * sum(z_i^2 / (l_i - t)) = 0 is solved for all roots at once,
    components with a negligible z and equal eigenvalues are deflated, and z is
-   recomputed from the roots so that eigenvectors stay orthogonal;
+   recomputed from the roots so that eigenvectors stay orthogonal.  Of more than
+   two rows a dimension that are at hand together, a QR step first makes as many
+   rows as dimensions with the same scatter, so a row costs far less than an update;
 3. spectra of tasks are combined in a tree: each eigenpair of the one is a
    rank-one update of the other, and so is the difference of their means;
 4. Rayleigh-Ritz: with the basis Q found so far, Q' V Q is summed over the tasks
@@ -169,18 +171,35 @@ class Spectrum:
         self.m += 1
         self.mean = self.mean + diff / self.m
 
+    def add_rows(self, rows: np.ndarray) -> None:
+        """Fold in many rows: those of the triangle of their QR decomposition,
+        which has the same scatter about their mean, and the shift of the mean."""
+        if len(rows) <= 2 * rows.shape[1]:
+            for row in rows:
+                self.add(row)
+            return
+        mean = rows.mean(axis=0)
+        for row in np.linalg.qr(rows - mean, mode="r"):
+            self.lam, self.vecs = rank_one(self.lam, self.vecs, 1.0, row)
+        self._shift(len(rows), mean)
+
+    def _shift(self, m: int, mean: np.ndarray) -> None:
+        """Take in ``m`` rows whose scatter about their mean is in already."""
+        diff, total = mean - self.mean, self.m + m
+        if self.m:
+            self.lam, self.vecs = rank_one(self.lam, self.vecs, self.m * m / total, diff)
+        self.mean, self.m = self.mean + diff * (m / total), total
+
     def merge(self, other: "Spectrum") -> None:
         if not other.m:
             return
         if not self.m:
             self.m, self.mean, self.lam, self.vecs = other.m, other.mean, other.lam, other.vecs
             return
-        diff, total = other.mean - self.mean, self.m + other.m
         for value, vec in zip(other.lam, other.vecs.T):
             if value > 0:
                 self.lam, self.vecs = rank_one(self.lam, self.vecs, float(value), vec)
-        self.lam, self.vecs = rank_one(self.lam, self.vecs, self.m * other.m / total, diff)
-        self.mean, self.m = self.mean + diff * (other.m / total), total
+        self._shift(other.m, other.mean)
 
 
 # ---- passes -----------------------------------------------------------------
@@ -246,8 +265,7 @@ def partition_spectra(dim: int, offset: int, n: int, total: list[int]):
         s = Spectrum.empty(dim)
         for batch in batches:
             for _, x in fit_rows(batch.column("vec"), dim, offset):
-                for row in centred(x, n, total)[1]:
-                    s.add(row)
+                s.add_rows(centred(x, n, total)[1])
         if s.m:
             context = TaskContext.get()
             yield _row(context.partitionId() if context else 0, s)

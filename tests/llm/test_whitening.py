@@ -41,6 +41,16 @@ def test_rank_one_updates(name):
     close(s, plain(x))
 
 
+@pytest.mark.parametrize("name", list(tables()))
+def test_rows_at_once(name):
+    x = tables()[name]
+    s = Spectrum.empty(x.shape[1])
+    for part in np.array_split(x, 3):
+        s.add_rows(part)
+    assert s.m == len(x) and np.allclose(s.mean, x.mean(axis=0))
+    close(s, plain(x))
+
+
 @pytest.mark.parametrize("name", list(tables()))
 def test_merged_spectra(name):
     x = tables()[name]
