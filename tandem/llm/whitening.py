@@ -325,14 +325,12 @@ def whitening(df: DataFrame, vec_col: str = "embedding", components: int = COMPO
     total = [int(r.s) for r in sorted(sums, key=lambda r: r.d)]
 
     level = stored(vec.mapInArrow(partition_spectra(dim, offset, n, total), SPECTRUM), "spectra")
-    # consecutive numbers, so that every group of a level has fan_in spectra: one row a task is ranked
-    count = level.count()
-    while count > 1:
-        ranked = level.selectExpr("rank() over (order by part) - 1 as at", *level.columns) if count <= fan_in * 1000 else \
-            level.selectExpr("part as at", *level.columns)
-        level = stored(ranked.selectExpr(f"at div {fan_in} as g", "part", "m", "mean", "lam", "vecs").groupBy("g")
+    # a group of a level holds the spectra of fan_in groups of the level before
+    size = fan_in
+    while level.count() > 1:
+        level = stored(level.selectExpr(f"part div {size} as g", "part", "m", "mean", "lam", "vecs").groupBy("g")
                        .applyInArrow(merge_spectra, SPECTRUM).selectExpr("part", "m", "mean", "lam", "vecs"), "spectra")
-        count = level.count()
+        size *= fan_in
     last = level.first()
     basis, _ = np.linalg.qr(_spectrum(last.m, last.mean, last.lam, last.vecs).vecs[:, ::-1])
 
