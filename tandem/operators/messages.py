@@ -22,11 +22,8 @@ def _now_ms(processed) -> Column:
     return F.unix_millis(F.current_timestamp()) if processed is None else F.lit(processed).cast("bigint")
 
 
-def weather_message(pairs: DataFrame, *, job_name: str, window_type: str, window_size,
-                    strict_alert: bool = False, processed_ms: int | None = None) -> DataFrame:
-    """Weather x GPS pair -> message with WindowConfig, userAccount, deviceId,
-    sensorType, sensorValue (position, five readings, region, FireAlert) and
-    Time (observation, ingest, processed)."""
+def weather_value(pairs: DataFrame, *, job_name: str, window_type: str, window_size,
+                  strict_alert: bool = False, processed_ms: int | None = None) -> Column:
     msg = F.struct(
         F.struct(F.lit(job_name).alias("JobName"), F.lit(window_type).alias("WindowType"),
                  F.lit(str(window_size)).alias("WindowSize")).alias("WindowConfig"),
@@ -41,7 +38,14 @@ def weather_message(pairs: DataFrame, *, job_name: str, window_type: str, window
                  F.unix_millis("ingestTs").alias("IngestTime"),
                  _now_ms(processed_ms).alias("ProcessedTimestamp")).alias("Time"),
     )
-    return pairs.select(F.to_json(msg, _JSON_OPTS).alias("value"))
+    return F.to_json(msg, _JSON_OPTS)
+
+
+def weather_message(pairs: DataFrame, **params) -> DataFrame:
+    """Weather x GPS pair -> message with WindowConfig, userAccount, deviceId,
+    sensorType, sensorValue (position, five readings, region, FireAlert) and
+    Time (observation, ingest, processed).  Parameters: see ``weather_value``."""
+    return pairs.select(weather_value(pairs, **params).alias("value"))
 
 
 def _sensor_value_object(pairs: DataFrame, quoted_keys: bool) -> Column:
@@ -62,24 +66,25 @@ def _sensor_value_object(pairs: DataFrame, quoted_keys: bool) -> Column:
     return F.map_from_arrays(keys, vals)
 
 
-def multi_message(pairs: DataFrame, *, quoted_keys: bool = False) -> DataFrame:
-    """Multi-value x GPS pair -> {userAccount, deviceId, sensorType,
-    sensorValue{<name1>, <name2>, <name3>, attr_lat, attr_lng, regoin},
-    observationTimestamp}.  ``quoted_keys=True`` writes the sensor member
-    names wrapped in quote marks, as the original serializer did."""
+def multi_value(pairs: DataFrame, *, quoted_keys: bool = False) -> Column:
     msg = F.struct(
         F.struct("userId", "userEmail").alias("userAccount"),
         F.col("deviceId"), F.col("sensorType"),
         _sensor_value_object(pairs, quoted_keys).alias("sensorValue"),
         F.unix_millis("obsTs").alias("observationTimestamp"),
     )
-    return pairs.select(F.to_json(msg, _JSON_OPTS).alias("value"))
+    return F.to_json(msg, _JSON_OPTS)
 
 
-def gps_region_message(gps: DataFrame, *, processed_ms: int | None = None) -> DataFrame:
-    """GPS reading (with ``region``) -> {userAccount, deviceId,
-    sensorType + '_withRegion', sensorValue{attr_lat, attr_lng, regoin},
-    observationTimestamp = time of processing}."""
+def multi_message(pairs: DataFrame, *, quoted_keys: bool = False) -> DataFrame:
+    """Multi-value x GPS pair -> {userAccount, deviceId, sensorType,
+    sensorValue{<name1>, <name2>, <name3>, attr_lat, attr_lng, regoin},
+    observationTimestamp}.  ``quoted_keys=True`` writes the sensor member
+    names wrapped in quote marks, as the original serializer did."""
+    return pairs.select(multi_value(pairs, quoted_keys=quoted_keys).alias("value"))
+
+
+def gps_region_value(gps: DataFrame, *, processed_ms: int | None = None) -> Column:
     msg = F.struct(
         F.struct("userId", "userEmail").alias("userAccount"),
         F.col("deviceId"),
@@ -88,4 +93,11 @@ def gps_region_message(gps: DataFrame, *, processed_ms: int | None = None) -> Da
                  _region(gps).alias("regoin")).alias("sensorValue"),
         _now_ms(processed_ms).alias("observationTimestamp"),
     )
-    return gps.select(F.to_json(msg, _JSON_OPTS).alias("value"))
+    return F.to_json(msg, _JSON_OPTS)
+
+
+def gps_region_message(gps: DataFrame, *, processed_ms: int | None = None) -> DataFrame:
+    """GPS reading (with ``region``) -> {userAccount, deviceId,
+    sensorType + '_withRegion', sensorValue{attr_lat, attr_lng, regoin},
+    observationTimestamp = time of processing}."""
+    return gps.select(gps_region_value(gps, processed_ms=processed_ms).alias("value"))

@@ -192,3 +192,46 @@ def scalar_readings(parsed: DataFrame, sensor_type: str = PROXIMITY) -> DataFram
     s = parsed.where((F.col("sensorType") == sensor_type) & _ids_present() & present)
     text = F.get_json_object("raw", "$.sensorValue")
     return s.select("deviceId", "sensorType", json_int(num, text).alias("value"), _obs_ts())
+
+
+def all_readings(parsed: DataFrame, single: tuple = (WEATHER,), multi: tuple = (), ingest: str | None = None) -> DataFrame:
+    """GPS, five-number and three-axis readings in one frame, in one pass over
+    the messages: the rows of ``gps_readings``, of ``weather_readings`` for the
+    types in ``single`` and of ``multi_readings`` for those in ``multi``.
+
+    ``kind`` (gps, weather, multi) tells which columns are filled: lat, lng;
+    temp, humd, CO2, CO, hour, ingestTs; name1, value1, ... value3.  Every row
+    has userId, userEmail, deviceId, sensorType, obsTs and ``eventTs``, the
+    ingest time of a weather reading and the observation time of the others.
+    A type named twice is read as the first of gps, single, multi.
+    """
+    sv, stype = F.col("sensorValue"), F.col("sensorType")
+    kind = F.when(stype == GPS, "gps")
+    for types, name in ((single, "weather"), (multi, "multi")):
+        kind = kind.when(stype.isin(list(types)), name) if types else kind
+    d = parsed.where(_ids_present()).withColumn("kind", kind).where("kind IS NOT NULL")
+    is_gps, is_weather, is_multi = (F.col("kind") == k for k in ("gps", "weather", "multi"))
+    d = with_once(d, _keys=F.when(~is_multi, F.json_object_keys(sv)),
+                  _gps=F.when(is_gps, F.from_json(sv, "attr_lat double, attr_lng double")),
+                  _wea=F.when(is_weather, F.from_json(sv, ", ".join(f"{f} double" for f in WEATHER_FIELDS))),
+                  _names=F.when(is_multi, member_names(sv)))
+    d = d.where((is_gps & _has(F.col("_keys"), "attr_lat", "attr_lng"))
+                | (is_weather & _has(F.col("_keys"), *WEATHER_FIELDS)) | (is_multi & (F.size("_names") >= 3)))
+    d = with_once(d, _entries=F.when(is_multi, F.map_entries(F.from_json(sv, "map<string, variant>"))))
+
+    def value_of(i: int) -> Column:
+        last = F.element_at(F.filter("_entries", lambda e: e["key"] == F.col("_names")[i]), -1)
+        return json_float(variant_number(last["value"]))
+
+    axes = []
+    for i in range(3):
+        axes += [F.when(is_multi, F.col("_names")[i]).alias(f"name{i + 1}"),
+                 F.when(is_multi, value_of(i)).alias(f"value{i + 1}")]
+    ingest_ts = (F.col(ingest) if ingest else F.current_timestamp()).cast("timestamp")
+    obs = F.timestamp_millis(F.col("obsMs"))
+    return d.select(
+        "kind", "userId", "userEmail", "deviceId", "sensorType",
+        *[F.when(is_gps, json_float(F.col(f"_gps.attr_{c}"))).alias(c) for c in ("lat", "lng")],
+        *[F.when(is_weather, json_int(F.col(f"_wea.{f}"), F.get_json_object("sensorValue", f"$.{f}"))).alias(f)
+          for f in WEATHER_FIELDS], *axes, obs.alias("obsTs"), F.when(is_weather, ingest_ts).alias("ingestTs"),
+        F.when(is_weather, ingest_ts).otherwise(obs).alias("eventTs"))

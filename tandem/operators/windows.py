@@ -134,6 +134,8 @@ def project_pair(joined: DataFrame, kind: PairKind) -> DataFrame:
         cols = [F.col("g_deviceId").alias("deviceId"), F.col("g_sensorType").alias("sensorType"),
                 F.col("g_lat").alias("lat"), F.col("g_lng").alias("lng"), *region,
                 F.col("s_value").alias("value"), ts("g_obsTs").alias("obsTs")]
+    if "window" in joined.columns:  # with the watermark, for a stateful operator behind the join
+        win.append(F.col("window"))
     return joined.select(*cols, *win)
 
 
@@ -158,7 +160,7 @@ def salted_equi_join(left: DataFrame, right: DataFrame, keys: list, salt: int =
 
 
 def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt=1,
-                       salt_keys=None):
+                       salt_keys=None, keep_window=False):
     kind = kind or pair_kind_of(sensor)
     sensor_time = sensor_time or _default_time(kind)
     s, g = _sides(sensor, gps, kind, sensor_time, delay)
@@ -167,32 +169,39 @@ def _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay,
     s = s.select("*", F.window("_et", size, slide).alias("_w")).drop("_et")
     g = g.select("*", F.window("_et", size, slide).alias("_w")).drop("_et")
     j = salted_equi_join(s, g, ["_k", "_w"], salt, salt_keys)
-    j = j.select("*", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"))
+    j = j.select("*", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                 *([F.col("_w").alias("window")] if keep_window else []))
     return project_pair(j, kind)
 
 
 def tumbling_join(sensor: DataFrame, gps: DataFrame, size, *, kind: PairKind | None = None,
                   sensor_time: str | None = None, delay: str = "0 seconds",
-                  salt: int = 1, salt_keys=None) -> DataFrame:
+                  salt: int = 1, salt_keys=None, keep_window: bool = False) -> DataFrame:
     """Epoch-aligned tumbling windows of ``size`` (seconds, or duration text).
 
     ``delay`` is the watermark delay of a stream (0: readings arrive in time
     order per side); ``salt`` > 1 spreads each (key, window) group over that
     many sub-groups (see ``salted_equi_join``) - useful in a stream, where
     AQE cannot split a skewed join partition; ``salt_keys`` salts only the
-    named hot join keys."""
+    named hot join keys; ``keep_window`` adds the window as column ``window``
+    (see ``tandem.operators.grouping``)."""
     size_ms = to_ms(size)
     if size_ms < 1:
         raise ValueError("window size must be positive")
     return _fixed_window_join(sensor, gps, size_ms, size_ms, kind, sensor_time, delay, salt,
-                              salt_keys)
+                              salt_keys, keep_window)
 
 
 def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
                  kind: PairKind | None = None, sensor_time: str | None = None,
-                 delay: str = "0 seconds", salt: int = 1, salt_keys=None) -> DataFrame:
+                 delay: str = "0 seconds", salt: int = 1, salt_keys=None,
+                 panes: bool | None = None) -> DataFrame:
     """Sliding windows; ``slide`` defaults to size/2 in whole seconds
-    (integer division of the size in seconds, so 5 s slides by 2 s)."""
+    (integer division of the size in seconds, so 5 s slides by 2 s).
+
+    ``panes`` (batch) keeps readings once instead of copying them into every
+    window (``tandem.operators.panes``); by default it does so when a reading
+    lies in more than three windows."""
     size_ms = to_ms(size)
     if slide is None:
         if size_ms % 1000:
@@ -204,6 +213,17 @@ def sliding_join(sensor: DataFrame, gps: DataFrame, size, slide=None, *,
         raise ValueError("sliding windows need size >= 2 s (slide = size/2 >= 1 s)")
     if slide_ms > size_ms:
         raise ValueError("slide must not exceed size")
+    streaming = sensor.isStreaming or gps.isStreaming
+    if panes is None:
+        panes = not streaming and size_ms > 3 * slide_ms
+    if panes:
+        from tandem.operators.panes import pane_pairs
+
+        if streaming:
+            raise ValueError("panes are for batch frames; see tandem.streaming.shared for streams")
+        kind = kind or pair_kind_of(sensor)
+        s, g = _sides(sensor, gps, kind, sensor_time or _default_time(kind), delay)
+        return project_pair(pane_pairs(s, g, size_ms, slide_ms, salt, salt_keys), kind)
     return _fixed_window_join(sensor, gps, size_ms, slide_ms, kind, sensor_time, delay, salt,
                               salt_keys)
 

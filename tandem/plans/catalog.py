@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.functions.alerts import fire_alert
+from tandem.operators.grouping import joined_by_device
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.operators.parse import (
     ACCELEROMETER, GPS, PROXIMITY, WEATHER, bad_records, gps_readings, multi_readings, parse_feed, scalar_readings, stage_parsed,
@@ -27,6 +28,7 @@ from tandem.sources.events import events_feed, regions_from_nation
 # month, so those joins are run with a day here.
 DAY = 86_400
 QUARTER_DAY = 21_600
+HALF_HOUR = 1_800
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +135,25 @@ def q_sliding_join_weather(spark, sf_dir):
     return out_weather_pairs(sliding_join(w, g, QUARTER_DAY))
 
 
+def q_sliding_join_panes(spark, sf_dir):
+    """Twelve windows a reading: joined by panes, each reading kept once."""
+    g, w = _gps_weather(spark, sf_dir)
+    return out_weather_pairs(sliding_join(w, g, QUARTER_DAY, HALF_HOUR))
+
+
+def out_by_device(df: DataFrame) -> DataFrame:
+    return df.select("deviceId", "n_pairs", "value_sum", "value_min", "value_max", "lat_min", "lat_max", "lng_min",
+                     "lng_max", F.unix_millis("first_obs").alias("first_obs_ms"), F.unix_millis("last_obs").alias("last_obs_ms"),
+                     F.unix_millis("window_start").alias("window_start_ms"), F.unix_millis("window_end").alias("window_end_ms"))
+
+
+def q_joined_by_device(spark, sf_dir):
+    """Proximity x GPS pairs of quarter days, grouped by trimmed device and day."""
+    p = _staged(spark, sf_dir, GPS, PROXIMITY)
+    pairs = tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), QUARTER_DAY, keep_window=True)
+    return out_by_device(joined_by_device(pairs, DAY))
+
+
 def q_session_join_weather(spark, sf_dir):
     g, w = _gps_weather(spark, sf_dir)
     return out_weather_pairs(session_join(w, g, QUARTER_DAY))
@@ -217,6 +238,8 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_join_multi": q_tumbling_join_multi,
     "tumbling_join_scalar": q_tumbling_join_scalar,
     "sliding_join_weather": q_sliding_join_weather,
+    "sliding_join_panes": q_sliding_join_panes,
+    "joined_by_device": q_joined_by_device,
     "session_join_weather": q_session_join_weather,
     "window_join_dispatch": q_window_join_dispatch,
     "fire_alert": q_fire_alert,

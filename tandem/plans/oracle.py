@@ -10,6 +10,7 @@ from __future__ import annotations
 DAY_MS = 86_400_000
 QUARTER_DAY_MS = 21_600_000
 HALF_QUARTER_MS = 10_800_000
+HALF_HOUR_MS = 1_800_000
 
 _BASE = """
 ev AS (
@@ -194,6 +195,16 @@ SELECT g.deviceId, g.sensorType, g.lat, g.lng, s.value, g.obs_ms,
 FROM scalar s JOIN gps g
   ON {TRIM.format(c='s.deviceId')} = g.deviceId AND s.obs_ms // {DAY_MS} = g.obs_ms // {DAY_MS}"""),
     "sliding_join_weather": _with(sliding_weather(QUARTER_DAY_MS, HALF_QUARTER_MS)),
+    "sliding_join_panes": _with(sliding_weather(QUARTER_DAY_MS, HALF_HOUR_MS)),
+    "joined_by_device": _with(f"""
+SELECT {TRIM.format(c='g.deviceId')} AS deviceId, count(*) AS n_pairs, CAST(sum(s.value) AS BIGINT) AS value_sum,
+       min(s.value) AS value_min, max(s.value) AS value_max, min(g.lat) AS lat_min, max(g.lat) AS lat_max,
+       min(g.lng) AS lng_min, max(g.lng) AS lng_max, min(g.obs_ms) AS first_obs_ms, max(g.obs_ms) AS last_obs_ms,
+       CAST(s.obs_ms // {DAY_MS} * {DAY_MS} AS BIGINT) AS window_start_ms,
+       CAST(s.obs_ms // {DAY_MS} * {DAY_MS} + {DAY_MS} AS BIGINT) AS window_end_ms
+FROM scalar s JOIN gps g
+  ON {TRIM.format(c='s.deviceId')} = g.deviceId AND s.obs_ms // {QUARTER_DAY_MS} = g.obs_ms // {QUARTER_DAY_MS}
+GROUP BY {TRIM.format(c='g.deviceId')}, s.obs_ms // {DAY_MS}"""),
     "session_join_weather": f"WITH {_BASE}{session_ctes(QUARTER_DAY_MS)}{SESSION_SELECT}",
     "fire_alert": _alerts(False),
     "fire_alert_strict": _alerts(True),
@@ -244,3 +255,14 @@ FROM gps_region""")
 ORACLE_SQL["stream_late_rows"] = _with(tumbling_weather(
     DAY_MS, where="WHERE w.ingest_ms >= (SELECT (min(obs_ms) + max(obs_ms)) // 2 FROM ev)\n"
                   "  AND g.obs_ms >= (SELECT (min(obs_ms) + max(obs_ms)) // 2 FROM ev)"))
+
+# Late readings: after the later half the watermark stands at the last reading
+# of the job's types; a reading of the earlier half is late if its day is over.
+ORACLE_SQL["stream_late_readings"] = _with(f"""
+, readings AS (
+  SELECT userId, deviceId, sensorType, obs_ms FROM gps UNION ALL SELECT userId, deviceId, sensorType, obs_ms FROM weather
+  UNION ALL SELECT userId, deviceId, sensorType, obs_ms FROM multi
+)
+SELECT userId, deviceId, sensorType, obs_ms FROM readings
+WHERE obs_ms < (SELECT (min(obs_ms) + max(obs_ms)) // 2 FROM ev)
+  AND (obs_ms // {DAY_MS} + 1) * {DAY_MS} <= (SELECT max(obs_ms) FROM readings)""")

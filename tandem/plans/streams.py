@@ -8,17 +8,21 @@ joins.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tandem.operators.grouping import joined_by_device
 from tandem.operators.parse import gps_readings, parse_feed, scalar_readings, weather_readings
 from tandem.operators.windows import session_join, sliding_join, tumbling_join
-from tandem.plans.catalog import DAY, QUARTER_DAY, out_scalar_pairs, out_weather_pairs
+from tandem.plans.catalog import DAY, QUARTER_DAY, out_by_device, out_scalar_pairs, out_weather_pairs
 from tandem.plans.pipeline import JobConfig, build_pipeline, run_pipeline
 from tandem.sources.events import events_feed, regions_from_nation
 from tandem.sources.sinks import read_csv, write_csv
 from tandem.session import scratch_path
 from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
+from tandem.streaming.shared import late_readings, run_shared_pipeline, shared_pairs
 
 # A reading far after all data, on both sides, closes the last open session
 # windows (a session is emitted once the watermark passes its end).
@@ -32,7 +36,8 @@ def flush_lines(spark: SparkSession) -> DataFrame:
            f'"observationTimestamp":{FLUSH_MS}}}')
     wea = (f'{{{acct},"sensorType":"TYPE_WEATHER","sensorValue":{{"temp":0,"humd":0,"CO2":0,'
            f'"CO":0,"hour":0}},"observationTimestamp":{FLUSH_MS}}}')
-    return spark.createDataFrame([(gps,), (wea,)], "value string").select(
+    prox = f'{{{acct},"sensorType":"TYPE_PROXIMITY","sensorValue":0,"observationTimestamp":{FLUSH_MS}}}'
+    return spark.createDataFrame([(gps,), (wea,), (prox,)], "value string").select(
         "value", F.timestamp_millis(F.lit(FLUSH_MS)).alias("timestamp"))
 
 
@@ -103,6 +108,54 @@ def q_stream_late_rows(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_stream_joined_by_device(spark, sf_dir):
+    """Two stateful operators: the join's windows, then days by device."""
+    p = _stream_parsed(spark, sf_dir, flush=True)
+    pairs = tumbling_join(scalar_readings(p), gps_readings(p, by_device=True), QUARTER_DAY, keep_window=True)
+    return _sink(out_by_device(joined_by_device(pairs, DAY))).where(F.col("deviceId") != "-")
+
+
+@contextmanager
+def _state_settings(spark: SparkSession):
+    """Puts the caller's state store settings back after a replay that switches them."""
+    from tandem.streaming.sessions import CHANGELOG_KEY, PROVIDER_KEY
+    before = {k: spark.conf.get(k, None) for k in (PROVIDER_KEY, CHANGELOG_KEY)}
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def q_stream_shared_job_messages(spark, sf_dir):
+    """The whole job as one query: the feed read once, one GPS buffer for all sensors."""
+    with _state_settings(spark):
+        feed = events_feed(spark, sf_dir).unionByName(flush_lines(spark))
+        out = scratch_path(spark, "shared-out")
+        run_shared_pipeline(spark, JOB_CFG, source=stream_feed(spark, stage_feed(feed)),
+                            regions=regions_from_nation(spark, sf_dir), checkpoint_dir=scratch_path(spark, "shared-ckpt"),
+                            sink=lambda msgs, name, ckpt: run_available_now(msgs, out, ckpt))
+        return parse_messages(spark.read.parquet(out)).where(F.col("userId") != FLUSH_USER)
+
+
+def q_stream_late_readings(spark, sf_dir):
+    """The later half of the feed, then the earlier half: the readings that
+    come out as late are those whose windows the watermark had passed."""
+    with _state_settings(spark):
+        feed = events_feed(spark, sf_dir)
+        ms = F.unix_millis("timestamp")
+        cut = feed.agg(F.expr("(min(unix_millis(timestamp)) + max(unix_millis(timestamp))) div 2").alias("m")).first()["m"]
+        path = scratch_path(spark, "late-readings")
+        out, ckpt = scratch_path(spark, "late-readings-out"), scratch_path(spark, "late-readings-ckpt")
+        stage_feed(feed.where(ms >= cut), path + "/part=1")
+        src = spark.readStream.schema("value string, timestamp timestamp").parquet(path + "/*")
+        late = late_readings(shared_pairs(parse_feed(src), JOB_CFG, ingest="timestamp"))
+        run_available_now(late, out, ckpt)
+        stage_feed(feed.where(ms < cut), path + "/part=2")
+        run_available_now(late, out, ckpt)
+        return spark.read.parquet(out).select("userId", "deviceId", "sensorType", F.unix_millis("obsTs").alias("obs_ms"))
+
+
 def q_write_csv(spark, sf_dir):
     """Scalar x GPS pairs written as '|'-separated text and read back."""
     p = parse_feed(events_feed(spark, sf_dir))
@@ -160,6 +213,9 @@ STREAM_QUERIES = {
     "stream_sliding_join": q_stream_sliding_join,
     "stream_session_join": q_stream_session_join,
     "stream_late_rows": q_stream_late_rows,
+    "stream_late_readings": q_stream_late_readings,
+    "stream_joined_by_device": q_stream_joined_by_device,
+    "stream_shared_job_messages": q_stream_shared_job_messages,
     "write_csv": q_write_csv,
     "job_messages": q_job_messages,
     "stream_job_messages": q_stream_job_messages,
@@ -173,4 +229,6 @@ STREAM_ORACLE_OF = {
     "stream_session_join": "session_join_weather",
     "write_csv": "tumbling_join_scalar",
     "stream_job_messages": "job_messages",
+    "stream_shared_job_messages": "job_messages",
+    "stream_joined_by_device": "joined_by_device",
 }
