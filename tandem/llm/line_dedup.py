@@ -1,38 +1,47 @@
 """Fuzzy line dedup across documents (native: DataFrame functions only).
 
 Lines are normalised (lower case; runs of ASCII characters other than letters
-and digits become one space) once, and kept in a table.  Equal
-normalised lines are one item from the start (a partial aggregate, so a line of
-any frequency costs one row a task).  Every distinct line gets a 64-bit SimHash
-of its distinct words.  The hash is cut into four blocks of 16 bits; lines that
-agree in two blocks (one of six tables with 32-bit keys: by the pigeonhole
-principle all pairs that differ in at most two bits, and many with more) and
-differ in at most ``max_bits`` bits are candidates, and those whose edit
-similarity, 1 - distance / longer length, is at least ``threshold`` are linked.
-One occurrence per connected group stays: the smallest (id, row, line number).
+and digits become one space) once, and kept in a table.  Equal normalised lines
+are one item from the start (a partial aggregate, so a line of any frequency
+costs one row a task).
+
+Every distinct line gets a 64-bit SimHash of four blocks of 16 bits.  Its units
+(words, or character trigrams in lines of fewer than eight words) are cut into
+four runs of q = units div 4: two counted from the start, two from the end; a
+block is the SimHash of one run, each bit the majority of its units' hash bits.
+So a changed word touches one block, not the whole hash, and a word more or less
+shifts only the runs on its side.  Lines that agree in two blocks (one of six
+tables) are candidates: by the pigeonhole principle that holds for all pairs with
+up to two changed words, or one added, dropped, split or joined (where that
+changes q, the line is listed under both).  More changes often leave two runs, or
+the majorities, as they are.  Candidates with an edit similarity, 1 - distance /
+longer length, of at least ``threshold`` are linked, and one occurrence per
+connected group stays: the smallest (id, row, line number).
 
 Buckets are not expanded into all their pairs: members meet the bucket's head
 first, and after that only members of different components meet, one of them
-outside the bucket's largest component.
+outside the bucket's largest component, in blocks of about ``_BLOCK`` by hash, so
+that a large bucket is the work of many tasks.
 
 Item identity is a 64-bit hash of the normalised line.  Cases: null or empty
 text has no lines with a word; a line of ASCII marks and blanks only is never
-dropped; null ids sort first; equal (id, text) rows are one document (one
-output row); an empty table gives an empty result; in :func:`clean_documents`
-extra columns are kept.
+dropped; lines of fewer than six characters link with equal ones only; null ids
+sort first; equal (id, text) rows are one document (one output row); an empty
+table gives an empty result; in :func:`clean_documents` extra columns are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tandem.llm.common import fresh, load, stored
 from tandem.llm.graph import connected_components
 
 THRESHOLD = 0.8
-MAX_BITS = 8
-_LANES = 0x0000000100000001
+FEW_WORDS = 8
+_LANES = 1 | 1 << 15 | 1 << 30 | 1 << 45   # four counters of 15 bits in a long
+_BLOCK = 2000
 
 
 def normalise(line: Column) -> Column:
@@ -46,46 +55,103 @@ def document_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select("id", "row_key", "line_no", normalise(F.col("line")).alias("norm")))
 
 
-def simhashes(lines: DataFrame) -> DataFrame:
-    """(key, norm) -> (key, sig), one row per key.
+def unit_hashes(norm: Column) -> Column:
+    """Hashes of a line's words, in order; of its trigrams if the words are few."""
+    words = F.split(norm, " ")
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(norm) - 2, F.lit(1))),
+                        lambda i: F.xxhash64(norm.substr(i, F.lit(3))))
+    return F.when(F.size(words) >= FEW_WORDS, F.transform(words, lambda w: F.xxhash64(w))).otherwise(grams)
 
-    32 sums of two 32-bit counters each count the words that set a bit; words
-    of repeated lines count alike, which leaves the majority as it is.
-    """
-    words = (lines.select("key", F.explode(F.array_distinct(F.split("norm", " "))).alias("w"))
-             .select("key", F.xxhash64("w").alias("h")))
-    lane = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(_LANES)).alias(f"s{i}") for i in range(32)]
-    sums = words.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *lane)
-    sig = F.lit(0).cast("long")
-    for i in range(32):
-        low = F.col(f"s{i}").bitwiseAND(0xFFFFFFFF) * 2 > F.col("n")
-        high = F.shiftrightunsigned(f"s{i}", 32) * 2 > F.col("n")
-        sig = sig.bitwiseOR(F.when(low, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-        bit = (1 << (i + 32)) - (1 << 64 if i == 31 else 0)
-        sig = sig.bitwiseOR(F.when(high, F.lit(bit)).otherwise(F.lit(0)).cast("long"))
-    return sums.select("key", sig.alias("sig"))
 
+def block_hash(hashes: Column, start: Column, q: Column) -> Column:
+    """16-bit SimHash of the run of ``q`` hashes from ``start`` (from 1).
+
+    Four sums hold four counters each; adding 2^14 - 1 - q div 2 to a counter
+    sets its top bit if more than half of the units have the bit.  (Runs of
+    more than 2^14 units let counters run over; their hash is coarser.)"""
+    run = F.slice(hashes, start, q)
+    more_than_half = (F.lit((1 << 14) - 1) - F.least(F.floor(q / 2), F.lit((1 << 14) - 1))).cast("long") * F.lit(_LANES)
+
+    def count(i: int):
+        return lambda a, h: F.try_add(a, F.shiftrightunsigned(h, i).bitwiseAND(_LANES))
+
+    bits = None
+    for i in range(4):
+        total = F.aggregate(run, F.lit(0).cast("long"), count(i))
+        top = F.shiftrightunsigned(F.coalesce(F.try_add(total, more_than_half), F.lit(0).cast("long")), 14).bitwiseAND(_LANES)
+        bits = top if bits is None else bits.bitwiseOR(F.shiftleft(top, i))
+    out = bits.bitwiseAND(0xF)
+    for j in range(1, 4):
+        out = out.bitwiseOR(F.shiftrightunsigned(bits, 11 * j).bitwiseAND(0xF << (4 * j)))
+    return out
 
-def buckets(sigs: DataFrame) -> DataFrame:
-    """(key, sig) -> (bucket, key, sig): one row per pair of 16-bit blocks."""
-    block = [F.shiftrightunsigned("sig", 16 * i).bitwiseAND(0xFFFF) for i in range(4)]
-    pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
-    keys = [F.lit(n << 32).bitwiseOR(F.shiftleft(block[i], 16)).bitwiseOR(block[j]) for n, (i, j) in enumerate(pairs)]
-    return sigs.select(F.explode(F.array(*keys)).alias("bucket"), "key", "sig")
 
+def simhash(hashes: Column, q: Column) -> Column:
+    """The four blocks of runs of ``q`` units, two from each end."""
+    n = F.size(hashes)
+    starts = (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)
+    sig = None
+    for i, at in enumerate(starts):
+        block = F.shiftleft(block_hash(hashes, at, q), 16 * i)
+        sig = block if sig is None else sig.bitwiseOR(block)
+    return sig
 
-def _bits(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
+def with_hashes(lines: DataFrame) -> DataFrame:
+    """Adds ``chars``, ``q`` and ``sig``, and ``sig_less`` for runs of q - 1
+    where a line with one unit less would have them; null if there are no runs."""
+    n = F.size("_units")
+    at = F.inline(F.array(F.struct(unit_hashes(F.col("norm")).alias("_units"))))
+    d = lines.select("*", at).select("*", F.floor(n / 4).cast("int").alias("q"))
+    return d.select(*lines.columns, F.char_length("norm").alias("chars"), "q",
+                    F.when((F.col("q") > 0) & (F.char_length("norm") > 5), simhash(F.col("_units"), F.col("q"))).alias("sig"),
+                    F.when((F.col("q") > 1) & (n % 4 == 0), simhash(F.col("_units"), F.col("q") - 1)).alias("sig_less"))
 
-def line_links(sigs: DataFrame, lines: DataFrame, threshold: float, max_bits: int) -> DataFrame:
-    """Components of fuzzy links: (node, component)."""
-    items = buckets(sigs)
-    full = (items.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("head"),
-                                        F.max_by("sig", "key").alias("head_sig")).where("n > 1"))
-    tied = stored(items.join(full, "bucket"), "lines-tied")
-    star = (tied.where((F.col("key") != F.col("head")) & (_bits("sig", "head_sig") <= max_bits))
-            .select(F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct())
+
+def buckets(sigs: DataFrame) -> DataFrame:
+    """(key, chars, q, sig, sig_less) -> (bucket, key, chars): a row for each two blocks."""
+    def keys(sig: Column, q: Column) -> list[Column]:
+        block = [F.shiftrightunsigned(sig, 16 * i).bitwiseAND(0xFFFF) for i in range(4)]
+        return [F.when(sig.isNotNull(), F.xxhash64(F.lit(4 * i + j), q, block[i], block[j]))
+                for i in range(4) for j in range(i + 1, 4)]
+
+    all_keys = keys(F.col("sig"), F.col("q")) + keys(F.col("sig_less"), F.col("q") - 1)
+    return sigs.where("sig IS NOT NULL").select(F.explode(F.array_compact(F.array(*all_keys))).alias("bucket"), "key", "chars")
+
+
+def _edits(a: Column, b: Column, threshold: float) -> Column:
+    # the epsilon keeps 0.2 * 10 from rounding down to one edit
+    return F.floor((1 - threshold) * F.greatest(a, b) + 1e-9).cast("int")
+
+
+def _lengths_fit(a: str, b: str, threshold: float) -> Column:
+    return F.abs(F.col(a) - F.col(b)) <= _edits(F.col(a), F.col(b), threshold)
+
+
+def similar(a: str, b: str, threshold: float) -> Column:
+    """Edit similarity of at least ``threshold``.  Word by word replacement is
+    one way to edit a line into one of as many words; if it is short enough,
+    the distance need not be found."""
+    x, y = F.col(a), F.col(b)
+    most = _edits(F.char_length(x), F.char_length(y), threshold)
+    wx, wy = F.split(x, " "), F.split(y, " ")
+    replaced = F.aggregate(F.zip_with(wx, wy, lambda u, v: F.when(u == v, 0).otherwise(
+        F.greatest(F.char_length(u), F.char_length(v)))), F.lit(0), lambda s, c: s + c)
+    return (F.abs(F.char_length(x) - F.char_length(y)) <= most) & (
+        ((F.size(wx) == F.size(wy)) & (replaced <= most))
+        | F.expr(f"levenshtein({a}, {b}, cast(floor({1 - threshold} * greatest(char_length({a}), char_length({b})) + 1e-9) as int)) >= 0"))
+
+
+def line_links(first: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """Components of fuzzy links, (node, component), of the distinct lines
+    ``first`` (key, chars, q, sig, sig_less); ``lines`` (key, norm) has their texts."""
+    here = Window.partitionBy("bucket")
+    tied = stored(buckets(first).withColumn("n", F.count(F.lit(1)).over(here)).where("n > 1")
+                  .withColumn("top", F.max(F.struct("key", "chars")).over(here))
+                  .select("bucket", "key", "chars", "n", F.col("top.key").alias("head"), F.col("top.chars").alias("head_chars")),
+                  "lines-tied")
+    star = (tied.where((F.col("key") != F.col("head")) & _lengths_fit("chars", "head_chars", threshold))
+            .select(F.col("key").alias("a"), F.col("head").alias("b")).distinct())
     star = stored(star, "lines-star")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -93,66 +159,73 @@ def line_links(sigs: DataFrame, lines: DataFrame, threshold: float, max_bits: in
         body = stored(lines.join(need, "key").groupBy("key").agg(F.first("norm").alias("norm")), "lines-bodies")
         both = (pairs.join(body.select(F.col("key").alias("a"), F.col("norm").alias("na")), "a")
                 .join(body.select(F.col("key").alias("b"), F.col("norm").alias("nb")), "b"))
-        longer = "greatest(char_length(na), char_length(nb))"
-        # the epsilon keeps 0.2 * 10 from rounding down to one edit
-        far = f"cast(floor({1 - threshold} * {longer} + 1e-9) as int)"
-        near = F.expr(f"abs(char_length(na) - char_length(nb)) <= {far} AND levenshtein(na, nb, {far}) >= 0")
-        return both.where(near).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return both.where(similar("na", "nb", threshold)).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
     edges = stored(verified(star), "lines-links")
     comp = connected_components(edges, "lines-cc")
-    placed = (tied.where("n > 2").select("bucket", "key", "sig")
+    placed = (tied.where("n > 2").select("bucket", "key", "chars")
               .join(comp.withColumnRenamed("node", "key"), "key", "left")
-              .select("bucket", "key", "sig", F.coalesce("component", "key").alias("comp")))
+              .select("bucket", "key", "chars", F.coalesce("component", "key").alias("comp")))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = (sizes.groupBy("bucket")
-             .agg(F.max(F.struct("n", "comp")).getField("comp").alias("major"), F.count(F.lit(1)).alias("n_comp"))
-             .where("n_comp > 1").select("bucket", "major"))
+             .agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("n_comp"), F.sum("n").alias("n_all"))
+             .where("n_comp > 1")
+             .select("bucket", F.col("top.comp").alias("major"), (F.col("n_all") - F.col("top.n")).alias("n_minor"), "n_all"))
     open_ = stored(placed.join(mixed, "bucket"), "lines-open")
-    minor = open_.where("comp <> major").select("bucket", F.col("key").alias("a"), F.col("sig").alias("sa"),
-                                                F.col("comp").alias("ca"))
-    other = open_.select("bucket", F.col("key").alias("b"), F.col("sig").alias("sb"), F.col("comp").alias("cb"), "major")
-    cross = (minor.join(other, "bucket")
-             .where((F.col("ca") != F.col("cb")) & (_bits("sa", "sb") <= max_bits)
-                    & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    cross = stored(cross, "lines-cross")
+    cut = {c: F.ceil(F.col(f"n_{c}") / _BLOCK).cast("int") for c in ("minor", "all")}
+
+    def side(c: str, other: str, name: str) -> DataFrame:
+        """Members in their block, once for every block of the other side."""
+        own, opposite = f"_{c}", f"_{other}"
+        return (open_.withColumn(own, F.pmod(F.xxhash64("key"), cut[c]).cast("int"))
+                .withColumn(opposite, F.explode(F.sequence(F.lit(0), cut[other] - 1)))
+                .select("bucket", "_minor", "_all", F.col("key").alias(name), F.col("chars").alias(f"{name}_chars"),
+                        F.col("comp").alias(f"{name}_comp"), *(["major"] if name == "b" else [])))
+
+    minor = side("minor", "all", "a").join(mixed.select("bucket", "major"), "bucket").where("a_comp <> major").drop("major")
+    cross = (minor.join(side("all", "minor", "b"), ["bucket", "_minor", "_all"])
+             .where((F.col("a_comp") != F.col("b_comp")) & _lengths_fit("a_chars", "b_chars", threshold)
+                    & ((F.col("b_comp") == F.col("major")) | (F.col("a") < F.col("b"))))
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    cross = stored(cross.join(tried, ["a", "b"], "left_anti"), "lines-cross")
     if cross.isEmpty():
         return comp
     more = stored(verified(cross), "lines-links2")
     return comp if more.isEmpty() else connected_components(edges.unionByName(more), "lines-cc2")
 
 
-def line_decisions(docs: DataFrame, threshold: float = THRESHOLD, max_bits: int = MAX_BITS,
+def line_decisions(docs: DataFrame, threshold: float = THRESHOLD,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, row_key, line_no, key, dropped): one row per line; ``key`` is null
     for a line without a word."""
     lines = document_lines(docs, id_col, text_col)
-    keyed = lines.withColumn("key", F.when(F.col("norm") != "", F.xxhash64("norm")))
+    keyed = with_hashes(lines.withColumn("key", F.when(F.col("norm") != "", F.xxhash64("norm"))))
     table = stored(keyed, "lines-table", "zstd")  # readers take only the columns they need
-    slim = table.select("id", "row_key", "line_no", "key")
-    worded = table.where("norm <> ''").select("key", "norm")
-    sigs = stored(simhashes(worded), "lines-sigs")
-    comp = line_links(sigs, worded, threshold, max_bits)
-    first = (slim.where("key is not null").groupBy("key")
-             .agg(F.min(F.struct("id", "row_key", "line_no")).alias("first"))
-             .join(comp.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("comp", F.coalesce("component", "key")))
-    lead = first.groupBy("comp").agg(F.min("first").alias("lead"))
-    lead = stored(first.select("key", "comp").join(lead, "comp").select("key", "lead"), "lines-lead")
+    worded = table.where("key IS NOT NULL")
     here = F.struct("id", "row_key", "line_no")
-    return (slim.join(lead, "key", "left")
-            .select("id", "row_key", "line_no", "key", F.coalesce(here != F.col("lead"), F.lit(False)).alias("dropped")))
+    first = stored(worded.groupBy("key").agg(F.min(here).alias("first"), *[F.max(c).alias(c) for c in (
+        "chars", "q", "sig", "sig_less")]), "lines-first")
+    comp = line_links(first.drop("first"), worded.select("key", "norm"), threshold)
+    placed = (first.select("key", "first").join(comp.withColumnRenamed("node", "key"), "key", "left")
+              .withColumn("comp", F.coalesce("component", "key")))
+    lead = placed.groupBy("comp").agg(F.min("first").alias("lead"))
+    lead = stored(placed.select("key", "comp").join(lead, "comp").select("key", "lead"), "lines-lead")
+    slim = table.select("id", "row_key", "line_no", "key")
+    decided = (slim.where("key IS NOT NULL").join(lead, "key")
+               .select("id", "row_key", "line_no", "key", (here != F.col("lead")).alias("dropped")))
+    return decided.unionByName(slim.where("key IS NULL").withColumn("dropped", F.lit(False)))
 
 
 def line_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """(id, row_key, n_lines, n_kept, dropped_lines) per document; lines count if they hold a word."""
     d = line_decisions(docs, id_col=id_col, text_col=text_col, **params)
+    # equal rows repeat line numbers
     out = d.groupBy("id", "row_key").agg(
-        F.countDistinct(F.when(F.col("key").isNotNull(), F.col("line_no"))).alias("n_lines"),
+        F.size(F.collect_set(F.when(F.col("key").isNotNull(), F.col("line_no")))).alias("n_lines"),
         F.sort_array(F.collect_set(F.when(F.col("dropped"), F.col("line_no")))).alias("dropped_lines"))
-    return out.select("id", "row_key", "n_lines", (F.col("n_lines") - F.size("dropped_lines")).alias("n_kept"),
+    return out.select("id", "row_key", F.col("n_lines").cast("long").alias("n_lines"),
+                      (F.col("n_lines") - F.size("dropped_lines")).cast("long").alias("n_kept"),
                       "dropped_lines")
 
 
