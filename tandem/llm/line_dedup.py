@@ -40,8 +40,8 @@ from tandem.llm.graph import connected_components
 
 THRESHOLD = 0.8
 FEW_WORDS = 8
-_LANES = 1 | 1 << 15 | 1 << 30 | 1 << 45   # four counters of 15 bits in a long
 _BLOCK = 2000
+_BROADCAST_KEYS = 2_000_000   # up to here, keys (16 MB) are sent to the texts, else texts are shuffled
 
 
 def normalise(line: Column) -> Column:
@@ -66,53 +66,49 @@ def unit_hashes(norm: Column) -> Column:
 def block_hash(hashes: Column, start: Column, q: Column) -> Column:
     """16-bit SimHash of the run of ``q`` hashes from ``start`` (from 1).
 
-    Four sums hold four counters each; adding 2^14 - 1 - q div 2 to a counter
-    sets its top bit if more than half of the units have the bit.  (Runs of
-    more than 2^14 units let counters run over; their hash is coarser.)"""
+    Sums hold several counters each; adding half of a counter's range, less one
+    and less q div 2, sets its top bit if more than half of the units have the
+    bit.  Up to 63 units take two sums of eight counters of 7 bits, longer runs
+    four of four counters of 15 bits (over 2^14 units they run over; the hash is
+    coarser then)."""
     run = F.slice(hashes, start, q)
-    more_than_half = (F.lit((1 << 14) - 1) - F.least(F.floor(q / 2), F.lit((1 << 14) - 1))).cast("long") * F.lit(_LANES)
 
-    def count(i: int):
-        return lambda a, h: F.try_add(a, F.shiftrightunsigned(h, i).bitwiseAND(_LANES))
+    def count(i: int, mask: int):
+        return lambda a, h: F.try_add(a, F.shiftrightunsigned(h, i).bitwiseAND(mask))
 
-    bits = None
-    for i in range(4):
-        total = F.aggregate(run, F.lit(0).cast("long"), count(i))
-        top = F.shiftrightunsigned(F.coalesce(F.try_add(total, more_than_half), F.lit(0).cast("long")), 14).bitwiseAND(_LANES)
-        bits = top if bits is None else bits.bitwiseOR(F.shiftleft(top, i))
-    out = bits.bitwiseAND(0xF)
-    for j in range(1, 4):
-        out = out.bitwiseOR(F.shiftrightunsigned(bits, 11 * j).bitwiseAND(0xF << (4 * j)))
-    return out
+    def majorities(width: int, lanes: int) -> Column:
+        mask, half = sum(1 << (width * j) for j in range(lanes)), 1 << (width - 1)
+        room = (F.lit(half - 1) - F.least(F.floor(q / 2), F.lit(half - 1))).cast("long") * F.lit(mask)
+        bits = None
+        for i in range(16 // lanes):
+            total = F.aggregate(run, F.lit(0).cast("long"), count(i, mask))
+            top = F.shiftrightunsigned(F.coalesce(F.try_add(total, room), F.lit(0).cast("long")), width - 1).bitwiseAND(mask)
+            bits = top if bits is None else bits.bitwiseOR(F.shiftleft(top, i))
+        return bits
 
-
-def simhash(hashes: Column, q: Column) -> Column:
-    """The four blocks of runs of ``q`` units, two from each end."""
-    n = F.size(hashes)
-    starts = (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)
-    sig = None
-    for i, at in enumerate(starts):
-        block = F.shiftleft(block_hash(hashes, at, q), 16 * i)
-        sig = block if sig is None else sig.bitwiseOR(block)
-    return sig
+    return F.when(q <= 63, majorities(7, 8)).otherwise(majorities(15, 4))
 
 
 def with_hashes(lines: DataFrame) -> DataFrame:
-    """Adds ``chars``, ``q`` and ``sig``, and ``sig_less`` for runs of q - 1
-    where a line with one unit less would have them; null if there are no runs."""
+    """Adds ``chars``, ``q`` and ``sig``, the hashes of the four runs of ``q``
+    units (two from each end), and ``sig_less`` for runs of q - 1 where a line
+    with one unit less would have them; null if there are no runs."""
+    units = F.inline(F.array(F.struct(unit_hashes(F.col("norm")).alias("_units"))))
     n = F.size("_units")
-    at = F.inline(F.array(F.struct(unit_hashes(F.col("norm")).alias("_units"))))
-    d = lines.select("*", at).select("*", F.floor(n / 4).cast("int").alias("q"))
-    return d.select(*lines.columns, F.char_length("norm").alias("chars"), "q",
-                    F.when((F.col("q") > 0) & (F.char_length("norm") > 5), simhash(F.col("_units"), F.col("q"))).alias("sig"),
-                    F.when((F.col("q") > 1) & (n % 4 == 0), simhash(F.col("_units"), F.col("q") - 1)).alias("sig_less"))
+    q = F.floor(n / 4).cast("int")
+    d = lines.select("*", units).select("*", F.when(F.char_length("norm") > 5, q).otherwise(0).alias("q"))
+
+    def blocks(q: Column) -> Column:
+        return F.array(*[block_hash(F.col("_units"), at, q) for at in (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)])
+
+    return d.select(*lines.columns, F.char_length("norm").alias("chars"), "q", F.when(F.col("q") > 0, blocks(F.col("q"))).alias("sig"),
+                    F.when((F.col("q") > 1) & (n % 4 == 0), blocks(F.col("q") - 1)).alias("sig_less"))
 
 
 def buckets(sigs: DataFrame) -> DataFrame:
     """(key, chars, q, sig, sig_less) -> (bucket, key, chars): a row for each two blocks."""
     def keys(sig: Column, q: Column) -> list[Column]:
-        block = [F.shiftrightunsigned(sig, 16 * i).bitwiseAND(0xFFFF) for i in range(4)]
-        return [F.when(sig.isNotNull(), F.xxhash64(F.lit(4 * i + j), q, block[i], block[j]))
+        return [F.when(sig.isNotNull(), F.xxhash64(F.lit(4 * i + j), q, sig[i], sig[j]))
                 for i in range(4) for j in range(i + 1, 4)]
 
     all_keys = keys(F.col("sig"), F.col("q")) + keys(F.col("sig_less"), F.col("q") - 1)
@@ -153,10 +149,16 @@ def line_links(first: DataFrame, lines: DataFrame, threshold: float) -> DataFram
     star = (tied.where((F.col("key") != F.col("head")) & _lengths_fit("chars", "head_chars", threshold))
             .select(F.col("key").alias("a"), F.col("head").alias("b")).distinct())
     star = stored(star, "lines-star")
+    # texts of all that share a bucket with a line of a like length, once for both rounds
+    near = Window.partitionBy("bucket").orderBy("chars", "key")
+    like = [_lengths_fit("chars", "_next", threshold), _lengths_fit("chars", "_last", threshold)]
+    need = (tied.withColumn("_next", F.lead("chars").over(near)).withColumn("_last", F.lag("chars").over(near))
+            .where(F.coalesce(like[0], F.lit(False)) | F.coalesce(like[1], F.lit(False))).select("key").distinct())
+    need = stored(need, "lines-need")
+    need = F.broadcast(need) if need.count() <= _BROADCAST_KEYS else need
+    body = stored(lines.join(need, "key").groupBy("key").agg(F.first("norm").alias("norm")), "lines-bodies")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        need = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        body = stored(lines.join(need, "key").groupBy("key").agg(F.first("norm").alias("norm")), "lines-bodies")
         both = (pairs.join(body.select(F.col("key").alias("a"), F.col("norm").alias("na")), "a")
                 .join(body.select(F.col("key").alias("b"), F.col("norm").alias("nb")), "b"))
         return both.where(similar("na", "nb", threshold)).select(F.col("a").alias("u"), F.col("b").alias("v"))
