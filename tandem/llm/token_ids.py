@@ -10,8 +10,9 @@ parallel, and with ``doc_ids`` the filter is pushed down, so stripes and row
 groups whose metadata exclude the ids are not decoded.
 
 Words between ASCII spaces are encoded once per worker and remembered: the
-tokenizer drops white space and never joins across it, so a text's ids are
-those of its words in order (a test holds this against whole-text encoding).
+default tokenizer drops white space and never joins across it, so a text's ids
+are those of its words in order (a test holds this against whole-text encoding).
+A tokenizer file with another normaliser or pre-tokenizer encodes whole texts.
 
 Cases: null is an empty text and gives just the end id; null document ids come
 last; rows with equal ids are ordered by a hash of the text, so reruns agree;
@@ -20,6 +21,7 @@ an empty table gives an empty ORC table; extra columns are not written.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -54,6 +56,17 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+def drops_white_space(tokenizer) -> bool:
+    """The tokenizer lower-cases, splits by a pattern without white space, drops
+    what is between, and spells bytes by byte-level letters: words are independent."""
+    d = json.loads(tokenizer.to_str())
+    steps = (d.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return ([n["type"] for n in (d.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and [p["type"] for p in steps] == ["Split", "ByteLevel"] and d["model"]["type"] == "BPE"
+            and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and "[^\\s" in steps[0]["pattern"].get("Regex", "")
+            and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"])
+
+
 class WordEncoder(dict):
     """word -> its ids as little-endian unsigned 32-bit integers.
 
@@ -71,6 +84,7 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.by_words = drops_white_space(self.tokenizer)
         self.marks = {m: self.encode(m) for m in (".", ",")}
 
     def encode(self, word: str) -> bytes:
@@ -103,6 +117,8 @@ class WordEncoder(dict):
         return got
 
     def text(self, text: bytes) -> bytes:
+        if not self.by_words:
+            return self.encode(text.decode())
         return b"".join(map(self.__getitem__, text.split()))
 
     @staticmethod

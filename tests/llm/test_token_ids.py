@@ -28,6 +28,16 @@ def test_words_give_the_ids_of_the_text():
         assert np.frombuffer(e.text(t.encode()), "<u4").tolist() + [1] == whole(t), t
 
 
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, e = Tokenizer.from_file(path), T.WordEncoder(path)
+    assert not e.by_words and T.WordEncoder(T.tokenizer_path()).by_words
+    for t in ["Hello World, again", " two  spaces\n\nand lines ", "", "Ünï 中文"]:
+        assert np.frombuffer(e.text(t.encode()), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 def test_query_round_trip(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     path = scratch_path(spark, "ids")
