@@ -120,7 +120,7 @@ class SharedPairs(StatefulProcessor):
         self.clock = handle.getValueState("clock", "done_us long, timer_ms long")
 
     def _times(self) -> tuple[int | None, int | None]:
-        return tuple(self.clock.get()) if self.clock.exists() else (None, None)
+        return tuple(self.clock.get() or (None, None))  # one call to the store, not two
 
     def _set_timer(self, done: int | None, old: int | None, first: int | None) -> None:
         new = None if first is None else _timer_ms(first)
@@ -274,7 +274,7 @@ class DealHot(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         rules = sorted(tuple(r) for r in self.rules.get())
-        last, slot, count = tuple(self.seen.get()) if self.seen.exists() else (None, None, 0)
+        last, slot, count = tuple(self.seen.get() or (None, None, 0))
         longest = max(size for size, _ in self.sizes.values())
         froms, groups = np.array([r[0] for r in rules], dtype=np.int64), np.array([1] + [r[1] for r in rules])
         for pdf in rows:
