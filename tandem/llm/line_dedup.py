@@ -13,7 +13,7 @@ So a changed word touches one block, not the whole hash, and a word more or less
 shifts only the runs on its side.  Lines that agree in two blocks (one of six
 tables) are candidates: by the pigeonhole principle that holds for all pairs with
 up to two changed words, or one added, dropped, split or joined (where that
-changes q, the line is listed under both).  More changes often leave two runs, or
+changes q, the line is listed under both), if both have eight words or more.  More changes often leave two runs, or
 the majorities, as they are.  Candidates with an edit similarity, 1 - distance /
 longer length, of at least ``threshold`` are linked, and one occurrence per
 connected group stays: the smallest (id, row, line number).
