@@ -32,7 +32,9 @@ holds: there a trie node stays if its share of all counts is at least
 **Base score** needs the training count of every word.  Words are never
 broadcast: each chunk of text (about ``CHUNK`` bytes) sends its distinct words,
 as 64-bit digests packed by digest range; ranges add up counts and send them
-back to the chunks that asked; chunk and answers meet in one task.
+back, without the digests, to the chunks that asked; chunk and answers meet in
+one task.  A chunk sends at most one row a distinct word and one a distinct
+gram, and takes no step that grows with the number of ranges.
 
 Cases: null is an empty text (one end token); rows with a null id are scored,
 not learned from, and not held out; without training text all counts are 0;
@@ -303,40 +305,46 @@ def _chunk_id(part: int, at: int) -> int:
 
 
 def word_counts(src: DataFrame, ranges: int) -> DataFrame:
-    """What each chunk must know: (chunk, digests, counts) in pieces, where
-    ``counts`` are the training counts of the chunk's distinct words.  A row
-    with chunk -1 has in ``digests`` the two sums of its range: N and V."""
-    step = (1 << 64) // ranges + 1
-
+    """What each chunk must know: (chunk, range, counts) in pieces, where
+    ``counts`` are the training counts of the chunk's distinct words in that
+    range, ascending by digest (the chunk knows the digests), and ``check`` is
+    half the sum of the digests.  A row with chunk -1 has in ``counts`` the two
+    sums of its range: N and V."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, part = WordDigests.shared(), TaskContext.get().partitionId()
         for at, batch in enumerate(pieces(batches, 1, 1 << 30, CHUNK)):
             d, learned = chunk_words(batch, digests)
-            cut = np.searchsorted(d, np.array([i * step for i in range(1, ranges)], dtype=np.uint64))
-            cut = np.concatenate([[0], cut, [len(d)]])
-            full = np.flatnonzero(np.diff(cut))
+            full, cut = word_ranges(d, ranges)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), pa.array([_chunk_id(part, at)] * len(full), pa.int64()),
-                 pa.array([d[cut[i]:cut[i + 1]].tobytes() for i in full], pa.binary()),
-                 pa.array([learned[cut[i]:cut[i + 1]].astype("<i8").tobytes() for i in full], pa.binary())],
+                [pa.array(full), pa.array([_chunk_id(part, at)] * len(full), pa.int64()),
+                 pa.array([x.tobytes() for x in np.split(d, cut)], pa.binary()),
+                 pa.array([_pack(x) for x in np.split(learned, cut)], pa.binary())],
                 names=["range", "chunk", "digests", "counts"])
 
     def answer(table: pa.Table) -> pa.Table:
-        chunk = table.column("chunk").to_pylist()
+        here, chunk = table.column("range")[0].as_py(), table.column("chunk").to_pylist()
         d = [np.frombuffer(x, dtype=np.uint64) for x in table.column("digests").to_pylist()]
-        n = [np.frombuffer(x, dtype="<i8") for x in table.column("counts").to_pylist()]
+        n = [_unpack(x) for x in table.column("counts").to_pylist()]
         words, at = np.unique(np.concatenate(d), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(n)).astype(np.int64)
-        ends = np.cumsum([len(x) for x in d])
-        sums = np.array([total.sum(), np.count_nonzero(total)], dtype="<i8")
+        back = np.split(total[at], np.cumsum([len(x) for x in d])[:-1])
+        sums = np.array([total.sum(), np.count_nonzero(total)])
         return pa.table({
             "chunk": pa.array([*chunk, -1], pa.int64()),
-            "digests": pa.array([*(x.tobytes() for x in d), sums.tobytes()], pa.binary()),
-            "counts": pa.array([*(total[at[e - len(x):e]].astype("<i8").tobytes() for x, e in zip(d, ends)), b""],
-                               pa.binary())})
+            "range": pa.array([here] * (len(chunk) + 1), pa.int32()),
+            "check": pa.array([*(int(x.sum() >> np.uint64(1)) for x in d), 0], pa.int64()),
+            "counts": pa.array([*map(_pack, back), _pack(sums)], pa.binary())})
 
     asked = src.mapInArrow(ask, "range int, chunk long, digests binary, counts binary")
-    return asked.groupBy("range").applyInArrow(answer, "chunk long, digests binary, counts binary")
+    return asked.groupBy("range").applyInArrow(answer, "chunk long, range int, check long, counts binary")
+
+
+def word_ranges(d: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges that have some of the ascending digests, and where all but
+    the first of them start: work by the digests, not by the ranges."""
+    part = (((d >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int32)
+    cut = np.flatnonzero(part[1:] != part[:-1]) + 1
+    return part[np.concatenate([[0], cut])], cut
 
 
 def chunk_words(batch: pa.RecordBatch, digests: WordDigests) -> tuple[np.ndarray, np.ndarray]:
@@ -363,10 +371,16 @@ def chunk_grams(seqs: list[bytes], learn: list, order: int) -> tuple[np.ndarray,
 
 def _by_range(g: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
     """The order that deals ascending grams to ranges by their context's hash,
-    and where each range starts and ends in it."""
+    and the range of each gram in it."""
     part = (mix64(g >> np.uint64(8)) % np.uint64(ranges)).astype(np.int32)
     at = np.argsort(part, kind="stable")
-    return at, np.concatenate([[0], np.cumsum(np.bincount(part, minlength=ranges))])
+    return at, part[at]
+
+
+def _new_context(g: np.ndarray) -> np.ndarray:
+    """True where an ascending run of grams comes to another context."""
+    ctx = g >> np.uint64(8)
+    return np.concatenate([[True], ctx[1:] != ctx[:-1]])
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -387,8 +401,8 @@ _GRAM_ROWS = "kind int, range int, chunk long, gram long, n long, value double,
 
 def gram_answers(src: DataFrame, ranges: int, order: int) -> DataFrame:
     """All chunks' grams, counted.  Rows by ``kind``: _ANSWER: the counts of the
-    grams that a chunk sent to a range, then what their contexts weigh, escape
-    included (``data``), and the sum of these grams; _TRAINED: a gram and its
+    grams that a chunk sent to a range, then what each of their contexts weighs,
+    escape included (``data``), and half the sum of these grams; _TRAINED: a gram and its
     count; _MISS: a gram without a count, the log10 of the escape from its
     longest context and the bytes seen there; _ASKED: a chunk that asked for
     such a gram."""
@@ -396,13 +410,13 @@ def gram_answers(src: DataFrame, ranges: int, order: int) -> DataFrame:
         part = TaskContext.get().partitionId()
         for at, batch in enumerate(pieces(batches, 1, 1 << 30, CHUNK)):
             g, learned = chunk_grams([sequence(t) for t in utf8(batch.column(1))], batch.column(2).to_pylist(), order)
-            by, ends = _by_range(g, ranges)
-            g, learned = g[by], learned[by]
-            full = np.flatnonzero(np.diff(ends))
+            by, dealt = _by_range(g, ranges)
+            cut = np.flatnonzero(dealt[1:] != dealt[:-1]) + 1
+            full = dealt[np.concatenate([[0], cut])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), pa.array([_chunk_id(part, at)] * len(full), pa.int64()),
-                 pa.array([_pack(np.diff(g[ends[i]:ends[i + 1]], prepend=np.uint64(0))) for i in full], pa.binary()),
-                 pa.array([_pack(learned[ends[i]:ends[i + 1]]) for i in full], pa.binary())],
+                [pa.array(full), pa.array([_chunk_id(part, at)] * len(full), pa.int64()),
+                 pa.array([_pack(np.diff(x, prepend=np.uint64(0))) for x in np.split(g[by], cut)], pa.binary()),
+                 pa.array([_pack(x) for x in np.split(learned[by], cut)], pa.binary())],
                 names=["range", "chunk", "grams", "counts"])
 
     def answer(table: pa.Table) -> pa.Table:
@@ -411,8 +425,7 @@ def gram_answers(src: DataFrame, ranges: int, order: int) -> DataFrame:
         counts = np.concatenate([_unpack(x) for x in table.column("counts").to_pylist()])
         g, at = np.unique(np.concatenate(sent), return_inverse=True)
         n = np.bincount(at, weights=counts).astype(np.int64)
-        ctx = g >> np.uint64(8)
-        new = np.concatenate([[True], ctx[1:] != ctx[:-1]])
+        new = _new_context(g)
         first, of = np.flatnonzero(new), np.cumsum(new) - 1
         distinct = np.add.reduceat((n > 0).astype(np.int64), first)
         total = np.add.reduceat(n, first) + distinct
@@ -430,7 +443,7 @@ def gram_answers(src: DataFrame, ranges: int, order: int) -> DataFrame:
         asked = np.concatenate([g[x] for x in gone])
         rows = {
             _ANSWER: {"chunk": chunk, "gram": [int(x.sum() >> np.uint64(1)) for x in sent],
-                      "data": [_pack(np.concatenate([n[x], total[of[x]]])) for x in back]},
+                      "data": [_pack(np.concatenate([n[x], total[of[x][_new_context(y)]]])) for x, y in zip(back, sent)]},
             _TRAINED: {"gram": g[known].view(np.int64), "n": n[known]},
             _MISS: {"gram": g[miss].view(np.int64), "value": lost, "data": [seen[c] for c in of[miss].tolist()]},
             _ASKED: {"chunk": np.repeat(np.array(chunk, dtype=np.int64), [len(x) for x in gone]),
@@ -499,22 +512,21 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel | None = None, i
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges, gram_ranges = max(16, -(-size // CHUNK)), max(16, -(-size // (2 * CHUNK)))
     counts = stored(word_counts(src, ranges), "ppm-words")
-    sums = [np.frombuffer(r.digests, dtype="<i8") for r in
-            counts.where("chunk = -1").select("digests").toLocalIterator()]
+    sums = [_unpack(r.counts) for r in counts.where("chunk = -1").select("counts").toLocalIterator()]
     n_all, v_all = (sum(int(s[i]) for s in sums) for i in (0, 1))
     shared = docs.sparkSession.sparkContext.broadcast(model) if model else None
     kind = docs.schema[id_col].dataType.simpleString()
-    none, empty = F.lit(None).cast("long"), F.lit(None).cast("binary")
+    empty = F.lit(None).cast("binary")
     answers = counts.where("chunk >= 0").select(
-        "chunk", "digests", "counts", F.lit(-1).alias("range"), none.alias("gram"),
-        F.lit(None).cast("double").alias("value"), empty.alias("data"))
+        "chunk", "range", F.col("check").alias("gram"), F.lit(None).cast("double").alias("value"),
+        empty.alias("data"), "counts")
     if model is None:
         got = stored(gram_answers(src, gram_ranges, order), "ppm-grams")
         back = got.where(F.col("kind") == _ANSWER).select("chunk", "range", "gram", "value", "data")
         missed = (got.where(F.col("kind") == _ASKED).select("chunk", "gram").join(missed_grams(got, order), "gram")
                   .select("chunk", F.lit(-1).alias("range"), "gram", "value", empty.alias("data")))
         for part in (back, missed):
-            answers = answers.unionByName(part.withColumns({"digests": empty, "counts": empty}))
+            answers = answers.unionByName(part.withColumn("counts", empty))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -529,17 +541,21 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel | None = None, i
     def gram_scores(seqs: list[bytes], rows: pa.Table) -> np.ndarray:
         g, starts = grams(seqs, order)
         g, at = np.unique(g, return_inverse=True)
-        by, ends = _by_range(g, gram_ranges)
+        by, part = _by_range(g, gram_ranges)
         dealt, value = g[by], np.full(len(g), np.nan)
         got = rows.filter(pc.is_valid(rows.column("data")))
         for r, check, data in zip(got.column("range").to_pylist(), got.column("gram").to_pylist(),
                                   got.column("data").to_pylist()):
-            piece = slice(ends[r], ends[r + 1])
-            n, total = np.split(_unpack(data).astype(np.float64), 2)
-            if len(n) != ends[r + 1] - ends[r] or int(dealt[piece].sum() >> np.uint64(1)) != check:
+            piece = slice(*np.searchsorted(part, [r, r + 1]))
+            here = dealt[piece]
+            if not len(here) or int(here.sum() >> np.uint64(1)) != check:
+                raise split_anew()
+            new = _new_context(here)
+            n, total = np.split(_unpack(data).astype(np.float64), [len(here)])
+            if len(total) != np.count_nonzero(new):
                 raise split_anew()
             at_, known = by[piece], n > 0
-            value[at_[known]] = np.log10(n[known] / total[known])
+            value[at_[known]] = np.log10(n[known] / total[np.cumsum(new) - 1][known])
         late = rows.filter(pc.is_valid(rows.column("value")))
         if late.num_rows:
             value[np.searchsorted(g, late.column("gram").to_numpy().view(np.uint64))] = late.column("value").to_numpy()
@@ -550,20 +566,22 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel | None = None, i
     def score(texts: pa.Table, rows: pa.Table) -> pa.Table:
         out = {"id": texts.column("id"), "n_tokens": [], "n_known": [], "base_score": []}
         if texts.num_rows:
-            words = rows.filter(pc.is_valid(rows.column("digests")))
-            d = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in words.column("digests").to_pylist()])
-            c = np.concatenate([np.frombuffer(x, dtype="<i8") for x in words.column("counts").to_pylist()])
-            by = np.argsort(d, kind="stable")  # runs that are sorted already
-            d, c = d[by], c[by]
-            part = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
             digests, seqs = WordDigests.shared(), []
+            d, _ = chunk_words(texts, digests)
+            full, cut = word_ranges(d, ranges)
+            halves = {r: int(x.sum() >> np.uint64(1)) for r, x in zip(full.tolist(), np.split(d, cut))}
+            words = rows.filter(pc.is_valid(rows.column("counts")))
+            sent = dict(zip(words.column("range").to_pylist(), words.column("gram").to_pylist()))
+            if sent != halves:
+                raise split_anew()
+            pieces_ = dict(zip(words.column("range").to_pylist(), words.column("counts").to_pylist()))
+            c = np.concatenate([_unpack(pieces_[r]) for r in full.tolist()]).astype(np.int64)
+            part = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
             for text in utf8(texts.column("text")):
                 words_ = lower_ascii(text).split()
                 seqs.append(b" ".join(words_) + b" " + END if words_ else END)
                 token = np.append(digests.array(words_), _END_DIGEST)
-                at = np.minimum(np.searchsorted(d, token), len(d) - 1)
-                if not np.array_equal(d[at], token):
-                    raise split_anew()
+                at = np.searchsorted(d, token)
                 out["n_tokens"].append(len(token))
                 out["n_known"].append(int(np.count_nonzero(c[at])))
                 out["base_score"].append(float(part[at].sum()))

@@ -142,3 +142,17 @@ def test_scores_without_training_text(spark):
     got = {r.doc_id: r.score for r in P.score_texts(docs, F.lit(False)).collect()}
     assert got == pytest.approx({1: -5 * math.log10(256), 2: -math.log10(256)})
     assert P.score_texts(docs.where("false"), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("ranges", [1, 16, 100_000, 2**31 - 1])
+def test_dealing_does_not_grow_with_the_ranges(ranges):
+    rng = np.random.default_rng(3)
+    d = np.unique(rng.integers(0, 2**64, 500, dtype=np.uint64))
+    full, cut = P.word_ranges(d, ranges)
+    assert full.tolist() == sorted({int(x) * ranges >> 32 for x in d >> np.uint64(32)}) and len(full) <= len(d)
+    assert [len(x) > 0 for x in np.split(d, cut)] == [True] * len(full)
+    g = np.unique(rng.integers(0, 2**56, 500, dtype=np.uint64))
+    by, part = P._by_range(g, ranges)
+    assert len(part) == len(g) and (np.diff(part) >= 0).all() and 0 <= part[0] and part[-1] < ranges
+    for r in np.unique(part):
+        assert (np.diff(g[by][part == r].astype(object)) > 0).all()  # ascending within a range
