@@ -566,25 +566,25 @@ def score_texts(docs: DataFrame, learn: Column, model: PpmModel | None = None, i
     def score(texts: pa.Table, rows: pa.Table) -> pa.Table:
         out = {"id": texts.column("id"), "n_tokens": [], "n_known": [], "base_score": []}
         if texts.num_rows:
-            digests, seqs = WordDigests.shared(), []
-            d, _ = chunk_words(texts, digests)
+            digests, seqs, tokens = WordDigests.shared(), [], []
+            for text in utf8(texts.column("text")):
+                words_ = lower_ascii(text).split()
+                seqs.append(b" ".join(words_) + b" " + END if words_ else END)
+                tokens += [digests.array(words_), np.array([_END_DIGEST])]
+            sizes = np.array([len(x) for x in tokens[::2]]) + 1
+            starts = np.cumsum(sizes) - sizes
+            d, at = np.unique(np.concatenate(tokens), return_inverse=True)
             full, cut = word_ranges(d, ranges)
             halves = {r: int(x.sum() >> np.uint64(1)) for r, x in zip(full.tolist(), np.split(d, cut))}
             words = rows.filter(pc.is_valid(rows.column("counts")))
-            sent = dict(zip(words.column("range").to_pylist(), words.column("gram").to_pylist()))
-            if sent != halves:
+            if dict(zip(words.column("range").to_pylist(), words.column("gram").to_pylist())) != halves:
                 raise split_anew()
-            pieces_ = dict(zip(words.column("range").to_pylist(), words.column("counts").to_pylist()))
-            c = np.concatenate([_unpack(pieces_[r]) for r in full.tolist()]).astype(np.int64)
+            sent = dict(zip(words.column("range").to_pylist(), words.column("counts").to_pylist()))
+            c = np.concatenate([_unpack(sent[r]) for r in full.tolist()]).astype(np.int64)
             part = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
-            for text in utf8(texts.column("text")):
-                words_ = lower_ascii(text).split()
-                seqs.append(b" ".join(words_) + b" " + END if words_ else END)
-                token = np.append(digests.array(words_), _END_DIGEST)
-                at = np.searchsorted(d, token)
-                out["n_tokens"].append(len(token))
-                out["n_known"].append(int(np.count_nonzero(c[at])))
-                out["base_score"].append(float(part[at].sum()))
+            out["n_tokens"] = sizes
+            out["n_known"] = np.add.reduceat((c > 0).astype(np.int64)[at], starts)
+            out["base_score"] = np.add.reduceat(part[at], starts)
             out["score"] = scorer_of(shared).texts(seqs) if shared else gram_scores(seqs, rows)
         else:
             out["score"] = []
