@@ -17,8 +17,8 @@ As the softmax is linear, a word's share of the score is one number; workers
 remember it per word, so scoring is one table look-up a word.
 
 Cases: null and empty texts get the score of the bias alone; rows without a
-label, or with a null id, are not learned from; without both classes every
-score is 0; repeated rows are scored alike; extra columns are ignored.
+label, or with a null id, are not learned from; of rows that repeat an id the
+smallest text is learned from; without both classes every score is 0; repeated rows are scored alike; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -151,7 +151,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
 
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    fitted = (src.join(sample, "_id").select("_id", "_y", "_text")
+    fitted = (src.join(sample, "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
               .mapInArrow(bags, f"g int, id {kind}, y int, ids array<int>, weights array<float>")
               .groupBy("g").applyInArrow(fit, "name string, v array<double>").collect())
     if not fitted:

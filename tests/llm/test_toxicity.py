@@ -44,3 +44,11 @@ def test_edges_of_the_input(spark):
     assert T.train_toxicity(docs, labels.where("toxic = 1")) is None
     assert {r.score for r in T.toxicity_scores(docs, None).collect()} == {0.0}
     assert T.toxicity_scores(docs.where("false"), model).count() == 0
+
+
+def test_a_repeated_document_counts_once(spark):
+    import numpy as np
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = docs.where("doc_id < 100"), labels.where("doc_id < 100")
+    once, more = T.train_toxicity(docs, labels), T.train_toxicity(docs.unionByName(docs), labels)
+    assert np.array_equal(once.subword_ids, more.subword_ids) and np.allclose(once.embeddings, more.embeddings)
