@@ -17,8 +17,8 @@ large buckets of near copies are linked without all their pairs.
 
 Cases: texts without any word (null, empty) are alone in their class; texts of
 punctuation only use space-separated words; the class id is the smallest
-``doc_id`` of the class (null only if all are null); repeated rows share a
-class and, in :func:`drop_near_duplicates`, only one of them stays.
+``doc_id`` of the class (null only if all are null); repeated rows (also of
+texts without a word) share a class, and only one of them is kept.
 """
 
 from __future__ import annotations
@@ -129,21 +129,22 @@ def similar_pairs(left: list[bytes], right: list[bytes], wanted: np.ndarray, shi
 
 
 def document_bands(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, row_key, key, bands): row_key identifies (id, text); key the words."""
+    """(id, row_key, key, bands): row_key identifies (id, text); key the words,
+    or the row where there are none (and no bands)."""
     registers = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = WordDigests.shared()
         for batch in pieces(batches, 2):
             sets, at, keys = [], [], []
-            for i, text in enumerate(utf8(batch.column(2))):
+            for i, (text, row_key) in enumerate(zip(utf8(batch.column(2)), batch.column(1).to_pylist())):
                 words = words_of(text)
                 if words:
                     sets.append(weighted_shingles(words, digests, shingle))
                     at.append(i)
                     keys.append(xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63))
                 else:
-                    keys.append(None)
+                    keys.append(row_key)
             out = [None] * len(keys)
             if sets:
                 sig = signatures(sets, registers).reshape(len(sets), bands, rows)
@@ -166,11 +167,12 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, bands: int =
                            threshold: float = THRESHOLD, id_col: str = "doc_id",
                            text_col: str = "text") -> DataFrame:
     """One row per document row: (id, row_key, class_id, kept); ``kept`` marks
-    the smallest (id, row_key) of the class."""
-    marked = stored(document_bands(docs, shingle, bands, rows, id_col, text_col), "neardup-bands")
+    the smallest (id, row_key) of the class, one row of those that repeat it."""
+    marked = stored(document_bands(docs, shingle, bands, rows, id_col, text_col)
+                    .withColumn("uid", F.monotonically_increasing_id()), "neardup-bands")
     # Exact copies: one item per distinct word sequence, kept by partial aggregation.
-    reps = stored(marked.where("key is not null").groupBy("key")
-                  .agg(F.min(F.struct("id", "row_key")).alias("first"), F.first("bands").alias("bands")),
+    reps = stored(marked.groupBy("key")
+                  .agg(F.min(F.struct("id", "row_key", "uid")).alias("first"), F.first("bands").alias("bands")),
                   "neardup-reps")
     items = reps.select(F.explode("bands").alias("bucket"), "key")
 
@@ -205,12 +207,9 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, bands: int =
               .select("key", "first", F.coalesce("component", "key").alias("comp")))
     lead = of_key.groupBy("comp").agg(F.min("first").alias("lead"))
     of_key = of_key.join(lead, "comp").select("key", "lead")
-    out = marked.select("id", "row_key", "key").join(of_key, "key", "left")
-    return out.select(
-        "id", "row_key",
-        F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("lead.id")).alias("class_id"),
-        F.coalesce(F.col("row_key") == F.col("lead.row_key"), F.lit(True)).alias("kept"),
-    )
+    out = marked.select("id", "row_key", "key", "uid").join(of_key, "key")
+    return out.select("id", "row_key", F.col("lead.id").alias("class_id"),
+                      (F.col("uid") == F.col("lead.uid")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:

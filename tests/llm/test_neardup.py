@@ -112,3 +112,12 @@ def test_edges_of_the_input(spark):
     ids = [r.doc_id for r in left.collect()]
     assert sorted(i for i in ids if i) == [1, 2, 3, 4, 5, 7, 8] and ids.count(None) == 2
     assert N.near_duplicate_classes(docs.where("false")).count() == 0
+
+
+def test_one_of_repeated_rows_is_kept(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text)] * 3 + [(2, text), (3, ""), (3, ""), (4, None), (4, None), (None, None), (None, None), (5, "...")]
+    got = N.near_duplicate_classes(documents(spark, rows)).collect()
+    kept = sorted((r.id if r.id is not None else -1) for r in got if r.kept)
+    assert len(got) == len(rows) and kept == [-1, 1, 3, 4, 5]
+    assert sorted(str(r.class_id) for r in got) == sorted(["1"] * 4 + ["3"] * 2 + ["4"] * 2 + ["None"] * 2 + ["5"])
