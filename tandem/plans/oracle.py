@@ -266,3 +266,7 @@ ORACLE_SQL["stream_late_readings"] = _with(f"""
 SELECT userId, deviceId, sensorType, obs_ms FROM readings
 WHERE obs_ms < (SELECT (min(obs_ms) + max(obs_ms)) // 2 FROM ev)
   AND (obs_ms // {DAY_MS} + 1) * {DAY_MS} <= (SELECT max(obs_ms) FROM readings)""")
+
+ORACLE_SQL["stream_dead_letters"] = _with("""
+SELECT deviceId, obs_ms AS ms, CASE WHEN eid % 97 = 0 THEN 'not an object' ELSE 'no id' END AS reason
+FROM feed WHERE eid % 97 = 0 OR eid % 89 = 0""")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.operators.grouping import joined_by_device
+from tandem.operators.intake import clean_feed, dead_letters, good_messages, run_intake
 from tandem.operators.parse import gps_readings, parse_feed, scalar_readings, weather_readings
 from tandem.operators.windows import session_join, sliding_join, tumbling_join
 from tandem.plans.catalog import DAY, QUARTER_DAY, out_by_device, out_scalar_pairs, out_weather_pairs
@@ -156,6 +157,36 @@ def q_stream_late_readings(spark, sf_dir):
         return spark.read.parquet(out).select("userId", "deviceId", "sensorType", F.unix_millis("obsTs").alias("obs_ms"))
 
 
+def _delivered_twice(spark, sf_dir) -> str:
+    """The intake of the feed, each message of which comes twice, in two runs
+    of one query."""
+    feed = events_feed(spark, sf_dir)
+    src, path, ckpt = (scratch_path(spark, f"intake-{x}") for x in ("in", "out", "ckpt"))
+    for part in (1, 2):
+        stage_feed(feed, f"{src}/part={part}")
+        stream = spark.readStream.schema("value string, timestamp timestamp").parquet(src + "/*")
+        # the replay goes through all of the feed's time at once
+        q = run_intake(clean_feed(stream, "36500 days", also=("timestamp",)), path, ckpt, {"availableNow": True})
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return path
+
+
+def q_stream_deduplicated_join(spark, sf_dir):
+    """Each message delivered twice: the pairs are those of the feed."""
+    p = parse_feed(good_messages(spark, _delivered_twice(spark, sf_dir)))
+    j = tumbling_join(weather_readings(p, ingest="timestamp"), gps_readings(p), DAY)
+    return _sink(out_weather_pairs(j))
+
+
+def q_stream_dead_letters(spark, sf_dir):
+    """Bad messages of the feed, each once though delivered twice, with the reason."""
+    return (dead_letters(spark, _delivered_twice(spark, sf_dir))
+            .select(F.regexp_extract("value", '"deviceId":"([^"]*)"', 1).alias("deviceId"),
+                    F.unix_millis("timestamp").alias("ms"), "reason"))
+
+
 def q_write_csv(spark, sf_dir):
     """Scalar x GPS pairs written as '|'-separated text and read back."""
     p = parse_feed(events_feed(spark, sf_dir))
@@ -215,6 +246,8 @@ STREAM_QUERIES = {
     "stream_late_rows": q_stream_late_rows,
     "stream_late_readings": q_stream_late_readings,
     "stream_joined_by_device": q_stream_joined_by_device,
+    "stream_deduplicated_join": q_stream_deduplicated_join,
+    "stream_dead_letters": q_stream_dead_letters,
     "stream_shared_job_messages": q_stream_shared_job_messages,
     "write_csv": q_write_csv,
     "job_messages": q_job_messages,
@@ -226,6 +259,7 @@ STREAM_ORACLE_OF = {
     "stream_tumbling_join": "tumbling_join_weather",
     "stream_tumbling_join_scalar": "tumbling_join_scalar",
     "stream_sliding_join": "sliding_join_weather",
+    "stream_deduplicated_join": "tumbling_join_weather",
     "stream_session_join": "session_join_weather",
     "write_csv": "tumbling_join_scalar",
     "stream_job_messages": "job_messages",
