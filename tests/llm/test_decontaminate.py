@@ -84,3 +84,29 @@ def test_items_without_an_id_hit_in_query_and_stage(spark, tmp_path):
     for max_windows in (1, 2):  # over several passes
         again = D.contamination(docs, bench, max_windows=max_windows, null_ids=True).collect()
         assert sorted(tuple(r) for r in again) == got
+
+
+def test_query_and_sql_agree_on_items_without_an_id(spark, tmp_path):
+    import duckdb
+    rows, items, docs, bench = tables(spark)
+    docs.where("doc_id is not null").write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = sorted(con.execute(D.OP4_SQL).fetchall())
+    got = D.op4_benchmark_decontamination(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert any(hit and not n for _, _, hit, n, _, _ in want)
+
+
+def test_a_long_item_lies_in_several_bounded_chunks(spark):
+    words = [f"w{i}" for i in range(6000)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:50]))], "item_id long, text string")
+    found = D.pattern_tables(bench, max_windows=1500)
+    sizes = [r["count"] for r in found.windows.groupBy("chunk").count().collect()]
+    assert found.chunks == 4 and len(sizes) > 1 and sum(sizes) == 5991 and max(sizes) < 5991
+    assert D.pattern_tables(bench, max_bytes=100_000).chunks > 1
+    docs = documents(spark, [(1, " ".join(words[20:5000])), (2, " ".join(words[100:109])), (2, " ".join(words[100:111]))])
+    got = sorted(tuple(r)[:4] for r in D.contamination(docs, bench, max_windows=1500).collect())
+    assert got == [(1, 4980, 4980, 2), (2, 9, 0, 0), (2, 11, 11, 1)]
