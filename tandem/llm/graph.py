@@ -80,8 +80,9 @@ def link_buckets(items: DataFrame, bodies: Callable[[DataFrame], DataFrame],
     full = stored(items.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{name}-full")
     tied = stored(items.join(full, "bucket"), f"{name}-tied")
     weight = tied.groupBy("key").agg(F.sum("n").alias("weight"))
-    heads = tied.join(weight, "key").groupBy("bucket").agg(
-        F.max(F.struct("weight", "key")).getField("key").alias("head"))
+    # written before the join on the bucket, which can then split a large one
+    heads = stored(tied.join(weight, "key").groupBy("bucket").agg(
+        F.max(F.struct("weight", "key")).getField("key").alias("head")), f"{name}-heads")
     star = (tied.join(heads, "bucket").where("key <> head")
             .select(F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b"),
                     F.col("head").alias("h")).groupBy("a", "b").agg(F.min("h").alias("h")))
@@ -97,12 +98,12 @@ def link_buckets(items: DataFrame, bodies: Callable[[DataFrame], DataFrame],
               .join(comp.withColumnRenamed("node", "key"), "key", "left")
               .select("bucket", "key", F.coalesce("component", "key").alias("comp")))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (sizes.groupBy("bucket")
-             .agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("n_comp"),
-                  F.sum("n").alias("n_all"))
-             .where("n_comp > 1")
-             .select("bucket", F.col("top.comp").alias("major"), (F.col("n_all") - F.col("top.n")).alias("n_minor"),
-                     "n_all"))
+    mixed = stored(sizes.groupBy("bucket")
+                   .agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("n_comp"),
+                        F.sum("n").alias("n_all"))
+                   .where("n_comp > 1")
+                   .select("bucket", F.col("top.comp").alias("major"),
+                           (F.col("n_all") - F.col("top.n")).alias("n_minor"), "n_all"), f"{name}-mixed")
     open_ = stored(placed.join(mixed, "bucket"), f"{name}-open")
     if open_.isEmpty():
         return comp
