@@ -16,6 +16,7 @@ from tandem.operators.windows import (
     MULTI_PAIR, SCALAR_PAIR, WEATHER_PAIR, session_join, sliding_join,
     tumbling_join, window_join,
 )
+from tandem.operators.polygons import polygon_lookup
 from tandem.operators.region import region_lookup
 from tandem.operators.messages import gps_region_message, multi_message, weather_message
 from tandem.session import checkpoint_root, get_session
@@ -24,6 +25,7 @@ __all__ = [
     "fire_alert", "java_trim", "join_type_label", "bad_records", "gps_readings",
     "multi_readings", "parse_feed", "scalar_readings", "weather_readings",
     "MULTI_PAIR", "SCALAR_PAIR", "WEATHER_PAIR", "session_join", "sliding_join",
-    "tumbling_join", "window_join", "region_lookup", "gps_region_message",
+    "tumbling_join", "window_join", "polygon_lookup", "region_lookup",
+    "gps_region_message",
     "multi_message", "weather_message", "checkpoint_root", "get_session",
 ]

@@ -19,9 +19,10 @@ from tandem.operators.parse import (
     ACCELEROMETER, GPS, PROXIMITY, WEATHER, bad_records, gps_readings, multi_readings, parse_feed, scalar_readings, stage_parsed,
     weather_readings,
 )
+from tandem.operators.polygons import polygon_lookup
 from tandem.operators.region import region_lookup
 from tandem.operators.windows import session_join, sliding_join, tumbling_join, window_join
-from tandem.sources.events import events_feed, regions_from_nation
+from tandem.sources.events import events_feed, polygons_from_nation, regions_from_nation
 
 # Window sizes used on the events-derived feed (seconds).  The fixed 10 s
 # windows of the multi and scalar joins match nothing on data spread over a
@@ -187,6 +188,21 @@ def q_region_lookup(spark, sf_dir):
                     "region")
 
 
+def out_region(df: DataFrame) -> DataFrame:
+    return df.select("userId", "deviceId", F.unix_millis("obsTs").alias("obs_ms"), "lat", "lng", "region")
+
+
+def q_region_polygons(spark, sf_dir):
+    """Regions with outlines and holes."""
+    return out_region(polygon_lookup(gps_readings(_parsed(spark, sf_dir)), polygons_from_nation(spark, sf_dir)))
+
+
+def q_region_versions(spark, sf_dir):
+    """Regions as they were at the time of each reading."""
+    changing = polygons_from_nation(spark, sf_dir, changes=True)
+    return out_region(polygon_lookup(gps_readings(_parsed(spark, sf_dir)), changing, at="obsTs"))
+
+
 WEATHER_MSG_SCHEMA = (
     "WindowConfig struct<JobName: string, WindowType: string, WindowSize: string>, "
     "userAccount struct<userId: string, userEmail: string>, deviceId string, sensorType string, "
@@ -245,6 +261,8 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fire_alert": q_fire_alert,
     "fire_alert_strict": q_fire_alert_strict,
     "region_lookup": q_region_lookup,
+    "region_polygons": q_region_polygons,
+    "region_versions": q_region_versions,
     "weather_message": q_weather_message,
     "multi_message": q_multi_message,
     "gps_region_message": q_gps_region_message,

@@ -7,6 +7,8 @@ check the Spark parsers, joins and enrichment independently.
 
 from __future__ import annotations
 
+from tandem.sources.events import CHANGE_MS, OUTLINE
+
 DAY_MS = 86_400_000
 QUARTER_DAY_MS = 21_600_000
 HALF_QUARTER_MS = 10_800_000
@@ -229,6 +231,47 @@ SELECT userId, userEmail, deviceId, sensorType || '_withRegion' AS sensorType,
 FROM gps_region"""),
 }
 
+
+
+def _outline_edges() -> str:
+    """VALUES rows (y1, x1, y2, x2) of the outline's edges, in thousandths, lower end first."""
+    rows = [(*min(p, q), *max(p, q)) for ring in OUTLINE for p, q in zip(ring, ring[1:] + ring[:1]) if p[0] != q[0]]
+    return ", ".join(str(r) for r in rows)
+
+
+def region_polygons(changes: bool) -> str:
+    """The region of every GPS reading by a ray over all edges of all regions."""
+    ys, xs = zip(*(p for ring in OUTLINE for p in ring))
+    versions = f"""SELECT *, 0 AS move, CAST(NULL AS BIGINT) AS from_ms, CASE WHEN n_nationkey % 2 = 0 THEN {CHANGE_MS} END AS to_ms FROM nation
+    UNION ALL SELECT *, 40, {CHANGE_MS}, NULL FROM nation WHERE n_nationkey % 2 = 0"""
+    always = "SELECT *, 0 AS move, CAST(NULL AS BIGINT) AS from_ms, CAST(NULL AS BIGINT) AS to_ms FROM nation"
+
+    def corner(base: str, c: str) -> str:
+        return f"CAST({base} + {c} * (1 + n_nationkey % 3) AS DOUBLE) / 1000"
+
+    return _with(f"""
+, v AS (
+  SELECT n_name AS region, n_nationkey, from_ms, to_ms, 53000 + (n_nationkey % 5) * 80 + move AS lat0,
+         -9500 + (n_nationkey // 5) * 80 AS lng0
+  FROM ({versions if changes else always})
+), e AS (
+  SELECT region, from_ms, to_ms, {corner('lat0', 'y1')} AS y1, {corner('lng0', 'x1')} AS x1,
+         {corner('lat0', 'y2')} AS y2, {corner('lng0', 'x2')} AS x2,
+         round(({corner('lat0', str(max(ys)))} - {corner('lat0', str(min(ys)))})
+               * ({corner('lng0', str(max(xs)))} - {corner('lng0', str(min(xs)))}), 9) AS area
+  FROM v, (VALUES {_outline_edges()}) o(y1, x1, y2, x2)
+), g AS (SELECT *, row_number() OVER () AS rid, CAST(lat AS DOUBLE) AS y, CAST(lng AS DOUBLE) AS x FROM gps),
+inside AS (
+  SELECT rid, region, area FROM g JOIN e
+    ON y >= y1 AND y < y2 AND x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)
+   AND (from_ms IS NULL OR obs_ms >= from_ms) AND (to_ms IS NULL OR obs_ms < to_ms)
+  GROUP BY rid, region, from_ms, area HAVING count(*) % 2 = 1
+), best AS (SELECT rid, arg_min(region, (area, region)) AS region FROM inside GROUP BY rid)
+SELECT userId, deviceId, obs_ms, lat, lng, coalesce(region, '') AS region FROM g LEFT JOIN best USING (rid)""")
+
+
+ORACLE_SQL["region_polygons"] = region_polygons(False)
+ORACLE_SQL["region_versions"] = region_polygons(True)
 ORACLE_SQL["window_join_dispatch"] = f"""WITH {_BASE}{session_ctes(QUARTER_DAY_MS)}
 SELECT 'Tumble' AS kind, * FROM ({tumbling_weather(QUARTER_DAY_MS)})
 UNION ALL SELECT 'Sliding' AS kind, * FROM ({sliding_weather(QUARTER_DAY_MS, HALF_QUARTER_MS)})

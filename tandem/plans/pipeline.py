@@ -20,7 +20,7 @@ from tandem.operators.parse import (
     gps_readings, multi_readings, parse_feed, scalar_readings, slim_parsed, stage_parsed,
     weather_readings,
 )
-from tandem.operators.region import region_lookup
+from tandem.operators.polygons import position_region
 from tandem.operators.windows import WINDOW_KINDS, to_ms, tumbling_join, window_join
 from tandem.session import checkpoint_root
 from tandem.sources.feed import read_kafka
@@ -97,7 +97,7 @@ def sensor_streams(parsed: DataFrame, cfg: JobConfig, regions: DataFrame | None
     cfg.validate()
     gps = gps_readings(parsed)
     if regions is not None:
-        gps = region_lookup(gps, regions)
+        gps = position_region(gps, regions)
     out = []
     spread = {"delay": cfg.delay, "salt": cfg.salt, "salt_keys": cfg.salt_keys or None}
     for t in cfg.single_sensors:

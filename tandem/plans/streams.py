@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from tandem.operators.grouping import joined_by_device
 from tandem.operators.intake import clean_feed, dead_letters, good_messages, run_intake
 from tandem.operators.parse import gps_readings, parse_feed, scalar_readings, weather_readings
+from tandem.operators.polygons import RegionTable, start_region_stream
 from tandem.operators.windows import session_join, sliding_join, tumbling_join
-from tandem.plans.catalog import DAY, QUARTER_DAY, out_by_device, out_scalar_pairs, out_weather_pairs
+from tandem.plans.catalog import DAY, QUARTER_DAY, out_by_device, out_region, out_scalar_pairs, out_weather_pairs
 from tandem.plans.pipeline import JobConfig, build_pipeline, run_pipeline
-from tandem.sources.events import events_feed, regions_from_nation
+from tandem.sources.events import CHANGE_MS, events_feed, polygons_from_nation, regions_from_nation
 from tandem.sources.sinks import read_csv, write_csv
 from tandem.session import scratch_path
 from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
@@ -187,6 +188,26 @@ def q_stream_dead_letters(spark, sf_dir):
                     F.unix_millis("timestamp").alias("ms"), "reason"))
 
 
+def q_stream_region_versions(spark, sf_dir):
+    """GPS readings with the region of their time; the region table is changed
+    between the halves of the feed, while the query runs."""
+    feed = events_feed(spark, sf_dir)
+    change = F.timestamp_millis(F.lit(CHANGE_MS))
+    path, table, out = (scratch_path(spark, x) for x in ("feed", "regions", "region-readings"))
+    polygons_from_nation(spark, sf_dir).write.parquet(table)
+    stage_feed(feed.where(F.col("timestamp") < change), path)
+    query = start_region_stream(gps_readings(parse_feed(stream_feed(spark, path))), RegionTable(spark, table), out,
+                                scratch_path(spark, "region-ckpt"), trigger={"processingTime": "0 seconds"})
+    try:
+        query.processAllAvailable()
+        polygons_from_nation(spark, sf_dir, changes=True).write.mode("overwrite").parquet(table)
+        stage_feed(feed.where(~F.coalesce(F.col("timestamp") < change, F.lit(False))), path, mode="append")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return out_region(spark.read.parquet(out))
+
+
 def q_write_csv(spark, sf_dir):
     """Scalar x GPS pairs written as '|'-separated text and read back."""
     p = parse_feed(events_feed(spark, sf_dir))
@@ -249,6 +270,7 @@ STREAM_QUERIES = {
     "stream_deduplicated_join": q_stream_deduplicated_join,
     "stream_dead_letters": q_stream_dead_letters,
     "stream_shared_job_messages": q_stream_shared_job_messages,
+    "stream_region_versions": q_stream_region_versions,
     "write_csv": q_write_csv,
     "job_messages": q_job_messages,
     "stream_job_messages": q_stream_job_messages,
@@ -265,4 +287,5 @@ STREAM_ORACLE_OF = {
     "stream_job_messages": "job_messages",
     "stream_shared_job_messages": "job_messages",
     "stream_joined_by_device": "joined_by_device",
+    "stream_region_versions": "region_versions",
 }

@@ -119,3 +119,30 @@ def regions_from_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
         (lng0.cast("double") / 1000).alias("min_lng"),
         ((lng0 + 80).cast("double") / 1000).alias("max_lng"),
     )
+
+
+# Corners of a region's outline and of the hole in it, in thousandths of a degree
+# (lat, lng) from its box's lower corner; nations are 1, 2 or 3 times this size.
+OUTLINE = (((0, 0), (0, 120), (50, 120), (30, 40), (100, 30), (60, -20)), ((10, 10), (20, 30), (25, 10)))
+CHANGE_MS = 1_705_276_800_000  # 2024-01-15: regions of even nations move
+
+
+def polygons_from_nation(spark: SparkSession, sf_dir: str, changes: bool = False) -> DataFrame:
+    """Regions as outlines with a hole: ``region, rings, valid_from, valid_to``.
+    With ``changes``, an even nation's lies 40 thousandths further north from
+    ``CHANGE_MS`` on (two versions)."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
+    key, move = F.col("n_nationkey"), F.col("move")
+    never, change = F.lit(None).cast("timestamp"), F.timestamp_millis(F.lit(CHANGE_MS))
+
+    def version(move: int, start: Column, end: Column) -> Column:
+        return F.struct(F.lit(move).alias("move"), start.alias("valid_from"), end.alias("valid_to"))
+
+    always = F.array(version(0, never, never))
+    versions = F.when(key % 2 == 0, F.array(version(0, never, change), version(40, change, never))).otherwise(always)
+    n = n.select("*", F.inline(versions if changes else always))
+    lat0, lng0 = 53000 + (key % 5) * 80 + move, -9500 + F.expr("n_nationkey div 5") * 80
+    rings = F.array(*[F.array(*[F.struct(((lat0 + dy * (1 + key % 3)).cast("double") / 1000).alias("lat"),
+                                         ((lng0 + dx * (1 + key % 3)).cast("double") / 1000).alias("lng"))
+                                for dy, dx in ring]) for ring in OUTLINE])
+    return n.select(F.col("n_name").alias("region"), rings.alias("rings"), "valid_from", "valid_to")

@@ -41,7 +41,7 @@ from tandem.functions.coerce import java_trim
 from tandem.functions.labels import join_type_label
 from tandem.operators.messages import gps_region_value, multi_value, weather_value
 from tandem.operators.parse import all_readings, parse_feed
-from tandem.operators.region import region_lookup
+from tandem.operators.polygons import position_region
 from tandem.operators.windows import to_ms
 from tandem.plans.pipeline import GPS_WITH_REGION, JobConfig
 from tandem.session import checkpoint_root, ship_code
@@ -336,7 +336,7 @@ def shared_pairs(parsed: DataFrame, cfg: JobConfig, regions=None, ingest: str |
         raise ValueError("no sensors configured")
     rows = all_readings(parsed, cfg.single_sensors, cfg.multi_sensors, ingest)
     rows = rows.withWatermark("eventTs", cfg.delay)
-    rows = region_lookup(rows, regions) if regions is not None else rows.withColumn("region", F.lit(""))
+    rows = position_region(rows, regions) if regions is not None else rows.withColumn("region", F.lit(""))
     weather = F.col("kind") == "weather"
     kind = F.when(F.col("kind") == "gps", GPS_KIND).when(weather, WEATHER_KIND).otherwise(MULTI_KIND)
     head = [F.when(weather, java_trim("userId")).otherwise(F.col("userId")).alias("key"),
