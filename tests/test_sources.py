@@ -206,3 +206,22 @@ def test_run_pipeline_session_stream(spark):
         F.get_json_object("value", "$.Time.ObservationTimestamp").cast("long").alias("ms"))
     rows = sorted((r.u, r.t, r.ms - EDGE_MS) for r in msgs.where(F.col("u") == "u1").collect())
     assert rows == [("u1", "Session", 1000), ("u1", "Session", 6000)]
+
+
+def test_csv_packed(spark):
+    """Packed part files hold the same rows; the query's pairs are written so."""
+    import glob
+
+    from tandem.plans import streams
+    from tandem.session import scratch_path
+    from tandem.sources.sinks import read_csv, write_csv
+    df = spark.range(2000).selectExpr("id", "concat('d', id % 7) AS d", "CASE WHEN id % 5 = 0 THEN ' x ' WHEN id % 5 = 1 THEN '' END AS t")
+    sizes = {}
+    for how in ("none", "gzip"):
+        path = scratch_path(spark, f"csv-{how}")
+        write_csv(df, path, compression=how)
+        assert sorted(map(repr, read_csv(spark, path, df.schema).collect())) == sorted(map(repr, df.collect()))
+        sizes[how] = sum(os.path.getsize(f) for f in glob.glob(f"{path}/part-*"))
+    assert sizes["gzip"] * 2 < sizes["none"]
+    out = streams.q_write_csv(spark, "/root/testdata/sf0.001")
+    assert out.inputFiles() and all(f.endswith(".csv.gz") for f in out.inputFiles())
