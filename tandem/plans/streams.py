@@ -23,8 +23,8 @@ from tandem.plans.pipeline import JobConfig, build_pipeline, run_pipeline
 from tandem.sources.events import CHANGE_MS, events_feed, polygons_from_nation, regions_from_nation
 from tandem.sources.sinks import read_csv, write_csv
 from tandem.session import scratch_path
-from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
-from tandem.streaming.shared import late_readings, run_shared_pipeline, shared_pairs
+from tandem.streaming.replay import FEED_SCHEMA, run_available_now, stage_feed, stream_feed
+from tandem.streaming.shared import BUCKETS, late_readings, run_shared_pipeline, shared_pairs
 
 # A reading far after all data, on both sides, closes the last open session
 # windows (a session is emitted once the watermark passes its end).
@@ -151,7 +151,7 @@ def q_stream_late_readings(spark, sf_dir):
         out, ckpt = scratch_path(spark, "late-readings-out"), scratch_path(spark, "late-readings-ckpt")
         stage_feed(feed.where(ms >= cut), path + "/part=1")
         src = spark.readStream.schema("value string, timestamp timestamp").parquet(path + "/*")
-        late = late_readings(shared_pairs(parse_feed(src), JOB_CFG, ingest="timestamp"))
+        late = late_readings(shared_pairs(parse_feed(src), JOB_CFG, ingest="timestamp", buckets=BUCKETS))
         run_available_now(late, out, ckpt)
         stage_feed(feed.where(ms < cut), path + "/part=2")
         run_available_now(late, out, ckpt)

@@ -21,6 +21,11 @@ Hot users: with ``hot_rows`` a first keyed operator (``DealHot``) deals a user's
 sensor readings to more and more groups as they exceed that many a window; it
 buffers nothing, and no key is named by anyone.  The groups' GPS copies, the
 pairs and the window state are then spread over tasks.
+
+Many users: each call for a group costs some ten exchanges between the Python
+worker and the state store, whatever its rows.  With ``buckets`` users share that
+many groups, dealt by a hash, and the calls follow the buckets instead of the
+users; pairs still meet within a user only.
 """
 
 from __future__ import annotations
@@ -52,6 +57,8 @@ GPS_KIND, WEATHER_KIND, MULTI_KIND = 0, 1, 2
 KINDS = {"gps": GPS_KIND, "weather": WEATHER_KIND, "multi": MULTI_KIND}
 TAGS = ("gps", "weather", "multi", "late")
 GPS_TAG, LATE_TAG = 0, 3
+BUCKETS = 128
+NEVER = -(1 << 62)
 
 SENSOR_FIELDS = ("userId string, userEmail string, deviceId string, sensorType string, temp int, humd int, CO2 int, "
                  "CO int, hour int, name1 string, value1 float, name2 string, value2 float, name3 string, "
@@ -108,8 +115,9 @@ class SharedPairs(StatefulProcessor):
 
     def __init__(self, windows: Windows, gps_out: bool = True, chunk_pairs: int = 200_000):
         self.windows, self.gps_out, self.chunk_pairs = windows, gps_out, chunk_pairs
-        self.s_schema = StructType.fromDDL("t_us long, kind int, " + SENSOR_FIELDS)
-        self.g_schema = StructType.fromDDL("t_us long, " + GPS_FIELDS)
+        # who: the user and salt group, of which a bucket holds many
+        self.s_schema = StructType.fromDDL("t_us long, from_us long, who string, kind int, " + SENSOR_FIELDS)
+        self.g_schema = StructType.fromDDL("t_us long, from_us long, who string, " + GPS_FIELDS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -139,6 +147,8 @@ class SharedPairs(StatefulProcessor):
         firsts, s_chunks, g_chunks = [], [], []
         for pdf in rows:
             t, kind = pdf["t_us"].to_numpy(dtype=np.int64), pdf["kind"].to_numpy(dtype=np.int64)
+            # windows that had ended when a reading came are not its own
+            pdf = pdf.assign(from_us=NEVER if edge is None else edge)
             is_gps = kind == GPS_KIND
             # a salted copy of a GPS reading is told by its group 0 only
             lead = pdf["lead"].to_numpy(dtype=bool)
@@ -173,20 +183,20 @@ class SharedPairs(StatefulProcessor):
         keep_g: list = []
         parts = [df for df in self._due(self.gps, self.g_arrow, now, keep_g, lambda df: GPS_KIND)]
         gps = pd.concat(parts, ignore_index=True) if parts else None
-        by_kind: dict[int, pd.DataFrame] = {}
+        by_kind: dict[int, GpsSide] = {}
         if gps is not None:
-            t = gps["t_us"].to_numpy(dtype=np.int64)
-            body = gps[GPS_COLS].add_prefix("g_")
+            t, since = gps["t_us"].to_numpy(dtype=np.int64), self._since(gps, done)
+            names = pd.Index(gps["who"].unique())
+            body, code = gps[GPS_COLS].add_prefix("g_"), names.get_indexer(gps["who"])
             for k in self.windows.sizes:
-                row, win = self.windows.ended(k, t, done, now)
-                side = body.iloc[row].reset_index(drop=True)
-                side["win"] = win
-                by_kind[k] = side
+                row, win = self.windows.ended(k, t, since, now)
+                if len(row):
+                    by_kind[k] = GpsSide(names, body.iloc[row].reset_index(drop=True), code[row], win)
         keep_s: list = []
         for df in self._due(self.sensors, self.s_arrow, now, keep_s, lambda df: df["kind"].to_numpy(dtype=np.int64)):
             kind = df["kind"].to_numpy(dtype=np.int64)
             for k in np.unique(kind).tolist():
-                if gps is not None:
+                if k in by_kind:
                     yield from self._pairs(df[kind == k], by_kind[k], k, done, now)
         _write_back(self.gps, keep_g)
         _write_back(self.sensors, keep_s)
@@ -218,25 +228,28 @@ class SharedPairs(StatefulProcessor):
                 keep.append(entry if open_.all() else _chunk(df[open_], schema))
             yield df
 
-    def _pairs(self, sensors: pd.DataFrame, gps: pd.DataFrame, kind: int, done: int | None, now: int) -> Iterator[pd.DataFrame]:
-        row, win = self.windows.ended(kind, sensors["t_us"].to_numpy(dtype=np.int64), done, now)
-        if not len(row) or gps.empty:
-            return
-        size, slide = self.windows.sizes[kind]
-        names, count = np.unique(gps["win"].to_numpy(), return_counts=True)
-        at = np.minimum(np.searchsorted(names, win), len(names) - 1)
-        weight = np.where(names[at] == win, count[at], 0)
-        row, win, weight = row[weight > 0], win[weight > 0], weight[weight > 0]
+    @staticmethod
+    def _since(df: pd.DataFrame, done: int | None) -> np.ndarray:
+        """The end up to which the windows of each row are joined or not its own."""
+        came = df["from_us"].to_numpy(dtype=np.int64)
+        return came if done is None else np.maximum(came, done)
+
+    def _pairs(self, sensors: pd.DataFrame, gps: "GpsSide", kind: int, done: int | None, now: int) -> Iterator[pd.DataFrame]:
+        row, win = self.windows.ended(kind, sensors["t_us"].to_numpy(dtype=np.int64), self._since(sensors, done), now)
+        at = gps.group_of(gps.names.get_indexer(sensors["who"])[row], win)
+        weight = gps.size_of(at)
+        row, win, at, weight = row[weight > 0], win[weight > 0], at[weight > 0], weight[weight > 0]
         if not len(row):
             return
+        size, slide = self.windows.sizes[kind]
         body = sensors[SENSOR_COLS].add_prefix("s_")
         total = np.cumsum(weight)
         cut = np.searchsorted(total, np.arange(self.chunk_pairs, total[-1], self.chunk_pairs))
         for lo, hi in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(row)]))):
             if hi > lo:
                 left = body.iloc[row[lo:hi]].reset_index(drop=True)
-                left["win"] = win[lo:hi]
-                out = left.merge(gps, on="win")
+                left["win"], left["at"] = win[lo:hi], at[lo:hi]
+                out = left.merge(gps.rows_of(at[lo:hi]), on="at")
                 start = out["win"].to_numpy(dtype=np.int64) * slide
                 out["window_start"], out["window_end"], out["tag"] = start, start + size, kind
                 yield out[PAIR_COLS]
@@ -245,6 +258,32 @@ class SharedPairs(StatefulProcessor):
         pass
 
 
+class GpsSide:
+    """GPS readings of the windows of one kind, in order of (who, window)."""
+
+    def __init__(self, names: pd.Index, rows: pd.DataFrame, code: np.ndarray, win: np.ndarray):
+        self.names, self.low = names, int(win.min())
+        self.width = int(win.max()) - self.low + 1
+        at = self.group_of(code, win)
+        order = np.argsort(at, kind="stable")
+        self.rows, self.at = rows.iloc[order].reset_index(drop=True).assign(at=at[order]), at[order]
+
+    def group_of(self, code: np.ndarray, win: np.ndarray) -> np.ndarray:
+        """Number of each (who, window); -1 where this side has no such who or window."""
+        inside = (code >= 0) & (win >= self.low) & (win < self.low + self.width)
+        return np.where(inside, code.astype(np.int64) * self.width + win - self.low, -1)
+
+    def size_of(self, at: np.ndarray) -> np.ndarray:
+        """GPS readings of each group number."""
+        return np.searchsorted(self.at, at, side="right") - np.searchsorted(self.at, at)
+
+    def rows_of(self, at: np.ndarray) -> pd.DataFrame:
+        """The readings of these groups, each once."""
+        at = np.unique(at)
+        lo, n = np.searchsorted(self.at, at), self.size_of(at)
+        return self.rows.iloc[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+
+
 def _tagged(pdf: pd.DataFrame, tag: int, prefix: str, cols: list[str]) -> pd.DataFrame:
     out = pdf[cols].add_prefix(prefix)
     return out.assign(**{c: None for c in PAIR_COLS if c not in out and c != "tag"}, tag=tag)[PAIR_COLS]
@@ -310,12 +349,16 @@ class DealHot(StatefulProcessor):
 
 
 def shared_pairs(parsed: DataFrame, cfg: JobConfig, regions=None, ingest: str | None = None, *,
-                 hot_rows: int | None = None, max_groups: int = 64, chunk_pairs: int = 200_000) -> DataFrame:
+                 hot_rows: int | None = None, max_groups: int = 64, chunk_pairs: int = 200_000,
+                 buckets: int | None = None) -> DataFrame:
     """Tagged pairs (``PAIR_SCHEMA``) of all sensors of ``cfg``, from one pass over a decoded stream.
 
     Tumbling and sliding windows; multi-value sensors take ``cfg.multi_window``.
     ``cfg.salt`` and ``cfg.salt_keys`` deal named users to that many groups;
-    ``hot_rows`` does it by itself for users with more sensor readings a window."""
+    ``hot_rows`` does it by itself for users with more sensor readings a window.
+    ``buckets`` lets users share that many groups (default: a group each); a
+    group's GPS readings of the windows that end together are held in memory.
+    It has to stay the same for a checkpoint."""
     cfg.validate()
     if cfg.window_type == "Session":
         raise ValueError("session windows have a query of their own a sensor: use run_pipeline")
@@ -357,6 +400,10 @@ def shared_pairs(parsed: DataFrame, cfg: JobConfig, regions=None, ingest: str |
             F.array(F.pmod(F.col("mix"), n).cast("int")))
         flat = (rows.select(*head, mix.alias("mix"), *body, *times).withColumn("salt", F.explode(groups))
                 .withColumn("lead", (F.col("kind") != GPS_KIND) | (F.col("salt") == 0)).drop("mix"))
+    flat = flat.withColumn("who", F.concat_ws(":", F.col("salt"), F.col("key")))
+    if buckets:  # user and salt group are in who
+        flat = (flat.withColumn("key", F.pmod(F.xxhash64("who"), F.lit(buckets)).cast("string"))
+                .withColumn("salt", F.lit(0)))
     pairs = flat.groupBy("key", "salt").transformWithStateInPandas(
         SharedPairs(Windows(sizes), True, chunk_pairs), PAIR_SCHEMA, "Append", "EventTime")
     return pairs.withColumn("tag", F.element_at(F.array(*[F.lit(t) for t in TAGS]), F.col("tag") + 1))

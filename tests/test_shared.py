@@ -12,9 +12,10 @@ from tandem.operators.parse import all_readings, gps_readings, multi_readings, p
 from tandem.plans.pipeline import JobConfig, build_pipeline
 from tandem.plans.streams import FLUSH_MS, FLUSH_USER
 from tandem.session import scratch_path
-from tandem.streaming.replay import stage_feed
+from tandem.streaming.replay import run_available_now, stage_feed, stream_feed
 from tandem.streaming.shared import (
-    GPS_KIND, MULTI_KIND, WEATHER_KIND, DealHot, Windows, late_readings, shared_messages, shared_pairs,
+    GPS_KIND, MULTI_KIND, WEATHER_KIND, DealHot, Windows, late_readings, run_shared_pipeline, shared_messages,
+    shared_pairs,
 )
 from tests.helpers import EDGE_MS, feed, gps, msg, weather
 
@@ -224,3 +225,23 @@ def test_a_silent_sensor_holds_no_state(spark):
 def test_session_windows_have_their_own_query(spark):
     with pytest.raises(ValueError):
         shared_pairs(parse_feed(feed(spark, flush())), cfg(window_type="Session"))
+
+
+def _groups(spark, ckpt, var):
+    state = spark.read.format("statestore").option("stateVarName", var).load(ckpt)
+    return {r.k for r in state.selectExpr("key.key AS k").collect()}
+
+
+@pytest.mark.parametrize("kw", [{"window_type": "Sliding", "window_size": 9}, {"salt": 3, "salt_keys": ("u1", "u2")}])
+def test_users_share_groups(spark, kw):
+    """Many users, two groups: pairs stay those of a user (and of a salt group), late readings too."""
+    lines = sorted(random_lines(6, 150, 90, users=[f"u{i}" for i in range(12)]))
+    c = cfg(**kw)
+    want = messages(build_pipeline(feed(spark, [x for _, x in lines]), c, ingest="timestamp"))
+    cuts = [[x for _, x in lines[i:i + 75]] for i in range(0, len(lines), 75)]
+    late = [gps(EDGE_MS, user="u3"), weather(EDGE_MS, user="u4")]
+    got, _, ckpt = replay(spark, [*cuts, late, flush()], lambda p: shared_messages(shared_pairs(
+        p, c, ingest="timestamp", buckets=2), c), "shared-few-" + "-".join(map(str, kw)))
+    assert messages(got.where("name <> 'late'")) == want and len(want) > 20
+    assert got.where("name = 'late'").count() == 2
+    assert _groups(spark, ckpt, "clock") == {"0", "1"}
