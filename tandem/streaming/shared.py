@@ -454,17 +454,20 @@ def topic_of(cfg: JobConfig, late_topic: str | None = None):
 
 def run_shared_pipeline(spark: SparkSession, cfg: JobConfig, *, source: DataFrame | None = None, regions=None,
                         ingest: str | None = "timestamp", sink: Callable[[DataFrame, str, str], object] | None = None,
-                        checkpoint_dir: str | None = None, late_topic: str | None = None, hot_rows: int | None = None):
+                        checkpoint_dir: str | None = None, late_topic: str | None = None, hot_rows: int | None = None,
+                        buckets: int | None = BUCKETS):
     """Start the whole job as one streaming query and return it.
 
     ``sink(messages, name, checkpoint)`` gets (name, value); by default messages
-    go to Kafka, late readings to ``late_topic`` (None: they are left out)."""
+    go to Kafka, late readings to ``late_topic`` (None: they are left out);
+    ``buckets`` as in :func:`shared_pairs`."""
     if source is None:
         if not cfg.topic:
             raise ValueError("a Kafka source needs a topic")
         source = read_kafka(spark, cfg.topic, cfg.bootstrap_servers, group_id=cfg.group_id,
                             starting_offsets=cfg.starting_offsets, extra=cfg.kafka_extra)
-    msgs = shared_messages(shared_pairs(parse_feed(source), cfg, regions, ingest, hot_rows=hot_rows), cfg)
+    msgs = shared_messages(shared_pairs(parse_feed(source), cfg, regions, ingest, hot_rows=hot_rows,
+                                        buckets=buckets), cfg)
     root = (checkpoint_dir or f"{checkpoint_root(spark).rstrip('/')}/{cfg.job_name}").rstrip("/")
     if sink is not None:
         return sink(msgs, cfg.job_name, f"{root}/shared")

@@ -245,3 +245,14 @@ def test_users_share_groups(spark, kw):
     assert messages(got.where("name <> 'late'")) == want and len(want) > 20
     assert got.where("name = 'late'").count() == 2
     assert _groups(spark, ckpt, "clock") == {"0", "1"}
+
+
+def test_the_shared_job_deals_users_to_groups(spark):
+    """State groups of the job follow ``buckets``, not the users."""
+    path, ckpt = scratch_path(spark, "shared-job"), scratch_path(spark, "shared-job-ckpt")
+    lines = [m for i in range(30) for m in (gps(EDGE_MS, user=f"u{i}"), weather(EDGE_MS, user=f"u{i}"))]
+    src = stream_feed(spark, stage_feed(feed(spark, lines), path))
+    out = run_shared_pipeline(spark, cfg(), source=src, checkpoint_dir=ckpt, buckets=3,
+                              sink=lambda msgs, name, at: run_available_now(msgs, scratch_path(spark, "shared-job-out"), at))
+    assert spark.read.parquet(out).count() == 0  # the windows are open
+    assert _groups(spark, f"{ckpt}/shared", "gps") <= {"0", "1", "2"}
