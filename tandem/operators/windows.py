@@ -232,7 +232,7 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
                  sensor_time: str | None = None, delay: str = "0 seconds",
                  bucket=None, materialize: bool = True, salt: int = 1,
                  target_rows: int | None = None, chunk_pairs: int = 200_000,
-                 salt_keys=None) -> DataFrame:
+                 salt_keys=None, buckets: int | None = None) -> DataFrame:
     """Session windows over both sides' readings of a key; a new session
     starts after a silence longer than ``gap``.  Window bounds are
     [first reading, last reading + gap).
@@ -246,7 +246,8 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     emitted in chunks of about ``chunk_pairs`` when a session closes;
     ``salt`` spreads a key over that many groups (GPS readings and sensor
     times are copied to each); ``salt_keys`` limits salting to the named
-    hot join keys (batch and stream)."""
+    hot join keys (batch and stream); ``buckets`` (stream) lets keys share
+    that many state groups."""
     from tandem.operators.sessions import batch_session_pairs
     from tandem.streaming.sessions import stream_session_pairs
 
@@ -258,7 +259,7 @@ def session_join(sensor: DataFrame, gps: DataFrame, gap, *, kind: PairKind | Non
     s, g = _sides(sensor, gps, kind, sensor_time, delay)
     if s.isStreaming or g.isStreaming:
         j = stream_session_pairs(s, g, gap_ms, chunk_pairs=chunk_pairs, salt=salt,
-                                 salt_keys=salt_keys)
+                                 salt_keys=salt_keys, buckets=buckets)
     else:
         extra = {"target_rows": target_rows} if target_rows else {}
         j = batch_session_pairs(s, g, gap_ms, bucket_ms=to_ms(bucket) if bucket else None,

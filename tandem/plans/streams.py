@@ -80,7 +80,8 @@ def q_stream_session_join(spark, sf_dir):
     before = {k: spark.conf.get(k, None) for k in (PROVIDER_KEY, CHANGELOG_KEY)}
     try:
         p = _stream_parsed(spark, sf_dir, flush=True)
-        j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), QUARTER_DAY)
+        j = session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), QUARTER_DAY,
+                         buckets=BUCKETS)
         return _sink(out_weather_pairs(j)).where(F.col("userId") != FLUSH_USER)
     finally:
         for k, v in before.items():

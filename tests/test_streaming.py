@@ -315,3 +315,28 @@ def test_stream_with_processing_time_ingest(spark):
     out = run_available_now(j.select(F.unix_millis("ingestTs").alias("ms"), F.unix_millis("obsTs").alias("obs")))
     rows = spark.read.parquet(out).collect()
     assert rows and all(now <= r.ms <= int(time.time() * 1000) and r.obs == EDGE_MS for r in rows)
+
+
+@pytest.mark.parametrize("kw", [{}, {"salt": 3}])
+def test_stream_session_keys_share_groups(spark, kw):
+    """Two groups for all users, in time slices: sessions stay those of a user."""
+    from tandem.sources.events import events_feed
+    f = events_feed(spark, "/root/testdata/sf0.001")
+    p = parse_feed(f)
+    batch = _rows(session_join(weather_readings(p, ingest="timestamp"), gps_readings(p), 3600))
+    path = scratch_path(spark, "few-groups")
+    day = F.dayofmonth("timestamp")
+    for i, (lo, hi) in enumerate([(1, 16), (16, 32)]):
+        stage_feed(f.where((day >= lo) & (day < hi)).coalesce(1), f"{path}/p={i}")
+    stage_feed(flush_lines(spark), f"{path}/p=9")
+    src = (spark.readStream.schema("value string, timestamp timestamp")
+           .option("maxFilesPerTrigger", "1").parquet(path + "/*"))
+    sp = parse_feed(src)
+    sj = session_join(weather_readings(sp, ingest="timestamp"), gps_readings(sp), 3600, delay="1 day", buckets=2,
+                      chunk_pairs=3, **kw)
+    out, ckpt = scratch_path(spark, "few-groups-out"), scratch_path(spark, "few-groups-ckpt")
+    run_available_now(out_weather_pairs(sj), out, ckpt)
+    stream = sorted(tuple(r) for r in spark.read.parquet(out).where(F.col("userId") != FLUSH_USER).collect())
+    assert stream == batch and len(batch) > 0
+    state = spark.read.format("statestore").option("stateVarName", "sessions").load(ckpt)
+    assert {r.k for r in state.selectExpr("key.key AS k").collect()} <= {"0", "1"}
