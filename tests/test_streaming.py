@@ -340,3 +340,22 @@ def test_stream_session_keys_share_groups(spark, kw):
     assert stream == batch and len(batch) > 0
     state = spark.read.format("statestore").option("stateVarName", "sessions").load(ckpt)
     assert {r.k for r in state.selectExpr("key.key AS k").collect()} <= {"0", "1"}
+
+
+class _Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("query, step", [("stream_job_messages", "run_pipeline"), ("stream_deduplicated_join", "tumbling_join")])
+def test_replays_decode_the_feed_once(spark, monkeypatch, query, step):
+    """What the joins get is the decoded table, not a parse of the feed a side."""
+    from tandem.plans import streams
+
+    def seen(*frames, decoded=None, **kw):
+        for df in [decoded] if decoded is not None else [f for f in frames if hasattr(f, "_jdf")]:
+            assert df.isStreaming and "userAccount" not in df._jdf.queryExecution().logical().toString()
+        raise _Stop
+
+    monkeypatch.setattr(streams, step, seen)
+    with pytest.raises(_Stop):
+        streams.STREAM_QUERIES[query](spark, "/root/testdata/sf0.001")
