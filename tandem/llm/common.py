@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,19 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int, rows: int = 1000,
             at = to
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs started inside send Python at most ``rows`` rows at once: a batch is
+    held by both sides, and 10,000 long texts are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(was), rows) if int(was) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back: cuts the
     lineage, and survives lost executors."""

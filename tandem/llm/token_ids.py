@@ -14,6 +14,9 @@ default tokenizer drops white space and never joins across it, so a text's ids
 are those of its words in order (a test holds this against whole-text encoding).
 A tokenizer file with another normaliser or pre-tokenizer encodes whole texts.
 
+Memory: a worker's word table is bounded and given up when the files are read,
+and Spark sends the workers batches of at most 1,000 rows.
+
 Cases: null is an empty text and gives just the end id; null document ids come
 last; rows with equal ids are ordered by a hash of the text, so reruns agree;
 an empty table gives an empty ORC table; extra columns are not written.
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tandem.llm.common import load, pieces, stored, utf8
+from tandem.llm.common import WordDigests, load, pieces, small_batches, stored, utf8
 from tandem.session import scratch_path
 
 END_ID = 1
@@ -70,13 +73,15 @@ def drops_white_space(tokenizer) -> bool:
 class WordEncoder(dict):
     """word -> its ids as little-endian unsigned 32-bit integers.
 
-    ``limit`` bounds the memory; a full table starts anew.  A word of Latin
-    letters is one piece for the tokenizer, so its lower-case form goes to the
-    tokenizer's BPE model at once; one full stop or comma after it is a piece
-    of its own.  All other words take the tokenizer's whole path.
+    ``limit`` bounds the memory: when half of it is full, the words kept before
+    that are dropped, but for those met since, so frequent words stay.  A word of
+    Latin letters is one piece for the tokenizer, so its lower-case form goes to
+    the tokenizer's BPE model at once; the ASCII marks after it are a piece of
+    their own.  All other words take the tokenizer's whole path.
     """
 
-    limit = 800_000
+    limit = 400_000
+    marks = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # an apostrophe may begin a piece with letters
 
     def __init__(self, path: str):
         super().__init__()
@@ -85,7 +90,7 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.by_words = drops_white_space(self.tokenizer)
-        self.marks = {m: self.encode(m) for m in (".", ",")}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -93,26 +98,28 @@ class WordEncoder(dict):
 
     def _letters(self, word: str) -> bytes:
         """Ids of a lower-case word of Latin letters."""
-        data = word.encode()
-        got = self.get(data)
-        if got is None:
-            piece = word if word.isascii() else data.decode("latin-1").translate(_LETTERS)
-            got = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece)])
-            if len(data) <= 64:
-                self[data] = got
-        return got
+        piece = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece)])
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
+    def _encoded(self, word: bytes) -> bytes:
         s = word.decode()
-        core, mark = (s[:-1], s[-1]) if s[-1] in self.marks else (s, "")
+        core = s.rstrip(self.marks)
         # below U+0250 letters have one lower-case form (but U+0130) and no combining marks
         if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "\u0130" not in core)):
-            got = self._letters(core.lower()) + (self.marks[mark] if mark else b"")
-        else:
-            got = self.encode(s)
+            low = core.lower()
+            if low == s:
+                return self._letters(low)
+            return self[low.encode()] + (self[s[len(core):].encode()] if len(core) < len(s) else b"")
+        return self.encode(s)
+
+    def __missing__(self, word: bytes) -> bytes:
+        got = self.older.get(word)
+        if got is None:
+            got = self._encoded(word)
         if len(word) <= 64:
+            if 2 * len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
             self[word] = got
         return got
 
@@ -123,8 +130,9 @@ class WordEncoder(dict):
 
     @staticmethod
     def of(path: str) -> "WordEncoder":
-        """One per worker process, kept between tasks."""
+        """One per worker process, kept between tasks until files are read."""
         if path not in _WORKERS:
+            WordDigests.shared().clear()  # an earlier step's words
             _WORKERS[path] = WordEncoder(path)
         return _WORKERS[path]
 
@@ -154,10 +162,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     kind = docs.schema[id_col].dataType.simpleString()
     ordered = (docs.select(F.col(id_col), F.col(text_col).cast("string"))
                .orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text_col)))
-    (ordered.mapInArrow(run, f"`{id_col}` {kind}, part int, pos long, ids array<int>")
-     .write.option("orc.bloom.filter.columns", id_col).option("orc.bloom.filter.fpp", "0.01")
-     .option("orc.row.index.stride", str(row_index_stride)).option("orc.stripe.size", str(stripe_bytes))
-     .option("orc.create.index", "true").orc(path))
+    with small_batches(docs.sparkSession):
+        (ordered.mapInArrow(run, f"`{id_col}` {kind}, part int, pos long, ids array<int>")
+         .write.option("orc.bloom.filter.columns", id_col).option("orc.bloom.filter.fpp", "0.01")
+         .option("orc.row.index.stride", str(row_index_stride)).option("orc.stripe.size", str(stripe_bytes))
+         .option("orc.create.index", "true").orc(path))
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list | None = None, id_col: str = "doc_id") -> DataFrame:
@@ -173,6 +182,7 @@ def token_digest(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     each) and running sums within a part, so no task sees all rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _WORKERS.clear()  # the writers' word tables
         for batch in batches:
             ids = batch.column(3)
             flat = np.ascontiguousarray(ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"))
@@ -185,8 +195,9 @@ def token_digest(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 names=["id", "part", "pos", "n_tokens", "ids_crc32"])
 
     kind = tokens.schema[id_col].dataType.simpleString()
-    rows = stored(tokens.select(id_col, "part", "pos", "ids").mapInArrow(
-        run, f"id {kind}, part int, pos long, n_tokens long, ids_crc32 long"), "token-digest")
+    with small_batches(tokens.sparkSession):
+        rows = stored(tokens.select(id_col, "part", "pos", "ids").mapInArrow(
+            run, f"id {kind}, part int, pos long, n_tokens long, ids_crc32 long"), "token-digest")
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     parts = (rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
              .select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset")))

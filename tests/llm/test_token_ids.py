@@ -3,8 +3,10 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from tandem.llm import token_ids as T
+from tandem.llm.common import small_batches
 from tandem.session import scratch_path
 from tests.llm.helpers import documents, edge_rows
 
@@ -77,3 +79,30 @@ def test_edges_of_the_input(spark):
     path = scratch_path(spark, "ids")
     T.write_tokens(docs.where("false"), path)
     assert T.token_digest(spark.read.schema("doc_id long, part int, pos long, ids array<int>").orc(path)).count() == 0
+
+
+def test_frequent_words_stay_in_a_full_table():
+    e, seen = T.WordEncoder(T.tokenizer_path()), []
+    e.limit = 40
+    encode = e.encode
+    e.encode = lambda s: seen.append(s) or encode(s)
+    for i in range(300):
+        text = f"7often7 a{i}b{i} Letters,;; Ends."
+        assert np.frombuffer(e.text(text.encode()), "<u4").tolist() + [1] == whole(text)
+        assert len(e) + len(e.older) <= e.limit
+    assert seen.count("7often7") == 1
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    """The texts and the ids come to Python in batches of at most 1,000 rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was, seen, stored = spark.conf.get(key), [], T.stored
+    monkeypatch.setattr(T, "stored", lambda df, name: seen.append(spark.conf.get(key)) or stored(df, name))
+    docs = spark.range(2500).selectExpr("id doc_id", "concat('a ', id) text").coalesce(1)
+    path = scratch_path(spark, "ids")
+    T.write_tokens(docs, path)
+    assert T.token_digest(T.read_tokens(spark, path)).count() == 2500
+    assert seen == ["1000"] and spark.conf.get(key) == was
+    with small_batches(spark):
+        sizes = docs.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()
+    assert max(r.n for r in sizes) == 1000
