@@ -32,6 +32,10 @@ table gives an empty result; in :func:`clean_documents` extra columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import add, sub
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,11 +45,16 @@ from tandem.llm.graph import connected_components
 THRESHOLD = 0.8
 FEW_WORDS = 8
 _BLOCK = 2000
+_LANES = sum(1 << (7 * j) for j in range(8))  # the lowest bits of eight counters of 7 bits
 _BROADCAST_KEYS = 2_000_000   # up to here, keys (16 MB) are sent to the texts, else texts are shuffled
 
 
+# one by one: the engine looks up single characters in a table, ranges one after the other
+_NO_WORD = "[" + "".join(f"\\x{c:02X}" for c in (*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80))) + "]+"
+
+
 def normalise(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    return F.trim(F.regexp_replace(F.lower(line), _NO_WORD, " "))
 
 
 def document_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -55,9 +64,8 @@ def document_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select("id", "row_key", "line_no", normalise(F.col("line")).alias("norm")))
 
 
-def unit_hashes(norm: Column) -> Column:
+def unit_hashes(norm: Column, words: Column) -> Column:
     """Hashes of a line's words, in order; of its trigrams if the words are few."""
-    words = F.split(norm, " ")
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(norm) - 2, F.lit(1))),
                         lambda i: F.xxhash64(norm.substr(i, F.lit(3))))
     return F.when(F.size(words) >= FEW_WORDS, F.transform(words, lambda w: F.xxhash64(w))).otherwise(grams)
@@ -89,20 +97,53 @@ def block_hash(hashes: Column, start: Column, q: Column) -> Column:
     return F.when(q <= 63, majorities(7, 8)).otherwise(majorities(15, 4))
 
 
+def _run_sums(hashes: Column, start: Column, q: Column) -> list[Column]:
+    """The two sums of :func:`block_hash` for a run of up to 63 hashes, the second one bit higher up."""
+    run = F.slice(hashes, start, q)
+    return [F.aggregate(run, F.lit(0).cast("long"), lambda a, h: a + h.bitwiseAND(_LANES << i)) for i in (0, 1)]
+
+
+def _majorities(sums: tuple[Column, Column], q: Column) -> Column:
+    """The 16 bits from the sums of a run of ``q`` hashes."""
+    room = (F.lit(63) - F.floor(q / 2)).cast("long") * F.lit(_LANES)
+    top = [F.shiftrightunsigned(F.shiftrightunsigned(s, i) + room, 6).bitwiseAND(_LANES) for i, s in enumerate(sums)]
+    return top[0].bitwiseOR(F.shiftleft(top[1], 1))
+
+
 def with_hashes(lines: DataFrame) -> DataFrame:
     """Adds ``chars``, ``q`` and ``sig``, the hashes of the four runs of ``q``
     units (two from each end), and ``sig_less`` for runs of q - 1 where a line
     with one unit less would have them; null if there are no runs."""
-    units = F.inline(F.array(F.struct(unit_hashes(F.col("norm")).alias("_units"))))
-    n = F.size("_units")
+    def bind(d: DataFrame, value: Column, name: str) -> DataFrame:  # found once, then a column
+        return d.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+    units = F.col("_units")
+    n = F.size(units)
     q = F.floor(n / 4).cast("int")
-    d = lines.select("*", units).select("*", F.when(F.char_length("norm") > 5, q).otherwise(0).alias("q"))
+    d = bind(bind(lines, F.split("norm", " "), "_words"), unit_hashes(F.col("norm"), F.col("_words")), "_units")
+    d = d.select(*lines.columns, "_units", F.char_length("norm").alias("chars"),
+                 F.when(F.char_length("norm") > 5, q).otherwise(0).alias("q"))
+    q = F.col("q")
+    short = (q > 0) & (q <= 63)
+
+    def starts(q: Column) -> list[Column]:
+        return [F.lit(1), q + 1, n - 2 * q + 1, n - q + 1]
 
-    def blocks(q: Column) -> Column:
-        return F.array(*[block_hash(F.col("_units"), at, q) for at in (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)])
+    d = bind(d, F.when(short, F.array(*[s for at in starts(q) for s in _run_sums(units, at, q)])), "_sums")
+    # the runs of q - 1 are those of q without some units at their ends, and with one of the next run
+    gone = [[q - 1], [2 * q - 2, 2 * q - 1], [n - 2 * q, n - 2 * q + 1], [n - q]]
+    more = [[], [q - 1], [n - q], []]
 
-    return d.select(*lines.columns, F.char_length("norm").alias("chars"), "q", F.when(F.col("q") > 0, blocks(F.col("q"))).alias("sig"),
-                    F.when((F.col("q") > 1) & (n % 4 == 0), blocks(F.col("q") - 1)).alias("sig_less"))
+    def less(r: int, i: int) -> Column:
+        at = lambda p: F.get(units, p).bitwiseAND(_LANES << i)
+        return reduce(sub, map(at, gone[r]), reduce(add, map(at, more[r]), F.get("_sums", F.lit(2 * r + i))))
+
+    sig, sig_less = (F.array(*[_majorities((f(r, 0), f(r, 1)), k) for r in range(4)]) for f, k in (
+        (lambda r, i: F.get("_sums", F.lit(2 * r + i)), q), (less, q - 1)))
+    long_sig, long_less = (F.array(*[block_hash(units, at, k) for at in starts(k)]) for k in (q, q - 1))
+    fewer = (q > 1) & (n % 4 == 0)
+    return d.select(*lines.columns, "chars", "q", F.when(short, sig).when(q > 0, long_sig).alias("sig"),
+                    F.when(short & fewer, sig_less).when(fewer, long_less).alias("sig_less"))
 
 
 def buckets(sigs: DataFrame) -> DataFrame:
@@ -124,18 +165,42 @@ def _lengths_fit(a: str, b: str, threshold: float) -> Column:
     return F.abs(F.col(a) - F.col(b)) <= _edits(F.col(a), F.col(b), threshold)
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with ``value`` found once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _rest(u: Column, v: Column) -> Column:
+    """(u, v) without the words that both begin with, the other way round."""
+    differ = F.array_position(F.zip_with(u, v, lambda i, j: ~i.eqNullSafe(j)), True).cast("int")  # 0: all equal
+
+    def cut(words: Column, at: Column) -> Column:
+        return F.reverse(F.slice(words, F.greatest(at, F.lit(1)), F.when(at > 0, F.size(words)).otherwise(0)))
+
+    return _let(differ, lambda at: F.struct(cut(u, at).alias("u"), cut(v, at).alias("v")))
+
+
 def similar(a: str, b: str, threshold: float) -> Column:
-    """Edit similarity of at least ``threshold``.  Word by word replacement is
-    one way to edit a line into one of as many words; if it is short enough,
-    the distance need not be found."""
+    """Edit similarity of at least ``threshold``.  Words that both lines begin or
+    end with do not change the distance and are left out.  Word by word
+    replacement is one way to edit a line into one of as many words; if it is
+    short enough, the distance need not be found."""
     x, y = F.col(a), F.col(b)
     most = _edits(F.char_length(x), F.char_length(y), threshold)
-    wx, wy = F.split(x, " "), F.split(y, " ")
-    replaced = F.aggregate(F.zip_with(wx, wy, lambda u, v: F.when(u == v, 0).otherwise(
-        F.greatest(F.char_length(u), F.char_length(v)))), F.lit(0), lambda s, c: s + c)
-    return (F.abs(F.char_length(x) - F.char_length(y)) <= most) & (
-        ((F.size(wx) == F.size(wy)) & (replaced <= most))
-        | F.expr(f"levenshtein({a}, {b}, cast(floor({1 - threshold} * greatest(char_length({a}), char_length({b})) + 1e-9) as int)) >= 0"))
+
+    def text(words: Column) -> Column:  # every word with the blank before it
+        return F.when(F.size(words) > 0, F.concat(F.lit(" "), F.array_join(words, " "))).otherwise("")
+
+    def near(w: Column) -> Column:
+        replaced = F.aggregate(F.zip_with(w.u, w.v, lambda i, j: F.when(i == j, 0).otherwise(
+            F.greatest(F.char_length(i), F.char_length(j)))), F.lit(0), lambda s, c: s + c)
+        return ((F.size(w.u) == F.size(w.v)) & (replaced <= most)) | _let(
+            F.struct(text(w.u).alias("u"), text(w.v).alias("v")),
+            lambda t: F.call_function("levenshtein", t.u, t.v, most) >= 0)
+
+    words = F.struct(F.split(x, " ").alias("u"), F.split(y, " ").alias("v"))
+    both = _let(_let(words, lambda w: _rest(w.u, w.v)), lambda w: _rest(w.u, w.v))  # from the start, then from the end
+    return (F.abs(F.char_length(x) - F.char_length(y)) <= most) & _let(both, near)
 
 
 def line_links(first: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:

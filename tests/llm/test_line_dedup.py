@@ -170,3 +170,36 @@ def test_edges_of_the_input(spark):
     assert by[1].n_lines == by[2].n_lines == by[7].n_lines == 0 and by[5].n_kept == 1 and by[6].n_kept == 0
     assert D.line_summary(docs.where("false")).count() == 0
     assert D.clean_documents(docs).count() == len(edge_rows())
+
+
+def test_runs_of_one_unit_less(spark):
+    """``sig_less`` is ``sig`` of the line with a unit less, whichever way it is found."""
+    rnd = random.Random(9)
+    for n in (8, 12, 40, 252, 256, 260):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+        q = n // 4 - 1
+        # a line of 4 q words with the same four runs of q
+        runs = [words[:q], words[q:2 * q], words[n - 2 * q:n - q], words[n - q:]]
+        fewer = " ".join(w for r in runs for w in r)
+        rows = {r.norm: r for r in D.with_hashes(spark.createDataFrame([(" ".join(words),), (fewer,)], "norm string")).collect()}
+        if q * 4 >= D.FEW_WORDS:
+            assert rows[fewer].q == q and rows[" ".join(words)].sig_less == rows[fewer].sig, n
+        assert len(rows[" ".join(words)].sig_less) == 4
+
+
+def test_common_ends_are_left_out_of_the_distance(spark):
+    """Pairs that differ in the middle, at one end, by a word or by a blank; the
+    expensive distance is asked of what is left only."""
+    rnd = random.Random(10)
+    word = lambda: "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 5)))
+    pairs = [("a b c", "a b"), ("a b", "a b c"), ("a", "a a"), ("a a", "a a a"), ("ab c d", "abc d"), ("x", "x"), ("a b a", "a a")]
+    for _ in range(200):
+        x = [word() for _ in range(rnd.randint(1, 14))]
+        y, at = list(x), rnd.randrange(len(x) + 1)
+        y[at:at + rnd.randint(0, 3)] = [word() for _ in range(rnd.randint(0, 3))]
+        if y:
+            pairs.append((" ".join(x), " ".join(y)))
+    got = spark.createDataFrame(pairs, "x string, y string").select("x", "y", D.similar("x", "y", 0.8).alias("s")).collect()
+    assert {r.s for r in got} == {True, False}
+    for r in got:
+        assert r.s == (edit(r.x, r.y) <= int(0.2 * max(len(r.x), len(r.y)) + 1e-9)), r
