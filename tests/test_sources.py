@@ -225,3 +225,32 @@ def test_csv_packed(spark):
     assert sizes["gzip"] * 2 < sizes["none"]
     out = streams.q_write_csv(spark, "/root/testdata/sf0.001")
     assert out.inputFiles() and all(f.endswith(".csv.gz") for f in out.inputFiles())
+
+
+def _one_device_day(spark, folder, n_gps, n_prox):
+    """Events of one device's day: GPS positions and proximity readings."""
+    from pyspark.sql import functions as F
+    ev = spark.range(1, 400).where("id % 97 <> 0 AND id % 89 <> 0").limit(n_gps + n_prox).select(
+        F.col("id").alias("event_id"), F.expr("timestampadd(SECOND, cast(id as int), TIMESTAMP_NTZ'2024-01-03 00:00:00')").alias("ts"),
+        F.lit(5).cast("bigint").alias("user_id"), F.expr(f"CASE WHEN id <= {n_gps} THEN 'view' ELSE 'click' END").alias("event_type"),
+        F.expr("(id * 7 % 100) / 100D").alias("value"), F.expr("concat('{\"k\": ', id * 13 % 100, '}')").alias("props"))
+    ev.write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_csv_query_keeps_alike_lines_together(spark, tmp_path):
+    """The pairs of a GPS reading stand next to each other, equal lines too: the
+    packer, which sees some 400 lines at a time, finds them whatever a day's readings."""
+    import glob
+    import gzip
+
+    from tandem.plans import streams
+    from tandem.plans.catalog import q_tumbling_join_scalar
+    d = _one_device_day(spark, tmp_path, 40, 120)
+    out = streams.q_write_csv(spark, d)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, q_tumbling_join_scalar(spark, d).collect()))
+    folder = os.path.dirname(out.inputFiles()[0].removeprefix("file:"))
+    lines = [x for f in glob.glob(f"{folder}/part-*") for x in gzip.open(f, "rt").read().splitlines()]
+    assert len(lines) == out.count() >= 40 * 100
+    runs = 1 + sum(a != b for a, b in zip(lines, lines[1:]))
+    assert runs == len(set(lines)) and runs * 5 < len(lines)

@@ -144,3 +144,21 @@ def test_weather_joins_on_ingest_time_by_default(spark):
         F.unix_millis("window_start").alias("s")).collect()
     assert [r.s - EDGE_MS for r in by_ingest] == [20_000]
     assert [r.s - EDGE_MS for r in by_obs] == [0]
+
+
+def test_dense_pairs_are_those_of_the_plain_join(spark):
+    """Equal sensor rows, more than are folded into one, keep their number; null and blank keys too."""
+    from tandem.operators import windows
+    s = spark.range(5000).selectExpr(
+        "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 3 = 0 THEN 'd1 ' ELSE concat('d', id % 2) END AS deviceId",
+        "'TYPE_PROXIMITY' AS sensorType", "CASE WHEN id % 5 = 0 THEN NULL ELSE 3 END AS value",
+        "timestamp_seconds(id % 20) AS obsTs")
+    g = spark.range(12).selectExpr("concat('d', id % 3) AS deviceId", "'TYPE_GPS' AS sensorType", "cast(id AS float) AS lat",
+                                   "cast(-0.0 AS float) AS lng", "timestamp_seconds(id div 2) AS obsTs")
+    count = lambda df: {tuple(r)[:-1]: r["n"] for r in df.groupBy(*df.columns).agg(F.count("*").alias("n")).collect()}
+    plain = count(tumbling_join(s, g, 10))
+    assert max(plain.values()) > windows.FOLD_ROWS
+    assert count(tumbling_join(s, g, 10, dense=True)) == plain
+    assert count(tumbling_join(s, g, 10, dense=True, salt=3)) == plain
+    one = spark.createDataFrame([("d1", -0.0), ("d1", 0.0), ("d1", 0.0)], "k string, x double")
+    assert sorted(map(str, (r.x for r in windows._folded(one).collect()))) == ["-0.0", "0.0", "0.0"]
